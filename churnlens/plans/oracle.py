@@ -60,6 +60,74 @@ FROM w WHERE level IS NOT NULL ORDER BY variable, churn_rate DESC, level"""
     return "WITH " + ",\n".join(ctes) + body
 
 
+def rint_sql(x: str, digits: int) -> str:
+    return f"(round_even(({x}) * {float(10 ** digits)}, 0) / {float(10 ** digits)})"
+
+
+TEXT_CHARGES_CTE = ("ev AS (SELECT event_id, user_id, event_type, ts, value, props, "
+                    "CASE WHEN event_type = 'signup' THEN ' ' ELSE CAST(value AS VARCHAR) END "
+                    "AS charges_text FROM events)")
+NUM_RE = r"^[+-]?((\d+\.?\d*)|(\.\d+))([eE][+-]?\d+)?$"
+COERCED_CTE = ("evc AS (SELECT event_id, user_id, event_type, "
+               f"CASE WHEN regexp_full_match(trim(charges_text), '{NUM_RE}') "
+               "THEN TRY_CAST(trim(charges_text) AS DOUBLE) END AS charges FROM ev)")
+
+DESCRIBE_STATS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+
+
+def describe_sql(source: str, columns, ctes=()) -> str:
+    parts = []
+    for c in columns:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT {_q(c)} AS variable, CAST(count({x}) AS DOUBLE) AS count, "
+            f"{rint_sql(f'avg({x})', 2)} AS mean, {rint_sql(f'stddev_samp({x})', 2)} AS std, "
+            f"{rint_sql(f'min({x})', 2)} AS min, {rint_sql(f'quantile_cont({x}, 0.25)', 2)} AS p25, "
+            f"{rint_sql(f'quantile_cont({x}, 0.5)', 2)} AS p50, "
+            f"{rint_sql(f'quantile_cont({x}, 0.75)', 2)} AS p75, {rint_sql(f'max({x})', 2)} AS max "
+            f"FROM {source}")
+    body = "\nUNION ALL ".join(parts)
+    if source == "sub":
+        return with_sub(body, *ctes)
+    return body
+
+
+CORR_COLUMNS = [C.tenure, C.monthly, C.total, C.senior, C.label]
+
+
+def kde_sql(column: str, by: str, points: int = 1000) -> str:
+    return with_sub(f"""
+SELECT p.cls AS "class", CAST(p.j AS INTEGER) AS point, round(p.x, 9) AS x,
+       round(sum(d.w * exp(-0.5 * ((p.x - d.v) / p.h) * ((p.x - d.v) / p.h)))
+             / (p.n * p.h * sqrt(2 * pi())), 9) AS density
+FROM pts p JOIN d ON d.cls = p.cls
+GROUP BY p.cls, p.j, p.x, p.n, p.h""",
+        f"s AS (SELECT {by} AS cls, count(*) AS n, min(CAST({column} AS DOUBLE)) AS mn, "
+        f"max(CAST({column} AS DOUBLE)) AS mx, stddev_samp(CAST({column} AS DOUBLE)) AS sd "
+        f"FROM sub WHERE {column} IS NOT NULL GROUP BY {by})",
+        f"g AS (SELECT cls, n, sd * pow(CAST(n AS DOUBLE), -0.2) AS h, mn - 0.5 * (mx - mn) AS lo, "
+        f"((mx + 0.5 * (mx - mn)) - (mn - 0.5 * (mx - mn))) / {float(points - 1)} AS step FROM s "
+        f"WHERE n > 1 AND sd > 0)",
+        f"pts AS (SELECT g.*, t.range AS j, lo + t.range * step AS x FROM g, range({points}) t)",
+        f"d AS (SELECT {by} AS cls, CAST({column} AS DOUBLE) AS v, count(*) AS w FROM sub "
+        f"WHERE {column} IS NOT NULL GROUP BY {by}, {column})")
+
+
+def summary_sql() -> str:
+    census = ("SELECT 'census' AS section, 'n_rows' AS item, CAST(count(*) AS DOUBLE) AS value FROM sub"
+              "\nUNION ALL SELECT 'census', 'n_columns', 14.0"
+              "\nUNION ALL SELECT 'census', 'n_numeric', 7.0"
+              "\nUNION ALL SELECT 'census', 'n_string', 7.0")
+    label = (f"SELECT 'label', {C.label_text} || ':n', CAST(count(*) AS DOUBLE) FROM sub "
+             f"GROUP BY {C.label_text}\nUNION ALL SELECT 'label', {C.label_text} || ':pct', "
+             f"round({rint_sql('count(*) * 100.0 / sum(count(*)) OVER ()', 1)}, 6) FROM sub "
+             f"GROUP BY {C.label_text}")
+    desc = "\nUNION ALL ".join(
+        f"SELECT 'describe', variable || ':{st}', round({st}, 6) FROM dsc" for st in DESCRIBE_STATS)
+    return with_sub(f"{census}\nUNION ALL {label}\nUNION ALL {desc}",
+                    "dsc AS (" + describe_sql("sub", [C.tenure, C.monthly, C.total]) + ")")
+
+
 ORACLE = {
     "tenure_rates": rate_by_bin_sql(TENURE_EDGES_6, TENURE_LABELS_6),
     "tenure_rates_4bin": rate_by_bin_sql(TENURE_EDGES_4, TENURE_LABELS_4),
@@ -86,4 +154,28 @@ FROM g WHERE level IS NOT NULL""",
             f"SELECT {_q(c)} AS variable, CAST({c} AS VARCHAR) AS level, "
             f"CAST({C.label} AS DOUBLE) AS y FROM sub" for c in [C.contract, "paperless"]) + ")",
         "g AS (SELECT variable, level, count(*) AS n, sum(y) AS s FROM long GROUP BY variable, level)"),
+    "coerce_drop": f"""WITH {TEXT_CHARGES_CTE}, {COERCED_CTE}
+SELECT event_id, user_id, charges, CAST(event_type IS NOT DISTINCT FROM 'error' AS INTEGER) AS is_error
+FROM evc WHERE charges IS NOT NULL AND NOT isnan(charges)""",
+    "missing": f"""WITH {TEXT_CHARGES_CTE}, {COERCED_CTE}, m AS (
+  SELECT 'event_id' AS "column", CAST(count_if(event_id IS NULL) AS BIGINT) AS n_missing FROM evc
+  UNION ALL SELECT 'user_id', CAST(count_if(user_id IS NULL) AS BIGINT) FROM evc
+  UNION ALL SELECT 'event_type', CAST(count_if(event_type IS NULL) AS BIGINT) FROM evc
+  UNION ALL SELECT 'charges', CAST(count_if(charges IS NULL OR isnan(charges)) AS BIGINT) FROM evc)
+SELECT * FROM m WHERE n_missing > 0""",
+    "value_counts": with_sub(f"""
+SELECT {C.label_text} AS value, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS pct
+FROM sub GROUP BY {C.label_text} ORDER BY n DESC, value"""),
+    "describe": describe_sql("sub", [C.tenure, C.monthly, C.total]),
+    "describe_lineitem": describe_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount",
+                                                   "l_tax"]),
+    "class_means": with_sub(f"SELECT {C.label}, " + ", ".join(
+        f"round(avg({c}), 6) AS mean_{c}" for c in C.numeric) + f" FROM sub GROUP BY {C.label}"),
+    "census": with_sub("SELECT count(*) AS n_rows, 14 AS n_columns, 7 AS n_numeric, 7 AS n_string "
+                       "FROM sub"),
+    "summary": summary_sql(),
+    "corr_matrix": with_sub("\nUNION ALL ".join(
+        f"SELECT {_q(a)} AS x, {_q(b)} AS y, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS r "
+        "FROM sub" for a in CORR_COLUMNS for b in CORR_COLUMNS)),
+    "kde_by_class": kde_sql(C.tenure, C.label),
 }

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.operators import rates
+from churnlens.functions import binarize
+from churnlens.operators import clean, profile, rates, stats
 from churnlens.schema import (FIXTURE, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
                               TENURE_LABELS_6)
 from churnlens.sources.fixture_view import read_table, subscriber_view
@@ -74,6 +75,72 @@ def q_rate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           [C.contract, "paperless"]), ["churn_rate"])
 
 
+# --- cleaning and profiles ------------------------------------------------
+
+def events_with_text_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose amount arrives as text; sign-ups carry a blank amount.
+
+    This mirrors a subscriber file where new customers have no total yet.
+    """
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", "user_id", "event_type",
+                     F.when(F.col("event_type") == "signup", F.lit(" "))
+                      .otherwise(F.col("value").cast("string")).alias("charges"))
+
+
+def q_coerce_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = clean.coerce_numeric(events_with_text_charges(spark, sf_dir), "charges")
+    kept, _ = clean.drop_missing(ev, ["charges"])
+    return kept.select("event_id", "user_id", "charges",
+                       binarize("event_type", "error").alias("is_error"))
+
+
+def q_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = clean.coerce_numeric(events_with_text_charges(spark, sf_dir), "charges")
+    return profile.missing_counts(ev)
+
+
+def q_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_cols(profile.value_counts(subscriber_view(spark, sf_dir), C.label_text), ["pct"])
+
+
+def q_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.describe(subscriber_view(spark, sf_dir), [C.tenure, C.monthly, C.total])
+
+
+def q_describe_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem")
+    return profile.describe(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+def q_class_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cm = profile.class_means(subscriber_view(spark, sf_dir), C.label, list(C.numeric))
+    return _round_cols(cm, [f"mean_{c}" for c in C.numeric])
+
+
+def q_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.census(subscriber_view(spark, sf_dir))
+
+
+def q_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = profile.summarize(subscriber_view(spark, sf_dir), C.label_text, [C.tenure, C.monthly, C.total])
+    return _round_cols(s, ["value"])
+
+
+# --- statistics -------------------------------------------------------------
+
+CORR_COLUMNS = [C.tenure, C.monthly, C.total, C.senior, C.label]
+
+
+def q_corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_cols(stats.correlation(subscriber_view(spark, sf_dir), CORR_COLUMNS), ["r"])
+
+
+def q_kde_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = stats.kde(subscriber_view(spark, sf_dir), C.tenure, C.label)
+    return d.withColumns({"x": F.round("x", 9), "density": F.round("density", 9)})
+
+
 QUERIES = {
     "tenure_rates": q_tenure_rates,
     "tenure_rates_4bin": q_tenure_rates_4bin,
@@ -82,4 +149,14 @@ QUERIES = {
     "lineitem_rates": q_lineitem_rates,
     "overall_rate": q_overall_rate,
     "rate_summary": q_rate_summary,
+    "coerce_drop": q_coerce_drop,
+    "missing": q_missing,
+    "value_counts": q_value_counts,
+    "describe": q_describe,
+    "describe_lineitem": q_describe_lineitem,
+    "class_means": q_class_means,
+    "census": q_census,
+    "summary": q_summary,
+    "corr_matrix": q_corr_matrix,
+    "kde_by_class": q_kde_by_class,
 }
