@@ -128,6 +128,33 @@ def summary_sql() -> str:
                     "dsc AS (" + describe_sql("sub", [C.tenure, C.monthly, C.total]) + ")")
 
 
+# Fixed level vocabularies of the driver's tables (for explicit one-hot SQL).
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def onehot_sql(col: str, prefix: str, levels) -> list[str]:
+    return [f'CAST({col} IS NOT DISTINCT FROM {_q(lv)} AS INTEGER) AS "{prefix}_{lv}"'
+            for lv in levels]
+
+
+ORDERS_LABELLED = ("o AS (SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS label "
+                   "FROM orders)")
+ORDERS_RANKED = ("r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY "
+                 "md5(CAST(o_orderkey AS VARCHAR) || ':42'), o_orderkey) AS rn, "
+                 "count(*) OVER (PARTITION BY label) AS n FROM o)")
+
+
+def standardized_sql() -> str:
+    cols = list(C.numeric)
+    sel = ", ".join(
+        f"round(coalesce((CAST({c} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} END, 0.0), 6)"
+        f" AS {c}" for c in cols)
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in cols)
+    return with_sub(f"SELECT {C.key}, {sel} FROM sub, st", f"st AS (SELECT {stats} FROM sub)")
+
+
 ORACLE = {
     "tenure_rates": rate_by_bin_sql(TENURE_EDGES_6, TENURE_LABELS_6),
     "tenure_rates_4bin": rate_by_bin_sql(TENURE_EDGES_4, TENURE_LABELS_4),
@@ -178,4 +205,26 @@ FROM sub GROUP BY {C.label_text} ORDER BY n DESC, value"""),
         f"SELECT {_q(a)} AS x, {_q(b)} AS y, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS r "
         "FROM sub" for a in CORR_COLUMNS for b in CORR_COLUMNS)),
     "kde_by_class": kde_sql(C.tenure, C.label),
+    "one_hot_all": with_sub(f"SELECT {C.key}, " + ", ".join(
+        onehot_sql("contract", "contract", SEGMENTS) + onehot_sql("region", "region", REGIONS))
+        + " FROM sub"),
+    "one_hot_drop_first": with_sub(
+        f"SELECT {C.key}, " + ", ".join(
+            list(C.numeric)
+            + [f"CAST({c} IS NOT DISTINCT FROM 'Yes' AS INTEGER) AS {c}_enc" for c in C.model_flags]
+            + ["CAST(region IS NOT DISTINCT FROM 'EUROPE' AS INTEGER) AS region_enc"]
+            + onehot_sql("contract", "contract", SEGMENTS[1:])
+            + onehot_sql("region", "region", REGIONS[1:])
+            + onehot_sql("priority", "priority", PRIORITIES[1:])) + " FROM sub"),
+    "standardized": standardized_sql(),
+    "split_exact": f"""WITH {ORDERS_LABELLED}, {ORDERS_RANKED}
+SELECT o_orderkey, label, CAST(rn <= ceil(n * 0.2) AS INTEGER) AS is_test FROM r""",
+    "split_sizes": f"""WITH {ORDERS_LABELLED}, {ORDERS_RANKED}
+SELECT label, CAST(rn <= ceil(n * 0.2) AS INTEGER) AS is_test, count(*) AS n FROM r GROUP BY ALL""",
+    "folds": f"""WITH {ORDERS_LABELLED}, {ORDERS_RANKED}
+SELECT o_orderkey, label, CAST((rn - 1) % 5 AS INTEGER) AS fold FROM r""",
+    "class_weights": f"""WITH {ORDERS_LABELLED}, a AS (
+  SELECT count(*) AS n, CAST(count_if(label = 1) AS BIGINT) AS n_pos FROM o)
+SELECT n, n_pos, n - n_pos AS n_neg, round((n - n_pos) / n_pos, 6) AS pos_weight,
+       round(n / (2.0 * n_pos), 6) AS w_pos, round(n / (2.0 * (n - n_pos)), 6) AS w_neg FROM a""",
 }

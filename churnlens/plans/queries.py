@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.functions import binarize
-from churnlens.operators import clean, profile, rates, stats
+from churnlens.operators import clean, encode, profile, rates, split, stats
 from churnlens.schema import (FIXTURE, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
                               TENURE_LABELS_6)
 from churnlens.sources.fixture_view import read_table, subscriber_view
@@ -141,6 +141,51 @@ def q_kde_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumns({"x": F.round("x", 9), "density": F.round("density", 9)})
 
 
+# --- encoding, scaling, split ----------------------------------------------
+
+def q_one_hot_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = subscriber_view(spark, sf_dir)
+    oh = encode.fit_one_hot(v, C.cluster_onehot, drop_first=False)
+    return oh.transform(v).select(C.key, *oh.output_columns)
+
+
+def q_one_hot_drop_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = subscriber_view(spark, sf_dir)
+    spec = encode.fit_model_features(v, C)
+    return spec.transform(v).select(C.key, *spec.names)
+
+
+def q_standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = subscriber_view(spark, sf_dir)
+    cols = list(C.numeric)
+    return _round_cols(encode.standardize_sql(v, cols).select(C.key, *cols), cols)
+
+
+def orders_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("label"))
+
+
+def q_split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.stratified_split(orders_labelled(spark, sf_dir), "label", "o_orderkey", 0.2, 42) \
+                .select("o_orderkey", "label", "is_test")
+
+
+def q_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = split.stratified_split(orders_labelled(spark, sf_dir), "label", "o_orderkey", 0.2, 42)
+    return s.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.assign_folds(orders_labelled(spark, sf_dir), "label", "o_orderkey", 5, 42) \
+                .select("o_orderkey", "label", "fold")
+
+
+def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_cols(split.class_weights(orders_labelled(spark, sf_dir), "label"),
+                       ["pos_weight", "w_pos", "w_neg"])
+
+
 QUERIES = {
     "tenure_rates": q_tenure_rates,
     "tenure_rates_4bin": q_tenure_rates_4bin,
@@ -159,4 +204,11 @@ QUERIES = {
     "summary": q_summary,
     "corr_matrix": q_corr_matrix,
     "kde_by_class": q_kde_by_class,
+    "one_hot_all": q_one_hot_all,
+    "one_hot_drop_first": q_one_hot_drop_first,
+    "standardized": q_standardized,
+    "split_exact": q_split_exact,
+    "split_sizes": q_split_sizes,
+    "folds": q_folds,
+    "class_weights": q_class_weights,
 }
