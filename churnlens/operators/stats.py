@@ -44,6 +44,25 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*exprs)).alias("p")).select("p.x", "p.y", "p.r")
 
 
+def correlation_with(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
+    """Pearson r of ``target`` with each column, pairwise-complete: ``(feature, r)``.
+
+    One aggregation with three moments per column (no all-pairs matrix).
+    """
+    aggs = []
+    for i, c in enumerate(columns):
+        both = F.col(target).isNotNull() & F.col(c).isNotNull()
+        xt = F.when(both, F.col(target).cast("double"))
+        xc = F.when(both, F.col(c).cast("double"))
+        aggs += [F.covar_samp(xt, xc).alias(f"c{i}"), F.stddev_samp(xt).alias(f"st{i}"),
+                 F.stddev_samp(xc).alias(f"sc{i}")]
+    wide = df.agg(*aggs)
+    rows = [F.struct(F.lit(c).alias("feature"),
+                     F.try_divide(F.col(f"c{i}"), F.col(f"st{i}") * F.col(f"sc{i}")).alias("r"))
+            for i, c in enumerate(columns)]
+    return wide.select(F.explode(F.array(*rows)).alias("p")).select("p.feature", "p.r")
+
+
 def kde(df: DataFrame, column: str, by: str, points: int = 1000,
         prebin: float | None = None) -> DataFrame:
     """Gaussian kernel density of ``column`` per class of ``by``.

@@ -228,3 +228,255 @@ SELECT o_orderkey, label, CAST((rn - 1) % 5 AS INTEGER) AS fold FROM r""",
 SELECT n, n_pos, n - n_pos AS n_neg, round((n - n_pos) / n_pos, 6) AS pos_weight,
        round(n / (2.0 * n_pos), 6) AS w_pos, round(n / (2.0 * (n - n_pos)), 6) AS w_neg FROM a""",
 }
+
+
+# --- metrics, segments, explanations on fixed-coefficient scores -----------
+FIXED_A = {"intercept": -0.5, "tenure": -1.2, "monthly_charges": 0.4,
+           "total_charges": -0.3, "senior": 0.2}
+FIXED_B = {"intercept": -0.3, "tenure": -0.8, "monthly_charges": -0.2,
+           "total_charges": -0.6, "senior": 0.1}
+NUMS = list(C.numeric)
+
+
+def _logit_sql(coef) -> str:
+    out = f"({coef['intercept']})"
+    for c in NUMS:
+        out = f"({out} + ({coef[c]}) * z_{c})"
+    return out
+
+
+SCORED_CTES = [
+    "st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in NUMS)
+    + " FROM sub)",
+    "z AS (SELECT sub.*, " + ", ".join(
+        f"coalesce((CAST({c} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} END, 0.0) AS z_{c}"
+        for c in NUMS) + " FROM sub, st)",
+    f"sc1 AS (SELECT *, round(1.0 / (1.0 + exp(-{_logit_sql(FIXED_A)})), 9) AS p_a, "
+    f"round(1.0 / (1.0 + exp(-{_logit_sql(FIXED_B)})), 9) AS p_b FROM z)",
+    "sc AS (SELECT *, CAST(p_a > 0.5 AS INTEGER) AS pred_a, CAST(p_b > 0.5 AS INTEGER) AS pred_b "
+    "FROM sc1)",
+]
+
+
+def scored(body: str, *ctes: str) -> str:
+    return with_sub(body, *SCORED_CTES, *ctes)
+
+
+def auc_sql(src: str, y: str, s: str) -> str:
+    return (f"(SELECT sum(CAST(pos AS DOUBLE) * (neg_cum - neg) + CAST(pos AS DOUBLE) * neg * 0.5) "
+            f"/ (CAST(sum(pos) AS DOUBLE) * sum(neg)) FROM (SELECT *, sum(neg) OVER (ORDER BY s ROWS "
+            f"BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS neg_cum FROM (SELECT CAST({s} AS DOUBLE) "
+            f"AS s, count_if({y} = 1) AS pos, count_if({y} <> 1) AS neg FROM {src} GROUP BY 1)))")
+
+
+def cells_sql(src: str, y: str, p: str) -> str:
+    return (f"SELECT CAST(count_if({y} = 1 AND {p} = 1) AS BIGINT) AS tp, "
+            f"CAST(count_if({y} <> 1 AND {p} = 1) AS BIGINT) AS fp, "
+            f"CAST(count_if({y} <> 1 AND {p} <> 1) AS BIGINT) AS tn, "
+            f"CAST(count_if({y} = 1 AND {p} <> 1) AS BIGINT) AS fn FROM {src}")
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"coalesce(CAST({num} AS DOUBLE) / NULLIF({den}, 0), 0.0)"
+
+
+METRIC_EXPRS = {
+    "accuracy": _ratio("tp + tn", "tp + fp + tn + fn"),
+    "precision": _ratio("tp", "tp + fp"),
+    "recall": _ratio("tp", "tp + fn"),
+    "f1": _ratio("2 * tp", "2 * tp + fp + fn"),
+}
+
+
+def metric_long_sql(name: str, y: str, p: str, s: str) -> str:
+    parts = [f"SELECT '{m}' AS metric, {e} AS value FROM ({cells_sql('sc', y, p)})"
+             for m, e in METRIC_EXPRS.items()]
+    parts.append(f"SELECT 'auc', {auc_sql('sc', y, s)}")
+    return "\nUNION ALL ".join(parts)
+
+
+PROFILE_SELECT = (
+    f"SELECT {C.contract}, count(*) AS n, "
+    f"{rint_sql(f'avg({C.tenure})', 2)} AS tenure_mean, {rint_sql(f'avg({C.monthly})', 2)} AS monthly_mean, "
+    f"{rint_sql(f'avg({C.total})', 2)} AS total_mean, "
+    f"{rint_sql(rint_sql(f'avg({C.senior})', 2) + ' * 100.0', 1)} AS senior_pct, "
+    f"{rint_sql(rint_sql(f'avg({C.label})', 2) + ' * 100.0', 1)} AS churn_rate "
+    f"FROM sub GROUP BY {C.contract}")
+
+LINEAR_SHAP_CTE = "ls AS (" + "\nUNION ALL ".join(
+    f"SELECT {C.key}, p_a, '{c}' AS feature, z_{c} AS value, (z_{c} - 0.0) * ({FIXED_A[c]}) AS shap "
+    "FROM sc" for c in NUMS) + ")"
+
+ENC_CTE = "enc AS (SELECT " + ", ".join(
+    [C.key, C.label] + list(C.numeric)
+    + [f"CAST({c} IS NOT DISTINCT FROM 'Yes' AS INTEGER) AS {c}_enc" for c in C.model_flags]
+    + ["CAST(region IS NOT DISTINCT FROM 'EUROPE' AS INTEGER) AS region_enc"]
+    + onehot_sql("contract", "contract", SEGMENTS[1:]) + onehot_sql("region", "region", REGIONS[1:])
+    + onehot_sql("priority", "priority", PRIORITIES[1:])) + " FROM sub)"
+MODEL_FEATURES = (list(C.numeric) + [f"{c}_enc" for c in C.model_flags] + ["region_enc"]
+                  + [f"contract_{x}" for x in SEGMENTS[1:]] + [f"region_{x}" for x in REGIONS[1:]]
+                  + [f"priority_{x}" for x in PRIORITIES[1:]])
+FLC_CTE = "flc AS (" + "\nUNION ALL ".join(
+    f"SELECT {_q(f)} AS feature, round(corr(CAST({C.label} AS DOUBLE), CAST(\"{f}\" AS DOUBLE)), 9) AS r "
+    "FROM enc" for f in MODEL_FEATURES) + ")"
+
+
+def examples_sql() -> str:
+    return scored("""
+SELECT 'high' AS kind, customer_id, p_a FROM (
+  SELECT * FROM (SELECT customer_id, p_a FROM sc WHERE p_a > 0.8 ORDER BY customer_id LIMIT 1)
+  UNION ALL SELECT * FROM (SELECT customer_id, p_a FROM sc ORDER BY p_a DESC, customer_id LIMIT 1)
+    WHERE NOT EXISTS (SELECT 1 FROM sc WHERE p_a > 0.8))
+UNION ALL
+SELECT 'low', customer_id, p_a FROM (
+  SELECT * FROM (SELECT customer_id, p_a FROM sc WHERE p_a < 0.2 ORDER BY customer_id LIMIT 1)
+  UNION ALL SELECT * FROM (SELECT customer_id, p_a FROM sc ORDER BY p_a, customer_id LIMIT 1)
+    WHERE NOT EXISTS (SELECT 1 FROM sc WHERE p_a < 0.2))""")
+
+
+def impact_sql() -> str:
+    d = lambda x: f"CAST({x} AS DOUBLE)"
+    return with_sub(f"""
+SELECT 'onboarding' AS initiative, n_new AS target, s1 AS saved, round(s1 * (avg_monthly * 12.0), 6) AS revenue FROM v
+UNION ALL SELECT 'contract_conversion', n_monthly, s2, round(s2 * (avg_monthly * 12.0), 6) FROM v
+UNION ALL SELECT 'addon_trial', n_risk, s3, round(s3 * charge * 12.0, 6) FROM v
+UNION ALL SELECT 'total', NULL, s1 + s2 + s3,
+  round(s1 * (avg_monthly * 12.0) + s2 * (avg_monthly * 12.0) + s3 * charge * 12.0, 6) FROM v""",
+        f"base AS (SELECT count(*) AS n_total, avg({C.monthly}) AS avg_monthly, "
+        f"CAST(count_if({C.tenure} <= 12) AS BIGINT) AS n_new, "
+        f"CAST(count_if({C.contract} = {_q(C.month_to_month)}) AS BIGINT) AS n_monthly FROM sub)",
+        f"seg AS (SELECT {C.contract}, avg({C.label}) AS r, count(*) AS n, avg({C.monthly}) AS charge "
+        f"FROM sub GROUP BY {C.contract})",
+        "top AS (SELECT n AS n_risk, charge FROM seg ORDER BY r DESC, n DESC LIMIT 1)",
+        "v AS (SELECT base.*, top.*, "
+        f"CAST(trunc(n_new * {d(0.477)}) AS BIGINT) - CAST(trunc(n_new * {d(0.35)}) AS BIGINT) AS s1, "
+        f"CAST(trunc(trunc(n_monthly * {d(0.15)}) * ({d(0.427)} - {d(0.113)})) AS BIGINT) AS s2, "
+        f"CAST(trunc(trunc(n_risk * {d(0.2)}) * ({d(0.418)} - {d(0.146)})) AS BIGINT) AS s3 "
+        "FROM base, top)")
+
+
+def silhouette_sql() -> str:
+    return """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+x AS (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM e),
+cs AS (SELECT label AS c, j, sum(x) AS s FROM x GROUP BY label, j),
+cn AS (SELECT label AS c, count(*) AS n FROM e GROUP BY label),
+pq AS (SELECT vec_id, label, sum(x * x) AS sq FROM x GROUP BY vec_id, label),
+cq AS (SELECT label AS c, sum(sq) AS q FROM pq GROUP BY label),
+dots AS (SELECT x.vec_id, cs.c, sum(x.x * cs.s) AS d FROM x JOIN cs ON x.j = cs.j GROUP BY x.vec_id, cs.c),
+dist AS (SELECT p.vec_id, p.label, dots.c, cn.n, cn.n * p.sq - 2 * dots.d + cq.q AS tot
+         FROM pq p JOIN dots ON p.vec_id = dots.vec_id JOIN cn ON cn.c = dots.c JOIN cq ON cq.c = dots.c),
+ab AS (SELECT vec_id, max(CASE WHEN c = label AND n > 1 THEN tot / (n - 1) END) AS a,
+              min(CASE WHEN c <> label THEN tot / n END) AS b,
+              max(CASE WHEN c = label THEN n END) AS own_n FROM dist GROUP BY vec_id)
+SELECT round(avg(CASE WHEN own_n = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM ab"""
+
+
+def top_in_row_sql(extra_sel: str, src: str, k: int) -> str:
+    return (f"SELECT {C.key}{extra_sel}, CAST(rank AS INTEGER) AS rank, feature, round(value, 6) AS value, "
+            f"round(shap9, 6) AS shap FROM (SELECT *, row_number() OVER (PARTITION BY {C.key} ORDER BY "
+            f"abs(shap9) DESC, feature) AS rank FROM (SELECT *, round(shap, 9) AS shap9 FROM {src})) "
+            f"WHERE rank <= {k}")
+
+
+def executive_sql() -> str:
+    parts = [
+        f"SELECT 'churn_share' AS panel, {C.label_text} AS item, "
+        f"round({rint_sql('count(*) * 100.0 / sum(count(*)) OVER ()', 1)}, 6) AS value "
+        f"FROM sub GROUP BY {C.label_text}",
+        f"SELECT 'tenure', {label_case('bin_idx', TENURE_LABELS_4)}, round(avg({C.label}) * 100.0, 6) "
+        "FROM b WHERE bin_idx IS NOT NULL GROUP BY bin_idx",
+        f"SELECT 'contract', {C.contract}, round(avg({C.label}) * 100.0, 6) FROM sub GROUP BY {C.contract}",
+        "SELECT 'model', model || ':' || metric, round(value, 6) FROM ml WHERE metric IN ('auc', 'f1')",
+        "SELECT 'shap', feature, round(avg(abs(shap)), 6) FROM ls GROUP BY feature",
+        f"SELECT 'segment', {C.contract}, round(churn_rate, 6) FROM "
+        f"({PROFILE_SELECT} ORDER BY churn_rate DESC, n DESC, {C.contract} LIMIT 5)",
+    ]
+    return scored("\nUNION ALL ".join(parts),
+                  f"b AS (SELECT {bin_case(C.tenure, TENURE_EDGES_4)} AS bin_idx, {C.label} FROM sub)",
+                  "ml AS (SELECT 'a' AS model, * FROM (" + metric_long_sql("a", C.label, "pred_a", "p_a")
+                  + ") UNION ALL SELECT 'b', * FROM (" + metric_long_sql("b", C.label, "pred_b", "p_b")
+                  + "))",
+                  LINEAR_SHAP_CTE)
+
+
+ORACLE.update({
+    "confusion": scored("\nUNION ALL ".join(
+        f"SELECT {a} AS actual, {p} AS predicted, CAST(count_if({C.label} = {a} AND pred_a = {p}) AS BIGINT)"
+        f" AS n FROM sc" for a in (0, 1) for p in (0, 1))),
+    "metrics_fixed": scored("SELECT " + ", ".join(f"round({e}, 6) AS {m}" for m, e in METRIC_EXPRS.items())
+                            + f" FROM ({cells_sql('sc', C.label, 'pred_a')})"),
+    "auc_fixed": scored(f"SELECT 'a' AS model, round({auc_sql('sc', C.label, 'p_a')}, 6) AS auc "
+                        f"UNION ALL SELECT 'b', round({auc_sql('sc', C.label, 'p_b')}, 6)"),
+    "auc_lineitem": "WITH li AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, l_discount FROM lineitem) "
+                    f"SELECT round({auc_sql('li', 'y', 'l_discount')}, 6) AS auc",
+    "roc_fixed": scored("""
+SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+UNION ALL SELECT s, round(neg_cum / N, 6), round(pos_cum / P, 6) FROM c, tot""",
+        f"g AS (SELECT p_a AS s, count_if({C.label} = 1) AS pos, count_if({C.label} <> 1) AS neg "
+        "FROM sc GROUP BY p_a)",
+        "c AS (SELECT s, sum(pos) OVER w AS pos_cum, sum(neg) OVER w AS neg_cum FROM g "
+        "WINDOW w AS (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))",
+        "tot AS (SELECT CAST(sum(pos) AS DOUBLE) AS P, CAST(sum(neg) AS DOUBLE) AS N FROM g)"),
+    "model_compare": scored("""
+SELECT a.metric, round(a.value, 6) AS value_a, round(b.value, 6) AS value_b,
+       round(b.value - a.value, 6) AS delta FROM ma a JOIN mb b ON a.metric = b.metric
+UNION ALL SELECT 'keep_linear', NULL, NULL,
+       CAST(abs(b.value - a.value) < 0.02 AS DOUBLE) FROM ma a JOIN mb b ON a.metric = b.metric
+       WHERE a.metric = 'auc'""",
+        "ma AS (" + metric_long_sql("a", C.label, "pred_a", "p_a") + ")",
+        "mb AS (" + metric_long_sql("b", C.label, "pred_b", "p_b") + ")"),
+    "calibration": scored(f"""
+SELECT {C.contract}, n, actual_rate, predicted_prob, {rint_sql('actual_rate * 100.0', 1)} AS actual_pct,
+       {rint_sql('predicted_prob * 100.0', 1)} AS predicted_pct
+FROM (SELECT {C.contract}, count(*) AS n, {rint_sql(f'avg({C.label})', 3)} AS actual_rate,
+             {rint_sql('avg(p_a)', 3)} AS predicted_prob FROM sc GROUP BY {C.contract})"""),
+    "segment_profile": with_sub(PROFILE_SELECT),
+    "segment_crosstab": with_sub(
+        f"SELECT {C.contract}, " + ", ".join(
+            [f'"{r}" AS "n_{r}"' for r in REGIONS]
+            + [f'{rint_sql(f"\"{r}\" * 100.0 / tot", 1)} AS "pct_{r}"' for r in REGIONS])
+        + " FROM (SELECT *, " + " + ".join(f'"{r}"' for r in REGIONS) + " AS tot FROM ("
+        f"SELECT {C.contract}, " + ", ".join(
+            f"CAST(count_if(region = {_q(r)}) AS BIGINT) AS \"{r}\"" for r in REGIONS)
+        + f" FROM sub GROUP BY {C.contract}))"),
+    "personas": with_sub(f"""
+SELECT {C.contract}, n, churn_rate,
+  CASE WHEN churn_rate > 40.0 THEN 'High Risk' WHEN churn_rate > 20.0 THEN 'Medium Risk' ELSE 'Low Risk' END
+    AS persona,
+  CASE WHEN churn_rate > 40.0 THEN 'Strengthen onboarding and early-tenure care'
+       WHEN churn_rate > 20.0 THEN 'Offer annual-payment discount and retention offer'
+       ELSE 'Loyalty programme and add-on upselling' END AS action
+FROM ({PROFILE_SELECT})"""),
+    "segment_ids": with_sub(f"""
+SELECT s.{C.key}, s.{C.contract}, CAST(m.segment_id AS INTEGER) AS segment_id
+FROM sub s JOIN (SELECT {C.contract}, row_number() OVER (ORDER BY avg({C.label}) DESC, count(*) DESC,
+  {C.contract}) AS segment_id FROM sub GROUP BY {C.contract}) m ON s.{C.contract} = m.{C.contract}"""),
+    "silhouette_fixed": silhouette_sql(),
+    "linear_shap": scored(f"SELECT {C.key}, feature, round(value, 6) AS value, round(shap, 6) AS shap "
+                          "FROM ls", LINEAR_SHAP_CTE),
+    "shap_importance": scored("SELECT feature, round(avg(abs(shap)), 6) AS mean_abs_shap FROM ls "
+                              "GROUP BY feature", LINEAR_SHAP_CTE),
+    "shap_cloud": scored(f"SELECT {C.key}, feature, round(value, 6) AS value, round(shap, 6) AS shap "
+                         "FROM ls WHERE feature IN (SELECT feature FROM ls GROUP BY feature "
+                         "ORDER BY avg(abs(shap)) DESC, feature LIMIT 2)", LINEAR_SHAP_CTE),
+    "top_features": scored(top_in_row_sql("", "ls", 3), LINEAR_SHAP_CTE),
+    "examples": examples_sql(),
+    "explain_examples": scored(
+        top_in_row_sql(", kind", "(SELECT ls.*, ex.kind FROM ls JOIN ex ON ls.customer_id = ex.customer_id)",
+                       4),
+        LINEAR_SHAP_CTE,
+        "ex AS (SELECT 'high' AS kind, customer_id FROM (SELECT * FROM (SELECT customer_id "
+        "FROM sc WHERE p_a > 0.8 ORDER BY customer_id LIMIT 1) UNION ALL SELECT * FROM (SELECT customer_id "
+        "FROM sc ORDER BY p_a DESC, customer_id LIMIT 1) WHERE NOT EXISTS (SELECT 1 FROM sc WHERE p_a > 0.8)) "
+        "UNION ALL SELECT 'low', customer_id FROM (SELECT * FROM (SELECT customer_id FROM sc WHERE p_a < 0.2 "
+        "ORDER BY customer_id LIMIT 1) UNION ALL SELECT * FROM (SELECT customer_id FROM sc ORDER BY p_a, "
+        "customer_id LIMIT 1) WHERE NOT EXISTS (SELECT 1 FROM sc WHERE p_a < 0.2)))"),
+    "top_abs": with_sub("SELECT feature, r FROM flc ORDER BY abs(r) DESC, feature LIMIT 10", ENC_CTE, FLC_CTE),
+    "top_signed": with_sub("""
+SELECT * FROM (SELECT feature, r, 'positive' AS sign FROM flc WHERE r > 0 ORDER BY r DESC, feature LIMIT 5)
+UNION ALL SELECT * FROM (SELECT feature, r, 'negative' FROM flc WHERE r < 0 ORDER BY r, feature LIMIT 5)""",
+                           ENC_CTE, FLC_CTE),
+    "impact": impact_sql(),
+    "executive_summary": executive_sql(),
+})

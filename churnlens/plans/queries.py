@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.functions import binarize
-from churnlens.operators import clean, encode, profile, rates, split, stats
+from churnlens.operators import (clean, encode, explain, impact, metrics, profile, rates,
+                                 segment, split, stats)
 from churnlens.schema import (FIXTURE, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
                               TENURE_LABELS_6)
 from churnlens.sources.fixture_view import read_table, subscriber_view
@@ -186,6 +187,187 @@ def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
                        ["pos_weight", "w_pos", "w_neg"])
 
 
+# --- metrics, segments, explanations on fixed-coefficient scores -----------
+# Two fixed linear log-odds models over the standardised numeric columns stand
+# in for fitted ones, so every downstream operator can be checked in SQL.
+FIXED_A = {"intercept": -0.5, "tenure": -1.2, "monthly_charges": 0.4,
+           "total_charges": -0.3, "senior": 0.2}
+FIXED_B = {"intercept": -0.3, "tenure": -0.8, "monthly_charges": -0.2,
+           "total_charges": -0.6, "senior": 0.1}
+
+
+def _logit(coef: dict) -> F.Column:
+    out = F.lit(coef["intercept"])
+    for c in C.numeric:
+        out = out + F.lit(coef[c]) * F.col(c)
+    return out
+
+
+def scored_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscriber view + standardised numerics + both fixed scores and predictions."""
+    v = subscriber_view(spark, sf_dir)
+    z = encode.standardize_sql(v, list(C.numeric))
+    prob = lambda coef: F.round(1.0 / (1.0 + F.exp(-_logit(coef))), 9)
+    return z.withColumns({"p_a": prob(FIXED_A), "p_b": prob(FIXED_B)}).withColumns(
+        {"pred_a": (F.col("p_a") > 0.5).cast("int"), "pred_b": (F.col("p_b") > 0.5).cast("int")})
+
+
+def q_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.confusion_matrix(scored_fixed(spark, sf_dir), C.label, "pred_a")
+
+
+def q_metrics_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sc = scored_fixed(spark, sf_dir)
+    return _round_cols(metrics.threshold_metrics(sc, C.label, "pred_a"),
+                       ["accuracy", "precision", "recall", "f1"])
+
+
+def q_auc_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sc = scored_fixed(spark, sf_dir)
+    a = metrics.roc_auc(sc, C.label, "p_a").select(F.lit("a").alias("model"), "auc")
+    b = metrics.roc_auc(sc, C.label, "p_b").select(F.lit("b").alias("model"), "auc")
+    return _round_cols(a.unionByName(b), ["auc"])
+
+
+def q_auc_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC of the discount as a score for returned line items: heavy ties."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("int").alias("y"), "l_discount")
+    return _round_cols(metrics.roc_auc(li, "y", "l_discount"), ["auc"])
+
+
+def q_roc_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_cols(metrics.roc_curve(scored_fixed(spark, sf_dir), C.label, "p_a"),
+                       ["fpr", "tpr"])
+
+
+def q_model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sc = scored_fixed(spark, sf_dir)
+    a = metrics.metric_table(sc, "a", C.label, "pred_a", "p_a")
+    b = metrics.metric_table(sc, "b", C.label, "pred_b", "p_b")
+    return _round_cols(metrics.compare_models(a, b), ["value_a", "value_b", "delta"])
+
+
+def q_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.calibration_by(scored_fixed(spark, sf_dir), C.contract, C.label, "p_a")
+
+
+def q_segment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.profile_segments(subscriber_view(spark, sf_dir), C.contract, C.tenure,
+                                    C.monthly, C.total, C.senior, C.label)
+
+
+def q_segment_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = subscriber_view(spark, sf_dir)
+    levels = list(encode.fit_one_hot(v, [("region", "region")]).specs[0][2])
+    return segment.crosstab_pct(v, C.contract, "region", levels)
+
+
+def q_personas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.assign_personas(q_segment_profile(spark, sf_dir)) \
+                  .select(C.contract, "n", "churn_rate", "persona", "action")
+
+
+def q_segment_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = subscriber_view(spark, sf_dir)
+    return segment.canonical_ids(v, C.contract, C.label).select(C.key, C.contract, "segment_id")
+
+
+def embeddings_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "label",
+                    array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+
+
+def q_silhouette_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = segment.silhouette(embeddings_vectors(spark, sf_dir), "features", "label")
+    return spark.range(1).select(F.round(F.lit(s), 6).alias("silhouette"))
+
+
+LINEAR_FEATURES = list(C.numeric)
+
+
+def shap_long_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sc = scored_fixed(spark, sf_dir)
+    coefs = [FIXED_A[c] for c in LINEAR_FEATURES]
+    sc = sc.withColumn("shap", explain.linear_contributions(coefs, LINEAR_FEATURES))
+    return explain.to_long(sc, C.key, LINEAR_FEATURES)
+
+
+def q_linear_shap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_cols(shap_long_fixed(spark, sf_dir), ["value", "shap"])
+
+
+def q_shap_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_cols(explain.mean_abs_shap(shap_long_fixed(spark, sf_dir)), ["mean_abs_shap"])
+
+
+def q_shap_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_cols(explain.contribution_cloud(shap_long_fixed(spark, sf_dir), 2),
+                       ["value", "shap"])
+
+
+def _top_long(df: DataFrame, extra=()) -> DataFrame:
+    return (df.select(C.key, *extra, F.posexplode("top").alias("pos", "t"))
+            .select(C.key, *extra, (F.col("pos") + 1).alias("rank"), "t.feature",
+                    F.round("t.value", 6).alias("value"), F.round("t.shap", 6).alias("shap")))
+
+
+def q_top_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sc = scored_fixed(spark, sf_dir)
+    coefs = [FIXED_A[c] for c in LINEAR_FEATURES]
+    sc = sc.withColumn("shap", F.transform(explain.linear_contributions(coefs, LINEAR_FEATURES),
+                                           lambda x: F.round(x, 9)))
+    ex = explain.explain_customers(sc, C.key, "p_a", LINEAR_FEATURES, k=3, all_rows=True)
+    return _top_long(ex)
+
+
+def q_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explain.pick_examples(scored_fixed(spark, sf_dir), C.key, "p_a")
+
+
+def q_explain_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sc = scored_fixed(spark, sf_dir)
+    coefs = [FIXED_A[c] for c in LINEAR_FEATURES]
+    sc = sc.withColumn("shap", F.transform(explain.linear_contributions(coefs, LINEAR_FEATURES),
+                                           lambda x: F.round(x, 9)))
+    ex = explain.explain_customers(sc, C.key, "p_a", LINEAR_FEATURES, k=4)
+    return _top_long(ex, ["kind"])
+
+
+def feature_label_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signed association of every model feature with churn (the T2/T3 input)."""
+    v = subscriber_view(spark, sf_dir)
+    spec = encode.fit_model_features(v, C)
+    enc = spec.transform(v)
+    corr = stats.correlation_with(enc, C.label, list(spec.names))
+    return corr.select("feature", F.round("r", 9).alias("r"))
+
+
+def q_top_abs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explain.top_abs(feature_label_corr(spark, sf_dir), "r", 10, tie="feature")
+
+
+def q_top_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explain.top_signed(feature_label_corr(spark, sf_dir), "r", 5, tie="feature")
+
+
+def q_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_cols(impact.estimate_impact(subscriber_view(spark, sf_dir), C, C.contract),
+                       ["revenue"])
+
+
+def q_executive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.operators import report
+    v = subscriber_view(spark, sf_dir)
+    sc = scored_fixed(spark, sf_dir)
+    return _round_cols(report.executive_summary(
+        v, C, TENURE_EDGES_4, TENURE_LABELS_4,
+        scores={"a": (sc, "pred_a", "p_a"), "b": (sc, "pred_b", "p_b")},
+        shap_long=shap_long_fixed(spark, sf_dir), segment=C.contract), ["value"])
+
+
 QUERIES = {
     "tenure_rates": q_tenure_rates,
     "tenure_rates_4bin": q_tenure_rates_4bin,
@@ -211,4 +393,26 @@ QUERIES = {
     "split_sizes": q_split_sizes,
     "folds": q_folds,
     "class_weights": q_class_weights,
+    "confusion": q_confusion,
+    "metrics_fixed": q_metrics_fixed,
+    "auc_fixed": q_auc_fixed,
+    "auc_lineitem": q_auc_lineitem,
+    "roc_fixed": q_roc_fixed,
+    "model_compare": q_model_compare,
+    "calibration": q_calibration,
+    "segment_profile": q_segment_profile,
+    "segment_crosstab": q_segment_crosstab,
+    "personas": q_personas,
+    "segment_ids": q_segment_ids,
+    "silhouette_fixed": q_silhouette_fixed,
+    "linear_shap": q_linear_shap,
+    "shap_importance": q_shap_importance,
+    "shap_cloud": q_shap_cloud,
+    "top_features": q_top_features,
+    "examples": q_examples,
+    "explain_examples": q_explain_examples,
+    "top_abs": q_top_abs,
+    "top_signed": q_top_signed,
+    "impact": q_impact,
+    "executive_summary": q_executive_summary,
 }
