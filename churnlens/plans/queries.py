@@ -416,3 +416,157 @@ QUERIES = {
     "impact": q_impact,
     "executive_summary": q_executive_summary,
 }
+
+
+# --- models, segmentation (checked by invariants, no SQL twin) --------------
+# Fitted models are cached per (session, input, kind) so the queries built on
+# one fit (scores, comparison, explanations) do not refit it.
+_FITS: dict = {}
+
+
+def _cached(spark: SparkSession, sf_dir: str, kind: str, make):
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _FITS:
+        _FITS[key] = make()
+    return _FITS[key]
+
+
+def _run(spark: SparkSession, sf_dir: str):
+    from churnlens.plans import flows
+    return _cached(spark, sf_dir, "run", lambda: flows.prepare(subscriber_view(spark, sf_dir), C))
+
+
+def _logistic(spark: SparkSession, sf_dir: str):
+    from churnlens.plans import flows
+    return _cached(spark, sf_dir, "logistic", lambda: flows.logistic_models(_run(spark, sf_dir), C))
+
+
+def _gbt(spark: SparkSession, sf_dir: str):
+    from churnlens.plans import flows
+    return _cached(spark, sf_dir, "gbt", lambda: flows.gbt_model(_run(spark, sf_dir), C))
+
+
+def _segmentation(spark: SparkSession, sf_dir: str):
+    from churnlens.plans import flows
+    return _cached(spark, sf_dir, "segmentation",
+                   lambda: flows.segmentation(subscriber_view(spark, sf_dir), C))
+
+
+def q_kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inertia and squared-Euclidean silhouette for k = 2..8 on the embeddings."""
+    table, _ = segment.sweep_k(embeddings_vectors(spark, sf_dir))
+    return table
+
+
+def q_pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.ml.feature import StandardScaler
+    e = embeddings_vectors(spark, sf_dir)
+    z = StandardScaler(inputCol="features", outputCol="z", withMean=True, withStd=True).fit(e).transform(e)
+    pts, ratios = segment.project_2d(z, "z", key="vec_id", extra=["label"])
+    return pts.withColumns({"ev1": F.lit(ratios[0]), "ev2": F.lit(ratios[1])})
+
+
+def q_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _segmentation(spark, sf_dir).personas
+
+
+def q_segment_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _segmentation(spark, sf_dir).sweep
+
+
+def q_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.plans import flows
+    _, b = _logistic(spark, sf_dir)
+    return flows.scored_test(b, _run(spark, sf_dir), C)
+
+
+def q_logistic_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.plans import flows
+    a, b = _logistic(spark, sf_dir)
+    run = _run(spark, sf_dir)
+    ma = metrics.metric_table(flows.scored_test(a, run, C), "baseline", C.label, "prediction", "prob")
+    mb = metrics.metric_table(flows.scored_test(b, run, C), "ridge", C.label, "prediction", "prob")
+    return ma.unionByName(mb)
+
+
+def q_confusion_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.confusion_matrix(q_logistic(spark, sf_dir), C.label, "prediction")
+
+
+def q_roc_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.roc_curve(q_logistic(spark, sf_dir), C.label, "prob")
+
+
+def q_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.plans import flows
+    _, b = _logistic(spark, sf_dir)
+    return flows.coefficient_table(b)
+
+
+def q_cv_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.operators import models
+    from churnlens.schema import LogisticConfig
+    run = _run(spark, sf_dir)
+    fit = lambda tr, spec, label: models.fit_logistic(tr, spec, label, LogisticConfig(c=0.1))
+    folds = models.cv_auc(run.train, run.spec, C.label, C.key, fit)
+    return folds
+
+
+def q_segment_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.plans import flows
+    _, b = _logistic(spark, sf_dir)
+    return flows.segment_risk(b, _segmentation(spark, sf_dir).segmented, C)
+
+
+def q_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.plans import flows
+    return flows.scored_test(_gbt(spark, sf_dir), _run(spark, sf_dir), C)
+
+
+def q_gbt_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.plans import flows
+    _, b = _logistic(spark, sf_dir)
+    return flows.compare(b, _gbt(spark, sf_dir), _run(spark, sf_dir), C)
+
+
+def q_gbt_shap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.plans import flows
+    return flows.gbt_explanations(_gbt(spark, sf_dir), _run(spark, sf_dir), C)
+
+
+def q_gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explain.mean_abs_shap(q_gbt_shap(spark, sf_dir))
+
+
+def q_gbt_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explain.contribution_cloud(q_gbt_shap(spark, sf_dir), 15)
+
+
+def q_gbt_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnlens.plans import flows
+    ex = flows.explain_examples(_gbt(spark, sf_dir), _run(spark, sf_dir), C, 12)
+    return (ex.select(C.key, "kind", "prob", F.posexplode("top").alias("pos", "t"))
+            .select(C.key, "kind", "prob", (F.col("pos") + 1).alias("rank"), "t.feature", "t.value",
+                    "t.shap"))
+
+
+MODEL_QUERIES = {
+    "kmeans_sweep": q_kmeans_sweep,
+    "pca_2d": q_pca_2d,
+    "segments": q_segments,
+    "segment_sweep": q_segment_sweep,
+    "logistic": q_logistic,
+    "logistic_metrics": q_logistic_metrics,
+    "confusion_logistic": q_confusion_logistic,
+    "roc_logistic": q_roc_logistic,
+    "coefficients": q_coefficients,
+    "cv_auc": q_cv_auc,
+    "segment_risk": q_segment_risk,
+    "gbt": q_gbt,
+    "gbt_compare": q_gbt_compare,
+    "gbt_shap": q_gbt_shap,
+    "gbt_importance": q_gbt_importance,
+    "gbt_cloud": q_gbt_cloud,
+    "gbt_explain": q_gbt_explain,
+}
+QUERIES.update(MODEL_QUERIES)
