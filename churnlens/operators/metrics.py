@@ -70,12 +70,17 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
                               (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
+              score_decimals: int | None = None) -> DataFrame:
     """``(threshold, fpr, tpr)`` at every distinct score, highest first.
 
     Includes the start point (threshold +inf, 0, 0).  All thresholds are kept
-    (no dropping of collinear points).
+    (no dropping of collinear points).  ``score_decimals`` rounds scores
+    first, bounding the curve to 10^d + 1 points when scores are continuous
+    over billions of rows (every row still counts; thresholds get coarser).
     """
+    if score_decimals is not None:
+        df = df.withColumn(score, F.round(F.col(score).cast("double"), score_decimals))
     g = _score_groups(df, label, score)
     totals = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     P = totals.select("P").scalar()

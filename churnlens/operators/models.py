@@ -176,6 +176,9 @@ def gbt_trees(model: ChurnModel, scratch_dir: str):
 
     from churnlens.operators.treeshap import Tree
 
+    cached = getattr(model, "_trees", None)
+    if cached is not None:
+        return cached
     gbt = model.estimator
     path = f"{scratch_dir.rstrip('/')}/gbt-{uuid.uuid4().hex}"
     gbt.write().overwrite().save(path)
@@ -210,6 +213,7 @@ def gbt_trees(model: ChurnModel, scratch_dir: str):
         root = idx[min(idx)] if 0 not in idx else idx[0]
         assert root == 0, "root must be the first node"
         trees.append(Tree(left, right, feat, thr, val, cov, float(weights[t])))
+    model._trees = trees
     return trees
 
 
