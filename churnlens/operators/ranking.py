@@ -26,10 +26,28 @@ def _default_slices(df: DataFrame) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _stable(ranged: DataFrame) -> DataFrame:
+    """Make both consumers of the ranged rows see the same slices.
+
+    The slice totals and the per-slice values read the same range exchange;
+    Spark executes it once and reuses it (exchange reuse, on by default), and
+    a lost executor's map output is recomputed with the same partitioner.  If
+    a cluster switches reuse off, the ranged rows are checkpointed to the
+    shared checkpoint folder instead, since a second execution would sample
+    different range bounds.
+    """
+    spark = ranged.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        from churnlens.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        return ranged.checkpoint(eager=True)
+    return ranged
+
+
 def _ranged(df: DataFrame, partition_cols, order_cols, slices):
     keys = [*partition_cols, *order_cols]
-    return df.repartitionByRange(slices or _default_slices(df), *keys) \
-             .withColumn(_PID, F.spark_partition_id())
+    return _stable(df.repartitionByRange(slices or _default_slices(df), *keys)
+                   .withColumn(_PID, F.spark_partition_id()))
 
 
 def running_sums(df: DataFrame, order_cols: Sequence[str | Column], sum_cols: Sequence[str],
@@ -62,10 +80,35 @@ def running_sums(df: DataFrame, order_cols: Sequence[str | Column], sum_cols: Se
 def global_row_number(df: DataFrame, order_cols: Sequence[str | Column],
                       partition_cols: Sequence[str] = (), slices: int | None = None,
                       name: str = "rn") -> DataFrame:
-    """``row_number() over (partition by p order by o)`` computed slice-wise."""
-    out = running_sums(df.withColumn("_one", F.lit(1).cast("long")), order_cols, ["_one"],
-                       partition_cols, slices)
-    return out.withColumnRenamed("_one_cum", name).drop("_one")
+    """``row_number() over (partition by p order by o)`` with one shuffle.
+
+    Rows are range-partitioned and sorted inside each slice; the position in
+    the slice comes from ``monotonically_increasing_id`` (slice id in the high
+    bits, position in the low bits), so no window and no second exchange are
+    needed.  A table with one row per (slice, group) supplies each group's
+    first position in the slice and the count of its rows in earlier slices.
+    ``order_cols`` must make the order total (end with a unique key).
+    """
+    partition_cols = list(partition_cols)
+    keys = [*partition_cols, *order_cols]
+    base = _ranged(df, partition_cols, list(order_cols), slices)
+    ordered = base.sortWithinPartitions(*keys).withColumn("_pos", F.monotonically_increasing_id())
+    # Per (slice, group) counts need no sort: groups are contiguous in a
+    # sorted slice, so a group's first position is the slice's base id plus
+    # the rows of smaller groups in the same slice.
+    counts = base.groupBy(_PID, *partition_cols).agg(F.count(F.lit(1)).alias("_n"))
+    in_slice = (Window.partitionBy(_PID).orderBy(*partition_cols)
+                .rowsBetween(Window.unboundedPreceding, -1))
+    across = (Window.partitionBy(*partition_cols).orderBy(_PID)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(
+        _PID, *partition_cols,
+        (F.shiftleft(F.col(_PID).cast("long"), 33)
+         + F.coalesce(F.sum("_n").over(in_slice), F.lit(0))).alias("_first"),
+        F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_off"))
+    joined = ordered.join(bounded_broadcast(offsets), [_PID, *partition_cols], "inner")
+    return joined.withColumn(name, F.col("_pos") - F.col("_first") + F.col("_off") + 1) \
+                 .drop(_PID, "_pos", "_first", "_off")
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
