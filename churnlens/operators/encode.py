@@ -104,13 +104,19 @@ def fit_standard_scaler(df: DataFrame, columns: Sequence[str]) -> StandardScaler
 
 
 def standardize_sql(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
-    """Standardise in one plan with window-free scalar subqueries (M1, SQL path)."""
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns],
-                   *[F.stddev_pop(c).alias(f"s_{c}") for c in columns])
+    """Standardise in one plan (M1, SQL path).
+
+    All means and standard deviations come from ONE aggregation, read as a
+    single struct-valued scalar subquery (evaluated once, no driver round
+    trip, no window).
+    """
+    stats = df.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in columns],
+                            *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).alias("st"))
+    st = stats.select("st").scalar()
     out = {}
     for c in columns:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
+        m = st.getField(f"m_{c}")
+        s = st.getField(f"s_{c}")
         out[c + suffix] = F.coalesce(F.try_divide(F.col(c) - m, F.when(s > 0, s)), F.lit(0.0))
     return df.withColumns(out)
 

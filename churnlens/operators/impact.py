@@ -37,8 +37,8 @@ def estimate_impact(df: DataFrame, cols: SubscriberColumns, segment: str,
            .agg(F.avg(cols.label).alias("r"), F.count(F.lit(1)).alias("n"),
                 F.avg(cols.monthly).alias("charge"))
            .agg(F.max_by(F.struct("n", "charge"), F.struct("r", "n")).alias("top")))
-    n_risk = seg.select("top.n").scalar()
-    charge_risk = seg.select("top.charge").scalar()
+    top = seg.select("top").scalar()
+    n_risk, charge_risk = top.getField("n"), top.getField("charge")
 
     def lit(x):
         return F.lit(float(x))

@@ -16,7 +16,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows; a larger side is returned
-    unchanged so the planner picks a shuffle join.
+    unchanged so the planner picks a shuffle join.  Meant for dimension
+    tables read from storage: the check is a cheap scan there.  Derived
+    tables are broadcast only where the plan bounds their size, else left to
+    AQE's runtime broadcast, because an eager count would re-run their plan.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

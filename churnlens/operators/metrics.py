@@ -82,9 +82,9 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
     if score_decimals is not None:
         df = df.withColumn(score, F.round(F.col(score).cast("double"), score_decimals))
     g = _score_groups(df, label, score)
-    totals = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    P = totals.select("P").scalar()
-    N = totals.select("N").scalar()
+    totals = g.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N")).alias("t"))
+    t = totals.select("t").scalar()
+    P, N = t.getField("P"), t.getField("N")
     cum = running_sums(g, [F.desc("score")], ["pos", "neg"])
     pts = cum.select(F.col("score").alias("threshold"),
                      safe_ratio(F.col("neg_cum"), N, None).alias("fpr"),

@@ -16,11 +16,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.operators.joins import bounded_broadcast
-
 _PID = "_slice"
 
 
+def _small(offsets: DataFrame, partition_cols) -> DataFrame:
+    """Broadcast the offsets: one row per (slice, group) present in a slice.
+
+    Slices are contiguous ranges of the (group, order) sort, so there are at
+    most ``slices + groups - 1`` rows.  Groups here are classes of a label or
+    names of columns (few by construction); ``partition_cols`` must not be a
+    high-cardinality key.  Hashing the big side on a 2-value class for a
+    shuffle join would be the skewed alternative.
+    """
+    return F.broadcast(offsets)
+
+
 def _default_slices(df: DataFrame) -> int:
     spark = df.sparkSession
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -71,7 +81,7 @@ def running_sums(df: DataFrame, order_cols: Sequence[str | Column], sum_cols: Se
     offsets = totals.select(_PID, *partition_cols,
                             *[F.coalesce(F.sum(c).over(before_w), F.lit(0)).alias("_off_" + c)
                               for c in sum_cols])
-    joined = local.join(bounded_broadcast(offsets), [_PID, *partition_cols], "inner")
+    joined = local.join(_small(offsets, partition_cols), [_PID, *partition_cols], "inner")
     return joined.select(*[c for c in local.columns if c != _PID and not c.endswith(suffix)],
                          *[(F.col(c + suffix) + F.col("_off_" + c)).alias(c + suffix)
                            for c in sum_cols])
@@ -106,7 +116,7 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str | Column],
         (F.shiftleft(F.col(_PID).cast("long"), 33)
          + F.coalesce(F.sum("_n").over(in_slice), F.lit(0))).alias("_first"),
         F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_off"))
-    joined = ordered.join(bounded_broadcast(offsets), [_PID, *partition_cols], "inner")
+    joined = ordered.join(_small(offsets, partition_cols), [_PID, *partition_cols], "inner")
     return joined.withColumn(name, F.col("_pos") - F.col("_first") + F.col("_off") + 1) \
                  .drop(_PID, "_pos", "_first", "_off")
 
@@ -127,7 +137,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     cum = running_sums(g, ["value"], ["cnt"], ["variable"], slices)
     cum = cum.withColumn("_start", F.col("cnt_cum") - F.col("cnt"))
     n = cum.groupBy("variable").agg(F.max("cnt_cum").alias("_n"))
-    cum = cum.join(bounded_broadcast(n), "variable")
+    cum = cum.join(F.broadcast(n), "variable")  # one row per column
     aggs = []
     for p in probs:
         pos = (F.col("_n") - 1) * F.lit(float(p))

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.operators.joins import bounded_broadcast
 from churnlens.operators.ranking import global_row_number
 
 
@@ -35,7 +34,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     ranked = global_row_number(df.withColumn("_h", shuffle_key(key, seed)),
                                ["_h", key], [label], name="_rn")
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = ranked.join(bounded_broadcast(sizes), label)
+    ranked = ranked.join(F.broadcast(sizes), label)  # one row per class of the label
     n_test = F.ceil(F.col("_n") * F.lit(test_fraction))
     return ranked.withColumn(out, (F.col("_rn") <= n_test).cast("int")).drop("_h", "_rn", "_n")
 

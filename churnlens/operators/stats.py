@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.operators.joins import bounded_broadcast
 
 # Beyond 40 bandwidths exp(-z^2/2) underflows to exactly 0.0 in double
 # precision (it does from about 38.6), so skipping those grid points changes
@@ -96,7 +95,8 @@ def kde(df: DataFrame, column: str, by: str, points: int = 1000,
         (F.col("mn") - F.lit(0.5) * span).alias("lo"),
         (((F.col("mx") + F.lit(0.5) * span) - (F.col("mn") - F.lit(0.5) * span))
          / F.lit(float(points - 1))).alias("step"))
-    grid = bounded_broadcast(grid)
+    # one row per class of ``by`` (a class label, few values by construction)
+    grid = F.broadcast(grid)
 
     reach = F.lit(KDE_CUTOFF_Z) * F.col("h")
     j_lo = F.greatest(F.lit(0), F.ceil((F.col("v") - reach - F.col("lo")) / F.col("step")).cast("int"))

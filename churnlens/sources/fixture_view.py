@@ -75,6 +75,9 @@ def subscriber_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
 
     churned = F.datediff(newest, F.col("last_date")) > F.lit(CHURN_GAP_DAYS)
+    # distinct priorities: checked eagerly (one column of orders, aggregated
+    # map-side) so the lookup is broadcast and the customer rows never get
+    # hashed on a five-value key
     per_customer = per_customer.join(bounded_broadcast(codes), "_pcode", "left")
     return (per_customer.join(cust, "customer_id", "inner")
             .select(
