@@ -90,6 +90,22 @@ def _encoded(df: DataFrame, spec: encode.FeatureSpec) -> DataFrame:
     return spec.transform(df)
 
 
+def _detached(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The same fitted pipeline, written to and read back from the checkpoint folder.
+
+    A freshly fitted ``LogisticRegressionModel`` keeps its training summary,
+    which references the SparkSession; the prediction UDF serialises the whole
+    model, so scoring fails ("Task not serializable") once the session has
+    used an ``Observation``.  A reloaded model has no summary, and the saved
+    copy survives a lost driver or executor.
+    """
+    from churnlens.session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
 def fit_logistic(train: DataFrame, spec: encode.FeatureSpec, label: str,
                  cfg: LogisticConfig = LogisticConfig()) -> ChurnModel:
     """Balanced-weight logistic regression on standardised features.
@@ -112,7 +128,8 @@ def fit_logistic(train: DataFrame, spec: encode.FeatureSpec, label: str,
         VectorAssembler(inputCols=[n + Z for n in spec.names], outputCol="features",
                         handleInvalid="error"),
         lr])
-    return ChurnModel("logistic", pipe.fit(weighted), spec.names, label)
+    fitted = _detached(pipe.fit(weighted), train.sparkSession)
+    return ChurnModel("logistic", fitted, spec.names, label)
 
 
 def fit_gbt(train: DataFrame, spec: encode.FeatureSpec, label: str,

@@ -76,3 +76,15 @@ def test_csv_scan_clean_and_segmented_round_trip(spark, scratch):
     write_segmented(df.withColumn("Cluster", F.lit(1)), f"{scratch}/seg")
     back, obs2 = read_segmented(spark, f"{scratch}/seg")
     assert back.count() == 2 and obs2.get["rows_dropped"] == 0
+
+
+def test_scoring_after_observation(spark):
+    """A model fitted in a session that used an Observation still scores."""
+    from churnlens.operators import clean
+    df = spark.createDataFrame([("1",), (" ",)], "t string")
+    kept, obs = clean.drop_missing(clean.coerce_numeric(df, "t"), ["t"])
+    kept.write.format("noop").mode("overwrite").save()
+    v = subscriber_view(spark, "/root/testdata/sf0.001")
+    spec = encode.fit_model_features(v, C)
+    m = models.fit_logistic(v, spec, C.label)
+    assert m.score(v).where(F.col("prob").between(0, 1)).count() == v.count()
