@@ -235,11 +235,12 @@ def gbt_trees(model: ChurnModel, scratch_dir: str):
 
 
 def shap_values(model: ChurnModel, df: DataFrame, key: str, scratch_dir: str,
-                out: str = "shap") -> DataFrame:
+                out: str = "shap", keep: tuple[str, ...] = ()) -> DataFrame:
     """Per-row log-odds contributions of a GBT model.
 
-    Output: ``df``'s key and feature columns plus ``shap ARRAY<DOUBLE>``
-    aligned with ``model.names`` and ``base`` (expected log-odds).  Runs as
+    Output: ``df``'s key, ``keep`` and feature columns plus ``shap
+    ARRAY<DOUBLE>`` aligned with ``model.names`` and ``base`` (expected
+    log-odds).  Runs as
     ``mapInPandas`` on Arrow batches with the broadcast node arrays.
     """
     import numpy as np
@@ -257,7 +258,7 @@ def shap_values(model: ChurnModel, df: DataFrame, key: str, scratch_dir: str,
         [(t.left, t.right, t.feature, t.threshold, t.value, t.cover, t.weight) for t in trees])
     names = list(model.names)
     enc = model.pipeline.stages[0].transform(df).select(
-        key, *[F.col(_ident(n)).cast("double").alias(n) for n in names])
+        key, *keep, *[F.col(_ident(n)).cast("double").alias(n) for n in names])
     tree_cls, ensemble_shap = treeshap.Tree, treeshap.ensemble_shap
 
     def explain(batches):
@@ -265,11 +266,12 @@ def shap_values(model: ChurnModel, df: DataFrame, key: str, scratch_dir: str,
         for pdf in batches:
             x = pdf[names].to_numpy(dtype=np.float64)
             phi, base = ensemble_shap(ts, x)
-            res = pd.DataFrame({key: pdf[key]})
+            res = pd.DataFrame({c: pdf[c] for c in (key, *keep)})
             res[out] = list(phi)
             res["base"] = base
             yield pd.concat([pdf[names].reset_index(drop=True), res.reset_index(drop=True)], axis=1)
 
     schema = (", ".join(f"{_ident(n)} double" for n in names)
-              + f", {_ident(key)} {dict(enc.dtypes)[key]}, {_ident(out)} array<double>, base double")
+              + "".join(f", {_ident(c)} {dict(enc.dtypes)[c]}" for c in (key, *keep))
+              + f", {_ident(out)} array<double>, base double")
     return enc.mapInPandas(explain, schema)

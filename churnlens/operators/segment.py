@@ -68,15 +68,18 @@ def assign_personas(profile: DataFrame, rate: str = "churn_rate") -> DataFrame:
                   .withColumn("action", decode("persona", PERSONA_ACTIONS))
 
 
-def canonical_ids(labelled: DataFrame, raw: str, label: str, out: str = "segment_id") -> DataFrame:
+def canonical_ids(labelled: DataFrame, raw: str, label: str, out: str = "segment_id",
+                  max_segments: int = 10_000) -> DataFrame:
     """Renumber arbitrary cluster ids 1..k by churn rate desc, size desc.
 
     Raw ids depend on the random start; the report refers to "the riskiest
     segment", which this order makes stable.  The k-row mapping becomes a
-    literal map (no join).
+    literal map (no join); more than ``max_segments`` ids raise.
     """
     stats = (labelled.groupBy(raw).agg(F.avg(label).alias("r"), F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("r"), F.desc("n"), raw).collect())
+             .orderBy(F.desc("r"), F.desc("n"), raw).limit(max_segments + 1).collect())
+    if len(stats) > max_segments:
+        raise ValueError(f"{raw} has more than {max_segments} values; not a segment id")
     mapping = {row[raw]: i + 1 for i, row in enumerate(stats)}
     return labelled.withColumn(out, decode(raw, mapping, default=None).cast("int"))
 

@@ -101,10 +101,9 @@ def segment_risk(model: models.ChurnModel, segmented: DataFrame, cols: Subscribe
 def explain_examples(model: models.ChurnModel, run: ModelRun, cols: SubscriberColumns,
                      k: int = 12) -> DataFrame:
     ckpt = ensure_checkpoint_dir(run.data.sparkSession)
-    sv = models.shap_values(model, run.test, cols.key, ckpt)
-    probs = model.score(run.test).select(cols.key, "prob")
-    return explain.explain_customers(sv.join(probs, cols.key), cols.key, "prob",
-                                     list(model.names), "shap", k)
+    scored = model.score(run.test)
+    sv = models.shap_values(model, scored, cols.key, ckpt, keep=("prob",))
+    return explain.explain_customers(sv, cols.key, "prob", list(model.names), "shap", k)
 
 
 def coefficient_table(model: models.ChurnModel, top: int = 20) -> DataFrame:
