@@ -503,6 +503,11 @@ def q_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.coefficient_table(b)
 
 
+def q_coefficient_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five strongest churn-raising and five strongest churn-lowering features."""
+    return explain.top_signed(q_coefficients(spark, sf_dir), "coefficient", 5, tie="feature")
+
+
 def q_cv_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlens.operators import models
     from churnlens.schema import LogisticConfig
@@ -560,6 +565,7 @@ MODEL_QUERIES = {
     "confusion_logistic": q_confusion_logistic,
     "roc_logistic": q_roc_logistic,
     "coefficients": q_coefficients,
+    "coefficient_signs": q_coefficient_signs,
     "cv_auc": q_cv_auc,
     "segment_risk": q_segment_risk,
     "gbt": q_gbt,
