@@ -111,6 +111,18 @@ def spark_tolerance(features: DataFrame, tol: float, features_col: str = "featur
     return math.sqrt(tol * float(var.mean())) if var.size else tol
 
 
+def _fit_one(features: DataFrame, k: int, seed: int, max_iter: int, abs_tol: float,
+             features_col: str) -> SegmentFit:
+    km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=abs_tol, featuresCol=features_col,
+                predictionCol="cluster")
+    m = km.fit(features)
+    return SegmentFit(k, m, m.summary.trainingCost, seed)
+
+
+def _best(fits: Sequence[SegmentFit]) -> SegmentFit:
+    return min(fits, key=lambda f: (f.inertia, f.seed))
+
+
 def fit_segments(features: DataFrame, k: int, n_init: int = 10, seed: int = 42,
                  max_iter: int = 300, tol: float = 1e-4, features_col: str = "features",
                  parallelism: int = 10, abs_tol: float | None = None) -> SegmentFit:
@@ -124,18 +136,12 @@ def fit_segments(features: DataFrame, k: int, n_init: int = 10, seed: int = 42,
     """
     if abs_tol is None:
         abs_tol = spark_tolerance(features, tol, features_col)
-
-    def one(i):
-        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=abs_tol, featuresCol=features_col,
-                    predictionCol="cluster")
-        m = km.fit(features)
-        return SegmentFit(k, m, m.summary.trainingCost, seed + i)
-
     # Starts are independent jobs: submit them together so the scheduler can
     # interleave their small stages instead of running them back to back.
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
-        fits = list(pool.map(one, range(n_init)))
-    return min(fits, key=lambda f: (f.inertia, f.seed))
+        fits = list(pool.map(lambda i: _fit_one(features, k, seed + i, max_iter, abs_tol,
+                                                features_col), range(n_init)))
+    return _best(fits)
 
 
 def silhouette(df: DataFrame, features_col: str = "features", prediction: str = "cluster") -> float:
@@ -152,29 +158,34 @@ def silhouette(df: DataFrame, features_col: str = "features", prediction: str =
 
 def sweep_k(features: DataFrame, k_values: Sequence[int] = tuple(range(2, 9)), n_init: int = 10,
             seed: int = 42, max_iter: int = 300, tol: float = 1e-4,
-            features_col: str = "features") -> tuple[DataFrame, SegmentFit]:
+            features_col: str = "features", parallelism: int = 16) -> tuple[DataFrame, SegmentFit]:
     """Inertia and silhouette per k; the winner (largest silhouette, smaller k on ties).
 
-    Returns the ``(k, inertia, silhouette, best)`` table and the winning fit,
-    which is reused rather than refitted.
+    Every (k, start) fit is an independent job chain; all of them go through
+    one pool, then the per-k silhouettes.  Returns the
+    ``(k, inertia, silhouette, best)`` table and the winning fit, which is
+    reused rather than refitted.
     """
     spark = features.sparkSession
     cached = features.select(features_col).persist(StorageLevel.MEMORY_AND_DISK)
-    rows, fits = [], {}
+    k_values = list(k_values)
     try:
         abs_tol = spark_tolerance(cached, tol, features_col)
-        for k in k_values:
-            fit = fit_segments(cached, k, n_init, seed, max_iter, tol, features_col,
-                               abs_tol=abs_tol)
-            sil = silhouette(fit.model.transform(cached), features_col, "cluster")
-            rows.append((k, float(fit.inertia), sil))
-            fits[k] = fit
+        tasks = [(k, seed + i) for k in k_values for i in range(n_init)]
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            fits = list(pool.map(lambda t: _fit_one(cached, t[0], t[1], max_iter, abs_tol,
+                                                    features_col), tasks))
+            best = {k: _best([f for f in fits if f.k == k]) for k in k_values}
+            sils = dict(zip(k_values, pool.map(
+                lambda k: silhouette(best[k].model.transform(cached), features_col, "cluster"),
+                k_values)))
     finally:
         cached.unpersist()
+    rows = [(k, float(best[k].inertia), sils[k]) for k in k_values]
     best_k = sorted(rows, key=lambda r: (-r[2], r[0]))[0][0]
     table = spark.createDataFrame([(k, i, s, k == best_k) for k, i, s in rows],
                                   "k int, inertia double, silhouette double, best boolean")
-    return table, fits[best_k]
+    return table, best[best_k]
 
 
 def attach_segment(df: DataFrame, fit: SegmentFit, label: str, features_col: str = "features",
