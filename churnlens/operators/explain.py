@@ -102,7 +102,7 @@ def pick_examples(df: DataFrame, key: str, prob: str, hi: float = HIGH_RISK_P,
     row = F.struct(F.col(key).alias("k"), F.col(prob).alias("p"))
     a = df.agg(
         F.min_by(row, F.when(F.col(prob) > hi, F.col(key))).alias("hi_first"),
-        F.max_by(row, F.struct(F.col(prob), -F.col(key))).alias("hi_max"),
+        F.min_by(row, F.struct(-F.col(prob), F.col(key))).alias("hi_max"),
         F.min_by(row, F.when(F.col(prob) < lo, F.col(key))).alias("lo_first"),
         F.min_by(row, F.struct(F.col(prob), F.col(key))).alias("lo_min"),
         F.count_if(F.col(prob) > hi).alias("n_hi"), F.count_if(F.col(prob) < lo).alias("n_lo"))
