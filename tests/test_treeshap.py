@@ -57,3 +57,22 @@ def test_spark_gbt_additivity(spark):
     for r in rows:
         p = min(max(r["prob"], 1e-12), 1 - 1e-12)
         assert math.isclose(r["s"], math.log(p / (1 - p)), abs_tol=1e-6)
+
+
+def test_coefficient_and_shap_signs_agree(spark):
+    """Tenure lowers churn in both models: negative coefficient, SHAP falling with tenure."""
+    from churnlens.operators import models
+    from churnlens.operators.encode import fit_model_features
+    from churnlens.schema import FIXTURE, GBTConfig
+    from churnlens.session import ensure_checkpoint_dir
+    from churnlens.sources.fixture_view import subscriber_view
+
+    v = subscriber_view(spark, "/root/testdata/sf0.01")
+    spec = fit_model_features(v, FIXTURE)
+    lr = models.fit_logistic(v, spec, FIXTURE.label)
+    coef = dict(zip(spec.names, lr.estimator.coefficients.toArray()))
+    gbt = models.fit_gbt(v, spec, FIXTURE.label, GBTConfig(max_iter=20, max_depth=3))
+    sv = models.shap_values(gbt, v, FIXTURE.key, ensure_checkpoint_dir(spark))
+    i = list(spec.names).index("tenure")
+    r = sv.select(F.corr("tenure", F.col("shap")[i]).alias("r")).first()["r"]
+    assert coef["tenure"] < 0 and r < 0
