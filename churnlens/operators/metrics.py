@@ -85,7 +85,7 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
     totals = g.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N")).alias("t"))
     t = totals.select("t").scalar()
     P, N = t.getField("P"), t.getField("N")
-    cum = running_sums(g, [F.desc("score")], ["pos", "neg"])
+    cum = running_sums(g, ["score"], ["pos", "neg"], descending=True)
     pts = cum.select(F.col("score").alias("threshold"),
                      safe_ratio(F.col("neg_cum"), N, None).alias("fpr"),
                      safe_ratio(F.col("pos_cum"), P, None).alias("tpr"))

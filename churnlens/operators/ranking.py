@@ -37,21 +37,20 @@ def _default_slices(df: DataFrame) -> int:
 
 
 def _stable(ranged: DataFrame) -> DataFrame:
-    """Make both consumers of the ranged rows see the same slices.
-
-    The slice totals and the per-slice values read the same range exchange;
-    Spark executes it once and reuses it (exchange reuse, on by default), and
-    a lost executor's map output is recomputed with the same partitioner.  If
-    a cluster switches reuse off, the ranged rows are checkpointed to the
-    shared checkpoint folder instead, since a second execution would sample
-    different range bounds.
+    """Materialise the ranged rows once, so both consumers see the same slices.
+
+    The slice totals and the per-slice values both read the ranged rows.
+    Range bounds come from sampling; if the two consumers executed the range
+    exchange separately (Spark reuses an exchange only when both subtrees are
+    identical, and column pruning often makes them differ) the bounds could
+    differ and the offsets would not line up.  An eager checkpoint into the
+    shared checkpoint folder fixes one partitioning for both and cuts the
+    lineage, so a lost executor re-reads it instead of re-sampling.
     """
-    spark = ranged.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        from churnlens.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        return ranged.checkpoint(eager=True)
-    return ranged
+    from churnlens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(ranged.sparkSession)
+    return ranged.checkpoint(eager=True)
 
 
 def _ranged(df: DataFrame, partition_cols, order_cols, slices):
@@ -60,17 +59,66 @@ def _ranged(df: DataFrame, partition_cols, order_cols, slices):
                    .withColumn(_PID, F.spark_partition_id()))
 
 
+def _bucketed(df: DataFrame, key: str, descending: bool, slices: int) -> DataFrame:
+    """Slice ids from approximate quantile bounds of one numeric key.
+
+    The bounds (at most ``slices - 1`` numbers) come from one
+    ``percentile_approx`` pass; ``Bucketizer`` (a JVM-side binary search)
+    maps every row to its slice, equal keys to the same slice and slice ids
+    increasing with the order.  The ids are a deterministic function of the
+    row, so any recomputation assigns the same slices, and one hash exchange
+    on the id serves both the in-slice window and the slice totals.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    probs = [i / slices for i in range(1, slices)]
+    bounds = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10_000).alias("b")) \
+               .first()["b"] or []
+    splits = [float("-inf"), *sorted({float(b) for b in bounds if b is not None}), float("inf")]
+    src = df.withColumn("_k", F.col(key).cast("double"))
+    if len(splits) < 3:
+        out = src.withColumn(_PID, F.lit(0))
+    else:
+        out = Bucketizer(splits=splits, inputCol="_k", outputCol="_b", handleInvalid="keep") \
+            .transform(src).withColumn(_PID, F.col("_b").cast("int")).drop("_b")
+        if descending:
+            out = out.withColumn(_PID, F.lit(len(splits) - 2) - F.col(_PID))
+    return out.drop("_k").repartition(slices, _PID)
+
+
+def _single_numeric_key(df: DataFrame, order_cols) -> str | None:
+    """The column name if the order is one numeric column given by name."""
+    if len(order_cols) != 1 or not isinstance(order_cols[0], str):
+        return None
+    kind = dict(df.dtypes).get(order_cols[0])
+    return order_cols[0] if kind in ("double", "float", "int", "bigint", "smallint", "tinyint") \
+        else None
+
+
 def running_sums(df: DataFrame, order_cols: Sequence[str | Column], sum_cols: Sequence[str],
                  partition_cols: Sequence[str] = (), slices: int | None = None,
-                 suffix: str = "_cum") -> DataFrame:
+                 suffix: str = "_cum", descending: bool = False) -> DataFrame:
     """Add inclusive running sums of ``sum_cols`` in ``order_cols`` order.
 
     Rows must be unique in ``(partition_cols, order_cols)`` for the result to
     be deterministic (aggregate ties first, as the AUC and quantile operators
     do).  Running sums restart for each value of ``partition_cols``.
+    ``descending`` reverses the order of columns given by name.
+
+    With no groups and one numeric order column (AUC, ROC) the slices come
+    from quantile bounds (``_bucketed``): one exchange.  Otherwise the rows
+    are range-partitioned and the window adds an exchange on the slice id.
     """
     partition_cols = list(partition_cols)
-    ranged = _ranged(df, partition_cols, list(order_cols), slices)
+    n = slices or _default_slices(df)
+    single = None if partition_cols else _single_numeric_key(df, list(order_cols))
+    if descending:
+        order_cols = [F.desc(c) if isinstance(c, str) else c for c in order_cols]
+    order_cols = list(order_cols)
+    if single is not None:
+        ranged = _bucketed(df, single, descending, n)
+    else:
+        ranged = _ranged(df, partition_cols, order_cols, slices)
     local_w = (Window.partitionBy(_PID, *partition_cols).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumns({c + suffix: F.sum(c).over(local_w) for c in sum_cols})
