@@ -39,12 +39,15 @@ class GenerationCache(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.add(key, value)
+        return value
+
+    def add(self, key, value) -> None:
         if len(key) <= LONGEST_CACHED:
             if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
-        return value
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,6 +76,27 @@ def word_array(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")
 
 
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str, tag: str) -> DataFrame:
+    """``df`` with the row's 0-based position in its group, in ``order``.
+
+    No group meets in one task: rows are range-partitioned by group and order,
+    the partitions are written with their number, counted by (group,
+    partition), and a running sum over these counts gives each part its
+    offset.  The order should be total; ties are numbered arbitrarily.
+    """
+    part = f"_{name}_part"
+    rows = stored(df.repartitionByRange(*group, *order).withColumn(part, F.spark_partition_id()), tag)
+    by = ", ".join(f"`{c}`" for c in group)
+    sizes = rows.groupBy(*group, part).agg(F.count("*").alias("_n"))
+    sizes = sizes.withColumn("_base", F.expr(f"sum(_n) over (partition by {by} order by `{part}` "
+                                             "rows between unbounded preceding and current row) - _n"))
+    match = [F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in (*group, part)]
+    local = F.expr(f"row_number() over (partition by {by}, `{part}` order by "
+                   + ", ".join(f"`{c}`" for c in order) + ") - 1")
+    joined = rows.withColumn("_local", local).alias("a").join(sizes.alias("b"), reduce(lambda x, y: x & y, match))
+    return joined.select("a.*", (F.col("b._base") + F.col("a._local")).alias(name)).drop(part, "_local")
+
+
 def connected_components(edges: DataFrame, tag: str = "components") -> DataFrame:
     """(node, root) for every node of an undirected graph (u, v) of longs.
 
