@@ -2,24 +2,50 @@
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet and read again as the next
-stage's ``docs``.
+stage's ``docs``.  Every stage works on all rows that its predecessor kept and
+returns their columns unchanged; the last returns the batches.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlens.llm import simhash
+from churnlens.llm import decontaminate, packing, quality, simhash, toxicity
 from churnlens.llm.common import read_table, shared_path
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.3 or more for toxicity go."""
+    return toxicity.keep_clean(docs, read_table(spark, sf_dir, "labels"))
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under 0.5 for quality go."""
+    return quality.keep_good(docs, read_table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays."""
     return simhash.keep_first(docs, shingle=3, max_distance=2)
 
 
+def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.keep_unleaked(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The batch, slot and bucket of every document left."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", drop_poor),
     ("simhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", drop_leaked),
+    ("packing", pack),
 ]
 
 #: Learned scores and iterated components cannot be expressed in SQL; the
