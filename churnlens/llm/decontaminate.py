@@ -52,25 +52,19 @@ def blocks(radius: int) -> list[int]:
     return [signed((1 << b) - (1 << a)) for a, b in zip(cuts, cuts[1:])]
 
 
-def majority(window: Column) -> Column:
-    """SimHash of an array of hashes: bits set in more than half of them.
+def majority(window: str) -> Column:
+    """SimHash of an array column of hashes: bits set in more than half of them.
 
     Sixteen sums count four bits each, so one pass over the array serves all
-    64 bits; windows have at most 65535 shingles.
+    64 bits; windows have at most 65535 shingles.  The sums are the one element
+    of an array, so that they are computed once.
     """
-    lanes = F.array(*[F.lit(j) for j in range(LANES)])
-    sums = F.aggregate(window, F.array_repeat(F.lit(0).cast("long"), LANES), lambda acc, h: F.zip_with(
-        acc, lanes, lambda a, j: a + F.call_function("shiftrightunsigned", h, j).bitwiseAND(F.lit(LANE_MASK))))
-    n = F.size(window)
-
-    def bits(found: Column) -> Column:
-        set_bits = [F.when(2 * F.call_function("shiftrightunsigned", F.get(found, F.lit(b % LANES)),
-                                              F.lit(LANES * (b // LANES))).bitwiseAND(F.lit(MAX_COUNT)) > n,
-                           F.lit(signed(1 << b))).otherwise(F.lit(0).cast("long")) for b in range(BITS)]
-        return reduce(lambda a, b: a.bitwiseOR(b), set_bits)
-
-    # the sums are the one element of an array, so that they are computed once
-    return F.get(F.transform(F.array(sums), bits), F.lit(0))
+    shifts = ", ".join(map(str, range(LANES)))
+    sums = (f"aggregate({window}, array_repeat(0L, {LANES}), (acc, h) -> zip_with(acc, array({shifts}), "
+            f"(a, j) -> a + (shiftrightunsigned(h, j) & {LANE_MASK}L)))")
+    bits = " | ".join(f"if(2 * (shiftrightunsigned(s[{b % LANES}], {LANES * (b // LANES)}) & {MAX_COUNT}L) > "
+                      f"size({window}), shiftleft(1L, {b}), 0L)" for b in range(BITS))
+    return F.expr(f"transform(array({sums}), s -> {bits})[0]")
 
 
 def items_of(benchmark: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -85,7 +79,17 @@ def items_of(benchmark: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     df = df.select(F.xxhash64("item_id", "w").alias("item"), "item_id", F.size("w").alias("n"), "k", h.alias("h"))
     too_long = F.raise_error(F.lit("a benchmark item has more than 65535 shingles"))
     return (df.withColumn("m", F.when(F.size("h") > MAX_COUNT, too_long.cast("int")).otherwise(F.size("h")))
-            .withColumn("fp", majority(F.col("h"))))
+            .withColumn("fp", majority("h")))
+
+
+def once(column: Column, name: str) -> Column:
+    """The column computed once per row.
+
+    A generator of one element: the optimizer moves filters below projections
+    by copying their expressions, also into loops over an array, but leaves
+    generators alone.
+    """
+    return F.explode(F.array(column)).alias(name)
 
 
 def text_key(text: Column) -> list[Column]:
@@ -96,12 +100,13 @@ def text_key(text: Column) -> list[Column]:
 
 def _sharing(docs: DataFrame, index: DataFrame, k: int) -> DataFrame:
     """key_a, key_b, h (all shingle hashes) of the distinct texts that share a shingle with an item."""
-    rows = docs.select(*text_key(F.col("text")), F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("w"))
-    rows = rows.select("key_a", "key_b", shingles(F.col("w"), k).alias("h"))
+    rows = docs.select(*text_key(F.col("text")),
+                       once(F.transform(words(F.col("text")), lambda w: F.xxhash64(w)), "w"))
+    rows = rows.select("key_a", "key_b", once(shingles(F.col("w"), k), "h"))
     known = index.select("s").distinct()
     few = [r.s for r in known.limit(BROADCAST_ROWS + 1).collect()]
     if len(few) <= BROADCAST_ROWS:  # a literal set: texts are tested in place
-        found = rows.where(F.exists("h", lambda x: x.isin(few))) if few else rows.where(F.lit(False))
+        found = rows.where(f"exists(h, x -> x in ({', '.join(f'{s}L' for s in few)}))") if few else rows.limit(0)
     else:  # any larger benchmark: the same test as a join, texts by their key
         hit = rows.select("key_a", "key_b", F.explode("h").alias("s")).join(known, "s", "left_semi")
         found = rows.join(hit.select("key_a", "key_b").distinct(), ["key_a", "key_b"], "left_semi")
@@ -114,8 +119,8 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
     items = stored(items_of(benchmark, shingle), "decontaminate-items")
     sizes = [r.k for r in items.select("k").distinct().collect()]  # at most `shingle` values
     masks = blocks(radius)
-    block = F.explode(F.array(*[F.struct(F.lit(b).alias("block"), F.col("fp").bitwiseAND(F.lit(m)).alias("value"))
-                                for b, m in enumerate(masks)])).alias("b")
+    block = F.explode(F.expr("array(" + ", ".join(f"named_struct('block', {b}, 'value', fp & {m}L)"
+                                                  for b, m in enumerate(masks)) + ")")).alias("b")
     found = []
     for k in sorted(sizes):
         own = items.where(F.col("k") == k)
@@ -128,14 +133,15 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
             F.greatest(p - F.col("m") + 1, F.lit(0)), F.greatest(F.least(p, F.col("size") - F.col("m")), F.lit(0))))))
         starts = hits.select("key_a", "key_b", "n", "m", F.explode(starts).alias("start")).where("start + m <= size")
         windows = (starts.join(texts, ["key_a", "key_b"])
-                   .select("key_a", "key_b", "n", "start", F.expr("slice(h, start + 1, m)").alias("window")))
-        windows = windows.withColumn("fp", majority(F.col("window")))
+                   .select("key_a", "key_b", "n", "start", once(F.expr("slice(h, start + 1, m)"), "window")))
+        windows = windows.select("*", once(majority("window"), "fp"))
         near = (windows.select("key_a", "key_b", "n", "start", "window", "fp", block)
                 .select("key_a", "key_b", "n", "start", "window", "fp", "b.*"))
         probe = broadcast_if_small(own.select("n", "item_id", "m", F.col("h").alias("item_h"), F.col("fp").alias("item_fp"),
                                               "fp", block).select("n", "item_id", "m", "item_h", "item_fp", "b.*"))
-        diff = F.col("fp").bitwiseXOR(F.col("item_fp"))
-        first_equal = F.coalesce(*[F.when(diff.bitwiseAND(F.lit(m)) == 0, F.lit(b)) for b, m in enumerate(masks)])
+        diff = F.expr("fp ^ item_fp")
+        first_equal = F.expr("coalesce(" + ", ".join(f"if((fp ^ item_fp) & {m}L = 0, {b}, null)"
+                                                     for b, m in enumerate(masks)) + ")")
         near = (near.join(probe, ["n", "block", "value"]).where(F.bit_count(diff) <= radius)
                 .where(first_equal == F.col("block")))
         plain = (F.size(F.array_distinct("window")) == F.size("window")) & \
@@ -143,7 +149,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
         count = lambda a, x: F.size(F.filter(a, lambda y: y == x))
         shared = F.when(plain, F.size(F.array_intersect("window", "item_h"))).otherwise(F.aggregate(
             F.array_distinct("item_h"), F.lit(0), lambda a, x: a + F.least(count(F.col("window"), x), count(F.col("item_h"), x))))
-        near = near.withColumn("shared", shared).withColumn(
+        near = near.select("*", once(shared, "shared")).withColumn(
             "similarity", F.col("shared") / (2 * F.col("m") - F.col("shared"))).where(F.col("similarity") >= similarity)
         found.append(near.groupBy("key_a", "key_b", "item_id").agg(
             F.max(F.struct("similarity", (-F.col("start")).alias("back"), F.col("n").alias("n_words"),

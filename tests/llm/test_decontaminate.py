@@ -97,7 +97,7 @@ def test_whole_tables_equal_brute_force_and_sql(spark):
 def test_majority(spark, n):
     rng = random.Random(n)
     hashes = [dc.signed(rng.getrandbits(64)) for _ in range(n)]
-    got = spark.createDataFrame([(hashes,)], "h array<long>").select(dc.majority(dc.F.col("h")).alias("fp")).first().fp
+    got = spark.createDataFrame([(hashes,)], "h array<long>").select(dc.majority("h").alias("fp")).first().fp
     mask = (1 << 64) - 1
     assert got & mask == sum(1 << b for b in range(64) if 2 * sum((h & mask) >> b & 1 for h in hashes) > n)
 
