@@ -114,13 +114,15 @@ def constant_model(share: float) -> QualityModel:
 
 
 def isotonic(score: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators; knots are the blocks' mean scores.
+    """Pool adjacent violators over distinct scores; knots are the blocks' mean scores.
 
     Blocks carry one pseudo row of either label, so no probability is 0 or 1.
     """
+    at, which = np.unique(score, return_inverse=True)
+    rows, good = np.bincount(which), np.bincount(which, weights=label)
     blocks: list[list[float]] = []  # rows, sum of labels, sum of scores
-    for s, y in sorted(zip(score.tolist(), label.tolist())):
-        blocks.append([1.0, y, s])
+    for s, n, y in zip(at.tolist(), rows.tolist(), good.tolist()):
+        blocks.append([n, y, n * s])
         while len(blocks) > 1 and blocks[-2][1] * blocks[-1][0] >= blocks[-1][1] * blocks[-2][0]:
             last = blocks.pop()
             blocks[-1] = [a + b for a, b in zip(blocks[-1], last)]

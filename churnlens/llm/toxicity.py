@@ -3,8 +3,10 @@
 Lexicon: every word and its leading stems are nodes; a node's count in a
 class is the number of distinct contexts (previous word, word) in labelled
 texts, so copies count once.  Log-odds between the classes carry a Dirichlet
-prior of the pooled counts; a node counts if its log-odds are many standard
-errors above zero, and a token takes the best node among its stems.
+prior of the pooled counts; a node stands out if its log-odds are many standard
+errors above zero.  Below such a node, longer stems and words have counts of
+their own, shrunk towards their stem's rate (again a Dirichlet prior), and a
+token takes its most specific known node.
 
 Scan: a token scores log(1 - r + r * odds), where r is the share of toxic
 words in a toxic passage, so ordinary tokens score a little below zero.  One
@@ -13,7 +15,7 @@ linear pass finds all maximal-scoring segments of a whole text.
 Calibration: scores of chance segments follow an extreme-value law with
 decay lambda (from the token scores of clean texts) and scale K (censored
 maximum likelihood over clean texts).  The sums of a text's best segments
-become one log p-value, and a logistic curve over it gives the score.
+become one log p-value, and an isotonic curve over it gives the score.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from churnlens.llm.bpe_count import GenerationCache
 from churnlens.llm.common import read_table, ship_package, stored
 from churnlens.llm.labelled import fold_of, labelled_texts
+from churnlens.llm.quality import isotonic
 
 STEMS = (4, 5, 6, 7, 8)
 END = "$"
@@ -44,36 +47,38 @@ class ToxicityConfig:
     """Parameters of the fit.
 
     ``max_labelled`` bounds the labelled texts (their expected number),
-    ``max_nodes`` the lexicon; ``prior`` is the Dirichlet mass spread over the
-    pooled frequencies, on top of one half per node.
+    ``max_nodes`` the nodes that stand out, and again those below them; ``prior`` is the Dirichlet mass spread over the
+    pooled frequencies, as a share of the toxic counts, on top of one half per
+    node.
     """
 
     max_labelled: int = 20_000
     max_nodes: int = 50_000
-    prior: float = 1_000.0
+    prior: float = 0.001
     min_contexts: int = 4
     min_z: float = 4.0
     min_log_odds: float = 1.0
+    stem_prior: float = 4.0
     toxic_share: float = 0.05
     threshold: float = 0.3
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Node log-odds, the extreme-value constants and the score curve."""
+    """Node log-odds, the extreme-value constants and the isotonic score curve."""
 
     nodes: dict[str, float] = field(default_factory=dict)
     toxic_share: float = 0.05
     decay: float = 1.0
     scale: float = 1.0
-    curve: tuple[float, float] = (0.0, 0.0)
+    knots: tuple[float, ...] = (0.0, 1.0)
+    values: tuple[float, ...] = (0.0, 0.0)
 
     def token_score(self, piece: str) -> float:
         """Score of one whitespace-separated piece: its best word's."""
         best = 0.0
         for word in RUNS.findall(piece.lower()):
-            for node in nodes_of(word):
-                best = max(best, self.nodes.get(node, 0.0))
+            best = max(best, next((self.nodes[n] for n in reversed(nodes_of(word)) if n in self.nodes), 0.0))
         r = self.toxic_share
         return math.log(1 - r + r * math.exp(best)) if best else math.log(1 - r)
 
@@ -89,8 +94,7 @@ class ToxicityModel:
         return best
 
     def score(self, scores: list[float], n: int) -> float:
-        a, b = self.curve
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, a + b * math.log1p(self.log_p(scores, n))))))
+        return float(np.interp(math.log1p(self.log_p(scores, n)), self.knots, self.values))
 
 
 def nodes_of(word: str) -> list[str]:
@@ -135,7 +139,7 @@ class Scanner:
 
 
 def _lexicon(texts: DataFrame, cfg: ToxicityConfig) -> dict[str, float]:
-    """Log-odds of the nodes that stand out (collected; at most max_nodes)."""
+    """Log-odds of the nodes that stand out and of those below them (collected; at most twice max_nodes)."""
     words = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
     pairs = F.transform(F.sequence(F.lit(2), F.size("w")), lambda i: F.struct(
         F.element_at("w", i).alias("word"), F.xxhash64(F.element_at("w", i - 1)).alias("before")))
@@ -147,23 +151,36 @@ def _lexicon(texts: DataFrame, cfg: ToxicityConfig) -> dict[str, float]:
     chain = F.array(*[F.when(F.length("word") > k, F.substring("word", 1, k)) for k in STEMS],
                     F.concat("word", F.lit(END)))
     nodes = (contexts.select("t", "c", F.explode(chain).alias("node")).where("node is not null")
-             .groupBy("node").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where(F.col("t") >= cfg.min_contexts))
-    nodes = stored(nodes, "toxicity-nodes")
+             .groupBy("node").agg(F.sum("t").alias("t"), F.sum("c").alias("c")))
+    nodes = stored(nodes.where(F.col("t") + F.col("c") >= cfg.min_contexts), "toxicity-nodes")
     ends = contexts.agg(F.sum("t").alias("t"), F.sum("c").alias("c")).first()
     n_t, n_c = float(ends.t or 0), float(ends.c or 0)
     if not n_t or not n_c:
         return {}
-    alpha = 0.5 + cfg.prior * (F.col("t") + F.col("c")) / (n_t + n_c)
-    mass = cfg.prior + 0.5
+    mass = cfg.prior * n_t
+    alpha = 0.5 + mass * (F.col("t") + F.col("c")) / (n_t + n_c)
 
     def log_odds(y, n):
-        return F.log((y + alpha) / (n + mass - y - alpha))
+        return F.log((y + alpha) / (n + mass + 1 - y - alpha))
 
     error = F.sqrt(1 / (F.col("t") + alpha) + 1 / (F.col("c") + alpha))
-    best = (nodes.select("node", (log_odds(F.col("t"), n_t) - log_odds(F.col("c"), n_c)).alias("d"), error.alias("e"))
-            .where(F.col("d") >= cfg.min_z * F.col("e")).where(F.col("d") - F.col("e") >= cfg.min_log_odds)
-            .orderBy(F.desc(F.col("d") / F.col("e")), "node").limit(cfg.max_nodes))
-    return {r.node: r.d - r.e for r in best.collect()}
+    out = (nodes.select("node", (log_odds(F.col("t"), n_t) - log_odds(F.col("c"), n_c)).alias("d"), error.alias("e"))
+           .where(F.col("t") >= cfg.min_contexts).where(F.col("d") >= cfg.min_z * F.col("e"))
+           .where(F.col("d") - F.col("e") >= cfg.min_log_odds)
+           .orderBy(F.desc(F.col("d") / F.col("e")), "node").limit(cfg.max_nodes))
+    top = {r.node: r.d - r.e for r in out.collect()}
+    base = math.log(n_t / n_c)
+    tops = texts.sparkSession.createDataFrame([(n,) for n in top if not n.endswith(END)], "stem string")
+    stems = F.array(*[F.when(F.length("node") > k, F.substring("node", 1, k)) for k in STEMS])
+    below = (nodes.select("node", "t", "c", F.explode(stems).alias("stem")).join(F.broadcast(tops), "stem")
+             .select("node", "t", "c").distinct().orderBy(F.desc(F.col("t") + F.col("c")), "node").limit(cfg.max_nodes))
+    rates: dict[str, float] = {}
+    for r in sorted(below.collect(), key=lambda r: (r.node.endswith(END), len(r.node))):
+        parent = next(p for p in reversed(nodes_of(r.node.removesuffix(END))[:-1] + [r.node[:-1]])
+                      if p != r.node and (p in rates or p in top))
+        rate = rates.get(parent, 1 / (1 + math.exp(-top.get(parent, 0.0) - base)))
+        rates[r.node] = (r.t + cfg.stem_prior * rate) / (r.t + r.c + cfg.stem_prior)
+    return top | {n: math.log(m / (1 - m)) - base for n, m in rates.items()}
 
 
 def _decay(bins: dict[int, int], tokens: int, background: float) -> float:
@@ -184,17 +201,6 @@ def _decay(bins: dict[int, int], tokens: int, background: float) -> float:
     return high
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope by damped Newton steps with a small ridge."""
-    w, a = np.zeros(2), np.column_stack([np.ones_like(x), x])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = a.T @ (a * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, a.T @ (y - p) - 1e-3 * w)
-        w += step * min(1.0, 2.0 / max(1e-9, float(np.abs(step).max())))
-    return float(w[0]), float(w[1])
-
-
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2,
         cfg: ToxicityConfig = ToxicityConfig()) -> ToxicityModel:
     """Fit on labels whose crc32(doc_id) modulo ``modulus`` is not ``held_out``.
@@ -226,14 +232,14 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2,
     clean, y = sample[sample.label == 0], sample.label.to_numpy(dtype=float)
     if not len(clean) or len(clean) == len(sample) or not nodes:
         share = float(y.mean()) if len(y) else 0.0
-        return ToxicityModel(toxic_share=cfg.toxic_share,
-                             curve=(math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0))
+        return ToxicityModel(toxic_share=cfg.toxic_share, values=(share, share))
     decay = _decay(bins, int(clean.n.sum()), math.log(1 - cfg.toxic_share))
     top = np.array([max(b, default=0.0) for b in clean.best])
     scale = max(1, (top > 0).sum()) / max(1e-9, float((clean.n.to_numpy() * np.exp(-decay * top)).sum()))
     model = ToxicityModel(nodes, cfg.toxic_share, decay, scale)
     x = np.array([math.log1p(model.log_p(list(b), n)) for b, n in zip(sample.best, sample.n)])
-    return ToxicityModel(nodes, cfg.toxic_share, decay, scale, _logistic(x, y))
+    knots, values = isotonic(x, y)
+    return ToxicityModel(nodes, cfg.toxic_share, decay, scale, tuple(knots.tolist()), tuple(values.tolist()))
 
 
 def score_udf(spark: SparkSession, model: ToxicityModel):

@@ -60,7 +60,7 @@ def labelled(spark, n, toxic):
 
 def test_edges_and_passages(spark, make_docs, edge_texts):
     rng = random.Random(2)
-    words = ["alpha", "bravo", "carol", "delta", "echo", "fox", "golf", "hotel"]
+    words = [a + b + c for a in ("ba", "ce", "di", "fo", "gu") for b in ("lan", "mer", "nit", "rov") for c in "aeiouy"]
     bad = ["scumword", "vileterm", "foulnoun"]
     texts = [" ".join(rng.choice(bad if i % 2 and 20 <= k < 24 else words) for k in range(60)) for i in range(300)]
     docs = make_docs([*enumerate(texts), *((1000 + i, t) for i, t in enumerate(edge_texts)), (None, texts[1]), (5, texts[5])])
