@@ -1,9 +1,9 @@
 """Token counts by heap-and-linked-list byte-pair merging.
 
-A text is cut where a separator run begins (the byte-level pre-tokenizer
-never joins characters across such a place), each piece is split by the
-pre-tokenizer's pattern, and every pre-token starts as a linked list of its
-bytes.  A heap holds the ranks of adjacent pairs; the lowest rank (leftmost
+A text is cut where a separator run begins and around single line ends (the
+byte-level pre-tokenizer never joins characters across such places), each
+piece is split by the pre-tokenizer's pattern, and every pre-token starts as a
+linked list of its bytes.  A heap holds the ranks of adjacent pairs; the lowest rank (leftmost
 first) is popped and merged until no pair has a rank.  The count of a
 pre-token is its bytes minus its merges; no identifiers are produced.
 
@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pandas as pd
@@ -26,6 +27,30 @@ from churnlens.llm.common import read_table, ship_package
 
 CACHE_ENTRIES = 400_000
 LONGEST_CACHED = 64
+TEXTS_AT_ONCE = 256
+
+# The characters with the Unicode property White_Space, which is
+# what the pre-tokenizer's \\s means (Python's own \\s has four more).
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+RUNS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+
+
+def pieces_of(text: str) -> list[str]:
+    """The text cut into pieces that the pre-tokenizer treats independently.
+
+    A piece is a separator run with the word after it; a line end that stands
+    alone between two words is a piece of its own (it is a pre-token, and the
+    next word starts without a space).
+    """
+    lines = text.split("\n")
+    if len(text.split()) != text.count(" ") + len(lines):
+        return RUNS.findall(text)  # some run is longer, at an end, or another separator
+    out = []
+    for i, line in enumerate(lines):
+        head, *rest = line.split(" ")
+        out += ["\n", head] if i else [head]
+        out += [" " + w for w in rest]
+    return out
 
 
 class GenerationCache(dict):
@@ -42,6 +67,23 @@ class GenerationCache(dict):
         self.add(key, value)
         return value
 
+    def table(self, keys: set) -> tuple[dict, list]:
+        """What is known of ``keys`` as a small dict, and the other keys.
+
+        Texts share most pieces, so a few texts together look each piece up
+        here once and then in the small dict, which stays in the CPU's cache.
+        """
+        get, old = self.get, self.old.get
+        found = {k: v for k in keys if (v := get(k)) is not None}
+        rest = []
+        for k in keys - found.keys():
+            if (v := old(k)) is None:
+                rest.append(k)
+            else:
+                found[k] = v
+                self.add(k, v)
+        return found, rest
+
     def add(self, key, value) -> None:
         if len(key) <= LONGEST_CACHED:
             if len(self) >= self.entries:
@@ -116,13 +158,14 @@ class ByteBpeCounter:
         parts = self.special.split(text)  # specials stand at odd places
         return sum(map(self._plain, parts[::2])) + len(parts) // 2
 
-    def count(self, text: str) -> int:
-        """Tokens of a whole text."""
-        if "  " in text:  # a run of spaces must not be cut inside
-            return self._piece(text)
-        head, *rest = text.split(" ")
-        pieces = self.pieces
-        return (pieces[head] if head else 0) + sum(pieces[" " + w] for w in rest)
+    def counts(self, texts: Sequence[str | None]) -> Iterator[int]:
+        """Tokens of each whole text (null: 0)."""
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            split = [pieces_of(t) if t else [] for t in texts[at:at + TEXTS_AT_ONCE]]
+            table, rest = self.pieces.table(set().union(*split))
+            table.update((w, self.pieces[w]) for w in rest)
+            for pieces in split:
+                yield sum(map(table.__getitem__, pieces))
 
 
 @lru_cache(maxsize=4)
@@ -136,9 +179,9 @@ def token_count_udf(vocab_path: str):
 
     @F.pandas_udf("long")
     def n_tokens(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        count = counter(vocab_path).count
+        count = counter(vocab_path)
         for batch in texts:
-            yield pd.Series([count(t) if t else 0 for t in batch], dtype="int64")
+            yield pd.Series(list(count.counts(batch.tolist())), dtype="int64")
 
     return n_tokens
 

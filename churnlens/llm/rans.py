@@ -19,8 +19,10 @@ that ends every frame.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -30,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm.bpe_count import GenerationCache
+from churnlens.llm.bpe_count import TEXTS_AT_ONCE, GenerationCache, pieces_of
 from churnlens.llm.common import read_table, shared_path, ship_package, stored
 
 SCALE = 20
@@ -40,6 +42,9 @@ MAGIC = b"RNSF"
 # magic, version, scale, lanes, checkpoint steps, table crc, documents, ids, words, checkpoints, crc of the ids
 HEAD = struct.Struct("<4sBBHIIIQQII")
 VERSION = 1
+CACHE_ENTRIES = 700_000  # twice as many pieces are held per worker, about 200 bytes each
+# A word and the marks that close it.
+CLOSED = re.compile(r"( ?[^\W_]+)([.,;:!?]+)")
 
 
 @dataclass(frozen=True)
@@ -184,46 +189,46 @@ def frames(content: bytes) -> Iterator[Frame]:
 class Encoder:
     """Ids of whole texts by the tokenizers library, through a cache of pieces.
 
-    A text is cut where a separator run begins, a place that the byte-level
-    pre-tokenizer always cuts; pieces not yet known go to the library in one
-    batch.  A text with a run of spaces is one piece.
+    A text is cut at places that the byte-level pre-tokenizer always cuts;
+    pieces not yet known go to the library in one batch.  Of a word with
+    closing punctuation the two parts are looked up alone, as the
+    pre-tokenizer cuts between a letter or digit and such a mark.
     """
 
-    DOCS = 256
-
     def __init__(self, vocab_path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocab_path)
         self.vocabulary = max(self.tokenizer.get_vocab_size(), end_id + 1)
-        self.kind = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
+        self.kind, self.code = ("<u2", "H") if self.vocabulary <= 1 << 16 else ("<u4", "I")
         self.end = np.array([end_id], dtype=self.kind).tobytes()
-        self.known = GenerationCache(lambda piece: self.raw([piece])[0])
+        self.known = GenerationCache(lambda piece: self.raw([piece])[0], entries=CACHE_ENTRIES)
 
     def raw(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
+        return [array(self.code, e.ids).tobytes() for e in found]
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text with the end id, as little-endian bytes."""
         texts = list(texts)
-        for at in range(0, len(texts), self.DOCS):
-            split = [self.pieces(t or "") for t in texts[at:at + self.DOCS]]
-            known, old = self.known, self.known.old
-            new = [w for w in set().union(*split) if w not in known and w not in old]
-            fresh = dict(zip(new, self.raw(new)))
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            split = [pieces_of(t or "") for t in texts[at:at + TEXTS_AT_ONCE]]
+            table, rest = self.known.table(set().union(*split))
+            parts = {w: self.parts(w) for w in rest}
+            more, new = self.known.table({p for ps in parts.values() for p in ps if p not in table})
+            table |= more
+            table.update(zip(new, self.raw(new)))
+            table.update((w, b"".join(map(table.__getitem__, ps))) for w, ps in parts.items() if len(ps) > 1)
+            for w in (*new, *rest):
+                self.known.add(w, table[w])
             for pieces in split:
-                yield b"".join([p if (p := fresh.get(w)) is not None else self.known[w] for w in pieces]) + self.end
-            for w, p in fresh.items():
-                self.known.add(w, p)
+                yield b"".join(map(table.__getitem__, pieces)) + self.end
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        if "  " in text:
-            return [text]
-        head, *rest = text.split(" ")
-        return [head, *(" " + w for w in rest)]
+    def parts(piece: str) -> tuple[str, ...]:
+        found = CLOSED.fullmatch(piece)
+        return found.groups() if found else (piece,)
 
 
 @lru_cache(maxsize=2)

@@ -144,8 +144,8 @@ def _pushed(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, behind, hops, cyclic) of the calls that must move behind a later one.
 
     ``behind`` is the largest position among the calls it waits for.  A call
-    that moves more often than its conversation has moving calls is on, or
-    waits for, a cycle.  Only edges that point forward or to a moving call
+    that moves more often than its conversation has moving calls is on a
+    cycle, or pushed behind one.  Only edges that point forward or to a moving call
     take part, so the usual conversation costs no round.
     """
     firsts = calls.where("first").select("conv_id", "call_id", "position", "after")
@@ -191,7 +191,8 @@ def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     without a call), status, errors, json (the linked call in canonical JSON).
 
     status, the first that holds: ``no_id`` (null id), ``duplicate`` (a call
-    whose id an earlier call has; it links to nothing), ``cycle``, ``early``
+    whose id an earlier call has; it links to nothing), ``cycle`` (on a cycle of
+    dependencies, or pushed behind one: it has no place in the order), ``early``
     (the result stands before the call), ``unanswered``, ``invalid`` (broken
     arguments), ``linked``; ``orphan`` for a result without a call.  Of several
     results of an id the first counts.  A null conv_id is a conversation of

@@ -3,8 +3,8 @@
 Lexicon: every word and its leading stems are nodes; a node's count in a
 class is the number of distinct contexts (previous word, word) in labelled
 texts, so copies count once.  Log-odds between the classes carry a Dirichlet
-prior of the pooled counts; a node stands out if its log-odds are many standard
-errors above zero.  Below such a node, longer stems and words have counts of
+prior of the pooled counts; a node stands out if its counts are far from the
+pooled share (signed root of the likelihood ratio).  Below such a node, longer stems and words have counts of
 their own, shrunk towards their stem's rate (again a Dirichlet prior), and a
 token takes its most specific known node.
 
@@ -56,7 +56,7 @@ class ToxicityConfig:
     max_nodes: int = 50_000
     prior: float = 0.001
     min_contexts: int = 4
-    min_z: float = 4.0
+    min_z: float = 6.0
     min_log_odds: float = 1.0
     stem_prior: float = 4.0
     toxic_share: float = 0.05
@@ -163,11 +163,16 @@ def _lexicon(texts: DataFrame, cfg: ToxicityConfig) -> dict[str, float]:
     def log_odds(y, n):
         return F.log((y + alpha) / (n + mass + 1 - y - alpha))
 
+    def surprise(y, n):
+        return F.when(y > 0, y * F.log(y * (n_t + n_c) / ((F.col("t") + F.col("c")) * n))).otherwise(0.0)
+
     error = F.sqrt(1 / (F.col("t") + alpha) + 1 / (F.col("c") + alpha))
-    out = (nodes.select("node", (log_odds(F.col("t"), n_t) - log_odds(F.col("c"), n_c)).alias("d"), error.alias("e"))
-           .where(F.col("t") >= cfg.min_contexts).where(F.col("d") >= cfg.min_z * F.col("e"))
+    root = F.sqrt(F.greatest(2 * (surprise(F.col("t"), n_t) + surprise(F.col("c"), n_c)), F.lit(0.0)))
+    out = (nodes.select("node", (log_odds(F.col("t"), n_t) - log_odds(F.col("c"), n_c)).alias("d"), error.alias("e"),
+                        root.alias("z"), "t")
+           .where(F.col("t") >= cfg.min_contexts).where(F.col("z") >= cfg.min_z)
            .where(F.col("d") - F.col("e") >= cfg.min_log_odds)
-           .orderBy(F.desc(F.col("d") / F.col("e")), "node").limit(cfg.max_nodes))
+           .orderBy(F.desc("z"), "node").limit(cfg.max_nodes))
     top = {r.node: r.d - r.e for r in out.collect()}
     base = math.log(n_t / n_c)
     tops = texts.sparkSession.createDataFrame([(n,) for n in top if not n.endswith(END)], "stem string")
