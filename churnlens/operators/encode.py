@@ -9,16 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.functions import binarize
 from churnlens.schema import SubscriberColumns
 
-# A categorical column with more levels than this is not one-hot encoded.
-MAX_LEVELS = 1000
-
 
 def encode_flags(df: DataFrame, columns: Sequence[str], positive: str = "Yes",
                  suffix: str = "_enc") -> DataFrame:
@@ -51,28 +47,29 @@ class OneHotModel:
                                for c, p, levels in self.specs for lv in levels})
 
 
-def fit_one_hot(df: DataFrame, columns: Sequence[tuple[str, str]], drop_first: bool = False,
-                max_levels: int = MAX_LEVELS) -> OneHotModel:
+def fit_one_hot(df: DataFrame, columns: Sequence[tuple[str, str]], max_levels: int,
+                drop_first: bool = False) -> OneHotModel:
     """Sorted distinct levels per column (P9); ``drop_first`` drops the first (P10).
 
-    One distributed distinct over ``(column, level)``; at most
-    ``max_levels + 1`` levels per column reach the driver, more raises.
+    ``max_levels`` is the model width that the caller accepts per column (one
+    output column per level): a column with more levels is refused, as it is
+    no category.  One distributed distinct over ``(column, level)``, counted
+    per column before any level is fetched.
     """
     names = [c for c, _ in columns]
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in names])
             .unpivot([], names, "variable", "level")
             .where(F.col("level").isNotNull())
             .distinct())
-    cap = (max_levels + 1) * len(names)
-    rows = long.limit(cap).collect()
-    levels: dict[str, list[str]] = {c: [] for c in names}
-    for r in rows:
-        levels[r["variable"]].append(r["level"])
+    sets = long.groupBy("variable").agg(F.count(F.lit(1)).alias("n"), F.sort_array(
+        F.collect_list(F.when(F.col("variable").isNotNull(), F.col("level")))).alias("levels"))
+    small = sets.select("variable", "n", F.when(F.col("n") <= max_levels, F.col("levels")).alias("levels"))
+    levels = {r["variable"]: (r["n"], r["levels"]) for r in small.collect()}
     specs = []
     for c, prefix in columns:
-        lv = sorted(levels[c])
-        if len(lv) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels; not one-hot encoded")
+        n, lv = levels.get(c, (0, []))
+        if n > max_levels:
+            raise ValueError(f"{c} has {n} levels, more than max_levels={max_levels}")
         specs.append((c, prefix, tuple(lv[1:] if drop_first else lv)))
     return OneHotModel(tuple(specs))
 
@@ -103,24 +100,6 @@ def fit_standard_scaler(df: DataFrame, columns: Sequence[str]) -> StandardScaler
                                      for i, c in enumerate(columns)))
 
 
-def standardize_sql(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
-    """Standardise in one plan (M1, SQL path).
-
-    All means and standard deviations come from ONE aggregation, read as a
-    single struct-valued scalar subquery (evaluated once, no driver round
-    trip, no window).
-    """
-    stats = df.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in columns],
-                            *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).alias("st"))
-    st = stats.select("st").scalar()
-    out = {}
-    for c in columns:
-        m = st.getField(f"m_{c}")
-        s = st.getField(f"s_{c}")
-        out[c + suffix] = F.coalesce(F.try_divide(F.col(c) - m, F.when(s > 0, s)), F.lit(0.0))
-    return df.withColumns(out)
-
-
 @dataclass(frozen=True)
 class FeatureSpec:
     """Ordered feature names plus the fitted encoders that produce them."""
@@ -135,13 +114,10 @@ class FeatureSpec:
         df = encode_equals(df, self.equal_pairs)
         return self.onehot.transform(df)
 
-    def assembler(self, output: str = "features") -> VectorAssembler:
-        return VectorAssembler(inputCols=list(self.names), outputCol=output, handleInvalid="error")
-
 
 def fit_model_features(df: DataFrame, cols: SubscriberColumns) -> FeatureSpec:
     """Model features: numerics, ``_enc`` flags, one-hot with first level dropped."""
-    onehot = fit_one_hot(df, cols.model_onehot, drop_first=True)
+    onehot = fit_one_hot(df, cols.model_onehot, cols.max_levels, drop_first=True)
     enc = [c + "_enc" for c in cols.model_flags] + [c + "_enc" for c, _ in cols.model_equals]
     names = tuple(list(cols.numeric) + enc + onehot.output_columns)
     return FeatureSpec(names, onehot, tuple(cols.model_flags), tuple(cols.model_equals))
@@ -149,7 +125,7 @@ def fit_model_features(df: DataFrame, cols: SubscriberColumns) -> FeatureSpec:
 
 def fit_cluster_features(df: DataFrame, cols: SubscriberColumns) -> FeatureSpec:
     """Segmentation features: numerics, a few flags, one-hot with all levels."""
-    onehot = fit_one_hot(df, cols.cluster_onehot, drop_first=False)
+    onehot = fit_one_hot(df, cols.cluster_onehot, cols.max_levels)
     names = tuple(list(cols.numeric) + [c + "_enc" for c in cols.cluster_flags]
                   + onehot.output_columns)
     return FeatureSpec(names, onehot, tuple(cols.cluster_flags), ())

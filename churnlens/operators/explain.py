@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.schema import HIGH_RISK_P, LOW_RISK_P
+from churnlens.session import materialize
 
 
 def linear_contributions(coefficients: Sequence[float], features: Sequence[str],
@@ -123,5 +124,15 @@ def explain_customers(scored: DataFrame, key: str, prob: str, features: Sequence
     ex = scored.select(key, prob, top_in_row(features, shap, k).alias("top"))
     if all_rows:
         return ex
-    picks = pick_examples(scored, key, prob).select("kind", key)
+    picks = pick_examples(scored, key, prob).select("kind", key)  # two rows
     return ex.join(F.broadcast(picks), key)
+
+
+def example_rows(scored: DataFrame, key: str, prob: str) -> DataFrame:
+    """The rows of T6's two customers with their ``kind``, as a stored table.
+
+    For models whose contributions are costly: pick on the scored rows, then
+    explain these rows only.
+    """
+    picks = pick_examples(scored, key, prob).select("kind", F.col(key).alias("_picked"))
+    return materialize(scored.join(F.broadcast(picks), F.col(key) == F.col("_picked")).drop("_picked"), "examples")

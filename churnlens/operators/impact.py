@@ -36,7 +36,7 @@ def estimate_impact(df: DataFrame, cols: SubscriberColumns, segment: str,
     seg = (df.groupBy(segment)
            .agg(F.avg(cols.label).alias("r"), F.count(F.lit(1)).alias("n"),
                 F.avg(cols.monthly).alias("charge"))
-           .agg(F.max_by(F.struct("n", "charge"), F.struct("r", "n")).alias("top")))
+           .agg(F.max_by(F.struct("n", "charge"), F.struct(F.col("r"), F.col("n"), F.col(segment))).alias("top")))
     top = seg.select("top").scalar()
     n_risk, charge_risk = top.getField("n"), top.getField("charge")
 

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and key-checked attach."""
+"""Key-checked attach of per-customer facts."""
 
 from __future__ import annotations
 
@@ -7,23 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup table we broadcast explicitly.  Above it the join is left to
-# Catalyst/AQE (sort-merge, or a runtime broadcast when AQE measures it small).
-BROADCAST_MAX_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; a larger side is returned
-    unchanged so the planner picks a shuffle join.  Meant for dimension
-    tables read from storage: the check is a cheap scan there.  Derived
-    tables are broadcast only where the plan bounds their size, else left to
-    AQE's runtime broadcast, because an eager count would re-run their plan.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def assert_unique(df: DataFrame, keys: Sequence[str] | str) -> None:
     """Raise if a key occurs twice; a duplicate key would multiply join rows.

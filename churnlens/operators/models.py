@@ -16,9 +16,9 @@ from ``encode.FeatureSpec`` were fitted on bounded level lists.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from churnlens.operators import encode, metrics, split
 from churnlens.schema import GBTConfig, LogisticConfig
+from churnlens.session import materialize
 
 Z = "__z"
 
@@ -90,7 +91,7 @@ def _encoded(df: DataFrame, spec: encode.FeatureSpec) -> DataFrame:
     return spec.transform(df)
 
 
-def _detached(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+def detached(model: PipelineModel, spark: SparkSession) -> PipelineModel:
     """The same fitted pipeline, written to and read back from the checkpoint folder.
 
     A freshly fitted ``LogisticRegressionModel`` keeps its training summary,
@@ -128,7 +129,7 @@ def fit_logistic(train: DataFrame, spec: encode.FeatureSpec, label: str,
         VectorAssembler(inputCols=[n + Z for n in spec.names], outputCol="features",
                         handleInvalid="error"),
         lr])
-    fitted = _detached(pipe.fit(weighted), train.sparkSession)
+    fitted = detached(pipe.fit(weighted), train.sparkSession)
     return ChurnModel("logistic", fitted, spec.names, label)
 
 
@@ -162,24 +163,33 @@ def coefficients(model: ChurnModel) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
 
-def cv_auc(train: DataFrame, spec: encode.FeatureSpec, label: str, key: str, fit_fn,
-           n_folds: int = 5, seed: int = 42) -> DataFrame:
-    """Exact AUC per stratified fold, refitting the whole pipeline each time.
+def cv_auc(train: DataFrame, spec: encode.FeatureSpec, label: str, key: str, fits,
+           n_folds: int = 5, seed: int = 42, parallelism: int = 15) -> DataFrame:
+    """Exact AUC per model and stratified fold, refitting the pipeline each time.
 
-    ``fit_fn(train_rows, spec, label) -> ChurnModel``.  Output ``(fold, auc)``;
-    mean and population std are ``agg(avg, stddev_pop)`` of it.
+    ``fits`` maps a model name to ``fit(train_rows, spec, label) -> ChurnModel``.
+    Folds of all models run through one pool, on folds stored once.  Output
+    ``(model, fold, auc)``; ``cv_summary`` has mean and deviation.  The area is
+    null for a fold that lacks a class.
     """
-    folded = split.assign_folds(train, label, key, n_folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    try:
-        for f in range(n_folds):
-            m = fit_fn(folded.where(F.col("fold") != f).drop("fold"), spec, label)
-            held = m.score(folded.where(F.col("fold") == f).drop("fold"))
-            auc = metrics.roc_auc(held, label, "prob").first()["auc"]
-            rows.append((f, float(auc)))
-    finally:
-        folded.unpersist()
-    return train.sparkSession.createDataFrame(rows, "fold int, auc double")
+    folded = materialize(split.assign_folds(train, label, key, n_folds, seed), "folds")
+
+    def run(task):
+        name, f = task
+        m = fits[name](folded.where(F.col("fold") != f).drop("fold"), spec, label)
+        held = m.score(folded.where(F.col("fold") == f).drop("fold"))
+        return name, f, metrics.roc_auc(held, label, "prob").first()["auc"]
+
+    tasks = [(name, f) for name in fits for f in range(n_folds)]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
+        rows = list(pool.map(run, tasks))
+    return train.sparkSession.createDataFrame(rows, "model string, fold int, auc double")
+
+
+def cv_summary(folds: DataFrame) -> DataFrame:
+    """``(model, n_folds, auc_mean, auc_std)``: mean and population deviation over the folds."""
+    return folds.groupBy("model").agg(F.count("auc").alias("n_folds"), F.avg("auc").alias("auc_mean"),
+                                      F.stddev_pop("auc").alias("auc_std"))
 
 
 def gbt_trees(model: ChurnModel, scratch_dir: str):

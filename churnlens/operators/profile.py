@@ -40,14 +40,12 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
             .orderBy(F.desc("n"), "value"))
 
 
-def describe(df: DataFrame, columns: Sequence[str], digits: int | None = 2,
-             approx_accuracy: int | None = None) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], digits: int | None = 2) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation), max (A3).
 
-    One row per column.  Quartiles are exact by default (``exact_quantiles``:
-    distinct values, range slices); ``approx_accuracy`` switches to
-    ``percentile_approx`` for a single pass.  ``DataFrame.summary`` is not
-    used: its percentiles do not interpolate.  ``digits`` rounds half to even.
+    One row per column.  Quartiles are exact (``exact_quantiles``: a few scans
+    that narrow a bracket).  ``DataFrame.summary`` is not used: its percentiles
+    do not interpolate.  ``digits`` rounds half to even.
     """
     long = (df.select(*[F.col(c).cast("double").alias(c) for c in columns])
             .unpivot([], list(columns), "variable", "value"))
@@ -55,13 +53,7 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int | None = 2,
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    if approx_accuracy:
-        q = long.groupBy("variable").agg(
-            F.percentile_approx("value", [0.25, 0.5, 0.75], approx_accuracy).alias("_q"))
-        q = q.select("variable", *[F.col("_q")[i].alias(n)
-                                   for i, n in enumerate(["q_25", "q_50", "q_75"])])
-    else:
-        q = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     out = base.join(q, "variable").select(
         "variable", F.col("count").cast("double").alias("count"), "mean", "std", "min",
         F.col("q_25").alias("p25"), F.col("q_50").alias("p50"), F.col("q_75").alias("p75"), "max")

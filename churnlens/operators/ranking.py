@@ -1,206 +1,143 @@
-"""Global running totals and row numbers without a single-partition window.
+"""Global running totals and order statistics without a single-partition window.
 
 ``Window.orderBy(x)`` with no ``partitionBy`` moves every row into one task.
-Here the rows are range-partitioned on ``(partition_cols, order_cols)`` so each
-task holds one contiguous slice of the order; a window inside each slice gives
-local running values, and a small table of per-slice totals (one row per
-slice and group) turns them into global ones.  Work per task is bounded by the
-slice size, which the range partitioner balances, whatever the key skew of
-``partition_cols`` (a group holding a third of the rows spans many slices).
+Running totals cut the order into slices and add each slice's offset; exact
+quantiles narrow a bracket around each target rank and order only the rows
+inside it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID = "_slice"
-
-
-def _small(offsets: DataFrame, partition_cols) -> DataFrame:
-    """Broadcast the offsets: one row per (slice, group) present in a slice.
-
-    Slices are contiguous ranges of the (group, order) sort, so there are at
-    most ``slices + groups - 1`` rows.  Groups here are classes of a label or
-    names of columns (few by construction); ``partition_cols`` must not be a
-    high-cardinality key.  Hashing the big side on a 2-value class for a
-    shuffle join would be the skewed alternative.
-    """
-    return F.broadcast(offsets)
+_SLICE = "_slice"
+# percentile_approx returns a value whose rank is off by at most n / ACCURACY.
+ACCURACY = 10_000
+# Rows inside a bracket that one window task may order.
+BRACKET_ROWS = 1_000_000
 
 
 def _default_slices(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
-def _stable(ranged: DataFrame) -> DataFrame:
-    """Materialise the ranged rows once, so both consumers see the same slices.
-
-    The slice totals and the per-slice values both read the ranged rows.
-    Range bounds come from sampling; if the two consumers executed the range
-    exchange separately (Spark reuses an exchange only when both subtrees are
-    identical, and column pruning often makes them differ) the bounds could
-    differ and the offsets would not line up.  An eager checkpoint into the
-    shared checkpoint folder fixes one partitioning for both and cuts the
-    lineage, so a lost executor re-reads it instead of re-sampling.
-    """
-    from churnlens.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(ranged.sparkSession)
-    return ranged.checkpoint(eager=True)
-
-
-def _ranged(df: DataFrame, partition_cols, order_cols, slices):
-    keys = [*partition_cols, *order_cols]
-    return _stable(df.repartitionByRange(slices or _default_slices(df), *keys)
-                   .withColumn(_PID, F.spark_partition_id()))
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _bucketed(df: DataFrame, key: str, descending: bool, slices: int) -> DataFrame:
-    """Slice ids from approximate quantile bounds of one numeric key.
+def running_sums(df: DataFrame, key: str, sum_cols: Sequence[str], groups: Sequence[str] = (),
+                 slices: int | None = None, suffix: str = "_cum", descending: bool = False) -> DataFrame:
+    """Add inclusive running sums of ``sum_cols`` in the order of one numeric key.
 
-    The bounds (at most ``slices - 1`` numbers) come from one
-    ``percentile_approx`` pass; ``Bucketizer`` (a JVM-side binary search)
-    maps every row to its slice, equal keys to the same slice and slice ids
-    increasing with the order.  The ids are a deterministic function of the
-    row, so any recomputation assigns the same slices, and one hash exchange
-    on the id serves both the in-slice window and the slice totals.
+    ``df`` is stored (``session.materialize``) and unique in (groups, key);
+    running sums restart for each group.  Slice bounds (at most ``slices - 1``
+    numbers) come from one ``percentile_approx`` pass over ``df``; a
+    ``Bucketizer`` maps every row to its slice, so the slice is a fixed
+    function of the row, and one hash exchange on it serves both the window
+    inside the slice and the slice totals.  The offsets table has one row per
+    (group, slice); groups are few (models, classes).
     """
-    from pyspark.ml.feature import Bucketizer
-
-    probs = [i / slices for i in range(1, slices)]
-    bounds = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10_000).alias("b")) \
-               .first()["b"] or []
-    splits = [float("-inf"), *sorted({float(b) for b in bounds if b is not None}), float("inf")]
-    src = df.withColumn("_k", F.col(key).cast("double"))
-    if len(splits) < 3:
-        out = src.withColumn(_PID, F.lit(0))
+    groups, n = list(groups), slices or _default_slices(df)
+    probs = [i / n for i in range(1, n)]
+    bounds = (df.agg(F.percentile_approx(F.col(key).cast("double"), probs, ACCURACY)).first()[0] or []) if probs else []
+    splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
+    if len(splits) > 2:
+        cut = Bucketizer(splits=splits, inputCol="_k", outputCol="_b").transform(
+            df.withColumn("_k", F.col(key).cast("double")))
+        cut = cut.withColumn(_SLICE, F.col("_b").cast("int")).drop("_b", "_k")
     else:
-        out = Bucketizer(splits=splits, inputCol="_k", outputCol="_b", handleInvalid="keep") \
-            .transform(src).withColumn(_PID, F.col("_b").cast("int")).drop("_b")
-        if descending:
-            out = out.withColumn(_PID, F.lit(len(splits) - 2) - F.col(_PID))
-    return out.drop("_k").repartition(slices, _PID)
-
-
-def _single_numeric_key(df: DataFrame, order_cols) -> str | None:
-    """The column name if the order is one numeric column given by name."""
-    if len(order_cols) != 1 or not isinstance(order_cols[0], str):
-        return None
-    kind = dict(df.dtypes).get(order_cols[0])
-    return order_cols[0] if kind in ("double", "float", "int", "bigint", "smallint", "tinyint") \
-        else None
-
-
-def running_sums(df: DataFrame, order_cols: Sequence[str | Column], sum_cols: Sequence[str],
-                 partition_cols: Sequence[str] = (), slices: int | None = None,
-                 suffix: str = "_cum", descending: bool = False) -> DataFrame:
-    """Add inclusive running sums of ``sum_cols`` in ``order_cols`` order.
-
-    Rows must be unique in ``(partition_cols, order_cols)`` for the result to
-    be deterministic (aggregate ties first, as the AUC and quantile operators
-    do).  Running sums restart for each value of ``partition_cols``.
-    ``descending`` reverses the order of columns given by name.
-
-    With no groups and one numeric order column (AUC, ROC) the slices come
-    from quantile bounds (``_bucketed``): one exchange.  Otherwise the rows
-    are range-partitioned and the window adds an exchange on the slice id.
-    """
-    partition_cols = list(partition_cols)
-    n = slices or _default_slices(df)
-    single = None if partition_cols else _single_numeric_key(df, list(order_cols))
+        cut = df.withColumn(_SLICE, F.lit(0))
     if descending:
-        order_cols = [F.desc(c) if isinstance(c, str) else c for c in order_cols]
-    order_cols = list(order_cols)
-    if single is not None:
-        ranged = _bucketed(df, single, descending, n)
-    else:
-        ranged = _ranged(df, partition_cols, order_cols, slices)
-    local_w = (Window.partitionBy(_PID, *partition_cols).orderBy(*order_cols)
+        cut = cut.withColumn(_SLICE, F.lit(len(splits)) - F.col(_SLICE))
+    cut = cut.repartition(n, *groups, _SLICE)
+    order = F.desc(key) if descending else F.col(key)
+    local_w = (Window.partitionBy(*groups, _SLICE).orderBy(order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumns({c + suffix: F.sum(c).over(local_w) for c in sum_cols})
-
-    totals = ranged.groupBy(_PID, *partition_cols).agg(*[F.sum(c).alias(c) for c in sum_cols])
-    before_w = (Window.partitionBy(*partition_cols).orderBy(_PID)
-                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(_PID, *partition_cols,
-                            *[F.coalesce(F.sum(c).over(before_w), F.lit(0)).alias("_off_" + c)
-                              for c in sum_cols])
-    joined = local.join(_small(offsets, partition_cols), [_PID, *partition_cols], "inner")
-    return joined.select(*[c for c in local.columns if c != _PID and not c.endswith(suffix)],
-                         *[(F.col(c + suffix) + F.col("_off_" + c)).alias(c + suffix)
-                           for c in sum_cols])
-
-
-def global_row_number(df: DataFrame, order_cols: Sequence[str | Column],
-                      partition_cols: Sequence[str] = (), slices: int | None = None,
-                      name: str = "rn") -> DataFrame:
-    """``row_number() over (partition by p order by o)`` with one shuffle.
-
-    Rows are range-partitioned and sorted inside each slice; the position in
-    the slice comes from ``monotonically_increasing_id`` (slice id in the high
-    bits, position in the low bits), so no window and no second exchange are
-    needed.  A table with one row per (slice, group) supplies each group's
-    first position in the slice and the count of its rows in earlier slices.
-    ``order_cols`` must make the order total (end with a unique key).
-    """
-    partition_cols = list(partition_cols)
-    keys = [*partition_cols, *order_cols]
-    base = _ranged(df, partition_cols, list(order_cols), slices)
-    ordered = base.sortWithinPartitions(*keys).withColumn("_pos", F.monotonically_increasing_id())
-    # Per (slice, group) counts need no sort: groups are contiguous in a
-    # sorted slice, so a group's first position is the slice's base id plus
-    # the rows of smaller groups in the same slice.
-    counts = base.groupBy(_PID, *partition_cols).agg(F.count(F.lit(1)).alias("_n"))
-    in_slice = (Window.partitionBy(_PID).orderBy(*partition_cols)
-                .rowsBetween(Window.unboundedPreceding, -1))
-    across = (Window.partitionBy(*partition_cols).orderBy(_PID)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(
-        _PID, *partition_cols,
-        (F.shiftleft(F.col(_PID).cast("long"), 33)
-         + F.coalesce(F.sum("_n").over(in_slice), F.lit(0))).alias("_first"),
-        F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_off"))
-    joined = ordered.join(_small(offsets, partition_cols), [_PID, *partition_cols], "inner")
-    return joined.withColumn(name, F.col("_pos") - F.col("_first") + F.col("_off") + 1) \
-                 .drop(_PID, "_pos", "_first", "_off")
+    local = cut.withColumns({c + suffix: F.sum(c).over(local_w) for c in sum_cols})
+    totals = cut.groupBy(*groups, _SLICE).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    before = Window.partitionBy(*groups).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, _SLICE, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias("_off_" + c)
+                                               for c in sum_cols])
+    joined = local.join(F.broadcast(offsets), [*groups, _SLICE])  # one row per group and slice
+    return joined.select(*df.columns, *[(F.col(c + suffix) + F.col("_off_" + c)).alias(c + suffix) for c in sum_cols])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    slices: int | None = None) -> DataFrame:
+                    bracket_rows: int = BRACKET_ROWS, accuracy: int = ACCURACY) -> DataFrame:
     """Linearly interpolated quantiles (pandas/NumPy 'linear', DuckDB quantile_cont).
 
-    Output: one row per column with ``variable`` and ``q_<p>`` columns.  The
-    values are first collapsed to ``(variable, value, count)``, so work and
-    memory scale with distinct values and are spread across slices; no task
-    ever holds a whole column.
+    Output: one row per column with ``variable`` and ``q_<p>`` columns; nulls
+    and NaN do not count.  A quantile lies between two neighbouring ranks.
+    Around each a bracket of values is kept, at first the whole range.  While
+    it holds more than ``bracket_rows`` rows, ``percentile_approx`` a little
+    below and above the ranks narrows it to a few ten-thousandths (its rank
+    error is at most 1 / accuracy, half of the distance kept, so both ranks
+    stay inside).  Only the last bracket's values are grouped and ordered.  A
+    pass is one scan with a tiny aggregation; no pass shuffles the rows.
     """
-    long = (df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-            .unpivot([], list(columns), "variable", "value")
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
-    g = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    cum = running_sums(g, ["value"], ["cnt"], ["variable"], slices)
-    cum = cum.withColumn("_start", F.col("cnt_cum") - F.col("cnt"))
-    n = cum.groupBy("variable").agg(F.max("cnt_cum").alias("_n"))
-    cum = cum.join(F.broadcast(n), "variable")  # one row per column
-    aggs = []
-    for p in probs:
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        lo = F.floor(pos)
-        hi = F.least(lo + 1, F.col("_n") - 1)
-        at_lo = (F.col("_start") <= lo) & (lo < F.col("cnt_cum"))
-        at_hi = (F.col("_start") <= hi) & (hi < F.col("cnt_cum"))
-        tag = _ptag(p)
-        aggs += [F.max(F.when(at_lo, F.col("value"))).alias(f"_lo_{tag}"),
-                 F.max(F.when(at_hi, F.col("value"))).alias(f"_hi_{tag}"),
-                 F.max(pos - lo).alias(f"_fr_{tag}")]
-    res = cum.groupBy("variable").agg(*aggs)
-    return res.select("variable", *[
-        (F.col(f"_lo_{_ptag(p)}") + (F.col(f"_hi_{_ptag(p)}") - F.col(f"_lo_{_ptag(p)}"))
-         * F.col(f"_fr_{_ptag(p)}")).alias(f"q_{_ptag(p)}") for p in probs])
+    if bracket_rows < 4 * accuracy:
+        raise ValueError("bracket_rows must be at least four times the accuracy")
+    columns, step = list(columns), 2.0 / accuracy
+    num = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    num = {c: F.when(~F.isnan(x), x) for c, x in num.items()}
+    ends = df.agg(*[f(num[c]).alias(f"{n}{i}") for i, c in enumerate(columns)
+                    for n, f in (("n", F.count), ("a", F.min), ("b", F.max))]).first()
+    size = {c: ends[f"n{i}"] for i, c in enumerate(columns)}
+    bracket = {(c, p): (ends[f"a{i}"], ends[f"b{i}"]) for i, c in enumerate(columns) for p in probs if size[c]}
+    held = {k: (0, size[k[0]]) for k in bracket}  # rows below and inside
+    wide = [k for k in bracket if held[k][1] > bracket_rows]
+
+    def inside(k):
+        low, high = bracket[k]
+        return (num[k[0]] >= F.lit(low)) & (num[k[0]] <= F.lit(high))
+
+    while wide:
+        asked = []
+        for k in wide:
+            below, n = held[k]
+            rank = int((size[k[0]] - 1) * k[1]) - below
+            asked.append([max(0.0, rank / n - step), min(1.0, (rank + 2) / n + step)])
+        found = df.agg(*[F.percentile_approx(F.when(inside(k), num[k[0]]), q, accuracy).alias(f"b{i}")
+                         for i, (k, q) in enumerate(zip(wide, asked))]).first()
+        moved = [(k, tuple(found[f"b{i}"])) for i, k in enumerate(wide) if tuple(found[f"b{i}"]) != bracket[k]]
+        bracket.update(moved)
+        keys = [k for k, _ in moved]
+        if not keys:
+            break  # what is left are ties at the ends
+        counts = df.agg(*[f.alias(f"{n}{i}") for i, k in enumerate(keys) for n, f in (
+            ("l", F.count_if(num[k[0]] < F.lit(bracket[k][0]))), ("i", F.count_if(inside(k))))]).first()
+        held.update({k: (counts[f"l{i}"], counts[f"i{i}"]) for i, k in enumerate(keys)})
+        wide = [k for k in keys if held[k][1] > bracket_rows and bracket[k][0] < bracket[k][1]]
+
+    keys = list(bracket)
+    spark = df.sparkSession
+    names = "variable string, " + ", ".join(f"q_{_ptag(p)} double" for p in probs)
+    none = spark.createDataFrame([(c, *[None] * len(probs)) for c in columns if not size[c]], names)
+    if not keys:
+        return none
+    # one struct per bracket that the row's value is in
+    marks = F.array(*[F.when(inside(k), F.struct(F.lit(i).alias("b"), num[k[0]].alias("value")))
+                      for i, k in enumerate(keys)])
+    values = (df.select(F.explode(F.filter(marks, lambda m: m.isNotNull())).alias("m"))
+              .groupBy(F.col("m.b").alias("b"), F.col("m.value").alias("value")).agg(F.count(F.lit(1)).alias("n")))
+
+    def of_bracket(listed) -> Column:
+        return F.element_at(F.array(*[F.lit(x) for x in listed]), F.col("b") + 1)
+
+    w = Window.partitionBy("b").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumn("_end", F.sum("n").over(w) + of_bracket([held[k][0] for k in keys]))
+    start, end = F.col("_end") - F.col("n"), F.col("_end")
+    pos = of_bracket([(size[c] - 1) * float(p) for c, p in keys])
+    lo = F.floor(pos)
+    hi = F.least(lo + 1, of_bracket([size[c] for c, _ in keys]) - 1)
+    picked = values.groupBy("b").agg(F.max(F.when((start <= lo) & (lo < end), F.col("value"))).alias("x"),
+                                   F.max(F.when((start <= hi) & (hi < end), F.col("value"))).alias("y"))
+    value = F.col("x") + (F.col("y") - F.col("x")) * (pos - lo)
+    out = (picked.select(of_bracket([c for c, _ in keys]).alias("variable"),
+                         of_bracket([_ptag(p) for _, p in keys]).alias("p"), value.alias("q"))
+           .groupBy("variable").agg(*[F.max(F.when(F.col("p") == _ptag(p), F.col("q"))).alias(f"q_{_ptag(p)}")
+                                      for p in probs]))
+    return out.unionByName(none) if any(not n for n in size.values()) else out
 
 
 def _ptag(p: float) -> str:

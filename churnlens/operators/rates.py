@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions import cut_index, cut_label
+from churnlens.operators.ranking import running_sums
+from churnlens.session import materialize
 
 
 def overall_rate(df: DataFrame, label: str) -> DataFrame:
@@ -33,10 +35,9 @@ def rate_by(df: DataFrame, columns: Sequence[str] | str, label: str) -> DataFram
             .unpivot("_y", columns, "variable", "level"))
     g = long.groupBy("variable", "level").agg(
         F.count(F.lit(1)).alias("n"), F.sum("_y").alias("_s"))
-    w = Window.partitionBy("variable")
-    baseline = F.sum("_s").over(w) / F.sum("n").over(w) * 100.0
+    base = g.groupBy(F.col("variable").alias("_v")).agg((F.sum("_s") / F.sum("n") * 100.0).alias("baseline"))
     rate = F.col("_s") / F.col("n") * 100.0
-    return (g.withColumn("baseline", baseline)
+    return (g.join(F.broadcast(base), F.col("variable") == F.col("_v"))  # one row per column
             .where(F.col("level").isNotNull())
             .select("variable", "level", "n",
                     rate.alias("churn_rate"),
@@ -71,8 +72,13 @@ def rate_summary(df: DataFrame, tenure: str, edges: Sequence[float], labels: Seq
     bins = rate_by_bin(df, tenure, edges, labels, label).select(
         F.lit(tenure).alias("panel"), F.col("bin_label").alias("item"),
         F.col("bin_idx").alias("ord"), "n", "churn_rate")
-    cats = rate_by(df, columns, label)
-    w = Window.partitionBy("variable").orderBy(F.desc("churn_rate"), "level")
-    cats = cats.select(F.col("variable").alias("panel"), F.col("level").alias("item"),
-                       F.row_number().over(w).alias("ord"), "n", "churn_rate")
+    cats = materialize(rate_by(df, columns, label), "rates")
+    # place of each distinct rate, then of the level among equal rates: no
+    # task sees all levels of a column
+    rates = cats.groupBy("variable", "churn_rate").agg(F.count(F.lit(1)).alias("levels"))
+    rates = running_sums(rates, "churn_rate", ["levels"], ["variable"], descending=True)
+    tie = F.row_number().over(Window.partitionBy("variable", "churn_rate").orderBy("level"))
+    cats = cats.join(rates, ["variable", "churn_rate"]).select(
+        F.col("variable").alias("panel"), F.col("level").alias("item"),
+        (F.col("levels_cum") - F.col("levels") + tie).cast("int").alias("ord"), "n", "churn_rate")
     return bins.unionByName(cats)

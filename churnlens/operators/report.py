@@ -8,7 +8,7 @@ Output ``(panel, item, value)``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +19,10 @@ from churnlens.schema import SubscriberColumns
 
 
 def executive_summary(df: DataFrame, cols: SubscriberColumns, edges: Sequence[float],
-                      labels: Sequence[str], scores: dict[str, tuple[DataFrame, str, str]],
+                      labels: Sequence[str], scored: DataFrame, models: Mapping[str, tuple[str, str]],
                       shap_long: DataFrame, segment: str, top_shap: int = 7,
                       top_segments: int = 5) -> DataFrame:
+    """``models`` maps each model to its (prediction, score) columns of ``scored``."""
     def panel(name, d, item, value):
         return d.select(F.lit(name).alias("panel"), F.col(item).cast("string").alias("item"),
                         F.col(value).cast("double").alias("value"))
@@ -33,11 +34,9 @@ def executive_summary(df: DataFrame, cols: SubscriberColumns, edges: Sequence[fl
               "bin_label", "churn_rate"),
         panel("contract", rates.rate_by(df, cols.contract, cols.label), "level", "churn_rate"),
     ]
-    for name, (scored, pred, prob) in scores.items():
-        m = metrics.metric_table(scored, name, cols.label, pred, prob) \
-                   .where(F.col("metric").isin("auc", "f1")) \
-                   .withColumn("item", F.concat_ws(":", "model", "metric"))
-        parts.append(panel("model", m, "item", "value"))
+    m = (metrics.metric_tables(scored, cols.label, models).where(F.col("metric").isin("auc", "f1"))
+         .withColumn("item", F.concat_ws(":", "model", "metric")))
+    parts.append(panel("model", m, "item", "value"))
     parts.append(panel("shap", explain.top_features(explain.mean_abs_shap(shap_long), top_shap),
                        "feature", "mean_abs_shap"))
     prof = seg_ops.profile_segments(df, segment, cols.tenure, cols.monthly, cols.total,

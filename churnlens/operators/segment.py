@@ -12,11 +12,10 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions import band, decode, round_half_even
@@ -68,20 +67,39 @@ def assign_personas(profile: DataFrame, rate: str = "churn_rate") -> DataFrame:
                   .withColumn("action", decode("persona", PERSONA_ACTIONS))
 
 
-def canonical_ids(labelled: DataFrame, raw: str, label: str, out: str = "segment_id",
-                  max_segments: int = 10_000) -> DataFrame:
-    """Renumber arbitrary cluster ids 1..k by churn rate desc, size desc.
+def crosstab(df: DataFrame, segment: str, column: str) -> DataFrame:
+    """``(segment, level, n, pct)`` for the level pairs that occur (A11, long form).
+
+    No list of levels is needed and none is left out, however many there are;
+    percent of the segment's rows with a level, 1 digit.  Null levels form no
+    group.
+    """
+    g = (df.where(F.col(column).isNotNull()).groupBy(F.col(segment), F.col(column).cast("string").alias("level"))
+         .agg(F.count(F.lit(1)).alias("n")))
+    total = g.groupBy(F.col(segment).alias("_seg")).agg(F.sum("n").alias("_t"))
+    return (g.join(total, F.col(segment).eqNullSafe(F.col("_seg")))
+            .select(segment, "level", "n", round_half_even(F.col("n") * 100.0 / F.col("_t"), 1).alias("pct")))
+
+
+def canonical_order(labelled: DataFrame, raw: str, label: str, out: str = "segment_id") -> DataFrame:
+    """``(raw, segment_id)``: cluster ids 1..k by churn rate desc, size desc, id.
+
+    The window runs over one row per segment.
+    """
+    stats = labelled.where(F.col(raw).isNotNull()).groupBy(raw).agg(F.avg(label).alias("r"), F.count(F.lit(1)).alias("n"))
+    order = Window.orderBy(F.desc("r"), F.desc("n"), raw)
+    return stats.select(raw, F.row_number().over(order).cast("int").alias(out))
+
+
+def canonical_ids(labelled: DataFrame, raw: str, label: str, out: str = "segment_id") -> DataFrame:
+    """Renumber arbitrary cluster ids by ``canonical_order``.
 
     Raw ids depend on the random start; the report refers to "the riskiest
-    segment", which this order makes stable.  The k-row mapping becomes a
-    literal map (no join); more than ``max_segments`` ids raise.
+    segment", which this order makes stable.  The rows are joined with the
+    one-row-per-segment table; a null raw id stays null.
     """
-    stats = (labelled.groupBy(raw).agg(F.avg(label).alias("r"), F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("r"), F.desc("n"), raw).limit(max_segments + 1).collect())
-    if len(stats) > max_segments:
-        raise ValueError(f"{raw} has more than {max_segments} values; not a segment id")
-    mapping = {row[raw]: i + 1 for i, row in enumerate(stats)}
-    return labelled.withColumn(out, decode(raw, mapping, default=None).cast("int"))
+    ids = canonical_order(labelled, raw, label, out).withColumnRenamed(raw, "_raw")
+    return labelled.join(ids, F.col(raw) == F.col("_raw"), "left").drop("_raw")
 
 
 # --- k-means -------------------------------------------------------------
@@ -123,25 +141,28 @@ def _best(fits: Sequence[SegmentFit]) -> SegmentFit:
     return min(fits, key=lambda f: (f.inertia, f.seed))
 
 
+def _fit_all(features: DataFrame, starts: Sequence[tuple[int, int]], max_iter: int, tol: float,
+             features_col: str, parallelism: int) -> list[SegmentFit]:
+    """One fit per (k, seed).  Starts are independent job chains: they go through
+    one pool, so the scheduler interleaves their small stages."""
+    abs_tol = spark_tolerance(features, tol, features_col)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(starts)))) as pool:
+        return list(pool.map(lambda s: _fit_one(features, s[0], s[1], max_iter, abs_tol, features_col), starts))
+
+
 def fit_segments(features: DataFrame, k: int, n_init: int = 10, seed: int = 42,
                  max_iter: int = 300, tol: float = 1e-4, features_col: str = "features",
-                 parallelism: int = 10, abs_tol: float | None = None) -> SegmentFit:
+                 parallelism: int = 10) -> SegmentFit:
     """Best of ``n_init`` k-means starts by inertia (M2).
 
     Spark's default of 20 iterations is too short for convergence parity;
     300 iterations as in the reference.  ``tol`` has scikit-learn's meaning
     (total squared centre shift relative to the mean feature variance) and is
     converted to Spark's absolute per-centre shift by ``spark_tolerance``.
-    Starts use seeds ``seed .. seed + n_init - 1``.
+    Starts use seeds ``seed .. seed + n_init - 1``.  Every iteration of every
+    start reads ``features``: pass a persisted frame.
     """
-    if abs_tol is None:
-        abs_tol = spark_tolerance(features, tol, features_col)
-    # Starts are independent jobs: submit them together so the scheduler can
-    # interleave their small stages instead of running them back to back.
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
-        fits = list(pool.map(lambda i: _fit_one(features, k, seed + i, max_iter, abs_tol,
-                                                features_col), range(n_init)))
-    return _best(fits)
+    return _best(_fit_all(features, [(k, seed + i) for i in range(n_init)], max_iter, tol, features_col, parallelism))
 
 
 def silhouette(df: DataFrame, features_col: str = "features", prediction: str = "cluster") -> float:
@@ -162,29 +183,23 @@ def sweep_k(features: DataFrame, k_values: Sequence[int] = tuple(range(2, 9)), n
     """Inertia and silhouette per k; the winner (largest silhouette, smaller k on ties).
 
     Every (k, start) fit is an independent job chain; all of them go through
-    one pool, then the per-k silhouettes.  Returns the
-    ``(k, inertia, silhouette, best)`` table and the winning fit, which is
-    reused rather than refitted.
+    one pool, then the per-k silhouettes.  Each reads ``features`` once per
+    iteration, so pass a persisted frame and choose ``n_init`` by what a pass
+    costs.  Returns the ``(k, inertia, silhouette, best)`` table and the
+    winning fit, which is reused rather than refitted.
     """
-    spark = features.sparkSession
-    cached = features.select(features_col).persist(StorageLevel.MEMORY_AND_DISK)
     k_values = list(k_values)
-    try:
-        abs_tol = spark_tolerance(cached, tol, features_col)
-        tasks = [(k, seed + i) for k in k_values for i in range(n_init)]
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fits = list(pool.map(lambda t: _fit_one(cached, t[0], t[1], max_iter, abs_tol,
-                                                    features_col), tasks))
-            best = {k: _best([f for f in fits if f.k == k]) for k in k_values}
-            sils = dict(zip(k_values, pool.map(
-                lambda k: silhouette(best[k].model.transform(cached), features_col, "cluster"),
-                k_values)))
-    finally:
-        cached.unpersist()
+    fits = _fit_all(features, [(k, seed + i) for k in k_values for i in range(n_init)], max_iter, tol,
+                    features_col, parallelism)
+    best = {k: _best([f for f in fits if f.k == k]) for k in k_values}
+    vectors = features.select(features_col)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        sils = dict(zip(k_values, pool.map(
+            lambda k: silhouette(best[k].model.transform(vectors), features_col, "cluster"), k_values)))
     rows = [(k, float(best[k].inertia), sils[k]) for k in k_values]
     best_k = sorted(rows, key=lambda r: (-r[2], r[0]))[0][0]
-    table = spark.createDataFrame([(k, i, s, k == best_k) for k, i, s in rows],
-                                  "k int, inertia double, silhouette double, best boolean")
+    table = features.sparkSession.createDataFrame([(k, i, s, k == best_k) for k, i, s in rows],
+                                                  "k int, inertia double, silhouette double, best boolean")
     return table, best[best_k]
 
 

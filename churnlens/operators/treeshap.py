@@ -41,10 +41,7 @@ class Tree:
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         node = np.zeros(x.shape[0], dtype=np.int64)
-        for _ in range(64):
-            internal = self.left[node] >= 0
-            if not internal.any():
-                break
+        while (internal := self.left[node] >= 0).any():
             f = np.where(internal, self.feature[node], 0)
             go_left = x[np.arange(x.shape[0]), f] <= self.threshold[node]
             nxt = np.where(go_left, self.left[node], self.right[node])
@@ -148,43 +145,3 @@ def ensemble_shap(trees: list[Tree], x: np.ndarray, scale: float = 2.0) -> tuple
         phi += t.weight * tree_shap(t, x)
         base += t.weight * t.expected_value()
     return scale * phi, scale * base
-
-
-def ensemble_margin(trees: list[Tree], x: np.ndarray, scale: float = 2.0) -> np.ndarray:
-    return scale * sum(t.weight * t.predict(x) for t in trees)
-
-
-def brute_force_shap(trees: list[Tree], x_row: np.ndarray, scale: float = 2.0) -> np.ndarray:
-    """Exact Shapley values by subset enumeration (tests only, few features).
-
-    The value of a subset S is the cover-weighted expectation of the tree
-    output with features outside S marginalised along the tree's own paths.
-    """
-    from itertools import combinations
-    from math import factorial
-
-    n = x_row.shape[0]
-
-    def cond_exp(tree: Tree, s: set) -> float:
-        def go(j):
-            if tree.left[j] < 0:
-                return tree.value[j]
-            f = tree.feature[j]
-            a, b = tree.left[j], tree.right[j]
-            if f in s:
-                return go(a if x_row[f] <= tree.threshold[j] else b)
-            return (tree.cover[a] * go(a) + tree.cover[b] * go(b)) / tree.cover[j]
-        return go(0)
-
-    def v(s):
-        return scale * sum(t.weight * cond_exp(t, s) for t in trees)
-
-    phi = np.zeros(n)
-    for i in range(n):
-        others = [k for k in range(n) if k != i]
-        for size in range(n):
-            for sub in combinations(others, size):
-                s = set(sub)
-                wgt = factorial(size) * factorial(n - size - 1) / factorial(n)
-                phi[i] += wgt * (v(s | {i}) - v(s))
-    return phi

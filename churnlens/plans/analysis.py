@@ -22,6 +22,7 @@ from churnlens.plans import flows
 from churnlens.schema import (SUBSCRIBER, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
                               TENURE_LABELS_6, GBTConfig, ImpactConfig, SegmentConfig,
                               SubscriberColumns)
+from churnlens.session import materialize
 from churnlens.sources.model_store import save_model
 from churnlens.sources.subscribers import load_subscribers, write_report, write_segmented
 
@@ -60,28 +61,28 @@ def analyse_subscribers(spark: SparkSession, path: str, out_dir: str, fmt: str =
 
     # E1 segmentation
     seg = flows.segmentation(df, cols, segment_cfg)
-    segmented = seg.segmented.persist(StorageLevel.MEMORY_AND_DISK)
+    segmented = seg.segmented
     write_segmented(segmented, f"{out_dir.rstrip('/')}/segmented")
     out["segmented"] = f"{out_dir.rstrip('/')}/segmented"
     save("k_sweep", seg.sweep)
     save("segment_profile", seg.profile)
     save("personas", seg.personas)
-    levels = [r[0] for r in df.select(cols.contract).distinct().orderBy(cols.contract)
-              .limit(1001).collect()]
-    save("segment_contract_mix", segment.crosstab_pct(segmented, "segment_id", cols.contract, levels))
+    save("segment_contract_mix", segment.crosstab(segmented, "segment_id", cols.contract))
+    save("segment_points", seg.points)
+    save("segment_point_shares", seg.shares)
+    flows.save_segments(seg, f"{out_dir.rstrip('/')}/models/segments")
 
     # E2 logistic models
     run = flows.prepare(df, cols)
     base, ridge = flows.logistic_models(run, cols)
     scored_b = flows.scored_test(ridge, run, cols)
-    save("logistic_metrics", metrics.metric_table(
-        flows.scored_test(base, run, cols), "baseline", cols.label, "prediction", "prob")
-        .unionByName(metrics.metric_table(scored_b, "ridge", cols.label, "prediction", "prob")))
+    scored_ab = flows.scored_by(run, cols, baseline=base, ridge=ridge)
+    save("logistic_metrics", metrics.metric_tables(scored_ab, cols.label, flows.model_columns("baseline", "ridge")))
     save("confusion", metrics.confusion_matrix(scored_b, cols.label, "prediction"))
-    save("roc_logistic", metrics.roc_curve(scored_b, cols.label, "prob"))
     save("coefficients", flows.coefficient_table(ridge))
-    fit_b = lambda tr, spec, label: models.fit_logistic(tr, spec, label)
-    save("cv_auc", models.cv_auc(run.train, run.spec, cols.label, cols.key, fit_b))
+    folds = flows.cross_validate(run, cols, gbt_cfg)
+    save("cv_auc", folds)
+    save("cv_summary", models.cv_summary(folds))
     save("segment_risk", flows.segment_risk(ridge, segmented, cols))
     save_model(ridge, f"{out_dir.rstrip('/')}/models/logistic")
 
@@ -89,7 +90,9 @@ def analyse_subscribers(spark: SparkSession, path: str, out_dir: str, fmt: str =
     trees = flows.gbt_model(run, cols, gbt_cfg)
     save_model(trees, f"{out_dir.rstrip('/')}/models/gbt")
     save("model_comparison", flows.compare(ridge, trees, run, cols))
-    shap_long = flows.gbt_explanations(trees, run, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    scored_all = materialize(flows.scored_by(run, cols, baseline=base, ridge=ridge, gbt=trees), "scored")
+    save("roc", metrics.roc_curves(scored_all, cols.label, flows.model_columns("baseline", "ridge", "gbt")))
+    shap_long = flows.gbt_explanations(trees, run, cols)
     save("shap_importance", explain.mean_abs_shap(shap_long))
     save("shap_cloud", explain.contribution_cloud(shap_long, 15))
     ex = flows.explain_examples(trees, run, cols, 12)
@@ -98,10 +101,10 @@ def analyse_subscribers(spark: SparkSession, path: str, out_dir: str, fmt: str =
 
     # impact and executive summary on the segmented table
     save("impact", impact.estimate_impact(segmented, cols, "segment_id", impact_cfg))
-    scored_g = flows.scored_test(trees, run, cols)
+    columns = flows.model_columns("ridge", "gbt")
     save("executive_summary", report.executive_summary(
-        segmented, cols, TENURE_EDGES_4, TENURE_LABELS_4,
-        scores={"logistic": (scored_b, "prediction", "prob"),
-                "gbt": (scored_g, "prediction", "prob")},
+        segmented, cols, TENURE_EDGES_4, TENURE_LABELS_4, scored_all,
+        {"logistic": columns["ridge"], "gbt": columns["gbt"]},
         shap_long=shap_long, segment="segment_id"))
+    df.unpersist()
     return out

@@ -1,8 +1,8 @@
 """End-to-end flows: segmentation (E1), logistic churn model (E2), boosted
 trees with explanations (E3).
 
-Each flow persists its working table once (``MEMORY_AND_DISK``; recomputed
-from lineage if an executor is lost) because every fit reads it many times.
+Each flow stores its working table once in the shared folder, because every fit
+reads it many times; k-means also caches the vectors while it iterates.
 """
 
 from __future__ import annotations
@@ -10,53 +10,90 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.operators import encode, explain, metrics, models, segment, split
 from churnlens.schema import (GBTConfig, LogisticConfig, SegmentConfig, SplitConfig,
                               SubscriberColumns)
-from churnlens.session import ensure_checkpoint_dir
+from churnlens.session import ensure_checkpoint_dir, materialize
 
 
 @dataclass
 class SegmentationResult:
     sweep: DataFrame
-    segmented: DataFrame        # input rows + segment_id
+    segmented: DataFrame        # input rows + segment_id (stored)
     profile: DataFrame
     personas: DataFrame
+    points: DataFrame           # key, segment_id, pc1, pc2
+    shares: DataFrame           # component, share of the variance
     fit: segment.SegmentFit
+    model: PipelineModel        # input rows -> segment_id, for new customers
 
 
-def segmentation(df: DataFrame, cols: SubscriberColumns,
-                 cfg: SegmentConfig = SegmentConfig()) -> SegmentationResult:
-    """Encode, standardise (population std), sweep k, attach canonical ids, profile."""
+def segmentation(df: DataFrame, cols: SubscriberColumns, cfg: SegmentConfig = SegmentConfig(),
+                 k: int | None = None) -> SegmentationResult:
+    """Encode, standardise (population std), sweep k, attach canonical ids, project, profile.
+
+    With ``k`` given the sweep is left out and its table has one row.  The
+    fitted steps are one pipeline (encoding with the scaler's constants,
+    assembly, k-means, canonical ids), which ``save_segments`` stores.
+    """
     spec = encode.fit_cluster_features(df, cols)
-    enc = spec.transform(df)
-    scaler = encode.fit_standard_scaler(enc, list(spec.names))
-    scaled = scaler.transform(enc, suffix="__z")
-    feats = VectorAssembler(inputCols=[n + "__z" for n in spec.names], outputCol="features") \
-        .transform(scaled).persist(StorageLevel.MEMORY_AND_DISK)
-    sweep, best = segment.sweep_k(feats, cfg.k_values, cfg.n_init, cfg.seed, cfg.max_iter, cfg.tol)
-    segmented = segment.attach_segment(feats, best, cols.label).select(*df.columns, "segment_id")
+    scaler = encode.fit_standard_scaler(spec.transform(df), list(spec.names))
+    steps = [SQLTransformer(statement=models.encoding_sql(spec, scaler)),
+             VectorAssembler(inputCols=[n + models.Z for n in spec.names], outputCol="features", handleInvalid="error")]
+    encoder = PipelineModel(stages=steps)
+    feats = materialize(encoder.transform(df).select(*df.columns, "features"), "segment-features")
+    cached = feats.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if k is None:
+            sweep, best = segment.sweep_k(cached, cfg.k_values, cfg.n_init, cfg.seed, cfg.max_iter, cfg.tol)
+        else:
+            best = segment.fit_segments(cached, k, cfg.n_init, cfg.seed, cfg.max_iter, cfg.tol)
+            score = segment.silhouette(best.model.transform(cached))
+            sweep = df.sparkSession.createDataFrame([(k, float(best.inertia), score, True)],
+                                                    "k int, inertia double, silhouette double, best boolean")
+    finally:
+        cached.unpersist()
+    kmeans = models.detached(PipelineModel(stages=[best.model]), df.sparkSession).stages[0]
+    clustered = materialize(kmeans.transform(feats), "segment-clusters")
+    ids = {r["cluster"]: r["segment_id"] for r in segment.canonical_order(clustered, "cluster", cols.label).collect()}
+    case = " ".join(f"WHEN {c} THEN {i}" for c, i in sorted(ids.items()))  # k entries
+    naming = SQLTransformer(statement=f"SELECT *, CAST(CASE cluster {case} END AS INT) AS segment_id FROM __THIS__")
+    named = naming.transform(clustered)
+    segmented = named.select(*df.columns, "segment_id")
+    points, shares = segment.project_2d(named, "features", cols.key, ["segment_id"])
+    shares = df.sparkSession.createDataFrame([(i + 1, x) for i, x in enumerate(shares)], "component int, share double")
     prof = segment.profile_segments(segmented, "segment_id", cols.tenure, cols.monthly, cols.total,
                                     cols.senior, cols.label)
-    return SegmentationResult(sweep, segmented, prof, segment.assign_personas(prof), best)
+    return SegmentationResult(sweep, segmented, prof, segment.assign_personas(prof), points, shares, best,
+                              PipelineModel(stages=[*steps, kmeans, naming]))
+
+
+def save_segments(result: SegmentationResult, path: str) -> None:
+    """Store the segmentation pipeline: scaler, k-means centres and segment names."""
+    result.model.write().overwrite().save(path)
+
+
+def assign_stored_segments(df: DataFrame, path: str) -> DataFrame:
+    """Put (new) customers into stored segments: ``df`` + segment_id."""
+    return PipelineModel.load(path).transform(df).select(*df.columns, "segment_id")
 
 
 @dataclass
 class ModelRun:
     spec: encode.FeatureSpec
-    data: DataFrame             # input rows + is_test (persisted)
+    data: DataFrame             # input rows + is_test (stored)
     train: DataFrame
     test: DataFrame
 
 
 def prepare(df: DataFrame, cols: SubscriberColumns, cfg: SplitConfig = SplitConfig()) -> ModelRun:
     spec = encode.fit_model_features(df, cols)
-    data = split.stratified_split(df, cols.label, cols.key, cfg.test_fraction, cfg.seed) \
-                .persist(StorageLevel.MEMORY_AND_DISK)
+    data = materialize(split.stratified_split(df, cols.label, cols.key, cfg.test_fraction, cfg.seed), "model-data")
     return ModelRun(spec, data, data.where("is_test = 0").drop("is_test"),
                     data.where("is_test = 1").drop("is_test"))
 
@@ -78,17 +115,46 @@ def gbt_model(run: ModelRun, cols: SubscriberColumns, cfg: GBTConfig = GBTConfig
 
 
 def gbt_explanations(model: models.ChurnModel, run: ModelRun, cols: SubscriberColumns) -> DataFrame:
-    """Long ``(key, feature, value, shap)`` for every test row (M21, M23 input)."""
+    """Long ``(key, feature, value, shap)`` for every test row (M21, M23 input).
+
+    Stored, so importance, cloud and checks read one computation.
+    """
     ckpt = ensure_checkpoint_dir(run.data.sparkSession)
     sv = models.shap_values(model, run.test, cols.key, ckpt)
-    return explain.to_long(sv, cols.key, list(model.names))
+    return materialize(explain.to_long(sv, cols.key, list(model.names)), "contributions")
+
+
+def cross_validate(run: ModelRun, cols: SubscriberColumns, gbt_cfg: GBTConfig = GBTConfig()) -> DataFrame:
+    """``(model, fold, auc)`` of both logistic models and the trees on the training rows."""
+    ensure_checkpoint_dir(run.data.sparkSession)
+
+    def logistic(c):
+        return lambda rows, spec, label: models.fit_logistic(rows, spec, label, LogisticConfig(c=c))
+
+    return models.cv_auc(run.train, run.spec, cols.label, cols.key, {
+        "baseline": logistic(1e9), "ridge": logistic(0.1),
+        "gbt": lambda rows, spec, label: models.fit_gbt(rows, spec, label, gbt_cfg)})
+
+
+def scored_by(run: ModelRun, cols: SubscriberColumns, **fitted: models.ChurnModel) -> DataFrame:
+    """Test rows scored by several models: key, label, prob_<name>, pred_<name>."""
+    df, out = run.test, []
+    for name, m in fitted.items():
+        df = m.score(df, f"prob_{name}", f"pred_{name}")
+        out += [f"prob_{name}", f"pred_{name}"]
+    return df.select(cols.key, cols.label, *out)
+
+
+def model_columns(*names: str) -> dict[str, tuple[str, str]]:
+    """The (prediction, score) columns that ``scored_by`` gives each model."""
+    return {n: (f"pred_{n}", f"prob_{n}") for n in names}
 
 
 def compare(lin: models.ChurnModel, trees: models.ChurnModel, run: ModelRun,
             cols: SubscriberColumns) -> DataFrame:
-    a = metrics.metric_table(scored_test(lin, run, cols), "logistic", cols.label, "prediction", "prob")
-    b = metrics.metric_table(scored_test(trees, run, cols), "gbt", cols.label, "prediction", "prob")
-    return metrics.compare_models(a, b)
+    scored = scored_by(run, cols, logistic=lin, gbt=trees)
+    table = metrics.metric_tables(scored, cols.label, model_columns("logistic", "gbt"))
+    return metrics.compare_models(table, "logistic", "gbt")
 
 
 def segment_risk(model: models.ChurnModel, segmented: DataFrame, cols: SubscriberColumns,
@@ -100,10 +166,11 @@ def segment_risk(model: models.ChurnModel, segmented: DataFrame, cols: Subscribe
 
 def explain_examples(model: models.ChurnModel, run: ModelRun, cols: SubscriberColumns,
                      k: int = 12) -> DataFrame:
+    """T6's two customers, picked on the scored rows; only they are explained."""
     ckpt = ensure_checkpoint_dir(run.data.sparkSession)
-    scored = model.score(run.test)
-    sv = models.shap_values(model, scored, cols.key, ckpt, keep=("prob",))
-    return explain.explain_customers(sv, cols.key, "prob", list(model.names), "shap", k)
+    two = explain.example_rows(model.score(run.test), cols.key, "prob")
+    sv = models.shap_values(model, two, cols.key, ckpt, keep=("prob", "kind"))
+    return sv.select(cols.key, "kind", "prob", explain.top_in_row(list(model.names), "shap", k).alias("top"))
 
 
 def coefficient_table(model: models.ChurnModel, top: int = 20) -> DataFrame:

@@ -131,7 +131,6 @@ def summary_sql() -> str:
 # Fixed level vocabularies of the driver's tables (for explicit one-hot SQL).
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 def onehot_sql(col: str, prefix: str, levels) -> list[str]:
@@ -212,10 +211,9 @@ FROM sub GROUP BY {C.label_text} ORDER BY n DESC, value"""),
         f"SELECT {C.key}, " + ", ".join(
             list(C.numeric)
             + [f"CAST({c} IS NOT DISTINCT FROM 'Yes' AS INTEGER) AS {c}_enc" for c in C.model_flags]
-            + ["CAST(region IS NOT DISTINCT FROM 'EUROPE' AS INTEGER) AS region_enc"]
+            + ["CAST(priority IS NOT DISTINCT FROM '1-URGENT' AS INTEGER) AS priority_enc"]
             + onehot_sql("contract", "contract", SEGMENTS[1:])
-            + onehot_sql("region", "region", REGIONS[1:])
-            + onehot_sql("priority", "priority", PRIORITIES[1:])) + " FROM sub"),
+            + onehot_sql("region", "region", REGIONS[1:])) + " FROM sub"),
     "standardized": standardized_sql(),
     "split_exact": f"""WITH {ORDERS_LABELLED}, {ORDERS_RANKED}
 SELECT o_orderkey, label, CAST(rn <= ceil(n * 0.2) AS INTEGER) AS is_test FROM r""",
@@ -310,12 +308,10 @@ LINEAR_SHAP_CTE = "ls AS (" + "\nUNION ALL ".join(
 ENC_CTE = "enc AS (SELECT " + ", ".join(
     [C.key, C.label] + list(C.numeric)
     + [f"CAST({c} IS NOT DISTINCT FROM 'Yes' AS INTEGER) AS {c}_enc" for c in C.model_flags]
-    + ["CAST(region IS NOT DISTINCT FROM 'EUROPE' AS INTEGER) AS region_enc"]
-    + onehot_sql("contract", "contract", SEGMENTS[1:]) + onehot_sql("region", "region", REGIONS[1:])
-    + onehot_sql("priority", "priority", PRIORITIES[1:])) + " FROM sub)"
-MODEL_FEATURES = (list(C.numeric) + [f"{c}_enc" for c in C.model_flags] + ["region_enc"]
-                  + [f"contract_{x}" for x in SEGMENTS[1:]] + [f"region_{x}" for x in REGIONS[1:]]
-                  + [f"priority_{x}" for x in PRIORITIES[1:]])
+    + ["CAST(priority IS NOT DISTINCT FROM '1-URGENT' AS INTEGER) AS priority_enc"]
+    + onehot_sql("contract", "contract", SEGMENTS[1:]) + onehot_sql("region", "region", REGIONS[1:])) + " FROM sub)"
+MODEL_FEATURES = (list(C.numeric) + [f"{c}_enc" for c in C.model_flags] + ["priority_enc"]
+                  + [f"contract_{x}" for x in SEGMENTS[1:]] + [f"region_{x}" for x in REGIONS[1:]])
 FLC_CTE = "flc AS (" + "\nUNION ALL ".join(
     f"SELECT {_q(f)} AS feature, round(corr(CAST({C.label} AS DOUBLE), CAST(\"{f}\" AS DOUBLE)), 9) AS r "
     "FROM enc" for f in MODEL_FEATURES) + ")"
@@ -480,3 +476,40 @@ UNION ALL SELECT * FROM (SELECT feature, r, 'negative' FROM flc WHERE r < 0 ORDE
     "impact": impact_sql(),
     "executive_summary": executive_sql(),
 })
+
+
+# --- invariants of fitted models, computed from the tables -------------------
+TEST_ROWS = ("SELECT churn_binary, CAST(ceil(count(*) * 0.2) AS BIGINT) AS n FROM sub GROUP BY churn_binary")
+LEVEL_NAMES = (
+    "SELECT 'contract_' || contract AS f FROM (SELECT DISTINCT contract FROM sub) "
+    "WHERE contract > (SELECT min(contract) FROM sub) "
+    "UNION ALL SELECT 'region_' || region FROM (SELECT DISTINCT region FROM sub) "
+    "WHERE region > (SELECT min(region) FROM sub)")
+FEATURE_NAMES = (" UNION ALL ".join(f"SELECT {_q(n)} AS f" for n in (
+    *C.numeric, *(f"{c}_enc" for c in C.model_flags), *(f"{c}_enc" for c, _ in C.model_equals)))
+    + " UNION ALL " + LEVEL_NAMES)
+
+ORACLE.update({
+    "renamed": "SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS price FROM orders",
+    "flag_shares": with_sub(" UNION ALL ".join(
+        f"SELECT '{c}_enc' AS flag, round(avg(CAST({c} = 'Yes' AS INTEGER)), 6) AS share FROM sub" for c in C.model_flags)),
+    "kmeans_check": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_nearest, CAST(4 AS BIGINT) AS n_clusters "
+                    "FROM embeddings",
+    "pca_check": "SELECT count(*) AS n_rows, 0.0::DOUBLE AS mean_1, 0.0::DOUBLE AS mean_2, 0.0::DOUBLE AS covariance, "
+                 "0.0::DOUBLE AS share_1_off, 0.0::DOUBLE AS share_2_off FROM embeddings",
+    "segments_check": with_sub("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_without, CAST(0 AS BIGINT) AS "
+                               "n_out_of_order, CAST(1 AS BIGINT) AS n_best, CAST(7 AS BIGINT) AS n_k, "
+                               "CAST(0 AS BIGINT) AS k_off FROM sub"),
+    "segment_risk_check": with_sub("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range FROM sub"),
+    "logistic_gradient": with_sub("SELECT model, f AS feature, 0.0::DOUBLE AS gradient FROM "
+                                  "(SELECT 'baseline' AS model UNION ALL SELECT 'ridge'), "
+                                  f"(SELECT '(intercept)' AS f UNION ALL {FEATURE_NAMES})"),
+    "test_scores_check": with_sub("SELECT model, churn_binary, n, CAST(0 AS BIGINT) AS n_bad FROM "
+                                  "(SELECT 'baseline' AS model UNION ALL SELECT 'ridge' UNION ALL SELECT 'gbt'), "
+                                  f"({TEST_ROWS})"),
+    "shap_check": with_sub("SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_off, "
+                           f"any_value(m) AS f_min, any_value(m) AS f_max FROM ({TEST_ROWS}), "
+                           f"(SELECT count(*) AS m FROM ({FEATURE_NAMES}))"),
+    "cv_check": "SELECT model, CAST(fold AS INTEGER) AS fold, TRUE AS valid FROM (SELECT 'baseline' AS model "
+                "UNION ALL SELECT 'ridge' UNION ALL SELECT 'gbt'), range(0, 5) AS r(fold)",
+})

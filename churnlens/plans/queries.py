@@ -8,6 +8,7 @@ DuckDB twins (``churnlens.plans.oracle``) so both engines agree.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from churnlens.operators import (clean, encode, explain, impact, metrics, profil
                                  segment, split, stats)
 from churnlens.schema import (FIXTURE, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
                               TENURE_LABELS_6)
+from churnlens.session import materialize
 from churnlens.sources.fixture_view import read_table, subscriber_view
 
 C = FIXTURE
@@ -106,7 +108,8 @@ def q_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.describe(subscriber_view(spark, sf_dir), [C.tenure, C.monthly, C.total])
+    v = subscriber_view(spark, sf_dir).select(C.tenure, C.monthly, C.total)
+    return profile.describe(materialize(v, "subscribers"), [C.tenure, C.monthly, C.total])
 
 
 def q_describe_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +127,8 @@ def q_census(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = profile.summarize(subscriber_view(spark, sf_dir), C.label_text, [C.tenure, C.monthly, C.total])
+    v = materialize(subscriber_view(spark, sf_dir), "subscribers")  # read by every section
+    s = profile.summarize(v, C.label_text, [C.tenure, C.monthly, C.total])
     return _round_cols(s, ["value"])
 
 
@@ -146,7 +150,7 @@ def q_kde_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_one_hot_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = subscriber_view(spark, sf_dir)
-    oh = encode.fit_one_hot(v, C.cluster_onehot, drop_first=False)
+    oh = encode.fit_one_hot(v, C.cluster_onehot, C.max_levels)
     return oh.transform(v).select(C.key, *oh.output_columns)
 
 
@@ -159,7 +163,7 @@ def q_one_hot_drop_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = subscriber_view(spark, sf_dir)
     cols = list(C.numeric)
-    return _round_cols(encode.standardize_sql(v, cols).select(C.key, *cols), cols)
+    return _round_cols(encode.fit_standard_scaler(v, cols).transform(v).select(C.key, *cols), cols)
 
 
 def orders_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,12 +208,19 @@ def _logit(coef: dict) -> F.Column:
 
 
 def scored_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Subscriber view + standardised numerics + both fixed scores and predictions."""
+    """Subscriber view + standardised numerics + both fixed scores and predictions.
+
+    Stored once: everything derived from the scored rows reads this table.
+    """
     v = subscriber_view(spark, sf_dir)
-    z = encode.standardize_sql(v, list(C.numeric))
+    z = encode.fit_standard_scaler(v, list(C.numeric)).transform(v)
     prob = lambda coef: F.round(1.0 / (1.0 + F.exp(-_logit(coef))), 9)
-    return z.withColumns({"p_a": prob(FIXED_A), "p_b": prob(FIXED_B)}).withColumns(
+    scored = z.withColumns({"p_a": prob(FIXED_A), "p_b": prob(FIXED_B)}).withColumns(
         {"pred_a": (F.col("p_a") > 0.5).cast("int"), "pred_b": (F.col("p_b") > 0.5).cast("int")})
+    return materialize(scored.select(C.key, C.label, C.contract, *C.numeric, "p_a", "p_b", "pred_a", "pred_b"), "scored")
+
+
+FIXED_MODELS = {"a": ("pred_a", "p_a"), "b": ("pred_b", "p_b")}
 
 
 def q_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,10 +234,8 @@ def q_metrics_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_auc_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sc = scored_fixed(spark, sf_dir)
-    a = metrics.roc_auc(sc, C.label, "p_a").select(F.lit("a").alias("model"), "auc")
-    b = metrics.roc_auc(sc, C.label, "p_b").select(F.lit("b").alias("model"), "auc")
-    return _round_cols(a.unionByName(b), ["auc"])
+    table = metrics.metric_tables(scored_fixed(spark, sf_dir), C.label, FIXED_MODELS)
+    return _round_cols(table.where("metric = 'auc'").select("model", F.col("value").alias("auc")), ["auc"])
 
 
 def q_auc_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,10 +251,8 @@ def q_roc_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sc = scored_fixed(spark, sf_dir)
-    a = metrics.metric_table(sc, "a", C.label, "pred_a", "p_a")
-    b = metrics.metric_table(sc, "b", C.label, "pred_b", "p_b")
-    return _round_cols(metrics.compare_models(a, b), ["value_a", "value_b", "delta"])
+    table = metrics.metric_tables(scored_fixed(spark, sf_dir), C.label, FIXED_MODELS)
+    return _round_cols(metrics.compare_models(table, "a", "b"), ["value_a", "value_b", "delta"])
 
 
 def q_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,7 +266,7 @@ def q_segment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_segment_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = subscriber_view(spark, sf_dir)
-    levels = list(encode.fit_one_hot(v, [("region", "region")]).specs[0][2])
+    levels = list(encode.fit_one_hot(v, [("region", "region")], C.max_levels).specs[0][2])
     return segment.crosstab_pct(v, C.contract, "region", levels)
 
 
@@ -288,13 +295,16 @@ def q_silhouette_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINEAR_FEATURES = list(C.numeric)
 
 
-def shap_long_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sc = scored_fixed(spark, sf_dir)
+def linear_long(scored: DataFrame) -> DataFrame:
     coefs = [FIXED_A[c] for c in LINEAR_FEATURES]
-    sc = sc.withColumn("shap", explain.linear_contributions(coefs, LINEAR_FEATURES))
+    sc = scored.withColumn("shap", explain.linear_contributions(coefs, LINEAR_FEATURES))
     return explain.to_long(sc, C.key, LINEAR_FEATURES)
 
 
+def shap_long_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linear_long(scored_fixed(spark, sf_dir))
+
+
 def q_linear_shap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_cols(shap_long_fixed(spark, sf_dir), ["value", "shap"])
 
@@ -360,15 +370,29 @@ def q_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_executive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlens.operators import report
-    v = subscriber_view(spark, sf_dir)
+    v = materialize(subscriber_view(spark, sf_dir), "subscribers")  # read by every panel
     sc = scored_fixed(spark, sf_dir)
     return _round_cols(report.executive_summary(
-        v, C, TENURE_EDGES_4, TENURE_LABELS_4,
-        scores={"a": (sc, "pred_a", "p_a"), "b": (sc, "pred_b", "p_b")},
-        shap_long=shap_long_fixed(spark, sf_dir), segment=C.contract), ["value"])
+        v, C, TENURE_EDGES_4, TENURE_LABELS_4, sc, FIXED_MODELS,
+        shap_long=linear_long(sc), segment=C.contract), ["value"])
+
+
+def q_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen order columns under friendly names."""
+    names = {"o_orderkey": "order_id", "o_orderstatus": "status", "o_totalprice": "price"}
+    return clean.rename(clean.select_columns(read_table(spark, sf_dir, "orders"), list(names)), names)
+
+
+def q_flag_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of Yes per encoded flag; the flags are found by their suffix."""
+    enc = encode.encode_flags(subscriber_view(spark, sf_dir), list(C.model_flags))
+    flags = encode.columns_with_suffix(enc)
+    return _round_cols(enc.agg(*[F.avg(c).alias(c) for c in flags]).unpivot([], flags, "flag", "share"), ["share"])
 
 
 QUERIES = {
+    "renamed": q_renamed,
+    "flag_shares": q_flag_shares,
     "tenure_rates": q_tenure_rates,
     "tenure_rates_4bin": q_tenure_rates_4bin,
     "contract_rates": q_contract_rates,
@@ -418,7 +442,8 @@ QUERIES = {
 }
 
 
-# --- models, segmentation (checked by invariants, no SQL twin) --------------
+# --- models, segmentation: results of fits have no SQL twin; the *_check and
+# gradient queries state invariants whose twin is computed from the tables -----
 # Fitted models are cached per (session, input, kind) so the queries built on
 # one fit (scores, comparison, explanations) do not refit it.
 _FITS: dict = {}
@@ -454,18 +479,143 @@ def _segmentation(spark: SparkSession, sf_dir: str):
 
 def q_kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inertia and squared-Euclidean silhouette for k = 2..8 on the embeddings."""
-    table, _ = segment.sweep_k(embeddings_vectors(spark, sf_dir))
+    vectors = embeddings_vectors(spark, sf_dir).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        table, _ = segment.sweep_k(vectors)
+    finally:
+        vectors.unpersist()
     return table
 
 
+def q_kmeans_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best of several k-means starts: no vector may be nearer to another centre (M2)."""
+    from pyspark.ml.functions import vector_to_array
+
+    vectors = embeddings_vectors(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fit = segment.fit_segments(vectors, k=4, n_init=4)
+    finally:
+        vectors.unpersist()
+    x = vector_to_array("features")
+    far = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)),
+                       F.lit(0.0), lambda a, d: a + d) for c in fit.model.clusterCenters()]
+    d = F.array(*far)
+    wrong = F.element_at(d, F.col("cluster") + 1) > F.array_min(d) + 1e-9
+    return fit.model.transform(vectors).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(wrong).alias("n_not_nearest"),
+        F.count_distinct("cluster").alias("n_clusters"))
+
+
+def _scaled_embeddings(spark: SparkSession, sf_dir: str):
+    """Embeddings with every dimension scaled by its population deviation."""
+    from pyspark.ml.feature import VectorAssembler
+
+    e = read_table(spark, sf_dir, "embeddings")
+    names = [f"e{i}" for i in range(e.select(F.max(F.size("embedding"))).first()[0])]
+    wide = e.select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)])
+    z = encode.fit_standard_scaler(wide, names).transform(wide)
+    return VectorAssembler(inputCols=names, outputCol="z").transform(z).select("vec_id", "label", "z"), names
+
+
 def q_pca_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.ml.feature import StandardScaler
-    e = embeddings_vectors(spark, sf_dir)
-    z = StandardScaler(inputCol="features", outputCol="z", withMean=True, withStd=True).fit(e).transform(e)
+    z, _ = _scaled_embeddings(spark, sf_dir)
     pts, ratios = segment.project_2d(z, "z", key="vec_id", extra=["label"])
     return pts.withColumns({"ev1": F.lit(ratios[0]), "ev2": F.lit(ratios[1])})
 
 
+def q_pca_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components are centred, uncorrelated, and hold the stated share of the variance (M5)."""
+    z, names = _scaled_embeddings(spark, sf_dir)
+    pts, ratios = segment.project_2d(z, "z", key="vec_id")
+    off = lambda c: F.round(F.abs(c), 6)
+    total = float(len(names))  # every scaled dimension has variance one
+    return pts.agg(F.count(F.lit(1)).alias("n_rows"), off(F.avg("pc1")).alias("mean_1"), off(F.avg("pc2")).alias("mean_2"),
+                   off(F.covar_pop("pc1", "pc2")).alias("covariance"),
+                   off(F.var_pop("pc1") / total - ratios[0]).alias("share_1_off"),
+                   off(F.var_pop("pc2") / total - ratios[1]).alias("share_2_off"))
+
+
+def q_segments_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer has a segment, ids follow the churn rate, the best k is the sweep's."""
+    s = _segmentation(spark, sf_dir)
+    rows = s.segmented.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("segment_id").isNull()).alias("n_without"),
+                           F.count_distinct("segment_id").alias("k_used"))
+    rate = s.segmented.groupBy("segment_id").agg(F.avg(C.label).alias("r"))
+    a, b = rate.alias("a"), rate.alias("b")
+    bad = a.join(b, F.col("b.segment_id") == F.col("a.segment_id") + 1).where("b.r > a.r").agg(
+        F.count(F.lit(1)).alias("n_out_of_order"))
+    best = s.sweep.agg(F.count_if("best").alias("n_best"), F.max(F.when(F.col("best"), F.col("k"))).alias("k"),
+                       F.count(F.lit(1)).alias("n_k"))
+    one = lambda d, c: d.select(c).scalar()
+    return rows.select("n_rows", "n_without", one(bad, "n_out_of_order").alias("n_out_of_order"),
+                       one(best, "n_best").alias("n_best"), one(best, "n_k").alias("n_k"),
+                       (F.col("k_used") - one(best, "k")).alias("k_off"))
+
+
+def q_segment_risk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment risk covers every customer once, with rates in range."""
+    r = q_segment_risk(spark, sf_dir)
+    ok = F.col("actual_rate").between(0, 1) & F.col("predicted_prob").between(0, 1)
+    return r.agg(F.sum("n").alias("n_rows"), F.count_if(~ok).alias("n_out_of_range"))
+
+
+def q_logistic_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The objective's gradient at both fitted models, which must vanish."""
+    from churnlens.operators import models
+    from churnlens.schema import LogisticConfig
+
+    run = _run(spark, sf_dir)
+    weighted = split.with_weights(run.train, C.label, "balanced")
+    out = None
+    for name, m, c in zip(("baseline", "ridge"), _logistic(spark, sf_dir), (1e9, LogisticConfig().c)):
+        z = m.pipeline.stages[0].transform(weighted)
+        beta = [float(x) for x in m.estimator.coefficients.toArray()]
+        cols = [F.col(f"`{n}{models.Z}`") for n in m.names]
+        eta = F.lit(float(m.estimator.intercept))
+        for b, x in zip(beta, cols):
+            eta = eta + F.lit(b) * x
+        z = z.withColumn("_r", F.col("weight") * (1.0 / (1.0 + F.exp(-eta)) - F.col(C.label)))
+        sums = z.agg(F.sum("weight").alias("w"), F.sum("_r").alias("g_0"),
+                     *[F.sum(F.col("_r") * x).alias(f"g_{i + 1}") for i, x in enumerate(cols)])
+        rows = [F.struct(F.lit(name).alias("model"), F.lit(n).alias("feature"), F.round(F.abs(
+            F.col(f"g_{i}") / F.col("w") + (F.lit(b) / F.col("w") / F.lit(c))), 3).alias("gradient"))
+            for i, (n, b) in enumerate(zip(("(intercept)", *m.names), (0.0, *beta)))]
+        part = sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_test_scores_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per model and class: scored test rows, and those with an impossible score."""
+    from churnlens.plans import flows
+
+    a, b = _logistic(spark, sf_dir)
+    parts = None
+    for name, m in (("baseline", a), ("ridge", b), ("gbt", _gbt(spark, sf_dir))):
+        s = flows.scored_test(m, _run(spark, sf_dir), C)
+        bad = F.coalesce(~F.col("prob").between(0, 1) | (F.col("prediction") != (F.col("prob") > 0.5).cast("int")), F.lit(True))
+        s = s.groupBy(C.label).agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("n_bad")).withColumn("model", F.lit(name))
+        parts = s if parts is None else parts.unionByName(s)
+    return parts.select("model", C.label, "n", "n_bad")
+
+
+def q_shap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tree contributions and base add up to the logit on every test row."""
+    from churnlens.operators import models
+    from churnlens.plans import flows
+    from churnlens.session import ensure_checkpoint_dir
+
+    m, run = _gbt(spark, sf_dir), _run(spark, sf_dir)
+    trees = models.gbt_trees(m, ensure_checkpoint_dir(spark))
+    base = 2.0 * sum(t.weight * t.expected_value() for t in trees)
+    total = q_gbt_shap(spark, sf_dir).groupBy(C.key).agg(F.sum("shap").alias("s"), F.count(F.lit(1)).alias("f"))
+    scored = flows.scored_test(m, run, C)
+    logit = F.log(F.col("prob") / (1 - F.col("prob")))
+    return scored.join(total, C.key, "left").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(F.abs(F.col("s") + base - logit) > 1e-6, F.lit(True))).alias("n_off"),
+        F.min("f").alias("f_min"), F.max("f").alias("f_max"))
+
+
 def q_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _segmentation(spark, sf_dir).personas
 
@@ -483,16 +633,22 @@ def q_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_logistic_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlens.plans import flows
     a, b = _logistic(spark, sf_dir)
-    run = _run(spark, sf_dir)
-    ma = metrics.metric_table(flows.scored_test(a, run, C), "baseline", C.label, "prediction", "prob")
-    mb = metrics.metric_table(flows.scored_test(b, run, C), "ridge", C.label, "prediction", "prob")
-    return ma.unionByName(mb)
+    scored = flows.scored_by(_run(spark, sf_dir), C, baseline=a, ridge=b)
+    return metrics.metric_tables(scored, C.label, flows.model_columns("baseline", "ridge"))
 
 
 def q_confusion_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.confusion_matrix(q_logistic(spark, sf_dir), C.label, "prediction")
 
 
+def q_roc_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROC curves of both logistic models and the trees."""
+    from churnlens.plans import flows
+    a, b = _logistic(spark, sf_dir)
+    scored = flows.scored_by(_run(spark, sf_dir), C, baseline=a, ridge=b, gbt=_gbt(spark, sf_dir))
+    return metrics.roc_curves(scored, C.label, flows.model_columns("baseline", "ridge", "gbt"))
+
+
 def q_roc_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.roc_curve(q_logistic(spark, sf_dir), C.label, "prob")
 
@@ -508,13 +664,34 @@ def q_coefficient_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.top_signed(q_coefficients(spark, sf_dir), "coefficient", 5, tie="feature")
 
 
+# Rounds of the boosted trees in the registered cross-validation; the analysis
+# (plans/analysis.py) takes the configured 300.
+CV_ROUNDS = 50
+
+
+def _cv(spark: SparkSession, sf_dir: str):
+    from churnlens.plans import flows
+    from churnlens.schema import GBTConfig
+
+    return _cached(spark, sf_dir, "cv", lambda: flows.cross_validate(
+        _run(spark, sf_dir), C, GBTConfig(max_iter=CV_ROUNDS)))
+
+
 def q_cv_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC of both logistic models and the trees on every fold."""
+    return _cv(spark, sf_dir)
+
+
+def q_cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and population deviation of the fold AUCs per model."""
     from churnlens.operators import models
-    from churnlens.schema import LogisticConfig
-    run = _run(spark, sf_dir)
-    fit = lambda tr, spec, label: models.fit_logistic(tr, spec, label, LogisticConfig(c=0.1))
-    folds = models.cv_auc(run.train, run.spec, C.label, C.key, fit)
-    return folds
+
+    return models.cv_summary(_cv(spark, sf_dir))
+
+
+def q_cv_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every model has an AUC in (0, 1] on every fold."""
+    return _cv(spark, sf_dir).select("model", "fold", ((F.col("auc") > 0) & (F.col("auc") <= 1)).alias("valid"))
 
 
 def q_segment_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -536,7 +713,8 @@ def q_gbt_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_gbt_shap(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnlens.plans import flows
-    return flows.gbt_explanations(_gbt(spark, sf_dir), _run(spark, sf_dir), C)
+    return _cached(spark, sf_dir, "contributions",
+                   lambda: flows.gbt_explanations(_gbt(spark, sf_dir), _run(spark, sf_dir), C))
 
 
 def q_gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -557,6 +735,16 @@ def q_gbt_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MODEL_QUERIES = {
     "kmeans_sweep": q_kmeans_sweep,
+    "kmeans_check": q_kmeans_check,
+    "pca_check": q_pca_check,
+    "segments_check": q_segments_check,
+    "segment_risk_check": q_segment_risk_check,
+    "logistic_gradient": q_logistic_gradient,
+    "test_scores_check": q_test_scores_check,
+    "shap_check": q_shap_check,
+    "cv_check": q_cv_check,
+    "cv_summary": q_cv_summary,
+    "roc_models": q_roc_models,
     "pca_2d": q_pca_2d,
     "segments": q_segments,
     "segment_sweep": q_segment_sweep,

@@ -87,6 +87,8 @@ class SubscriberColumns:
         "Contract", "InternetService", "PaymentMethod", "PaperlessBilling",
         "TechSupport", "OnlineSecurity")
     month_to_month: str = "Month-to-month"
+    # Accepted width of a one-hot column; more levels are refused.
+    max_levels: int = 1000
 
 
 SUBSCRIBER = SubscriberColumns()
@@ -99,8 +101,8 @@ FIXTURE = SubscriberColumns(
     contract="contract", segment="segment",
     numeric=("tenure", "monthly_charges", "total_charges", "senior"),
     model_flags=("paperless", "urgent", "high_value"),
-    model_equals=(("region", "EUROPE"),),
-    model_onehot=(("contract", "contract"), ("region", "region"), ("priority", "priority")),
+    model_equals=(("priority", "1-URGENT"),),
+    model_onehot=(("contract", "contract"), ("region", "region")),
     cluster_flags=("paperless", "urgent"),
     cluster_onehot=(("contract", "contract"), ("region", "region")),
     rate_columns=("contract", "region", "priority", "paperless", "urgent", "high_value"),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every churnlens job wants; the cluster's own values win where set.
 _DEFAULTS = {
@@ -44,8 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is.  Only when it is unset, as in local tests, a fresh
-    scratch folder is created.
+    and is used as is; without it a cluster job is refused, because executors
+    do not see a folder of the driver's machine.  Only a local session, as in
+    tests, gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,9 +55,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="churnlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    For a result that several later steps read: its plan runs once, lineage is
+    cut, and a lost executor costs a re-read.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -23,8 +23,10 @@ churn_binary       churn as 0/1
 
 Plan: the orders aggregate is one hash aggregation keyed by customer (partial
 aggregation map-side, so a customer holding a third of all orders costs one
-row per map task); the customer join reuses that key; nation and region are
-size-checked broadcasts; the newest order date is a scalar subquery.
+row per map task); the customer join reuses that key; nation and region (fixed
+dimension tables) are broadcast by hint; the newest order date is a scalar
+subquery.  Building the view runs no job, and ``orders`` is read twice: for the
+facts and for the newest date.
 """
 
 from __future__ import annotations
@@ -32,8 +34,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.operators.joins import bounded_broadcast
-
 # Fixed values of the view definition.
 CHURN_GAP_DAYS = 180
 TENURE_DAY_UNIT = 30.0
@@ -51,37 +51,32 @@ def subscriber_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
     odate = F.to_date("o_orderdate")
-    # Priorities are aggregated as a fixed-width code (hash aggregation; a
-    # string-valued min_by would force a sort-based aggregation of all
-    # orders) and decoded afterwards from the small table of distinct values.
-    pcode = F.xxhash64("o_orderpriority")
-    codes = orders.select(pcode.alias("_pcode"), F.col("o_orderpriority").alias("priority")).distinct()
+    # The first order's priority rides along as a struct minimum.  Its string
+    # makes the aggregation sort-based, but only for queries that read the
+    # priority: for all others the planner prunes it and hashes.
     per_customer = orders.groupBy(F.col("o_custkey").alias("customer_id")).agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total_charges"),
         F.min(odate).alias("first_date"),
         F.max(odate).alias("last_date"),
-        F.min_by(pcode, "o_orderkey").alias("_pcode"),
+        F.min(F.struct("o_orderkey", "o_orderpriority")).alias("first_order"),
         F.bool_or(F.col("o_orderstatus") == "O").alias("any_open"),
         F.bool_or(F.col("o_orderpriority") == "1-URGENT").alias("any_urgent"),
         F.max("o_totalprice").alias("max_price"),
     )
     newest = orders.select(F.max(odate)).scalar()
 
-    geo = (nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey)
+    geo = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
            .select("n_nationkey", F.col("r_name").alias("region")))
     cust = (customer.select(F.col("c_custkey").alias("customer_id"), "c_nationkey",
                             "c_acctbal", F.col("c_mktsegment").alias("contract"))
-            .join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+            .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
 
     churned = F.datediff(newest, F.col("last_date")) > F.lit(CHURN_GAP_DAYS)
-    # distinct priorities: checked eagerly (one column of orders, aggregated
-    # map-side) so the lookup is broadcast and the customer rows never get
-    # hashed on a five-value key
-    per_customer = per_customer.join(bounded_broadcast(codes), "_pcode", "left")
     return (per_customer.join(cust, "customer_id", "inner")
             .select(
-                "customer_id", "contract", "region", "priority",
+                "customer_id", "contract", "region",
+                F.col("first_order.o_orderpriority").alias("priority"),
                 (F.col("c_acctbal") < 0).cast("int").alias("senior"),
                 F.when(F.col("any_open"), "Yes").otherwise("No").alias("paperless"),
                 F.when(F.col("any_urgent"), "Yes").otherwise("No").alias("urgent"),

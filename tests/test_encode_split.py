@@ -9,12 +9,12 @@ from churnlens.operators import encode, split
 
 def test_one_hot_drop_first(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), (None,)], "v string")
-    oh = encode.fit_one_hot(df, [("v", "v")], drop_first=True)
+    oh = encode.fit_one_hot(df, [("v", "v")], 10, drop_first=True)
     assert oh.output_columns == ["v_b", "v_c"]
     rows = oh.transform(df).select("v", "v_b", "v_c").collect()
     got = {r["v"]: (r["v_b"], r["v_c"]) for r in rows}
     assert got == {"a": (0, 0), "b": (1, 0), "c": (0, 1), None: (0, 0)}
-    full = encode.fit_one_hot(df, [("v", "v")])
+    full = encode.fit_one_hot(df, [("v", "v")], 10)
     assert all(sum(r[c] for c in full.output_columns) <= 1
                for r in full.transform(df).collect())
 
@@ -35,9 +35,6 @@ def test_population_scaling_and_constant(spark):
     out = m.transform(df).collect()
     assert all(r["k"] == 0.0 for r in out)
     assert math.isclose(sum(r["a"] for r in out), 0.0, abs_tol=1e-12)
-    sql = encode.standardize_sql(df, ["a", "k"]).collect()
-    assert [round(r["a"], 12) for r in sql] == [round(r["a"], 12) for r in out]
-    assert all(r["k"] == 0.0 for r in sql)
 
 
 def test_split_exact_per_class(spark):
@@ -61,6 +58,23 @@ def test_folds_partition_rows(spark):
     assert max(sizes.values()) - min(sizes.values()) <= 2
 
 
+def test_split_and_folds_follow_the_md5_order(spark):
+    import hashlib
+
+    rows = [(i, [None, 0, 1, 1, 1][i % 5]) for i in range(700)]
+    df = spark.createDataFrame(rows, "key long, y int")
+    by = {}
+    for k, y in rows:
+        by.setdefault(y, []).append((hashlib.md5(f"{k}:9".encode()).hexdigest(), k))
+    test = {k for ks in by.values() for _, k in sorted(ks)[:math.ceil(0.2 * len(ks))]}
+    fold = {k: i % 4 for ks in by.values() for i, (_, k) in enumerate(sorted(ks))}
+    got = split.stratified_split(df, "y", "key", 0.2, 9)
+    assert got.columns == ["key", "y", "is_test"] and got.count() == 700
+    assert {r["key"] for r in got.where("is_test = 1").collect()} == test
+    folds = split.assign_folds(df.where("y is not null"), "y", "key", 4, 9).collect()
+    assert {r["key"]: r["fold"] for r in folds} == {k: f for k, f in fold.items() if rows[k][1] is not None}
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (0,)], "y int")
     w = split.class_weights(df, "y").first()

@@ -26,6 +26,41 @@ def test_attach_by_key_checks_uniqueness(spark):
         joins.attach_by_key(left, bad, "k")
 
 
+def test_scores_that_are_no_number_are_left_out(spark):
+    rows = [(1, 0.9), (0, 0.1), (1, 0.4), (0, 0.5), (1, None), (0, float("nan"))]
+    df = spark.createDataFrame(rows, "label int, score double")
+    assert metrics.roc_auc(df).first()["auc"] == 0.75
+    curve = {r["threshold"]: (r["fpr"], r["tpr"]) for r in metrics.roc_curve(df).collect()}
+    assert curve == {float("inf"): (0.0, 0.0), 0.9: (0.0, 0.5), 0.5: (0.5, 0.5), 0.4: (0.5, 1.0), 0.1: (1.0, 1.0)}
+
+
+def test_models_are_measured_in_one_table(spark):
+    df = spark.createDataFrame([(1, 1, 0.9, 0, 0.2), (0, 0, 0.1, 1, 0.8), (1, 0, 0.4, 1, None)],
+                               "label int, p1 int, s1 double, p2 int, s2 double")
+    t = metrics.metric_tables(df, "label", {"a": ("p1", "s1"), "b": ("p2", "s2")})
+    got = {(r["model"], r["metric"]): r["value"] for r in t.collect()}
+    assert got["a", "auc"] == 1.0 and got["b", "auc"] == 0.0 and got["a", "recall"] == 0.5 and got["b", "precision"] == 0.5
+    pair = {r["metric"]: r["delta"] for r in metrics.compare_models(t, "a", "b").collect()}
+    assert pair["auc"] == -1.0 and pair["keep_linear"] == 0.0
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from churnlens import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
 def test_roc_score_rounding_bounds_points(spark):
     df = spark.range(1000).select((F.col("id") % 2).cast("int").alias("label"),
                                   (F.col("id") / 1000.0).alias("score"))

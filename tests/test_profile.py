@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from churnlens.operators import clean, profile, rates, stats
-from churnlens.operators.ranking import exact_quantiles, global_row_number, running_sums
+from churnlens.operators.ranking import exact_quantiles, running_sums
 
 
 def test_quartile_interpolates(spark):
@@ -20,21 +20,35 @@ def test_quantiles_match_numpy_under_repartition(spark):
     rng = np.random.default_rng(1)
     vals = np.round(rng.normal(size=997), 1)  # many ties
     df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(7)
-    q = exact_quantiles(df, ["x"], [0.1, 0.5, 0.9], slices=5).first()
+    q = exact_quantiles(df, ["x"], [0.1, 0.5, 0.9]).first()
     for p, tag in [(0.1, "q_10"), (0.5, "q_50"), (0.9, "q_90")]:
         assert math.isclose(q[tag], float(np.quantile(vals, p)), abs_tol=1e-12)
 
 
-def test_running_sums_and_row_number(spark):
+def test_quantiles_narrow_their_brackets(spark):
+    rng = np.random.default_rng(2)
+    a = rng.normal(size=9000)
+    b = np.where(rng.random(9000) < 0.4, 7.0, np.round(rng.exponential(size=9000), 2))  # a third ties
+    df = spark.createDataFrame([(float(x), float(y), None) for x, y in zip(a, b)]
+                               + [(float("nan"), None, None)], "a double, b double, none double").repartition(5)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.6, 0.99, 1.0]
+    rows = {r["variable"]: r for r in exact_quantiles(df, ["a", "b", "none"], probs, bracket_rows=100, accuracy=25).collect()}
+    for name, values in (("a", a), ("b", b)):
+        for p in probs:
+            assert math.isclose(rows[name][f"q_{round(p * 100):02d}"], float(np.quantile(values, p)), abs_tol=1e-12)
+    assert all(rows["none"][f"q_{round(p * 100):02d}"] is None for p in probs)
+
+
+def test_running_sums(spark):
     pdf = pd.DataFrame({"g": [i % 3 for i in range(200)], "k": list(range(200)),
                         "v": [float(i % 7) for i in range(200)]})
     df = spark.createDataFrame(pdf).repartition(5)
-    out = running_sums(df, ["k"], ["v"], ["g"], slices=6).toPandas().sort_values("k")
+    out = running_sums(df, "k", ["v"], ["g"], slices=6).toPandas().sort_values("k")
     exp = pdf.sort_values("k").groupby("g")["v"].cumsum()
     assert np.allclose(out["v_cum"].to_numpy(), exp.to_numpy())
-    rn = global_row_number(df, [F.desc("k")], ["g"], slices=4).toPandas().sort_values("k")
-    exp_rn = pdf.sort_values("k", ascending=False).groupby("g").cumcount().add(1).sort_index()
-    assert rn["rn"].tolist() == exp_rn.tolist()
+    back = running_sums(df, "k", ["v"], ["g"], slices=4, descending=True).toPandas().sort_values("k")
+    exp = pdf.sort_values("k", ascending=False).groupby("g")["v"].cumsum().sort_index()
+    assert np.allclose(back["v_cum"].to_numpy(), exp.to_numpy())
 
 
 def test_drop_missing_counts(spark):
@@ -73,6 +87,17 @@ def test_correlation_constant_column_is_null(spark):
     assert math.isclose(r[("a", "c")], float(np.corrcoef([1, 2, 3], [2, 4.1, 5.9])[0, 1]))
 
 
+def test_kde_prebin_keeps_its_error_bound(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(0, float(x)) for x in rng.normal(size=400)], "c int, x double")
+    h = df.toPandas()["x"].std() * 400 ** -0.2
+    exact = stats.kde(df, "x", "c", points=60).orderBy("point").toPandas()
+    coarse = stats.kde(df, "x", "c", points=60, prebin=0.02).orderBy("point").toPandas()
+    # the grid moves with the rounded ends; compare at the exact grid's points
+    near = np.interp(exact["x"], coarse["x"], coarse["density"])
+    assert np.abs(near - exact["density"]).max() <= 0.121 * 0.02 / h**2 + 0.01
+
+
 def test_kde_matches_formula(spark):
     xs = [1.0, 2.0, 2.0, 3.5, 7.0]
     df = spark.createDataFrame([(0, x) for x in xs], "c int, x double")

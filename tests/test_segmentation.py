@@ -45,6 +45,42 @@ def test_canonical_ids_order_by_risk(spark):
     df = spark.createDataFrame([(0, 1), (0, 0), (1, 1), (1, 1), (2, 0)], "c int, y int")
     m = {r["c"]: r["segment_id"] for r in segment.canonical_ids(df, "c", "y").collect()}
     assert m == {1: 1, 0: 2, 2: 3}
+    with_null = df.union(spark.createDataFrame([(None, 1)], "c int, y int"))
+    assert {r["c"]: r["segment_id"] for r in segment.canonical_ids(with_null, "c", "y").collect()} == {**m, None: None}
+
+
+def test_crosstab_keeps_every_level(spark):
+    df = spark.range(2400).select((F.col("id") % 2).cast("int").alias("s"), F.concat(F.lit("l"), F.col("id") % 1200).alias("c"))
+    rows = segment.crosstab(df.union(spark.createDataFrame([(0, None), (None, "l7")], "s int, c string")), "s", "c").collect()
+    assert len(rows) == 1200 + 1
+    assert sum(r["n"] for r in rows) == 2401 and {r["pct"] for r in rows} == {0.2, 100.0}
+
+
+def test_fit_segments_finds_the_blobs(spark):
+    df, pts = blobs(spark)
+    fit = segment.fit_segments(df.cache(), 3, n_init=2, seed=1)
+    centres = sorted(c.round(0).tolist()[:2] for c in fit.model.clusterCenters())
+    assert centres == [[0.0, 0.0], [0.0, 6.0], [6.0, 0.0]]
+
+
+def test_stored_segments_are_assigned_again(spark, scratch):
+    from churnlens.plans import flows
+    from churnlens.schema import SegmentConfig, SubscriberColumns
+
+    rng = np.random.default_rng(6)
+    rows = [(i, int(rng.integers(0, 2)), float(10 * (i % 3) + rng.normal()), float(rng.normal()), float(i), 0, "ab"[i % 2], "Yes")
+            for i in range(150)]
+    cols = SubscriberColumns(key="k", label="y", tenure="t", monthly="m", total="tot", senior="sen", contract="c",
+                             numeric=("t", "m"), cluster_flags=("f",), cluster_onehot=(("c", "c"),))
+    df = spark.createDataFrame(rows, "k long, y int, t double, m double, tot double, sen int, c string, f string")
+    cfg = SegmentConfig(k_values=(2, 3), n_init=2)
+    s = flows.segmentation(df, cols, cfg)
+    flows.save_segments(s, f"{scratch}/segments")
+    again = flows.assign_stored_segments(df, f"{scratch}/segments")
+    ids = lambda d: {r["k"]: r["segment_id"] for r in d.select("k", "segment_id").collect()}
+    assert ids(again) == ids(s.segmented) and len(ids(again)) == 150
+    assert s.points.count() == 150 and 0 < sum(r["share"] for r in s.shares.collect()) <= 1.0 + 1e-9
+    assert flows.segmentation(df, cols, cfg, k=2).sweep.count() == 1
 
 
 def test_write_report(spark, scratch):
