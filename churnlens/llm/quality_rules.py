@@ -35,7 +35,7 @@ RATIOS = {
     "word_length": Ratio("word_chars / n_words", 0.5, low=True),
     "symbols_per_word": Ratio("n_symbols / n_words", 0.05),
     "upper_per_char": Ratio("n_upper / greatest(word_chars, 1)", 0.05),
-    "dup_line_share": Ratio("n_dup_lines / greatest(n_lines, 1)", 0.05),
+    "dup_line_share": Ratio("n_dup_lines / greatest(n_lines, 1)", 0.1),
     "repeat_word_share": Ratio("n_repeat_words / n_words", 0.05),
 }
 WIDTH = 4.0
@@ -111,12 +111,11 @@ def judged(docs: DataFrame, *keep: str, width: float = WIDTH, min_group: int = M
     by_source = groups.where("level = 0").select(F.col("lang").alias("_l0"), F.col("source").alias("_s0"),
                                                  large.alias("_f0"))
     by_lang = groups.where("level = 1").select(F.col("lang").alias("_l1"), large.alias("_f1"))
-    by_all = groups.where("level = 3").select(F.col("fences").alias("_f3"))  # one row
+    of_all = groups.where("level = 3").select("fences").scalar()  # one row, or none
     out = (rows.join(by_source, F.col("lang").eqNullSafe(F.col("_l0")) & F.col("source").eqNullSafe(F.col("_s0")), "left")
            .join(by_lang, F.col("lang").eqNullSafe(F.col("_l1")), "left")
-           .join(F.broadcast(by_all), F.lit(True), "left"))
-    fence = F.coalesce("_f0", "_f1", "_f3")
-    inside = F.forall(F.arrays_zip(F.col("ratios").alias("x"), fence.alias("f")),
+           .withColumn("_fence", F.coalesce("_f0", "_f1", of_all)))
+    inside = F.forall(F.arrays_zip(F.col("ratios").alias("x"), F.col("_fence").alias("f")),
                       lambda z: (z["x"] >= z["f"]["low"]) & (z["x"] <= z["f"]["high"]))
     kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(F.coalesce(inside, F.lit(False)))
     return out.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
