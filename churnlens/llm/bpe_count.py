@@ -16,10 +16,13 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +30,8 @@ from churnlens.llm.common import read_table, ship_package
 
 CACHE_ENTRIES = 400_000
 LONGEST_CACHED = 64
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE = 2_000
+CHARACTERS_AT_ONCE = 8_000_000
 
 # The characters with the Unicode property White_Space, which is
 # what the pre-tokenizer's \\s means (Python's own \\s has four more).
@@ -35,22 +39,47 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 RUNS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
-def pieces_of(text: str) -> list[str]:
-    """The text cut into pieces that the pre-tokenizer treats independently.
+# A text that holds one of these is cut by RUNS; all others have words parted by
+# one space or one line end each, and are cut by Arrow's string functions.
+FIRST = "\x01"
+ODD = (r"[ \n][ \n]|^[ \n]|[ \n]$|^$|[\x01\t\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+       r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 
-    A piece is a separator run with the word after it; a line end that stands
-    alone between two words is a piece of its own (it is a pre-token, and the
-    next word starts without a space).
+
+def portions(texts: Sequence[str | None]) -> Iterator[tuple[int, Sequence[str | None]]]:
+    """The texts in runs of bounded number and size, with the place of the first."""
+    first = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if i + 1 - first == TEXTS_AT_ONCE or size >= CHARACTERS_AT_ONCE:
+            yield first, texts[first:i + 1]
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, texts[first:]
+
+
+def cut(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray, np.ndarray]]:
+    """Texts cut into pieces that the pre-tokenizer treats independently.
+
+    A piece is a separator run with the word after it.  Yields groups of texts
+    as (their places in ``texts``, distinct pieces, index of every piece in
+    order, end of each text in the index).
     """
-    lines = text.split("\n")
-    if len(text.split()) != text.count(" ") + len(lines):
-        return RUNS.findall(text)  # some run is longer, at an end, or another separator
-    out = []
-    for i, line in enumerate(lines):
-        head, *rest = line.split(" ")
-        out += ["\n", head] if i else [head]
-        out += [" " + w for w in rest]
-    return out
+    array = pa.array(["" if t is None else t for t in texts], pa.large_string())
+    odd = pc.match_substring_regex(array, ODD).to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(~odd)
+    if len(at):
+        spaced = pc.replace_substring(array.take(pa.array(at)), "\n", " \n")
+        mark, nothing = (pa.scalar(x, pa.large_string()) for x in (FIRST, ""))
+        lists = pc.split_pattern(pc.binary_join_element_wise(mark, spaced, nothing), " ")
+        words = lists.flatten().dictionary_encode()
+        pieces = [w[1:] if w[0] == FIRST else w if w[0] == "\n" else " " + w for w in words.dictionary.to_pylist()]
+        yield at, pieces, words.indices.to_numpy(), lists.offsets.to_numpy()[1:].astype(np.int64)
+    at = np.flatnonzero(odd)
+    if len(at):
+        place: dict[str, int] = {}
+        found = [[place.setdefault(p, len(place)) for p in RUNS.findall(texts[i] or "")] for i in at]
+        yield at, list(place), np.array([k for x in found for k in x], dtype=np.int64), np.cumsum([len(x) for x in found])
 
 
 class GenerationCache(dict):
@@ -60,37 +89,29 @@ class GenerationCache(dict):
         super().__init__()
         self.make, self.entries, self.old = make, entries, {}
 
+    def lookup(self, keys: Collection) -> dict:
+        """What is known of ``keys``; nothing is made."""
+        get, old = self.get, self.old.get
+        found = {k: v for k in keys if (v := get(k)) is not None}
+        if self.old and len(found) < len(keys):
+            again = {k: v for k in keys if k not in found and (v := old(k)) is not None}
+            self.store(again)
+            found |= again
+        return found
+
+    def store(self, items: dict) -> None:
+        if len(self) + len(items) > self.entries:
+            self.old = dict(self)
+            self.clear()
+        self.update((k, v) for k, v in items.items() if len(k) <= LONGEST_CACHED)
+
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        self.add(key, value)
+        self.store({key: value})
         return value
 
-    def table(self, keys: set) -> tuple[dict, list]:
-        """What is known of ``keys`` as a small dict, and the other keys.
-
-        Texts share most pieces, so a few texts together look each piece up
-        here once and then in the small dict, which stays in the CPU's cache.
-        """
-        get, old = self.get, self.old.get
-        found = {k: v for k in keys if (v := get(k)) is not None}
-        rest = []
-        for k in keys - found.keys():
-            if (v := old(k)) is None:
-                rest.append(k)
-            else:
-                found[k] = v
-                self.add(k, v)
-        return found, rest
-
-    def add(self, key, value) -> None:
-        if len(key) <= LONGEST_CACHED:
-            if len(self) >= self.entries:
-                self.old = dict(self)
-                self.clear()
-            self[key] = value
-
 
 def byte_alphabet() -> dict[str, int]:
     """The printable character that byte-level vocabularies use for each byte."""
@@ -158,14 +179,15 @@ class ByteBpeCounter:
         parts = self.special.split(text)  # specials stand at odd places
         return sum(map(self._plain, parts[::2])) + len(parts) // 2
 
-    def counts(self, texts: Sequence[str | None]) -> Iterator[int]:
+    def counts(self, texts: Sequence[str | None]) -> np.ndarray:
         """Tokens of each whole text (null: 0)."""
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            split = [pieces_of(t) if t else [] for t in texts[at:at + TEXTS_AT_ONCE]]
-            table, rest = self.pieces.table(set().union(*split))
-            table.update((w, self.pieces[w]) for w in rest)
-            for pieces in split:
-                yield sum(map(table.__getitem__, pieces))
+        out = np.zeros(len(texts), dtype=np.int64)
+        for first, some in portions(texts):
+            for at, pieces, index, ends in cut(some):
+                each = np.fromiter(map(self.pieces.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+                upto = np.concatenate([[0], np.cumsum(each[index])])
+                out[first + at] = upto[ends] - upto[np.concatenate([[0], ends[:-1]])]
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -181,7 +203,7 @@ def token_count_udf(vocab_path: str):
     def n_tokens(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         count = counter(vocab_path)
         for batch in texts:
-            yield pd.Series(list(count.counts(batch.tolist())), dtype="int64")
+            yield pd.Series(count.counts(batch.tolist()), dtype="int64")
 
     return n_tokens
 

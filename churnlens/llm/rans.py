@@ -23,7 +23,7 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm.bpe_count import TEXTS_AT_ONCE, GenerationCache, pieces_of
+from churnlens.llm.bpe_count import GenerationCache, cut, portions
 from churnlens.llm.common import read_table, shared_path, ship_package, stored
 
 SCALE = 20
@@ -209,21 +209,36 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in found]
 
-    def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+    def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text with the end id, as little-endian bytes."""
-        texts = list(texts)
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            split = [pieces_of(t or "") for t in texts[at:at + TEXTS_AT_ONCE]]
-            table, rest = self.known.table(set().union(*split))
-            parts = {w: self.parts(w) for w in rest}
-            more, new = self.known.table({p for ps in parts.values() for p in ps if p not in table})
-            table |= more
-            table.update(zip(new, self.raw(new)))
-            table.update((w, b"".join(map(table.__getitem__, ps))) for w, ps in parts.items() if len(ps) > 1)
-            for w in (*new, *rest):
-                self.known.add(w, table[w])
-            for pieces in split:
-                yield b"".join(map(table.__getitem__, pieces)) + self.end
+        out = [self.end] * len(texts)
+        for first, some in portions(texts):
+            for at, pieces, index, ends in cut(some):
+                coded = self.coded(pieces)
+                sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // np.dtype(self.kind).itemsize
+                ids = np.frombuffer(b"".join(coded), dtype=self.kind)
+                own, starts = sizes[index], (np.cumsum(sizes) - sizes)[index]
+                upto = np.cumsum(own)
+                total = int(upto[-1]) if len(upto) else 0
+                row = ids[np.repeat(starts - (upto - own), own) + np.arange(total)]
+                bounds = np.concatenate([[0], upto])[np.concatenate([[0], ends])].tolist()
+                for i, a, b in zip(at.tolist(), bounds, bounds[1:]):
+                    out[first + i] = row[a:b].tobytes() + self.end
+        return out
+
+    def coded(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece; the library is asked for the unknown ones in one batch."""
+        found = self.known.lookup(pieces)
+        parts = {w: self.parts(w) for w in pieces if w not in found}
+        inner = {p for ps in parts.values() if len(ps) > 1 for p in ps if p not in found and p not in parts}
+        found |= self.known.lookup(inner)
+        new = [w for w, ps in parts.items() if len(ps) == 1] + [p for p in inner if p not in found]
+        fresh = dict(zip(new, self.raw(new)))
+        found |= fresh
+        joined = {w: b"".join(map(found.__getitem__, ps)) for w, ps in parts.items() if len(ps) > 1}
+        self.known.store(fresh | joined)
+        found |= joined
+        return list(map(found.__getitem__, pieces))
 
     @staticmethod
     def parts(piece: str) -> tuple[str, ...]:
@@ -245,7 +260,7 @@ def tokenized(docs: DataFrame, vocab_path: str, end_id: int) -> DataFrame:
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode_texts = encoder(vocab_path, end_id)
         for batch in texts:
-            yield pd.Series(list(encode_texts(batch)), dtype=object)
+            yield pd.Series(encode_texts(batch.tolist()), dtype=object)
 
     width = np.dtype(Encoder(vocab_path, end_id).kind).itemsize
     rows = docs.select("doc_id", ids("text").alias("ids"))

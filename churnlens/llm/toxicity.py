@@ -38,6 +38,7 @@ from churnlens.llm.quality import isotonic
 STEMS = (4, 5, 6, 7, 8)
 END = "$"
 BIN = 0.05
+CACHE_ENTRIES = 150_000
 BEST = 8
 RUNS = re.compile(r"[^\W_]+")
 
@@ -130,7 +131,7 @@ class Scanner:
 
     def __init__(self, model: ToxicityModel):
         self.model = model
-        self.scores = GenerationCache(model.token_score)
+        self.scores = GenerationCache(model.token_score, entries=CACHE_ENTRIES)
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, list[tuple[int, int, float]]]:
         pieces = (text or "").split()

@@ -41,3 +41,13 @@ def test_cache_is_bounded_and_exact():
     cache = bpe_count.GenerationCache(lambda k: seen.append(k) or len(k), entries=3)
     assert [cache[k] for k in ("a", "bb", "ccc", "dddd", "a", "e" * 99)] == [1, 2, 3, 4, 1, 99]
     assert len(cache) <= 3 and "e" * 99 not in cache
+
+
+def test_portions_are_bounded(monkeypatch):
+    monkeypatch.setattr(bpe_count, "TEXTS_AT_ONCE", 3)
+    monkeypatch.setattr(bpe_count, "CHARACTERS_AT_ONCE", 10)
+    texts = ["a", None, "b", "c" * 20, "d", "e" * 9, "f"]
+    got = list(bpe_count.portions(texts))
+    assert [t for _, part in got for t in part] == texts
+    assert [(first, len(part)) for first, part in got] == [(0, 3), (3, 1), (4, 2), (6, 1)]
+    assert list(bpe_count.portions([])) == []
