@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from churnlens.llm.common import read_table, ship_package
 
-CACHE_ENTRIES = 400_000
+# Twice as many are held (two generations), about 160 bytes each, per worker.
+PIECES_CACHED = 300_000
+WORDS_CACHED = 100_000
 LONGEST_CACHED = 64
 TEXTS_AT_ONCE = 2_000
 CHARACTERS_AT_ONCE = 8_000_000
@@ -85,7 +87,7 @@ def cut(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, list[str], np
 class GenerationCache(dict):
     """Bounded memo: ``make`` fills misses; the older half is dropped when full."""
 
-    def __init__(self, make, entries: int = CACHE_ENTRIES):
+    def __init__(self, make, entries: int):
         super().__init__()
         self.make, self.entries, self.old = make, entries, {}
 
@@ -163,18 +165,17 @@ class ByteBpeCounter:
         self.ranks = {(raw(a), raw(b)): r for r, (a, b) in enumerate(
             m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])}
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        special = [t["content"] for t in spec["added_tokens"]]
-        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") \
-            if special else None
-        self.words = GenerationCache(lambda w: merges_left(w.encode(), self.ranks))
-        self.pieces = GenerationCache(self._piece)
+        self.specials = [t["content"] for t in spec["added_tokens"]]
+        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")")
+        self.words = GenerationCache(lambda w: merges_left(w.encode(), self.ranks), WORDS_CACHED)
+        self.pieces = GenerationCache(self._piece, PIECES_CACHED)
 
     def _plain(self, text: str) -> int:
         words = self.words
         return sum(words[w] for w in self.pattern.findall(text))
 
     def _piece(self, text: str) -> int:
-        if self.special is None:
+        if not any(s in text for s in self.specials):
             return self._plain(text)
         parts = self.special.split(text)  # specials stand at odd places
         return sum(map(self._plain, parts[::2])) + len(parts) // 2

@@ -27,6 +27,8 @@ SPACE = r"[\x20\x09-\x0D]"
 # counted; beyond it the join is left to the planner (shuffle join).
 BROADCAST_ROWS = 50_000
 
+TEXTS_PER_BATCH = 2_000
+
 _SHIPPED = "_churnlens_shipped"
 
 
@@ -36,12 +38,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the executors once per SparkContext.
+    """Send this package's code to the executors once per SparkContext, and bound Arrow batches.
 
     Python workers import the operators' kernels by module name, so their
     caches live as long as a worker and not as long as a task.
     """
     sc = spark.sparkContext
+    # texts are large: fewer of them in an Arrow batch keep a worker's memory low
+    batch = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < batch <= TEXTS_PER_BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
     if getattr(sc, _SHIPPED, False):
         return
     root = Path(__file__).resolve().parents[1]
