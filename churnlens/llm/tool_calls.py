@@ -143,10 +143,12 @@ def results_of(messages: DataFrame) -> DataFrame:
 def _pushed(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, behind, hops, cyclic) of the calls that must move behind a later one.
 
-    ``behind`` is the largest position among the calls it waits for.  A call
-    that moves more often than its conversation has moving calls is on a
-    cycle, or pushed behind one.  Only edges that point forward or to a moving call
-    take part, so the usual conversation costs no round.
+    ``behind`` is the largest position among the calls it waits for, directly
+    or through others; it only grows, so its rounds end on cycles too.  Calls
+    behind the same position are then ranked by the longest chain of
+    dependencies among them (``hops``); a chain longer than their number means
+    that the call is on a cycle, or waits for one at the same position.  The
+    usual conversation costs one round of either.
     """
     firsts = calls.where("first").select("conv_id", "call_id", "position", "after")
     edges = stored(firsts.select("conv_id", "call_id", "position", F.explode("after").alias("on"))
@@ -154,33 +156,39 @@ def _pushed(calls: DataFrame) -> DataFrame:
                    .join(firsts.select("conv_id", F.col("call_id").alias("on"), F.col("position").alias("on_position")),
                          ["conv_id", "on"]), "tools-edges")
     moved = stored(edges.where("on_position >= position").groupBy("conv_id", "call_id")
-                   .agg(F.max("on_position").alias("behind"))
-                   .withColumn("hops", F.lit(1)).withColumn("cyclic", F.lit(False)), "tools-moved")
-    rounds = 1
+                   .agg(F.max("on_position").alias("behind")), "tools-moved")
     while True:
-        later = moved.select("conv_id", F.col("call_id").alias("on"), F.col("behind").alias("on_behind"),
-                             F.col("hops").alias("on_hops"), F.col("cyclic").alias("on_cyclic"))
+        later = moved.select("conv_id", F.col("call_id").alias("on"), F.col("behind").alias("on_behind"))
         push = (edges.join(later, ["conv_id", "on"]).where("on_behind >= position")
-                .groupBy("conv_id", "call_id").agg(
-                    F.max(F.struct(F.col("on_behind").alias("b"), (F.col("on_hops") + 1).alias("h"))).alias("p"),
-                    F.max("on_cyclic").alias("c")))
-        both = moved.join(push, ["conv_id", "call_id"], "full")
-        best = F.greatest(F.struct(F.col("behind").alias("b"), F.col("hops").alias("h")), F.col("p"))
-        best = F.when(F.col("p").isNull() | F.coalesce("cyclic", F.lit(False)),
-                      F.struct(F.col("behind").alias("b"), F.col("hops").alias("h"))).when(
-            F.col("behind").isNull(), F.col("p")).otherwise(best)
-        nxt = both.select("conv_id", "call_id", best.alias("n"), "behind", "hops",
-                          F.coalesce("cyclic", F.lit(False)).alias("was"), F.coalesce("c", F.lit(False)).alias("c"))
-        sizes = nxt.groupBy("conv_id").agg(F.count("*").alias("size"))
-        nxt = nxt.join(sizes, "conv_id").select(
-            "conv_id", "call_id", F.col("n.b").alias("behind"), F.col("n.h").alias("hops"),
-            (F.col("was") | F.col("c") | (F.col("n.h") > F.col("size"))).alias("cyclic"),
-            (~F.struct("behind", "hops").eqNullSafe(F.struct(F.col("n.b").alias("behind"), F.col("n.h").alias("hops")))
-             | (F.col("c") & ~F.col("was"))).alias("changed"))
-        nxt = stored(nxt, "tools-moved")
+                .groupBy("conv_id", "call_id").agg(F.max("on_behind").alias("p")))
+        both = moved.join(push, ["conv_id", "call_id"], "full").select(
+            "conv_id", "call_id", F.greatest("behind", "p").alias("n"), "behind")
+        both = stored(both.select("conv_id", "call_id", F.col("n").alias("behind"),
+                                  (~F.col("n").eqNullSafe(F.col("behind"))).alias("changed")), "tools-moved")
+        grown = both.where("changed").limit(1).count()
+        moved = both.drop("changed")
+        if not grown:
+            break
+    sizes = moved.groupBy("conv_id", "behind").agg(F.count("*").alias("size"))
+    moved = stored(moved.join(sizes, ["conv_id", "behind"]).withColumn("hops", F.lit(1)).withColumn(
+        "cyclic", F.lit(False)), "tools-hops")
+    place = moved.select("conv_id", "call_id", "behind")
+    level = stored(edges.select("conv_id", "call_id", "on").join(place, ["conv_id", "call_id"])
+                   .join(place.withColumnRenamed("call_id", "on"), ["conv_id", "on", "behind"])
+                   .select("conv_id", "call_id", "on"), "tools-level")
+    while True:
+        later = moved.select("conv_id", F.col("call_id").alias("on"), F.col("hops").alias("on_hops"),
+                             F.col("cyclic").alias("on_cyclic"))
+        push = (level.join(later, ["conv_id", "on"]).groupBy("conv_id", "call_id")
+                .agg((F.max("on_hops") + 1).alias("h"), F.max("on_cyclic").alias("c")))
+        nxt = moved.join(push, ["conv_id", "call_id"], "left")
+        hops = F.when(F.col("cyclic"), F.col("hops")).otherwise(F.greatest("hops", F.coalesce("h", F.lit(1))))
+        cyclic = F.col("cyclic") | F.coalesce("c", F.lit(False)) | (hops > F.col("size"))
+        nxt = stored(nxt.select("conv_id", "call_id", "behind", "size", hops.alias("hops"), cyclic.alias("cyclic"),
+                                ((hops > F.col("hops")) | (cyclic & ~F.col("cyclic"))).alias("changed")), "tools-hops")
         if not nxt.where("changed").limit(1).count():
-            return nxt.drop("changed")
-        moved, rounds = nxt.drop("changed"), rounds + 1
+            return nxt.select("conv_id", "call_id", "behind", "hops", "cyclic")
+        moved = nxt.drop("changed")
 
 
 def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -192,7 +200,7 @@ def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
 
     status, the first that holds: ``no_id`` (null id), ``duplicate`` (a call
     whose id an earlier call has; it links to nothing), ``cycle`` (on a cycle of
-    dependencies, or pushed behind one: it has no place in the order), ``early``
+    dependencies, or waiting for one at the same position), ``early``
     (the result stands before the call), ``unanswered``, ``invalid`` (broken
     arguments), ``linked``; ``orphan`` for a result without a call.  Of several
     results of an id the first counts.  A null conv_id is a conversation of
