@@ -664,17 +664,11 @@ def q_coefficient_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.top_signed(q_coefficients(spark, sf_dir), "coefficient", 5, tie="feature")
 
 
-# Rounds of the boosted trees in the registered cross-validation; the analysis
-# (plans/analysis.py) takes the configured 300.
-CV_ROUNDS = 50
-
-
 def _cv(spark: SparkSession, sf_dir: str):
     from churnlens.plans import flows
     from churnlens.schema import GBTConfig
 
-    return _cached(spark, sf_dir, "cv", lambda: flows.cross_validate(
-        _run(spark, sf_dir), C, GBTConfig(max_iter=CV_ROUNDS)))
+    return _cached(spark, sf_dir, "cv", lambda: flows.cross_validate(_run(spark, sf_dir), C, GBTConfig()))
 
 
 def q_cv_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
