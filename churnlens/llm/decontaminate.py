@@ -4,7 +4,8 @@ Texts and benchmark items become sequences of shingle hashes (five lower-cased
 words of letters and digits; an item of fewer words is one shingle).  For each
 length of an item, windows of that many words slide over every text that
 shares a shingle with some item; only windows that hold such a shingle are
-formed, as any other window has similarity zero.  A window's SimHash is cut
+formed, as any other window has similarity zero.  A text shorter than the item
+is one window of its own.  A window's SimHash is cut
 into radius + 1 blocks; of two fingerprints within the radius at least one
 block is equal, so a join on (length, block, value) finds them all.  Candidates
 within the radius are verified by their exact weighted Jaccard similarity,
@@ -128,10 +129,11 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
         texts = stored(_sharing(docs, index, k), "decontaminate-texts")
         hits = (texts.select("key_a", "key_b", F.size("h").alias("size"), F.posexplode("h").alias("at", "s"))
                 .join(broadcast_if_small(index), "s").groupBy("key_a", "key_b", "size", "n", "m")
-                .agg(F.collect_set("at").alias("at")).where("size >= m"))  # bounded by one text's length
+                .agg(F.collect_set("at").alias("at"))  # bounded by one text's length
+                .where(F.col("size") >= similarity * F.col("m") - 1e-6))  # a similarity is at most size / m
         starts = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(
             F.greatest(p - F.col("m") + 1, F.lit(0)), F.greatest(F.least(p, F.col("size") - F.col("m")), F.lit(0))))))
-        starts = hits.select("key_a", "key_b", "n", "m", F.explode(starts).alias("start")).where("start + m <= size")
+        starts = hits.select("key_a", "key_b", "n", "m", F.explode(starts).alias("start"))  # 0 if size < m
         windows = (starts.join(texts, ["key_a", "key_b"])
                    .select("key_a", "key_b", "n", "start", once(F.expr("slice(h, start + 1, m)"), "window")))
         windows = windows.select("*", once(majority("window"), "fp"))
@@ -150,9 +152,9 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
         shared = F.when(plain, F.size(F.array_intersect("window", "item_h"))).otherwise(F.aggregate(
             F.array_distinct("item_h"), F.lit(0), lambda a, x: a + F.least(count(F.col("window"), x), count(F.col("item_h"), x))))
         near = near.select("*", once(shared, "shared")).withColumn(
-            "similarity", F.col("shared") / (2 * F.col("m") - F.col("shared"))).where(F.col("similarity") >= similarity)
+            "similarity", F.col("shared") / (F.size("window") + F.col("m") - F.col("shared"))).where(F.col("similarity") >= similarity)
         found.append(near.groupBy("key_a", "key_b", "item_id").agg(
-            F.max(F.struct("similarity", (-F.col("start")).alias("back"), F.col("n").alias("n_words"),
+            F.max(F.struct("similarity", (-F.col("start")).alias("back"), (F.size("window") + k - 1).alias("n_words"),
                            (-F.bit_count(diff)).alias("near"))).alias("best")))
     if not found:
         return docs.where(F.lit(False)).select(
@@ -168,7 +170,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """doc_id, item_id, start_word, n_words, hamming, similarity of every document and item it leaks.
 
     One row per row of ``docs`` and leaked item: the most similar window, the
-    earliest among equals.  Null and empty texts leak nothing; a null doc_id
+    earliest among equals.  ``n_words`` counts the window's words: the item's,
+    or all of a text that has fewer.  Null and empty texts leak nothing; a null doc_id
     is reported as null; repeated rows repeat; extra columns are ignored;
     an empty table on either side gives an empty result.
     """

@@ -112,3 +112,27 @@ def test_empty_tables(spark, make_docs):
     assert dc.find_leaks(make_docs([]), benchmark(spark, items)).collect() == []
     assert dc.find_leaks(make_docs([(1, "some text")]), benchmark(spark, [])).collect() == []
     assert dc.keep_unleaked(make_docs([(1, "some text")]), benchmark(spark, [])).count() == 1
+
+
+def test_a_text_shorter_than_the_item_is_one_window(spark, make_docs):
+    rng = random.Random(3)
+    item = [f"{rng.choice('bcdfg')}{i}" for i in range(38)]
+    twice = (["one", "and", "the", "same", "run"] * 8)[:38]
+    docs = [(1, item[:36]), (2, item[2:]), (3, item[:32]), (4, item[:31]), (5, item[:30]), (6, item[:20]),
+            (7, item[:34] + ["other", "end"]), (8, twice[:35]), (9, item[:37]), (10, item)]
+    docs = [(i, " ".join(w)) for i, w in docs]
+    items = [(0, " ".join(item)), (1, " ".join(twice))]
+    want = {}
+    for item_id, text in items:
+        whole = [tuple(text.split()[i:i + 5]) for i in range(34)]
+        for doc_id, t in docs:
+            w = t.split()
+            have = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+            shared = sum((Counter(have) & Counter(whole)).values())
+            if shared / (len(have) + 34 - shared) >= 0.8:
+                want[doc_id, item_id] = (shared / (len(have) + 34 - shared), 0, len(w))
+    assert {1, 2, 3, 8} <= {d for d, _ in want} and want[1, 0][0] == 32 / 34 and (6, 0) not in want
+    rows = dc.find_leaks(make_docs(docs), benchmark(spark, items)).collect()
+    assert {(r.doc_id, r.item_id): (r.similarity, r.start_word, r.n_words) for r in rows} == want
+    kept = dc.keep_unleaked(make_docs(docs), benchmark(spark, items)).collect()
+    assert {r.doc_id for r in kept} == {i for i, _ in docs} - {d for d, _ in want}
