@@ -22,9 +22,7 @@ from pyspark.sql import functions as F
 from churnlens.llm.common import BROADCAST_ROWS, broadcast_if_small, read_table, stored
 
 BITS = 64
-LANES = 16  # counters of 16 bits: bit b is counted in sum b % 16, lane b // 16
-LANE_MASK = sum(1 << (LANES * k) for k in range(BITS // LANES))
-MAX_COUNT = (1 << 16) - 1
+NARROW, WIDE = 16, 32  # bits of a counter: bit b is counted in sum b % bits, lane b // bits
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -57,15 +55,18 @@ def majority(window: str) -> Column:
     """SimHash of an array column of hashes: bits set in more than half of them.
 
     Sixteen sums count four bits each, so one pass over the array serves all
-    64 bits; windows have at most 65535 shingles.  The sums are the one element
-    of an array, so that they are computed once.
+    64 bits; where 16-bit counters could overflow, 32 sums count two bits each.
     """
-    shifts = ", ".join(map(str, range(LANES)))
-    sums = (f"aggregate({window}, array_repeat(0L, {LANES}), (acc, h) -> zip_with(acc, array({shifts}), "
-            f"(a, j) -> a + (shiftrightunsigned(h, j) & {LANE_MASK}L)))")
-    bits = " | ".join(f"if(2 * (shiftrightunsigned(s[{b % LANES}], {LANES * (b // LANES)}) & {MAX_COUNT}L) > "
-                      f"size({window}), shiftleft(1L, {b}), 0L)" for b in range(BITS))
-    return F.expr(f"transform(array({sums}), s -> {bits})[0]")
+    def counted(width: int) -> str:
+        lanes = sum(1 << k for k in range(0, BITS, width))
+        shifts = ", ".join(map(str, range(width)))
+        sums = (f"aggregate({window}, array_repeat(0L, {width}), (acc, h) -> zip_with(acc, array({shifts}), "
+                f"(a, j) -> a + (shiftrightunsigned(h, j) & {lanes}L)))")
+        bits = " | ".join(f"if(2 * (shiftrightunsigned(s[{b % width}], {b // width * width}) & {(1 << width) - 1}L) > "
+                          f"size({window}), shiftleft(1L, {b}), 0L)" for b in range(BITS))
+        return f"transform(array({sums}), s -> {bits})[0]"
+
+    return F.expr(f"if(size({window}) < {1 << NARROW}, {counted(NARROW)}, {counted(WIDE)})")
 
 
 def items_of(benchmark: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -78,9 +79,7 @@ def items_of(benchmark: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     h = reduce(lambda rest, k: F.when(F.col("k") == k, shingles(F.col("w"), k)).otherwise(rest),
                range(1, shingle + 1), F.lit(None).cast("array<long>"))
     df = df.select(F.xxhash64("item_id", "w").alias("item"), "item_id", F.size("w").alias("n"), "k", h.alias("h"))
-    too_long = F.raise_error(F.lit("a benchmark item has more than 65535 shingles"))
-    return (df.withColumn("m", F.when(F.size("h") > MAX_COUNT, too_long.cast("int")).otherwise(F.size("h")))
-            .withColumn("fp", majority("h")))
+    return df.withColumn("m", F.size("h")).withColumn("fp", majority("h"))
 
 
 def once(column: Column, name: str) -> Column:

@@ -136,3 +136,18 @@ def test_a_text_shorter_than_the_item_is_one_window(spark, make_docs):
     assert {(r.doc_id, r.item_id): (r.similarity, r.start_word, r.n_words) for r in rows} == want
     kept = dc.keep_unleaked(make_docs(docs), benchmark(spark, items)).collect()
     assert {r.doc_id for r in kept} == {i for i, _ in docs} - {d for d, _ in want}
+
+
+def test_majority_of_more_hashes_than_16_bits_count(spark):
+    ones, bit = -1, 1 << 40
+    got = spark.createDataFrame([([ones] * 70_000,), ([bit] * 40_000 + [0] * 39_999,), ([bit] * 40_000 + [0] * 40_000,)],
+                                "h array<long>").select(dc.majority("h").alias("fp")).collect()
+    assert [r.fp for r in got] == [ones, bit, 0]
+
+
+def test_an_item_of_any_length_is_found(spark, make_docs):
+    words = [f"w{i}" for i in range(66_000)]
+    docs = [(1, " ".join(["before", "it", *words, "after"])), (2, " ".join(words[:-3])), (3, " ".join(words[:9]))]
+    rows = dc.find_leaks(make_docs(docs), benchmark(spark, [(7, " ".join(words))])).collect()
+    assert sorted((r.doc_id, r.item_id, r.start_word, r.n_words) for r in rows) == [(1, 7, 2, 66_000), (2, 7, 0, 65_997)]
+    assert {r.doc_id: r.similarity for r in rows} == {1: 1.0, 2: 65_993 / 65_996}
