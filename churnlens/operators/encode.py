@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from churnlens.functions import binarize
 from churnlens.schema import SubscriberColumns
+from churnlens.session import materialize
 
 
 def encode_flags(df: DataFrame, columns: Sequence[str], positive: str = "Yes",
@@ -61,15 +62,16 @@ def fit_one_hot(df: DataFrame, columns: Sequence[tuple[str, str]], max_levels: i
             .unpivot([], names, "variable", "level")
             .where(F.col("level").isNotNull())
             .distinct())
-    sets = long.groupBy("variable").agg(F.count(F.lit(1)).alias("n"), F.sort_array(
-        F.collect_list(F.when(F.col("variable").isNotNull(), F.col("level")))).alias("levels"))
-    small = sets.select("variable", "n", F.when(F.col("n") <= max_levels, F.col("levels")).alias("levels"))
-    levels = {r["variable"]: (r["n"], r["levels"]) for r in small.collect()}
+    long = materialize(long, "levels")
+    counts = {r["variable"]: r["n"] for r in long.groupBy("variable").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for c in names:
+        if counts.get(c, 0) > max_levels:
+            raise ValueError(f"{c} has {counts[c]} levels, more than max_levels={max_levels}")
+    sets = long.groupBy("variable").agg(F.sort_array(F.collect_list("level")).alias("levels"))  # max_levels at most
+    levels = {r["variable"]: r["levels"] for r in sets.collect()}
     specs = []
     for c, prefix in columns:
-        n, lv = levels.get(c, (0, []))
-        if n > max_levels:
-            raise ValueError(f"{c} has {n} levels, more than max_levels={max_levels}")
+        lv = levels.get(c, [])
         specs.append((c, prefix, tuple(lv[1:] if drop_first else lv)))
     return OneHotModel(tuple(specs))
 

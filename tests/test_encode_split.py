@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from churnlens.operators import encode, split
@@ -28,6 +29,17 @@ def test_one_hot_level_cap(spark):
     raise AssertionError("cap not enforced")
 
 
+def test_one_hot_counts_before_it_gathers_levels(spark, monkeypatch):
+    df = spark.range(20).select(F.col("id").cast("string").alias("v"), F.lit("x").alias("w"))
+
+    def gathered(*_):
+        raise AssertionError("levels gathered before they were counted")
+
+    monkeypatch.setattr(encode.F, "collect_list", gathered)
+    with pytest.raises(ValueError, match="v has 20 levels"):
+        encode.fit_one_hot(df, [("w", "w"), ("v", "v")], max_levels=10)
+
+
 def test_population_scaling_and_constant(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 5.0)], "a double, k double")
     m = encode.fit_standard_scaler(df, ["a", "k"])
