@@ -14,8 +14,8 @@ linear pass finds all maximal-scoring segments of a whole text.
 
 Calibration: scores of chance segments follow an extreme-value law with
 decay lambda (from the token scores of clean texts) and scale K (censored
-maximum likelihood over clean texts).  The sums of a text's best segments
-become one log p-value, and an isotonic curve over it gives the score.
+maximum likelihood over clean texts).  The sums of a text's best segments, of
+all that raise the sum, become one log p-value, and an isotonic curve over it gives the score.
 """
 
 from __future__ import annotations
@@ -39,7 +39,6 @@ STEMS = (4, 5, 6, 7, 8)
 END = "$"
 BIN = 0.05
 CACHE_ENTRIES = 150_000
-BEST = 8
 RUNS = re.compile(r"[^\W_]+")
 
 
@@ -84,13 +83,18 @@ class ToxicityModel:
         return math.log(1 - r + r * math.exp(best)) if best else math.log(1 - r)
 
     def log_p(self, scores: list[float], n: int) -> float:
-        """Minus the log p-value of a text's best segments (sum statistics)."""
+        """Minus the log p-value of a text's best segments (sum statistics).
+
+        Segments count, best first, as long as the sum grows: one that chance
+        gives once or more in a text of this length adds nothing.
+        """
         best, total = 0.0, 0.0
         floor = math.log(max(self.scale * max(n, 1), 1.0))
-        for r, s in enumerate(sorted(scores, reverse=True)[:BEST], 1):
-            total += self.decay * s - floor
-            if total <= 0:
+        for r, s in enumerate(sorted(scores, reverse=True), 1):
+            gain = self.decay * s - floor
+            if gain <= 0:
                 break
+            total += gain
             best = max(best, total - (r - 1) * math.log(max(total, 1.0)) + math.lgamma(r + 1) + math.lgamma(r))
         return best
 
@@ -227,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2,
             rows = []
             for text, label in zip(batch["text"], batch["label"]):
                 tokens, found = run(text)
-                best = sorted((s for *_, s in found), reverse=True)[:BEST]
+                best = sorted((s for *_, s in found), reverse=True)
                 rows.append((int(label), len(tokens), best,
                              np.rint(tokens[tokens > 0] / BIN).astype(int).tolist() if not label else []))
             yield pd.DataFrame(rows, columns=["label", "n", "best", "bins"])

@@ -85,3 +85,11 @@ def test_without_labels_or_documents(spark, make_docs):
     one_class = labelled(spark, 3, lambda i: 0)
     assert all(r.predicted == 0 for r in toxicity.score_documents(docs, one_class).collect())
     assert toxicity.score_documents(make_docs([]), none).collect() == []
+
+
+def test_every_significant_passage_counts():
+    model = toxicity.ToxicityModel()
+    weak = [model.log_p([6.0] * r, 100) for r in range(1, 60)]  # each a little above chance
+    assert all(a < b for a, b in zip(weak, weak[1:]))
+    assert model.log_p([9.0, 6.0] + [4.0] * 50, 100) == model.log_p([9.0, 6.0], 100)  # chance segments add nothing
+    assert model.log_p([4.0] * 50, 100) == model.log_p([], 100) == 0
