@@ -17,8 +17,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm.bpe_count import token_count_udf
 from churnlens.llm.common import numbered, read_table, ship_package, stored
+from churnlens.llm.rans import length_udf
 
 
 @dataclass(frozen=True)
@@ -102,7 +102,7 @@ def pack(docs: DataFrame, vocab_path: str, cfg: PackingConfig = PackingConfig())
     """
     ship_package(docs.sparkSession)
     rows = stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                              token_count_udf(vocab_path)("text").alias("n_tokens")), "packing-lengths")
+                              length_udf(vocab_path)("text").alias("n_tokens")), "packing-lengths")
     bounds = fit_boundaries(rows, cfg)
     own = padded(F.col("n_tokens"), cfg.multiple)
     fits = F.array_min(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<long>"), lambda b: b >= own))

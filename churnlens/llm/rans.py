@@ -13,7 +13,9 @@ frequency f (out of 2**SCALE) a state at or above f << (63 - SCALE) emits its
 low word, which keeps states in [2**31, 2**63).
 
 Frames leave through Spark's text sink, whose line separator is the zero byte
-that ends every frame.
+that ends every frame.  A data set is a folder: ``table`` holds the shared
+frequencies with their checksum, ``ids`` the frames, so any session that is
+given the path can decode it.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,10 +54,10 @@ CLOSED = re.compile(r"( ?[^\W_]+)([.,;:!?]+)")
 class Layout:
     """Lanes per step, ids per frame (a longer document has its own), steps between checkpoints, ids per file."""
 
-    lanes: int = 1024
-    frame_ids: int = 1 << 18
+    lanes: int = 2048
+    frame_ids: int = 1 << 20
     checkpoint: int = 128
-    file_ids: int = 1 << 22
+    file_ids: int = 1 << 24
 
 
 class Table:
@@ -235,11 +238,14 @@ class Encoder:
         new = [w for w, ps in parts.items() if len(ps) == 1] + [p for p in inner if p not in found]
         fresh = dict(zip(new, self.raw(new)))
         found |= fresh
-        joined = {w: b"".join(map(found.__getitem__, ps)) for w, ps in parts.items() if len(ps) > 1}
+        joined = {w: self.joined([found[p] for p in ps]) for w, ps in parts.items() if len(ps) > 1}
         self.known.store(fresh | joined)
         found |= joined
         return list(map(found.__getitem__, pieces))
 
+    def joined(self, parts: list[bytes]) -> bytes:
+        return b"".join(parts)
+
     @staticmethod
     def parts(piece: str) -> tuple[str, ...]:
         found = CLOSED.fullmatch(piece)
@@ -252,37 +258,100 @@ def encoder(vocab_path: str, end_id: int) -> Encoder:
     return Encoder(vocab_path, end_id)
 
 
-def tokenized(docs: DataFrame, vocab_path: str, end_id: int) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian, end id appended) of every row."""
-    ship_package(docs.sparkSession)
+class LengthCounter(Encoder):
+    """Numbers of ids of whole texts, without the ids."""
 
-    @F.pandas_udf("binary")
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode_texts = encoder(vocab_path, end_id)
+    def raw(self, pieces: list[str]) -> list[int]:
+        return [len(e) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def joined(self, parts: list[int]) -> int:
+        return sum(parts)
+
+    def __call__(self, texts: Sequence[str | None]) -> np.ndarray:
+        out = np.zeros(len(texts), dtype=np.int64)
+        for first, some in portions(texts):
+            for at, pieces, index, ends in cut(some):
+                upto = np.concatenate([[0], np.cumsum(np.array(self.coded(pieces), dtype=np.int64)[index])])
+                out[first + at] = np.diff(upto[np.concatenate([[0], ends])])
+        return out
+
+
+@lru_cache(maxsize=2)
+def length_counter(vocab_path: str) -> LengthCounter:
+    """One counter per Python worker and vocabulary."""
+    return LengthCounter(vocab_path, 0)
+
+
+def length_udf(vocab_path: str):
+    """A vectorised text -> number of ids function (null counts as empty, no end id)."""
+
+    @F.pandas_udf("long")
+    def n_tokens(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        count = length_counter(vocab_path)
         for batch in texts:
-            yield pd.Series(encode_texts(batch.tolist()), dtype=object)
+            yield pd.Series(count(batch.tolist()), dtype="int64")
 
-    width = np.dtype(Encoder(vocab_path, end_id).kind).itemsize
-    rows = docs.select("doc_id", ids("text").alias("ids"))
-    return rows.select("doc_id", (F.octet_length("ids") / width).cast("long").alias("n_tokens"), "ids")
+    return n_tokens
 
 
-def shared_table(tokens: DataFrame, vocabulary: int, kind: str) -> Table:
-    """The frequency table of all ids: partition counts, summed; at most one row per id reaches the driver."""
+def tokenized(docs: DataFrame, vocab_path: str, end_id: int) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian, end id appended) of every row, and histogram rows.
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(vocabulary, dtype=np.int64)
-        for batch in batches:
-            total += np.bincount(np.frombuffer(b"".join(batch["ids"]), dtype=kind), minlength=vocabulary)
-        found = np.flatnonzero(total)
-        yield pd.DataFrame({"id": found.astype(np.int32), "n": total[found]})
+    A task that has seen all its rows adds one row whose ``seen`` lists how
+    often each id occurred in them; it is null in the rows of documents.
+    """
+    ship_package(docs.sparkSession)
+    known = Encoder(vocab_path, end_id)
+    kind, width, vocabulary = known.kind, np.dtype(known.kind).itemsize, known.vocabulary
+    key = docs.schema["doc_id"].dataType.simpleString()
 
-    rows = tokens.select("ids").mapInPandas(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode_texts = encoder(vocab_path, end_id)
+        total, keys = np.zeros(vocabulary, dtype=np.int64), None
+
+        def rows(doc_ids, lengths, raw, seen) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [doc_ids, pa.array(lengths, pa.int64()), pa.array(raw, pa.binary()),
+                 pa.array(seen, pa.list_(pa.struct([("id", pa.int32()), ("n", pa.int64())])))],
+                names=["doc_id", "n_tokens", "ids", "seen"])
+
+        for batch in batches:
+            keys = batch.column(0).type
+            raw = encode_texts(batch.column(1).to_pylist())
+            total += np.bincount(np.frombuffer(b"".join(raw), dtype=kind), minlength=vocabulary)
+            yield rows(batch.column(0), [len(r) // width for r in raw], raw, [None] * len(raw))
+        if keys is not None:
+            found = np.flatnonzero(total)
+            seen = [{"id": i, "n": n} for i, n in zip(found.tolist(), total[found].tolist())]
+            yield rows(pa.nulls(1, keys), [None], [None], [seen])
+
+    return docs.select("doc_id", "text").mapInArrow(
+        ids, f"doc_id {key}, n_tokens long, ids binary, seen array<struct<id:int,n:long>>")
+
+
+def shared_table(seen: DataFrame, vocabulary: int) -> Table:
+    """The frequency table of all ids: task histograms, summed; at most one row per id reaches the driver."""
+    rows = (seen.select(F.explode("seen").alias("c")).groupBy("c.id").agg(F.sum("c.n").alias("n"))).toPandas()
     counts = np.zeros(vocabulary, dtype=np.int64)
     counts[rows["id"].to_numpy(dtype=np.int64)] = rows["n"]
     return Table.from_counts(counts)
 
 
+def save_table(spark: SparkSession, table: Table, path: str) -> None:
+    """The shared table with its checksum, beside the frames."""
+    rows = pd.DataFrame({"id": np.arange(len(table.freq)), "freq": table.freq.astype(np.int64), "crc": table.crc})
+    spark.createDataFrame(rows, "id int, freq long, crc long").coalesce(1).write.parquet(f"{path}/table")
+
+
+def load_table(spark: SparkSession, path: str) -> Table:
+    """The table that the frames below ``path`` were coded with (one row per id of the vocabulary)."""
+    rows = spark.read.parquet(f"{path}/table").orderBy("id").toPandas()
+    table = Table(rows["freq"].to_numpy(dtype=np.int64))
+    if len(rows) and int(rows["crc"].iloc[0]) != table.crc:
+        raise ValueError("checksum of the table differs")
+    return table
+
+
 def write_files(tokens: DataFrame, path: str, table: Table, kind: str, layout: Layout = Layout()) -> None:
     """Write the rows of ``tokens`` in ascending doc_id order below ``path``.
 
@@ -319,13 +388,13 @@ def write_files(tokens: DataFrame, path: str, table: Table, kind: str, layout: L
     ordered = (tokens.repartitionByRange(max(1, -(-total // layout.file_ids)), "doc_id")
                .sortWithinPartitions("doc_id", "n_tokens", "ids"))
     framed = ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "ids").mapInPandas(pack, "frame binary")
-    framed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\0").text(path)
+    framed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\0").text(f"{path}/ids")
 
 
-def read_files(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document in the files."""
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document in the data set at ``path``."""
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(table)
+    shared = spark.sparkContext.broadcast(load_table(spark, path))
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -340,7 +409,7 @@ def read_files(spark: SparkSession, path: str, table: Table) -> DataFrame:
                     yield out.astype({"doc_id": "Int64"})
                     before += f.n
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/ids")
     rows = stored(files.select("path", "content").mapInPandas(
         unpack, "file string, doc_id long, start long, n_tokens long, ids_crc32 long"), "rans-read")
     # one row per file; files are ranges of doc_id, so the first id orders them
@@ -352,13 +421,14 @@ def read_files(spark: SparkSession, path: str, table: Table) -> DataFrame:
                                           "ids_crc32")
 
 
-def write_corpus(docs: DataFrame, path: str, vocab_path: str, end_id: int, layout: Layout = Layout()) -> Table:
-    """Tokenize, fit the shared table over all ids and write the files; returns the table."""
+def write_corpus(docs: DataFrame, path: str, vocab_path: str, end_id: int, layout: Layout = Layout()) -> None:
+    """Tokenize, fit the shared table over all ids and write table and files below ``path``."""
+    spark = docs.sparkSession
     known = Encoder(vocab_path, end_id)
-    tokens = stored(tokenized(docs, vocab_path, end_id), "rans-ids")
-    table = shared_table(tokens, known.vocabulary, known.kind)
-    write_files(tokens, path, table, known.kind, layout)
-    return table
+    rows = stored(tokenized(docs, vocab_path, end_id), "rans-ids")
+    table = shared_table(rows.where("seen is not null").select("seen"), known.vocabulary)
+    save_table(spark, table, path)
+    write_files(rows.where("seen is null").drop("seen"), path, table, known.kind, layout)
 
 
 def op2_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,5 +441,5 @@ def op2_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = shared_path(spark, "rans")
     docs = read_table(spark, sf_dir, "documents")
-    table = write_corpus(docs, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
-    return read_files(spark, path, table)
+    write_corpus(docs, path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_files(spark, path)

@@ -32,11 +32,17 @@ def test_whole_table(spark):
 def test_edges_and_small_files(spark, make_docs, edge_texts, scratch):
     rows = [*enumerate(edge_texts), (None, "no id"), (3, "same id"), (3, "same id"), (-5, "negative")]
     layout = rans.Layout(lanes=8, frame_ids=64, checkpoint=2, file_ids=500)
-    table = rans.write_corpus(make_docs(rows), f"{scratch}/a", PATH, 2, layout)
-    got = [tuple(r) for r in rans.read_files(spark, f"{scratch}/a", table).collect()]
+    rans.write_corpus(make_docs(rows), f"{scratch}/a", PATH, 2, layout)
+    got = [tuple(r) for r in rans.read_files(spark.newSession(), f"{scratch}/a").collect()]
     assert sorted(got, key=lambda r: r[1]) == expected(rows)
-    table = rans.write_corpus(make_docs([]), f"{scratch}/b", PATH, 2)
-    assert rans.read_files(spark, f"{scratch}/b", table).collect() == []
+    rans.write_corpus(make_docs([]), f"{scratch}/b", PATH, 2)
+    assert rans.read_files(spark, f"{scratch}/b").collect() == []
+
+
+def test_lengths_are_the_encoders(edge_texts):
+    rows = list(enumerate([*edge_texts, "abc.,; def!! x?", "word.", "...", "a<|endoftext|>."]))
+    ids = {i: n - 1 for i, _, n, _ in expected(rows)}
+    assert rans.LengthCounter(PATH, 2)([t for _, t in rows]).tolist() == [ids[i] for i, _ in rows]
 
 
 @pytest.mark.parametrize("n,distinct", [(0, 5), (1, 1), (7, 3), (64, 2), (1000, 40), (5000, 50_257)])
