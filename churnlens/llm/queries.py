@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from churnlens.llm import (bpe_count, decontaminate, packing, quality, quality_rules, rans, simhash, tool_calls,
-                           toxicity, warc)
+from churnlens.llm import (bpe_count, decontaminate, packing, periodic, quality, quality_rules, rans, simhash,
+                           tool_calls, toxicity, warc)
 
 QUERIES = {
     "op1_tool_call_links": tool_calls.op1_tool_call_links,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_simhash_decontamination": decontaminate.op8_simhash_decontamination,
     "op9_warc": warc.op9_warc,
     "op10_adaptive_rules": quality_rules.op10_adaptive_rules,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
 }
 
 #: Queries that SQL can express; the others are tested against brute force.
