@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from churnlens.llm import (bpe_count, decontaminate, packing, periodic, quality, quality_rules, rans, simhash,
-                           tool_calls, toxicity, warc)
+from churnlens.llm import (bpe_count, decontaminate, packing, periodic, quality, quality_rules, rans,
+                           secret_scan, simhash, tool_calls, toxicity, warc)
 
 QUERIES = {
     "op1_tool_call_links": tool_calls.op1_tool_call_links,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_adaptive_rules": quality_rules.op10_adaptive_rules,
     "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_secret_scan": secret_scan.op13_secret_scan,
 }
 
 #: Queries that SQL can express; the others are tested against brute force.
