@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from churnlens.llm import (bpe_count, decontaminate, packing, periodic, quality, quality_rules, rans,
-                           secret_scan, simhash, tool_calls, toxicity, warc)
+                           ranked_search, secret_scan, simhash, tool_calls, toxicity, warc)
 
 QUERIES = {
     "op1_tool_call_links": tool_calls.op1_tool_call_links,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_simhash_decontamination": decontaminate.op8_simhash_decontamination,
     "op9_warc": warc.op9_warc,
     "op10_adaptive_rules": quality_rules.op10_adaptive_rules,
+    "op11_ranked_search": ranked_search.op11_ranked_search,
     "op12_periodic_runs": periodic.op12_periodic_runs,
     "op13_secret_scan": secret_scan.op13_secret_scan,
 }
@@ -25,4 +26,5 @@ ORACLE = {
     "op8_simhash_decontamination": decontaminate.OP8_SQL,
     "op9_warc": warc.OP9_SQL,
     "op10_adaptive_rules": quality_rules.OP10_SQL,
+    "op11_ranked_search": ranked_search.OP11_SQL,
 }
