@@ -21,10 +21,8 @@ given the path can decode it.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -35,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm.bpe_count import GenerationCache, cut, portions
+from churnlens.llm.bpe_count import cut, portions
 from churnlens.llm.common import read_table, shared_path, ship_package, stored
 
 SCALE = 20
@@ -45,9 +43,11 @@ MAGIC = b"RNSF"
 # magic, version, scale, lanes, checkpoint steps, table crc, documents, ids, words, checkpoints, crc of the ids
 HEAD = struct.Struct("<4sBBHIIIQQII")
 VERSION = 1
-CACHE_ENTRIES = 700_000  # twice as many pieces are held per worker, about 200 bytes each
-# A word and the marks that close it.
-CLOSED = re.compile(r"( ?[^\W_]+)([.,;:!?]+)")
+# Pieces and ids held per worker (about 170 bytes a piece), pieces joined for the library.
+PIECES_KNOWN = 800_000
+IDS_KNOWN = 16_000_000
+JOINED = 2_000
+SEPARATORS = frozenset(["", *map(chr, range(0x2000, 0x200b)), *"\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"])
 
 
 @dataclass(frozen=True)
@@ -192,10 +192,11 @@ def frames(content: bytes) -> Iterator[Frame]:
 class Encoder:
     """Ids of whole texts by the tokenizers library, through a cache of pieces.
 
-    A text is cut at places that the byte-level pre-tokenizer always cuts;
-    pieces not yet known go to the library in one batch.  Of a word with
-    closing punctuation the two parts are looked up alone, as the
-    pre-tokenizer cuts between a letter or digit and such a mark.
+    A text is cut at places that the byte-level pre-tokenizer always cuts.
+    Pieces not yet known go to the library, many joined to one text if each
+    begins with a single separator; the bytes that every id stands for tell
+    where the ids of a piece end.  Ids of known pieces lie in one array; when
+    it or the number of pieces has grown too large, all are forgotten.
     """
 
     def __init__(self, vocab_path: str, end_id: int):
@@ -204,82 +205,99 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(vocab_path)
         self.vocabulary = max(self.tokenizer.get_vocab_size(), end_id + 1)
-        self.kind, self.code = ("<u2", "H") if self.vocabulary <= 1 << 16 else ("<u4", "I")
+        self.kind = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
         self.end = np.array([end_id], dtype=self.kind).tobytes()
-        self.known = GenerationCache(lambda piece: self.raw([piece])[0], entries=CACHE_ENTRIES)
-
-    def raw(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [array(self.code, e.ids).tobytes() for e in found]
+        # a byte-level vocabulary writes every byte as one character
+        self.bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.vocabulary)], dtype=np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, dtype=self.kind)
+        self.ends = np.zeros(1 << 16, dtype=np.int64)  # ends[k], ends[k + 1] bound piece k; ends[0] stays 0
+
+    def raw(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.kind)
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def coded(self, pieces: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The pieces in another order, all their ids, the number of ids of each."""
+        joined = [p for p in pieces if p[0] in " \n" and p[1:2] not in SEPARATORS]
+        alone = [p for p in pieces if not (p[0] in " \n" and p[1:2] not in SEPARATORS)]
+        groups = [joined[i:i + JOINED] for i in range(0, len(joined), JOINED)]
+        found = self.raw(["".join(g) for g in groups])
+        order, ids, sizes = [], [], []
+        for group, got in zip(groups, found):
+            upto = np.cumsum(self.bytes[got])
+            ends = np.cumsum([len(p.encode()) for p in group])
+            at = np.searchsorted(upto, ends) + 1
+            if upto[-1:] != ends[-1] or (upto[at - 1] != ends).any():
+                raise ValueError("the vocabulary is not byte-level")
+            order += group
+            ids.append(got)
+            sizes.append(np.diff(at, prepend=0))
+        found = self.raw(alone)
+        ids += found
+        sizes.append(np.array([len(f) for f in found], dtype=np.int64))
+        return order + alone, np.concatenate([*ids, np.zeros(0, dtype=self.kind)]), np.concatenate(sizes)
+
+    def places(self, pieces: list[str]) -> np.ndarray:
+        """The number under which each piece is known; unknown ones are learnt first."""
+        get = self.known.get
+        new = [p for p in pieces if get(p) is None]
+        if new and (len(self.known) + len(new) > PIECES_KNOWN or self.ends[len(self.known)] > IDS_KNOWN):
+            self.forget()
+            new = pieces
+        if new:
+            order, ids, sizes = self.coded(new)
+            n, used = len(self.known), int(self.ends[len(self.known)])
+            self.ids = room(self.ids, used + len(ids))
+            self.ids[used:used + len(ids)] = ids
+            self.ends = room(self.ends, n + len(order) + 1)
+            self.ends[n + 1:n + len(order) + 1] = used + np.cumsum(sizes)
+            self.known.update(zip(order, range(n, n + len(order))))
+        return np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
 
     def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text with the end id, as little-endian bytes."""
         out = [self.end] * len(texts)
         for first, some in portions(texts):
             for at, pieces, index, ends in cut(some):
-                coded = self.coded(pieces)
-                sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // np.dtype(self.kind).itemsize
-                ids = np.frombuffer(b"".join(coded), dtype=self.kind)
-                own, starts = sizes[index], (np.cumsum(sizes) - sizes)[index]
+                place = self.places(pieces)[index]
+                start = self.ends[place]
+                own = self.ends[place + 1] - start
                 upto = np.cumsum(own)
                 total = int(upto[-1]) if len(upto) else 0
-                row = ids[np.repeat(starts - (upto - own), own) + np.arange(total)]
+                row = self.ids[np.repeat(start - (upto - own), own) + np.arange(total)]
                 bounds = np.concatenate([[0], upto])[np.concatenate([[0], ends])].tolist()
                 for i, a, b in zip(at.tolist(), bounds, bounds[1:]):
                     out[first + i] = row[a:b].tobytes() + self.end
         return out
 
-    def coded(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece; the library is asked for the unknown ones in one batch."""
-        found = self.known.lookup(pieces)
-        parts = {w: self.parts(w) for w in pieces if w not in found}
-        inner = {p for ps in parts.values() if len(ps) > 1 for p in ps if p not in found and p not in parts}
-        found |= self.known.lookup(inner)
-        new = [w for w, ps in parts.items() if len(ps) == 1] + [p for p in inner if p not in found]
-        fresh = dict(zip(new, self.raw(new)))
-        found |= fresh
-        joined = {w: self.joined([found[p] for p in ps]) for w, ps in parts.items() if len(ps) > 1}
-        self.known.store(fresh | joined)
-        found |= joined
-        return list(map(found.__getitem__, pieces))
-
-    def joined(self, parts: list[bytes]) -> bytes:
-        return b"".join(parts)
-
-    @staticmethod
-    def parts(piece: str) -> tuple[str, ...]:
-        found = CLOSED.fullmatch(piece)
-        return found.groups() if found else (piece,)
-
-
-@lru_cache(maxsize=2)
-def encoder(vocab_path: str, end_id: int) -> Encoder:
-    """One encoder per Python worker and vocabulary."""
-    return Encoder(vocab_path, end_id)
-
-
-class LengthCounter(Encoder):
-    """Numbers of ids of whole texts, without the ids."""
-
-    def raw(self, pieces: list[str]) -> list[int]:
-        return [len(e) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def joined(self, parts: list[int]) -> int:
-        return sum(parts)
-
-    def __call__(self, texts: Sequence[str | None]) -> np.ndarray:
+    def counts(self, texts: Sequence[str | None]) -> np.ndarray:
+        """The number of ids of each text, without the end id."""
         out = np.zeros(len(texts), dtype=np.int64)
         for first, some in portions(texts):
             for at, pieces, index, ends in cut(some):
-                upto = np.concatenate([[0], np.cumsum(np.array(self.coded(pieces), dtype=np.int64)[index])])
+                place = self.places(pieces)
+                upto = np.concatenate([[0], np.cumsum((self.ends[place + 1] - self.ends[place])[index])])
                 out[first + at] = np.diff(upto[np.concatenate([[0], ends])])
         return out
 
 
+def room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, at least ``size`` long; it doubles when it grows."""
+    if size <= len(array):
+        return array
+    out = np.zeros(max(size, 2 * len(array)), dtype=array.dtype)
+    out[:len(array)] = array
+    return out
+
+
 @lru_cache(maxsize=2)
-def length_counter(vocab_path: str) -> LengthCounter:
-    """One counter per Python worker and vocabulary."""
-    return LengthCounter(vocab_path, 0)
+def encoder(vocab_path: str, end_id: int) -> Encoder:
+    """One encoder per Python worker and vocabulary."""
+    return Encoder(vocab_path, end_id)
 
 
 def length_udf(vocab_path: str):
@@ -287,9 +305,9 @@ def length_udf(vocab_path: str):
 
     @F.pandas_udf("long")
     def n_tokens(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        count = length_counter(vocab_path)
+        known = encoder(vocab_path, 0)
         for batch in texts:
-            yield pd.Series(count(batch.tolist()), dtype="int64")
+            yield pd.Series(known.counts(batch.tolist()), dtype="int64")
 
     return n_tokens
 

@@ -42,7 +42,17 @@ def test_edges_and_small_files(spark, make_docs, edge_texts, scratch):
 def test_lengths_are_the_encoders(edge_texts):
     rows = list(enumerate([*edge_texts, "abc.,; def!! x?", "word.", "...", "a<|endoftext|>."]))
     ids = {i: n - 1 for i, _, n, _ in expected(rows)}
-    assert rans.LengthCounter(PATH, 2)([t for _, t in rows]).tolist() == [ids[i] for i, _ in rows]
+    assert rans.Encoder(PATH, 2).counts([t for _, t in rows]).tolist() == [ids[i] for i, _ in rows]
+
+
+def test_forgetting_changes_nothing(monkeypatch, edge_texts):
+    library = Tokenizer.from_file(PATH)
+    monkeypatch.setattr(rans, "PIECES_KNOWN", 5)
+    monkeypatch.setattr(rans, "JOINED", 3)
+    known = rans.Encoder(PATH, 2)
+    for t in [*edge_texts, "one two three four five six seven eight", "\nnine\nten  eleven one\u2003two", *edge_texts]:
+        want = [*library.encode(t or "", add_special_tokens=False).ids, 2]
+        assert np.frombuffer(known([t])[0], dtype=known.kind).tolist() == want
 
 
 @pytest.mark.parametrize("n,distinct", [(0, 5), (1, 1), (7, 3), (64, 2), (1000, 40), (5000, 50_257)])
