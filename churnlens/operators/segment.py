@@ -1,24 +1,25 @@
 """Segmentation: k-means with restarts, k sweep, silhouette, 2-D projection,
 segment profiles, cross-tabs and personas (M2-M6, J1, A10, A11, P17, T7).
 
-The feature table is cached once (``MEMORY_AND_DISK``, recomputable from
-lineage if an executor is lost); every k-means fit and evaluation reuses it.
-Cluster statistics that reach the driver are k x d numbers.
+The feature vectors are stored once as blocks; every step of every k-means fit
+is one scan of them (``operators/kmeans.py``).  Cluster statistics that reach
+the driver are k x d numbers per fit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions import band, decode, round_half_even
+from churnlens.operators.blocks import loaded, stored_blocks
+from churnlens.operators.kmeans import SegmentFit, best_of, fit_many
+from churnlens.operators.silhouette import PER_CLUSTER, silhouette_of_fits
 from churnlens.schema import PERSONA_ACTIONS, PERSONA_BANDS, PERSONA_DEFAULT
 
 
@@ -104,73 +105,31 @@ def canonical_ids(labelled: DataFrame, raw: str, label: str, out: str = "segment
 
 # --- k-means -------------------------------------------------------------
 
-@dataclass(frozen=True)
-class SegmentFit:
-    k: int
-    model: KMeansModel
-    inertia: float
-    seed: int
-
-
-def spark_tolerance(features: DataFrame, tol: float, features_col: str = "features") -> float:
-    """Per-centre shift bound equivalent to a relative scikit-learn tolerance.
-
-    scikit-learn stops when the summed squared centre shift is at most
-    ``tol * mean(variance of each feature)``; Spark stops when every centre
-    moved at most ``tol_spark``.  ``sqrt(tol * mean variance)`` bounds each
-    centre's shift by the same amount.  One pass (``Summarizer``).
-    """
-    import math
-
-    from pyspark.ml.stat import Summarizer
-
-    var = features.select(Summarizer.metrics("variance").summary(F.col(features_col)).alias("s")) \
-                  .first()["s"]["variance"].toArray()
-    return math.sqrt(tol * float(var.mean())) if var.size else tol
-
-
-def _fit_one(features: DataFrame, k: int, seed: int, max_iter: int, abs_tol: float,
-             features_col: str) -> SegmentFit:
-    km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=abs_tol, featuresCol=features_col,
-                predictionCol="cluster")
-    m = km.fit(features)
-    return SegmentFit(k, m, m.summary.trainingCost, seed)
-
-
-def _best(fits: Sequence[SegmentFit]) -> SegmentFit:
-    return min(fits, key=lambda f: (f.inertia, f.seed))
-
-
-def _fit_all(features: DataFrame, starts: Sequence[tuple[int, int]], max_iter: int, tol: float,
-             features_col: str, parallelism: int) -> list[SegmentFit]:
-    """One fit per (k, seed).  Starts are independent job chains: they go through
-    one pool, so the scheduler interleaves their small stages."""
-    abs_tol = spark_tolerance(features, tol, features_col)
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(starts)))) as pool:
-        return list(pool.map(lambda s: _fit_one(features, s[0], s[1], max_iter, abs_tol, features_col), starts))
+def _vectors(features: DataFrame, features_col: str):
+    """The feature vectors as stored blocks, loaded into the executors."""
+    return loaded(stored_blocks(features, vector_to_array(F.col(features_col)), "vectors"))
 
 
 def fit_segments(features: DataFrame, k: int, n_init: int = 10, seed: int = 42,
-                 max_iter: int = 300, tol: float = 1e-4, features_col: str = "features",
-                 parallelism: int = 10) -> SegmentFit:
+                 max_iter: int = 300, tol: float = 1e-4, features_col: str = "features") -> SegmentFit:
     """Best of ``n_init`` k-means starts by inertia (M2).
 
-    Spark's default of 20 iterations is too short for convergence parity;
-    300 iterations as in the reference.  ``tol`` has scikit-learn's meaning
-    (total squared centre shift relative to the mean feature variance) and is
-    converted to Spark's absolute per-centre shift by ``spark_tolerance``.
-    Starts use seeds ``seed .. seed + n_init - 1``.  Every iteration of every
-    start reads ``features``: pass a persisted frame.
+    300 iterations and ``tol`` as in the reference (total squared centre shift
+    relative to the mean feature variance).  Starts use seeds
+    ``seed .. seed + n_init - 1`` and share their scans.
     """
-    return _best(_fit_all(features, [(k, seed + i) for i in range(n_init)], max_iter, tol, features_col, parallelism))
+    blocks = _vectors(features, features_col)
+    try:
+        return best_of(fit_many(blocks, [(k, seed + i) for i in range(n_init)], max_iter, tol))
+    finally:
+        blocks.unpersist()
 
 
-def silhouette(df: DataFrame, features_col: str = "features", prediction: str = "cluster") -> float:
-    """Mean silhouette with squared Euclidean distance (M4).
+def squared_silhouette(df: DataFrame, features_col: str = "features", prediction: str = "cluster") -> float:
+    """Mean silhouette with squared Euclidean distance, from per-cluster sums (linear cost).
 
-    Spark's evaluator needs only per-cluster sums (linear cost).  The plain
-    Euclidean silhouette of the reference needs every pair of rows, which is
-    quadratic and not offered; the two numbers differ.
+    Another number than the Euclidean one of ``operators/silhouette.py``, by
+    which the sweep chooses k.
     """
     ev = ClusteringEvaluator(featuresCol=features_col, predictionCol=prediction,
                              metricName="silhouette", distanceMeasure="squaredEuclidean")
@@ -179,35 +138,26 @@ def silhouette(df: DataFrame, features_col: str = "features", prediction: str =
 
 def sweep_k(features: DataFrame, k_values: Sequence[int] = tuple(range(2, 9)), n_init: int = 10,
             seed: int = 42, max_iter: int = 300, tol: float = 1e-4,
-            features_col: str = "features", parallelism: int = 16) -> tuple[DataFrame, SegmentFit]:
-    """Inertia and silhouette per k; the winner (largest silhouette, smaller k on ties).
-
-    Every (k, start) fit is an independent job chain; all of them go through
-    one pool, then the per-k silhouettes.  Each reads ``features`` once per
-    iteration, so pass a persisted frame and choose ``n_init`` by what a pass
-    costs.  Returns the ``(k, inertia, silhouette, best)`` table and the
-    winning fit, which is reused rather than refitted.
+            features_col: str = "features", per_cluster: int = PER_CLUSTER) -> tuple[DataFrame, SegmentFit]:
+    """Inertia and Euclidean silhouette per k; the winner has the largest silhouette, the smaller k on ties.
+
+    All (k, start) fits share one scan per step; two more scans give the
+    silhouettes of the best fit of every k.  Returns the ``(k, inertia,
+    silhouette, standard_error, best)`` table and the winning fit.
     """
     k_values = list(k_values)
-    fits = _fit_all(features, [(k, seed + i) for k in k_values for i in range(n_init)], max_iter, tol,
-                    features_col, parallelism)
-    best = {k: _best([f for f in fits if f.k == k]) for k in k_values}
-    vectors = features.select(features_col)
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        sils = dict(zip(k_values, pool.map(
-            lambda k: silhouette(best[k].model.transform(vectors), features_col, "cluster"), k_values)))
-    rows = [(k, float(best[k].inertia), sils[k]) for k in k_values]
-    best_k = sorted(rows, key=lambda r: (-r[2], r[0]))[0][0]
-    table = features.sparkSession.createDataFrame([(k, i, s, k == best_k) for k, i, s in rows],
-                                                  "k int, inertia double, silhouette double, best boolean")
-    return table, best[best_k]
-
-
-def attach_segment(df: DataFrame, fit: SegmentFit, label: str, features_col: str = "features",
-                   out: str = "segment_id") -> DataFrame:
-    """Cluster of every row from the fitted model, renumbered canonically."""
-    scored = fit.model.transform(df)
-    return canonical_ids(scored, "cluster", label, out).drop("cluster")
+    blocks = _vectors(features, features_col)
+    try:
+        fits = fit_many(blocks, [(k, seed + i) for k in k_values for i in range(n_init)], max_iter, tol)
+        best = [best_of([f for f in fits if f.k == k]) for k in k_values]
+        scores = silhouette_of_fits(blocks, best, per_cluster, seed)
+    finally:
+        blocks.unpersist()
+    rows = [(f.k, f.inertia, s, e) for f, (s, e) in zip(best, scores)]
+    best_k = min(rows, key=lambda r: (-r[2], r[0]))[0]
+    table = features.sparkSession.createDataFrame([(*r, r[0] == best_k) for r in rows],
+                                                  "k int, inertia double, silhouette double, standard_error double, best boolean")
+    return table, best[k_values.index(best_k)]
 
 
 def project_2d(df: DataFrame, features_col: str = "features", key: str | None = None,

@@ -2,14 +2,13 @@
 trees with explanations (E3).
 
 Each flow stores its working table once in the shared folder, because every fit
-reads it many times; k-means also caches the vectors while it iterates.
+reads it many times.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
@@ -39,27 +38,20 @@ def segmentation(df: DataFrame, cols: SubscriberColumns, cfg: SegmentConfig = Se
 
     With ``k`` given the sweep is left out and its table has one row.  The
     fitted steps are one pipeline (encoding with the scaler's constants,
-    assembly, k-means, canonical ids), which ``save_segments`` stores.
+    assembly, nearest centre, canonical ids), which ``save_segments`` stores.
     """
     spec = encode.fit_cluster_features(df, cols)
     scaler = encode.fit_standard_scaler(spec.transform(df), list(spec.names))
     steps = [SQLTransformer(statement=models.encoding_sql(spec, scaler)),
              VectorAssembler(inputCols=[n + models.Z for n in spec.names], outputCol="features", handleInvalid="error")]
     encoder = PipelineModel(stages=steps)
-    feats = materialize(encoder.transform(df).select(*df.columns, "features"), "segment-features")
-    cached = feats.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if k is None:
-            sweep, best = segment.sweep_k(cached, cfg.k_values, cfg.n_init, cfg.seed, cfg.max_iter, cfg.tol)
-        else:
-            best = segment.fit_segments(cached, k, cfg.n_init, cfg.seed, cfg.max_iter, cfg.tol)
-            score = segment.silhouette(best.model.transform(cached))
-            sweep = df.sparkSession.createDataFrame([(k, float(best.inertia), score, True)],
-                                                    "k int, inertia double, silhouette double, best boolean")
-    finally:
-        cached.unpersist()
-    kmeans = models.detached(PipelineModel(stages=[best.model]), df.sparkSession).stages[0]
-    clustered = materialize(kmeans.transform(feats), "segment-clusters")
+    feats = materialize(encoder.transform(df), "segment-features")
+    if k is None:
+        sweep, best = segment.sweep_k(feats, cfg.k_values, cfg.n_init, cfg.seed, cfg.max_iter, cfg.tol)
+    else:
+        sweep, best = segment.sweep_k(feats, (k,), cfg.n_init, cfg.seed, cfg.max_iter, cfg.tol)
+    nearest = SQLTransformer(statement=f"SELECT *, {best.sql([n + models.Z for n in spec.names])} AS cluster FROM __THIS__")
+    clustered = materialize(nearest.transform(feats).select(*df.columns, "features", "cluster"), "segment-clusters")
     ids = {r["cluster"]: r["segment_id"] for r in segment.canonical_order(clustered, "cluster", cols.label).collect()}
     case = " ".join(f"WHEN {c} THEN {i}" for c, i in sorted(ids.items()))  # k entries
     naming = SQLTransformer(statement=f"SELECT *, CAST(CASE cluster {case} END AS INT) AS segment_id FROM __THIS__")
@@ -70,7 +62,7 @@ def segmentation(df: DataFrame, cols: SubscriberColumns, cfg: SegmentConfig = Se
     prof = segment.profile_segments(segmented, "segment_id", cols.tenure, cols.monthly, cols.total,
                                     cols.senior, cols.label)
     return SegmentationResult(sweep, segmented, prof, segment.assign_personas(prof), points, shares, best,
-                              PipelineModel(stages=[*steps, kmeans, naming]))
+                              PipelineModel(stages=[*steps, nearest, naming]))
 
 
 def save_segments(result: SegmentationResult, path: str) -> None:

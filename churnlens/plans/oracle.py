@@ -493,8 +493,19 @@ ORACLE.update({
     "renamed": "SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS price FROM orders",
     "flag_shares": with_sub(" UNION ALL ".join(
         f"SELECT '{c}_enc' AS flag, round(avg(CAST({c} = 'Yes' AS INTEGER)), 6) AS share FROM sub" for c in C.model_flags)),
-    "kmeans_check": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_nearest, CAST(4 AS BIGINT) AS n_clusters "
-                    "FROM embeddings",
+    "kmeans_check": "SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_clusters, TRUE AS inertia_holds, "
+                    "CAST(0 AS BIGINT) AS n_off_mean FROM embeddings",
+    "silhouette_euclid": """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+                  row_number() OVER (PARTITION BY label ORDER BY md5(vec_id || ':42'), vec_id) AS at FROM embeddings),
+r AS (SELECT * FROM e WHERE at <= 32),
+m AS (SELECT e.vec_id, e.label, r.label AS other, avg(list_distance(e.v, r.v)) AS d
+      FROM e JOIN r ON e.vec_id <> r.vec_id GROUP BY e.vec_id, e.label, r.label),
+s AS (SELECT vec_id, max(CASE WHEN other = label THEN d END) AS a, min(CASE WHEN other <> label THEN d END) AS b
+      FROM m GROUP BY vec_id)
+SELECT (SELECT count(*) FROM e) AS n, (SELECT count(*) FROM r) AS n_references,
+       round(sum(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END)
+             / (SELECT count(*) FROM e), 6) AS silhouette FROM s""",
     "pca_check": "SELECT count(*) AS n_rows, 0.0::DOUBLE AS mean_1, 0.0::DOUBLE AS mean_2, 0.0::DOUBLE AS covariance, "
                  "0.0::DOUBLE AS share_1_off, 0.0::DOUBLE AS share_2_off FROM embeddings",
     "segments_check": with_sub("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_without, CAST(0 AS BIGINT) AS "

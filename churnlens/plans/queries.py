@@ -8,13 +8,13 @@ DuckDB twins (``churnlens.plans.oracle``) so both engines agree.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlens.functions import binarize
 from churnlens.operators import (clean, encode, explain, impact, metrics, profile, rates,
                                  segment, split, stats)
+from churnlens.operators.silhouette import euclidean_silhouette
 from churnlens.schema import (FIXTURE, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
                               TENURE_LABELS_6)
 from churnlens.session import materialize
@@ -288,7 +288,7 @@ def embeddings_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_silhouette_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = segment.silhouette(embeddings_vectors(spark, sf_dir), "features", "label")
+    s = segment.squared_silhouette(embeddings_vectors(spark, sf_dir), "features", "label")
     return spark.range(1).select(F.round(F.lit(s), 6).alias("silhouette"))
 
 
@@ -478,32 +478,31 @@ def _segmentation(spark: SparkSession, sf_dir: str):
 
 
 def q_kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inertia and squared-Euclidean silhouette for k = 2..8 on the embeddings."""
-    vectors = embeddings_vectors(spark, sf_dir).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        table, _ = segment.sweep_k(vectors)
-    finally:
-        vectors.unpersist()
-    return table
+    """Inertia and Euclidean silhouette for k = 2..8 on the embeddings."""
+    return segment.sweep_k(embeddings_vectors(spark, sf_dir))[0]
 
 
 def q_kmeans_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best of several k-means starts: no vector may be nearer to another centre (M2)."""
+    """Best of several k-means starts: centres are their rows' means, the inertia is the rows' (M2)."""
     from pyspark.ml.functions import vector_to_array
 
-    vectors = embeddings_vectors(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fit = segment.fit_segments(vectors, k=4, n_init=4)
-    finally:
-        vectors.unpersist()
-    x = vector_to_array("features")
-    far = [F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)),
-                       F.lit(0.0), lambda a, d: a + d) for c in fit.model.clusterCenters()]
-    d = F.array(*far)
-    wrong = F.element_at(d, F.col("cluster") + 1) > F.array_min(d) + 1e-9
-    return fit.model.transform(vectors).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(wrong).alias("n_not_nearest"),
-        F.count_distinct("cluster").alias("n_clusters"))
+    vectors = embeddings_vectors(spark, sf_dir)
+    fit = segment.fit_segments(vectors, k=4, n_init=4)
+    centers = spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(fit.centers)],
+                                    "cluster int, center array<double>")
+    rows = fit.assign(vectors).join(F.broadcast(centers), "cluster").withColumn("x", vector_to_array("features"))
+    apart = F.aggregate(F.zip_with("x", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, d: a + d)
+    away = rows.select("cluster", F.posexplode(F.zip_with("x", "center", lambda a, b: a - b)).alias("i", "d")) \
+        .groupBy("cluster", "i").agg(F.avg("d").alias("d")).agg(F.count_if(F.abs("d") > 0.01).alias("n_off_mean"))
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cluster").alias("n_clusters"),
+                    (F.abs(F.sum(apart) / F.lit(fit.inertia) - 1) < 1e-9).alias("inertia_holds")).select(
+        "*", away.select("n_off_mean").scalar().alias("n_off_mean"))
+
+
+def q_silhouette_euclid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Euclidean silhouette of the embeddings' labels against 32 references per label (M4)."""
+    got = euclidean_silhouette(read_table(spark, sf_dir, "embeddings"), "vec_id", "label", "embedding", 32)
+    return got.select("n", "n_references", F.round("silhouette", 6).alias("silhouette"))
 
 
 def _scaled_embeddings(spark: SparkSession, sf_dir: str):
@@ -730,6 +729,7 @@ def q_gbt_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
 MODEL_QUERIES = {
     "kmeans_sweep": q_kmeans_sweep,
     "kmeans_check": q_kmeans_check,
+    "silhouette_euclid": q_silhouette_euclid,
     "pca_check": q_pca_check,
     "segments_check": q_segments_check,
     "segment_risk_check": q_segment_risk_check,

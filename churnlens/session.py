@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +66,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application.
+
+    Python tasks import the operators' numpy code by module name; executors
+    need no installed package.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_churnlens_code", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="churnlens-code-"), f"{root.name}.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, str(p.relative_to(root.parent)))
+    sc.addPyFile(target)
+    sc._churnlens_code = True
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 

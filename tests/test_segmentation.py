@@ -59,7 +59,7 @@ def test_crosstab_keeps_every_level(spark):
 def test_fit_segments_finds_the_blobs(spark):
     df, pts = blobs(spark)
     fit = segment.fit_segments(df.cache(), 3, n_init=2, seed=1)
-    centres = sorted(c.round(0).tolist()[:2] for c in fit.model.clusterCenters())
+    centres = sorted(c.round(0).tolist()[:2] for c in fit.centers)
     assert centres == [[0.0, 0.0], [0.0, 6.0], [6.0, 0.0]]
 
 
