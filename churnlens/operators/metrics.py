@@ -85,10 +85,15 @@ def _by_score(groups: DataFrame) -> DataFrame:
 
 
 def _auc(groups: DataFrame) -> DataFrame:
-    """``(model, auc)`` in Mann-Whitney form over distinct scores."""
-    g = running_sums(_by_score(groups), "score", ["neg"], ["model"])
+    """``(model, auc)`` over distinct scores."""
+    return group_auc(_by_score(groups), ["model"])
+
+
+def group_auc(groups: DataFrame, by: list[str]) -> DataFrame:
+    """``(*by, auc)`` in Mann-Whitney form from stored ``(*by, score, pos, neg)``, one row per distinct score."""
+    g = running_sums(groups, "score", ["neg"], by)
     part = F.col("pos") * (F.col("neg_cum") - F.col("neg")) + F.col("pos") * F.col("neg") * 0.5
-    return g.groupBy("model").agg(F.try_divide(F.sum(part.cast("double")),
+    return g.groupBy(*by).agg(F.try_divide(F.sum(part.cast("double")),
                                                (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
 
 

@@ -26,7 +26,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.operators import encode, metrics, split
+from churnlens.operators import boosting, encode, metrics, split
 from churnlens.schema import GBTConfig, LogisticConfig
 from churnlens.session import materialize
 
@@ -67,6 +67,7 @@ class ChurnModel:
     pipeline: PipelineModel
     names: tuple[str, ...]
     label: str
+    margin_scale: float = 2.0  # Spark's trees add up to half the log-odds
 
     @property
     def estimator(self):
@@ -154,6 +155,17 @@ def fit_gbt(train: DataFrame, spec: encode.FeatureSpec, label: str,
     return ChurnModel("gbt", pipe.fit(weighted), spec.names, label)
 
 
+def fit_boosted(train: DataFrame, spec: encode.FeatureSpec, label: str,
+                cfg: GBTConfig = GBTConfig()) -> boosting.BoostedModel:
+    """Second-order boosted trees with positive weight = negatives / positives."""
+    return boosting.fit_boosted(train, feature_pipeline(spec), spec.names, label, cfg)[0]
+
+
+def feature_pipeline(spec: encode.FeatureSpec) -> PipelineModel:
+    """The encoding of raw columns into feature columns, as a pipeline that can be stored."""
+    return PipelineModel(stages=[SQLTransformer(statement=encoding_sql(spec, None))])
+
+
 def coefficients(model: ChurnModel) -> DataFrame:
     """``(feature, coefficient)`` on the standardised scale, plus the intercept."""
     lr = model.estimator
@@ -193,9 +205,9 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 
 
 def gbt_trees(model: ChurnModel, scratch_dir: str):
-    """Node arrays of every tree, read back from the model's saved data.
+    """Node arrays of every tree.
 
-    The model is written to ``scratch_dir`` (the shared checkpoint folder)
+    Those of Spark's trees are read back from the saved model: it is written to ``scratch_dir`` (the shared checkpoint folder)
     and its node table (trees x nodes rows, bounded by the model size) is
     collected.
     """
@@ -203,6 +215,8 @@ def gbt_trees(model: ChurnModel, scratch_dir: str):
 
     from churnlens.operators.treeshap import Tree
 
+    if isinstance(model, boosting.BoostedModel):
+        return model.trees.for_shap()
     cached = getattr(model, "_trees", None)
     if cached is not None:
         return cached
@@ -246,7 +260,7 @@ def gbt_trees(model: ChurnModel, scratch_dir: str):
 
 def shap_values(model: ChurnModel, df: DataFrame, key: str, scratch_dir: str,
                 out: str = "shap", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per-row log-odds contributions of a GBT model.
+    """Per-row log-odds contributions of a tree model.
 
     Output: ``df``'s key, ``keep`` and feature columns plus ``shap
     ARRAY<DOUBLE>`` aligned with ``model.names`` and ``base`` (expected
@@ -266,7 +280,7 @@ def shap_values(model: ChurnModel, df: DataFrame, key: str, scratch_dir: str,
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(
         [(t.left, t.right, t.feature, t.threshold, t.value, t.cover, t.weight) for t in trees])
-    names = list(model.names)
+    names, scale = list(model.names), model.margin_scale
     enc = model.pipeline.stages[0].transform(df).select(
         key, *keep, *[F.col(_ident(n)).cast("double").alias(n) for n in names])
     tree_cls, ensemble_shap = treeshap.Tree, treeshap.ensemble_shap
@@ -275,7 +289,7 @@ def shap_values(model: ChurnModel, df: DataFrame, key: str, scratch_dir: str,
         ts = [tree_cls(*parts) for parts in bc.value]
         for pdf in batches:
             x = pdf[names].to_numpy(dtype=np.float64)
-            phi, base = ensemble_shap(ts, x)
+            phi, base = ensemble_shap(ts, x, scale)
             res = pd.DataFrame({c: pdf[c] for c in (key, *keep)})
             res[out] = list(phi)
             res["base"] = base

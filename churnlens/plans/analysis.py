@@ -80,14 +80,14 @@ def analyse_subscribers(spark: SparkSession, path: str, out_dir: str, fmt: str =
     save("logistic_metrics", metrics.metric_tables(scored_ab, cols.label, flows.model_columns("baseline", "ridge")))
     save("confusion", metrics.confusion_matrix(scored_b, cols.label, "prediction"))
     save("coefficients", flows.coefficient_table(ridge))
-    folds = flows.cross_validate(run, cols, gbt_cfg)
-    save("cv_auc", folds)
-    save("cv_summary", models.cv_summary(folds))
+    cv = flows.cross_validate(run, cols, gbt_cfg)
+    save("cv_auc", cv.folds)
+    save("cv_summary", models.cv_summary(cv.folds))
     save("segment_risk", flows.segment_risk(ridge, segmented, cols))
     save_model(ridge, f"{out_dir.rstrip('/')}/models/logistic")
 
     # E3 boosted trees and explanations
-    trees = flows.gbt_model(run, cols, gbt_cfg)
+    trees = cv.trees
     save_model(trees, f"{out_dir.rstrip('/')}/models/gbt")
     save("model_comparison", flows.compare(ridge, trees, run, cols))
     scored_all = materialize(flows.scored_by(run, cols, baseline=base, ridge=ridge, gbt=trees), "scored")

@@ -14,7 +14,8 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.operators import encode, explain, metrics, models, segment, split
+from churnlens.operators import boosting, encode, explain, folds, metrics, models, segment, split
+from churnlens.operators.blocks import loaded
 from churnlens.schema import (GBTConfig, LogisticConfig, SegmentConfig, SplitConfig,
                               SubscriberColumns)
 from churnlens.session import ensure_checkpoint_dir, materialize
@@ -101,12 +102,11 @@ def scored_test(model: models.ChurnModel, run: ModelRun, cols: SubscriberColumns
     return model.score(run.test).select(cols.key, cols.label, "prob", "prediction")
 
 
-def gbt_model(run: ModelRun, cols: SubscriberColumns, cfg: GBTConfig = GBTConfig()):
-    ensure_checkpoint_dir(run.data.sparkSession)
-    return models.fit_gbt(run.train, run.spec, cols.label, cfg)
+def gbt_model(run: ModelRun, cols: SubscriberColumns, cfg: GBTConfig = GBTConfig()) -> boosting.BoostedModel:
+    return models.fit_boosted(run.train, run.spec, cols.label, cfg)
 
 
-def gbt_explanations(model: models.ChurnModel, run: ModelRun, cols: SubscriberColumns) -> DataFrame:
+def gbt_explanations(model: boosting.BoostedModel, run: ModelRun, cols: SubscriberColumns) -> DataFrame:
     """Long ``(key, feature, value, shap)`` for every test row (M21, M23 input).
 
     Stored, so importance, cloud and checks read one computation.
@@ -116,19 +116,36 @@ def gbt_explanations(model: models.ChurnModel, run: ModelRun, cols: SubscriberCo
     return materialize(explain.to_long(sv, cols.key, list(model.names)), "contributions")
 
 
-def cross_validate(run: ModelRun, cols: SubscriberColumns, gbt_cfg: GBTConfig = GBTConfig()) -> DataFrame:
-    """``(model, fold, auc)`` of both logistic models and the trees on the training rows."""
-    ensure_checkpoint_dir(run.data.sparkSession)
-
-    def logistic(c):
-        return lambda rows, spec, label: models.fit_logistic(rows, spec, label, LogisticConfig(c=c))
+@dataclass
+class CrossValidation:
+    folds: DataFrame                # model, fold, auc
+    scores: DataFrame               # model, fold, label, score of every training row (stored)
+    trees: boosting.BoostedModel    # fitted on all training rows in the same scans
 
-    return models.cv_auc(run.train, run.spec, cols.label, cols.key, {
-        "baseline": logistic(1e9), "ridge": logistic(0.1),
-        "gbt": lambda rows, spec, label: models.fit_gbt(rows, spec, label, gbt_cfg)})
 
+def cross_validate(run: ModelRun, cols: SubscriberColumns, gbt_cfg: GBTConfig = GBTConfig(),
+                   split_cfg: SplitConfig = SplitConfig()) -> CrossValidation:
+    """Both logistic models and the trees on stratified folds of the training rows.
 
-def scored_by(run: ModelRun, cols: SubscriberColumns, **fitted: models.ChurnModel) -> DataFrame:
+    One stored table of blocks serves the Newton steps of all logistic fits and
+    the histogram scans of all trees, those of the final model included.
+    """
+    n = split_cfg.n_folds
+    folded = materialize(split.assign_folds(run.train, cols.label, cols.key, n, split_cfg.seed), "folds")
+    pipeline, names = models.feature_pipeline(run.spec), run.spec.names
+    encoded = pipeline.transform(folded)
+    table = boosting.training_blocks(encoded, names, cols.label, "fold")
+    blocks = loaded(table)
+    try:
+        fits = folds.fit_logistic_folds(blocks, {"baseline": 1e9, "ridge": LogisticConfig().c}, n)
+        trees = boosting.fit_trees(blocks, boosting.fit_bins(encoded, names, gbt_cfg.bins), n, gbt_cfg)
+    finally:
+        blocks.unpersist()
+    scores = folds.held_out_scores(table, fits | {("gbt", f): t for f, t in enumerate(trees[1:])})
+    return CrossValidation(folds.fold_auc(scores), scores, boosting.BoostedModel(pipeline, names, cols.label, trees[0]))
+
+
+def scored_by(run: ModelRun, cols: SubscriberColumns, **fitted: models.ChurnModel | boosting.BoostedModel) -> DataFrame:
     """Test rows scored by several models: key, label, prob_<name>, pred_<name>."""
     df, out = run.test, []
     for name, m in fitted.items():
@@ -142,7 +159,7 @@ def model_columns(*names: str) -> dict[str, tuple[str, str]]:
     return {n: (f"pred_{n}", f"prob_{n}") for n in names}
 
 
-def compare(lin: models.ChurnModel, trees: models.ChurnModel, run: ModelRun,
+def compare(lin: models.ChurnModel, trees: boosting.BoostedModel, run: ModelRun,
             cols: SubscriberColumns) -> DataFrame:
     scored = scored_by(run, cols, logistic=lin, gbt=trees)
     table = metrics.metric_tables(scored, cols.label, model_columns("logistic", "gbt"))
@@ -156,7 +173,7 @@ def segment_risk(model: models.ChurnModel, segmented: DataFrame, cols: Subscribe
     return metrics.calibration_by(scored, segment_col, cols.label, "prob")
 
 
-def explain_examples(model: models.ChurnModel, run: ModelRun, cols: SubscriberColumns,
+def explain_examples(model: boosting.BoostedModel, run: ModelRun, cols: SubscriberColumns,
                      k: int = 12) -> DataFrame:
     """T6's two customers, picked on the scored rows; only they are explained."""
     ckpt = ensure_checkpoint_dir(run.data.sparkSession)

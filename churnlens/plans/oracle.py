@@ -497,8 +497,8 @@ ORACLE.update({
                     "CAST(0 AS BIGINT) AS n_off_mean FROM embeddings",
     "silhouette_euclid": """
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
-                  row_number() OVER (PARTITION BY label ORDER BY md5(vec_id || ':42'), vec_id) AS at FROM embeddings),
-r AS (SELECT * FROM e WHERE at <= 32),
+                  row_number() OVER (PARTITION BY label ORDER BY md5(vec_id || ':42'), vec_id) AS place FROM embeddings),
+r AS (SELECT * FROM e WHERE place <= 32),
 m AS (SELECT e.vec_id, e.label, r.label AS other, avg(list_distance(e.v, r.v)) AS d
       FROM e JOIN r ON e.vec_id <> r.vec_id GROUP BY e.vec_id, e.label, r.label),
 s AS (SELECT vec_id, max(CASE WHEN other = label THEN d END) AS a, min(CASE WHEN other <> label THEN d END) AS b
@@ -521,6 +521,12 @@ SELECT (SELECT count(*) FROM e) AS n, (SELECT count(*) FROM r) AS n_references,
     "shap_check": with_sub("SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_off, "
                            f"any_value(m) AS f_min, any_value(m) AS f_max FROM ({TEST_ROWS}), "
                            f"(SELECT count(*) AS m FROM ({FEATURE_NAMES}))"),
-    "cv_check": "SELECT model, CAST(fold AS INTEGER) AS fold, TRUE AS valid FROM (SELECT 'baseline' AS model "
-                "UNION ALL SELECT 'ridge' UNION ALL SELECT 'gbt'), range(0, 5) AS r(fold)",
+    # training rows of a class are dealt round-robin, so fold f has ceil((n - f) / 5) of them
+    "cv_check": with_sub("SELECT model, CAST(fold AS INTEGER) AS fold, CAST(sum(ceil((n - fold) / 5)) AS BIGINT) AS n, "
+                         "TRUE AS auc_holds, TRUE AS beyond_chance FROM (SELECT 'baseline' AS model UNION ALL SELECT 'ridge' "
+                         "UNION ALL SELECT 'gbt'), (SELECT count(*) - ceil(count(*) * 0.2) AS n FROM sub GROUP BY churn_binary), "
+                         "range(0, 5) AS r(fold) GROUP BY model, fold"),
+    "test_auc_check": with_sub("SELECT model, CAST(sum(n) AS BIGINT) AS n, TRUE AS beyond_chance FROM "
+                               "(SELECT 'baseline' AS model UNION ALL SELECT 'ridge' UNION ALL SELECT 'gbt'), "
+                               f"({TEST_ROWS}) GROUP BY model"),
 })

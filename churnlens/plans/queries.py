@@ -8,14 +8,14 @@ DuckDB twins (``churnlens.plans.oracle``) so both engines agree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions import binarize
 from churnlens.operators import (clean, encode, explain, impact, metrics, profile, rates,
                                  segment, split, stats)
 from churnlens.operators.silhouette import euclidean_silhouette
-from churnlens.schema import (FIXTURE, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
+from churnlens.schema import (FIXTURE, GBTConfig, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
                               TENURE_LABELS_6)
 from churnlens.session import materialize
 from churnlens.sources.fixture_view import read_table, subscriber_view
@@ -444,18 +444,24 @@ QUERIES = {
 
 # --- models, segmentation: results of fits have no SQL twin; the *_check and
 # gradient queries state invariants whose twin is computed from the tables -----
-# Fitted models are cached per (session, input, kind) so the queries built on
-# one fit (scores, comparison, explanations) do not refit it.
+# Fitted models are kept per (application, input, kind) so the queries built on
+# one fit (scores, comparison, explanations) do not refit it; ``release`` drops them.
 _FITS: dict = {}
 
 
 def _cached(spark: SparkSession, sf_dir: str, kind: str, make):
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, kind)
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _FITS:
         _FITS[key] = make()
     return _FITS[key]
 
 
+def release(sf_dir: str | None = None) -> None:
+    """Forget the fits of one input folder, or of all."""
+    for key in [k for k in _FITS if sf_dir in (None, k[1])]:
+        del _FITS[key]
+
+
 def _run(spark: SparkSession, sf_dir: str):
     from churnlens.plans import flows
     return _cached(spark, sf_dir, "run", lambda: flows.prepare(subscriber_view(spark, sf_dir), C))
@@ -466,9 +472,13 @@ def _logistic(spark: SparkSession, sf_dir: str):
     return _cached(spark, sf_dir, "logistic", lambda: flows.logistic_models(_run(spark, sf_dir), C))
 
 
-def _gbt(spark: SparkSession, sf_dir: str):
+def _cv(spark: SparkSession, sf_dir: str):
     from churnlens.plans import flows
-    return _cached(spark, sf_dir, "gbt", lambda: flows.gbt_model(_run(spark, sf_dir), C))
+    return _cached(spark, sf_dir, "cv", lambda: flows.cross_validate(_run(spark, sf_dir), C, GBTConfig()))
+
+
+def _gbt(spark: SparkSession, sf_dir: str):
+    return _cv(spark, sf_dir).trees
 
 
 def _segmentation(spark: SparkSession, sf_dir: str):
@@ -606,7 +616,7 @@ def q_shap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     m, run = _gbt(spark, sf_dir), _run(spark, sf_dir)
     trees = models.gbt_trees(m, ensure_checkpoint_dir(spark))
-    base = 2.0 * sum(t.weight * t.expected_value() for t in trees)
+    base = m.margin_scale * sum(t.weight * t.expected_value() for t in trees)
     total = q_gbt_shap(spark, sf_dir).groupBy(C.key).agg(F.sum("shap").alias("s"), F.count(F.lit(1)).alias("f"))
     scored = flows.scored_test(m, run, C)
     logit = F.log(F.col("prob") / (1 - F.col("prob")))
@@ -663,28 +673,53 @@ def q_coefficient_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.top_signed(q_coefficients(spark, sf_dir), "coefficient", 5, tie="feature")
 
 
-def _cv(spark: SparkSession, sf_dir: str):
-    from churnlens.plans import flows
-    from churnlens.schema import GBTConfig
-
-    return _cached(spark, sf_dir, "cv", lambda: flows.cross_validate(_run(spark, sf_dir), C, GBTConfig()))
-
-
 def q_cv_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AUC of both logistic models and the trees on every fold."""
-    return _cv(spark, sf_dir)
+    return _cv(spark, sf_dir).folds
 
 
 def q_cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean and population deviation of the fold AUCs per model."""
     from churnlens.operators import models
 
-    return models.cv_summary(_cv(spark, sf_dir))
+    return models.cv_summary(_cv(spark, sf_dir).folds)
+
+
+def _beyond_chance(auc, pos, neg) -> F.Column:
+    """An area more than three standard errors of a label-free score above one half."""
+    return (auc - 0.5) > 3.0 * F.sqrt((pos + neg + 1) / (12.0 * pos * neg))
+
+
+def _rank_auc(scores: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, n, pos, auc) by mean ranks of the positives, another way than ``metrics``."""
+    w = Window.partitionBy(*by).orderBy("score")
+    ties = Window.partitionBy(*by, "score")
+    ranked = scores.withColumn("rank", F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0)
+    pos = F.sum("label")
+    neg = F.count(F.lit(1)) - pos
+    return ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), pos.alias("pos"), neg.alias("neg"), (
+        (F.sum(F.when(F.col("label") == 1, F.col("rank"))) - pos * (pos + 1) / 2.0) / (pos * neg)).alias("by_rank"))
 
 
 def q_cv_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every model has an AUC in (0, 1] on every fold."""
-    return _cv(spark, sf_dir).select("model", "fold", ((F.col("auc") > 0) & (F.col("auc") <= 1)).alias("valid"))
+    """Per model and fold: rows scored, the AUC against one from mean ranks, and whether it beats chance."""
+    cv = _cv(spark, sf_dir)
+    both = _rank_auc(cv.scores, ["model", "fold"]).join(cv.folds, ["model", "fold"])
+    return both.select("model", "fold", "n", (F.abs(F.col("auc") - F.col("by_rank")) < 1e-9).alias("auc_holds"),
+                       _beyond_chance(F.col("auc"), F.col("pos"), F.col("neg")).alias("beyond_chance"))
+
+
+def q_test_auc_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per model: test rows, and whether its AUC there beats chance."""
+    from churnlens.plans import flows
+
+    a, b = _logistic(spark, sf_dir)
+    scored = flows.scored_by(_run(spark, sf_dir), C, baseline=a, ridge=b, gbt=_gbt(spark, sf_dir))
+    names = ("baseline", "ridge", "gbt")
+    long = scored.select(F.col(C.label).alias("label"), F.explode(F.array(*[F.struct(
+        F.lit(n).alias("model"), F.col(f"prob_{n}").alias("score")) for n in names])).alias("s")).select("label", "s.*")
+    return _rank_auc(long, ["model"]).select("model", "n", _beyond_chance(
+        F.col("by_rank"), F.col("pos"), F.col("neg")).alias("beyond_chance"))
 
 
 def q_segment_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -737,6 +772,7 @@ MODEL_QUERIES = {
     "test_scores_check": q_test_scores_check,
     "shap_check": q_shap_check,
     "cv_check": q_cv_check,
+    "test_auc_check": q_test_auc_check,
     "cv_summary": q_cv_summary,
     "roc_models": q_roc_models,
     "pca_2d": q_pca_2d,

@@ -132,7 +132,12 @@ class GBTConfig:
     max_depth: int = 4
     step_size: float = 0.05
     subsampling_rate: float = 0.8
-    feature_subset: str = "0.8"
+    feature_subset: str = "0.8"   # of Spark's own trees: features drawn per node
+    column_share: float = 0.8     # of the second-order trees: features drawn per tree
+    bins: int = 256
+    l2: float = 1.0
+    min_child_weight: float = 1.0
+    min_gain: float = 0.0
     seed: int = 42
 
 

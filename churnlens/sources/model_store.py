@@ -1,4 +1,4 @@
-"""Model persistence (S4): Spark's own ``PipelineModel`` writer and reader.
+"""Model persistence (S4): Spark's own ``PipelineModel`` writer and reader; boosted trees as a table beside it.
 
 The feature names travel in a small JSON sidecar so a reloaded model can be
 explained and its coefficients labelled.
@@ -10,10 +10,11 @@ import json
 
 from pyspark.sql import SparkSession
 
+from churnlens.operators.boosting import BoostedModel
 from churnlens.operators.models import ChurnModel, load_model
 
 
-def save_model(model: ChurnModel, path: str) -> None:
+def save_model(model: ChurnModel | BoostedModel, path: str) -> None:
     model.save(f"{path}/pipeline")
     spark = SparkSession.getActiveSession()
     meta = json.dumps({"kind": model.kind, "names": list(model.names), "label": model.label})
@@ -21,7 +22,9 @@ def save_model(model: ChurnModel, path: str) -> None:
         f"{path}/meta")
 
 
-def read_model(path: str) -> ChurnModel:
+def read_model(path: str) -> ChurnModel | BoostedModel:
     spark = SparkSession.getActiveSession()
     meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
+    if meta["kind"] == "boosted":
+        return BoostedModel.load(f"{path}/pipeline", meta["names"], meta["label"])
     return load_model(f"{path}/pipeline", meta["kind"], meta["names"], meta["label"])
