@@ -1,11 +1,14 @@
 """Quality rules with adaptive thresholds (DataFrame functions only).
 
 Every text gets its counts; rows that fail the base rules go.  Of the rest,
-quantile sketches (Spark's mergeable Greenwald-Khanna summaries) per language
-and source give robust fences for the ratios of a text: a quartile, plus or
-minus a multiple of the larger of interquartile range and a tolerance.  Groups
-with few rows take the fences of their language, and small languages those of
-all rows.  The documents are joined with the fences of their group.
+mergeable quantile sketches (KLL) of the ratios of a text are built per
+language, source and salt, and merged to groups, to languages, to everything.
+A group's fence is a quartile plus or minus ``WIDTH`` spreads, and the spread
+is the narrowest quantile range of the group that is not empty, in units of an
+interquartile range: a ratio that hardly ever differs from one value is judged
+by the quantiles further out.  A fence is shrunk towards that of the language,
+and this towards that of all rows, by the number of rows it rests on.  The
+documents are joined with the fences of their group.
 """
 
 from __future__ import annotations
@@ -22,25 +25,28 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Ratio:
-    """A statistic of a text, the tolerance of its spread and the fenced sides."""
+    """A statistic of a text and its fenced sides."""
 
     expression: str
-    tolerance: float
     low: bool = False
     high: bool = True
 
 
 # The order fixes the positions in the arrays of statistics and fences.
 RATIOS = {
-    "word_length": Ratio("word_chars / n_words", 0.5, low=True),
-    "symbols_per_word": Ratio("n_symbols / n_words", 0.05),
-    "upper_per_char": Ratio("n_upper / greatest(word_chars, 1)", 0.05),
-    "dup_line_share": Ratio("n_dup_lines / greatest(n_lines, 1)", 0.1),
-    "repeat_word_share": Ratio("n_repeat_words / n_words", 0.05),
+    "word_length": Ratio("word_chars / n_words", low=True),
+    "symbols_per_word": Ratio("n_symbols / n_words"),
+    "upper_per_char": Ratio("n_upper / greatest(word_chars, 1)"),
+    "dup_line_share": Ratio("n_dup_lines / greatest(n_lines, 1)"),
+    "repeat_word_share": Ratio("n_repeat_words / n_words"),
 }
-WIDTH = 4.0
-MIN_GROUP = 100
-ACCURACY = 10_000
+WIDTH = 10.0  # spreads beyond the quartile
+PRIOR_ROWS = 20  # rows that the parent's fence counts for
+SKETCH_K = 4_096  # sketches of at most so many rows are exact
+SALTS = 16
+# Lower and upper quantile of each range, and its width in interquartile ranges of a normal distribution.
+RANGES = ((0.25, 0.75, 1.0), (0.05, 0.95, 2.4387), (0.02, 0.98, 3.0449))
+QUANTILES = [q for a, b, _ in RANGES for q in (a, b)]
 
 
 def counts(docs: DataFrame, *keep: str) -> DataFrame:
@@ -81,12 +87,64 @@ def counts(docs: DataFrame, *keep: str) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("z", "p")
 
 
-def judged(docs: DataFrame, *keep: str, width: float = WIDTH, min_group: int = MIN_GROUP) -> DataFrame:
+def sketches(rows: DataFrame) -> DataFrame:
+    """lang, source, n, s0, s1, ...: a stored sketch of every ratio per group.
+
+    A group is sketched in ``SALTS`` parts that are merged, so none meets
+    whole in one task; later rows can be merged in the same way.
+    """
+    made = [F.kll_sketch_agg_double(F.get("ratios", F.lit(i)), SKETCH_K).alias(f"s{i}") for i in range(len(RATIOS))]
+    merged = [F.kll_merge_agg_double(f"s{i}").alias(f"s{i}") for i in range(len(RATIOS))]
+    salt = F.pmod(F.xxhash64("ratios"), F.lit(SALTS)).alias("salt")
+    parts = rows.where("ratios is not null").groupBy("lang", "source", salt).agg(F.count("*").alias("n"), *made)
+    return stored(parts.groupBy("lang", "source").agg(F.sum("n").alias("n"), *merged), "rules-sketches")
+
+
+def own_fences(groups: DataFrame, width: float) -> DataFrame:
+    """The groups with lo0, hi0, lo1, ...: fences from their sketches alone; null where every range is empty."""
+    ranks = F.array(*[F.lit(q) for q in QUANTILES])
+    df = groups.select("*", *[F.kll_sketch_get_quantile_double(f"s{i}", ranks).alias(f"q{i}") for i in range(len(RATIOS))])
+    out = []
+    for i, r in enumerate(RATIOS.values()):
+        at = lambda q, i=i: F.get(f"q{i}", F.lit(QUANTILES.index(q)))
+        spread = F.coalesce(*[F.nullif((at(b) - at(a)) / unit, F.lit(0.0)) for a, b, unit in RANGES])
+        out += [((at(0.25) - width * spread) if r.low else F.lit(None).cast("double")).alias(f"lo{i}"),
+                ((at(0.75) + width * spread) if r.high else F.lit(None).cast("double")).alias(f"hi{i}")]
+    keep = [c for c in groups.columns if c not in [f"s{i}" for i in range(len(RATIOS))]]
+    return df.select(*keep, *out)
+
+
+FENCES = [f"{side}{i}" for i in range(len(RATIOS)) for side in ("lo", "hi")]
+
+
+def shrunk(own: DataFrame, parent: DataFrame, on: list[str]) -> DataFrame:
+    """``own`` fences drawn towards the parent's, which count for ``PRIOR_ROWS`` rows; either alone if one is null."""
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`"))
+    both = [((F.col("a.n") * F.col(f"a.{c}") + PRIOR_ROWS * F.col(f"b.{c}")) / (F.col("a.n") + PRIOR_ROWS)) for c in FENCES]
+    joined = own.alias("a").join(parent.alias("b"), match)
+    keep = [F.col(f"a.`{c}`") for c in own.columns if c not in FENCES]
+    return joined.select(*keep, *[F.coalesce(x, F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for x, c in zip(both, FENCES)])
+
+
+def fences(rows: DataFrame, width: float = WIDTH) -> DataFrame:
+    """lang, source and the fences of every group, stored."""
+    groups = sketches(rows)
+    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(f"s{i}").alias(f"s{i}") for i in range(len(RATIOS))]]
+    by_lang = groups.groupBy("lang").agg(*merged)
+    of_all = own_fences(by_lang.agg(*merged).where("n > 0"), width)
+    by_lang = shrunk(own_fences(by_lang, width), of_all, [])
+    return stored(shrunk(own_fences(groups, width), by_lang, ["lang"]).drop("n"), "rules-fences")
+
+
+def judged(docs: DataFrame, *keep: str, width: float = WIDTH) -> DataFrame:
     """``keep`` columns, the counts, base_failed and kept of every row.
 
     ``docs`` has text, lang and source; null languages and sources are groups
     of their own.  Thresholds come from all rows that pass the base rules; if
-    none does, no row is kept.  Repeated rows are judged alike; an empty
+    none does, no row is kept.  A ratio that is the same in (nearly) all rows
+    of everything has no fence.  Repeated rows are judged alike; an empty
     table gives an empty result.
     """
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -94,32 +152,14 @@ def judged(docs: DataFrame, *keep: str, width: float = WIDTH, min_group: int = M
     rows = stored(rows.withColumn("base_failed", base), "rules-counts")
     ratios = F.when(~F.col("base_failed"), F.array(*[F.expr(r.expression) for r in RATIOS.values()]))
     rows = rows.withColumn("ratios", ratios)
-
-    sketches = [F.percentile_approx(F.get("ratios", F.lit(i)), [0.25, 0.75], ACCURACY).alias(f"q{i}")
-                for i in range(len(RATIOS))]
-    fences = []
-    for i, r in enumerate(RATIOS.values()):
-        first, third = F.get(f"q{i}", F.lit(0)), F.get(f"q{i}", F.lit(1))
-        reach = width * F.greatest(third - first, F.lit(r.tolerance))
-        fences.append(F.struct((first - reach if r.low else F.lit(float("-inf"))).alias("low"),
-                               (third + reach if r.high else F.lit(float("inf"))).alias("high")))
-    groups = (rows.where("not base_failed").rollup("lang", "source")
-              .agg(F.grouping_id().alias("level"), F.count("*").alias("n"), *sketches)
-              .select("lang", "source", "level", "n", F.array(*fences).alias("fences")))
-    groups = stored(groups, "rules-fences")
-    large = F.when(F.col("n") >= min_group, F.col("fences"))
-    by_source = groups.where("level = 0").select(F.col("lang").alias("_l0"), F.col("source").alias("_s0"),
-                                                 large.alias("_f0"))
-    by_lang = groups.where("level = 1").select(F.col("lang").alias("_l1"), large.alias("_f1"))
-    of_all = groups.where("level = 3").select("fences").scalar()  # one row, or none
-    out = (rows.join(by_source, F.col("lang").eqNullSafe(F.col("_l0")) & F.col("source").eqNullSafe(F.col("_s0")), "left")
-           .join(by_lang, F.col("lang").eqNullSafe(F.col("_l1")), "left")
-           .withColumn("_fence", F.coalesce("_f0", "_f1", of_all)))
-    inside = F.forall(F.arrays_zip(F.col("ratios").alias("x"), F.col("_fence").alias("f")),
-                      lambda z: (z["x"] >= z["f"]["low"]) & (z["x"] <= z["f"]["high"]))
-    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(F.coalesce(inside, F.lit(False)))
+    limits = fences(rows, width).select(F.col("lang").alias("_l"), F.col("source").alias("_s"), *FENCES)
+    out = rows.join(limits, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
+    inside = F.lit(True)
+    for i in range(len(RATIOS)):
+        x = F.get("ratios", F.lit(i))
+        inside = inside & F.coalesce(x >= F.col(f"lo{i}"), F.lit(True)) & F.coalesce(x <= F.col(f"hi{i}"), F.lit(True))
     return out.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      kept.alias("kept"))
+                      (~F.col("base_failed") & inside).alias("kept"))
 
 
 def keep_passing(docs: DataFrame, **how) -> DataFrame:
@@ -140,12 +180,13 @@ def _sql() -> str:
     listed = ", ".join(f"{e} AS x{i}" for i, e in enumerate(ratios))
     picks = ", ".join(f"list_sort(list(x{i})) AS s{i}" for i in range(len(ratios)))
     at = lambda i, q: f"s{i}[CAST(greatest(ceil({q} * n), 1) AS BIGINT)]"
-    fences, inside = [], []
+    own, inside = [], []
     for i, r in enumerate(RATIOS.values()):
-        reach = f"{WIDTH} * greatest({at(i, 0.75)} - {at(i, 0.25)}, {r.tolerance})"
-        fences.append(f"{at(i, 0.25)} - {reach}" if r.low else "CAST('-inf' AS DOUBLE)")
-        fences.append(f"{at(i, 0.75)} + {reach}" if r.high else "CAST('inf' AS DOUBLE)")
-        inside.append(f"x{i} >= f[{2 * i + 1}] AND x{i} <= f[{2 * i + 2}]")
+        spread = "coalesce(" + ", ".join(f"nullif(({at(i, b)} - {at(i, a)}) / {unit}, 0.0)" for a, b, unit in RANGES) + ")"
+        own.append((f"{at(i, 0.25)} - {WIDTH} * {spread}" if r.low else "CAST(NULL AS DOUBLE)") + f" AS lo{i}")
+        own.append((f"{at(i, 0.75)} + {WIDTH} * {spread}" if r.high else "CAST(NULL AS DOUBLE)") + f" AS hi{i}")
+        inside.append(f"coalesce(x{i} >= lo{i}, TRUE) AND coalesce(x{i} <= hi{i}, TRUE)")
+    drawn = ", ".join(f"coalesce((a.n * a.{c} + {PRIOR_ROWS} * b.{c}) / (a.n + {PRIOR_ROWS}), a.{c}, b.{c}) AS {c}" for c in FENCES)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
      w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
@@ -165,13 +206,13 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text
      x AS (SELECT *, {listed} FROM b),
      q AS (SELECT lang, source, grouping(lang, source) AS level, count(*) AS n, {picks}
            FROM x WHERE NOT base_failed GROUP BY ROLLUP (lang, source)),
-     f AS (SELECT lang, source, level, n, [{", ".join(fences)}] AS f FROM q),
-     j AS (SELECT x.*, coalesce(CASE WHEN f0.n >= {MIN_GROUP} THEN f0.f END, CASE WHEN f1.n >= {MIN_GROUP} THEN f1.f END, f3.f) AS f
-           FROM x LEFT JOIN f f0 ON f0.level = 0 AND f0.lang IS NOT DISTINCT FROM x.lang AND f0.source IS NOT DISTINCT FROM x.source
-                  LEFT JOIN f f1 ON f1.level = 1 AND f1.lang IS NOT DISTINCT FROM x.lang
-                  LEFT JOIN f f3 ON f3.level = 3)
+     o AS (SELECT lang, source, level, n, {", ".join(own)} FROM q),
+     l AS (SELECT a.lang, a.n, {drawn} FROM o a, o b WHERE a.level = 1 AND b.level = 3),
+     f AS (SELECT a.lang, a.source, {drawn} FROM o a JOIN l b ON a.lang IS NOT DISTINCT FROM b.lang WHERE a.level = 0),
+     j AS (SELECT x.*, {", ".join(f"f.{c}" for c in FENCES)}
+           FROM x LEFT JOIN f ON f.lang IS NOT DISTINCT FROM x.lang AND f.source IS NOT DISTINCT FROM x.source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       CASE WHEN base_failed THEN FALSE ELSE coalesce({" AND ".join(inside)}, FALSE) END AS kept
+       NOT base_failed AND {" AND ".join(inside)} AS kept
 FROM j
 """
 
