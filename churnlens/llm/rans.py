@@ -243,12 +243,12 @@ class Encoder:
 
     def places(self, pieces: list[str]) -> np.ndarray:
         """The number under which each piece is known; unknown ones are learnt first."""
-        get = self.known.get
-        new = [p for p in pieces if get(p) is None]
-        if new and (len(self.known) + len(new) > PIECES_KNOWN or self.ends[len(self.known)] > IDS_KNOWN):
-            self.forget()
-            new = pieces
-        if new:
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            new = [p for p, k in zip(pieces, found) if k is None]
+            if len(self.known) + len(new) > PIECES_KNOWN or self.ends[len(self.known)] > IDS_KNOWN:
+                self.forget()
+                new = pieces
             order, ids, sizes = self.coded(new)
             n, used = len(self.known), int(self.ends[len(self.known)])
             self.ids = room(self.ids, used + len(ids))
@@ -256,23 +256,38 @@ class Encoder:
             self.ends = room(self.ends, n + len(order) + 1)
             self.ends[n + 1:n + len(order) + 1] = used + np.cumsum(sizes)
             self.known.update(zip(order, range(n, n + len(order))))
-        return np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-
-    def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
-        """The ids of each text with the end id, as little-endian bytes."""
-        out = [self.end] * len(texts)
-        for first, some in portions(texts):
-            for at, pieces, index, ends in cut(some):
-                place = self.places(pieces)[index]
-                start = self.ends[place]
-                own = self.ends[place + 1] - start
-                upto = np.cumsum(own)
-                total = int(upto[-1]) if len(upto) else 0
-                row = self.ids[np.repeat(start - (upto - own), own) + np.arange(total)]
-                bounds = np.concatenate([[0], upto])[np.concatenate([[0], ends])].tolist()
-                for i, a, b in zip(at.tolist(), bounds, bounds[1:]):
-                    out[first + i] = row[a:b].tobytes() + self.end
-        return out
+            found = list(map(self.known.__getitem__, pieces))
+        return np.array(found, dtype=np.int64)
+
+    def __call__(self, texts: Sequence[str | None]) -> pa.Array:
+        """The ids of each text with the end id, as little-endian bytes.
+
+        The bytes of the distinct pieces, and the end id as one more, form an
+        Arrow array; taking its elements in the order of the texts' pieces
+        leaves all ids in one buffer, which only needs the texts' bounds.
+        """
+        kind, width = pa.large_binary(), np.dtype(self.kind).itemsize
+        parts, places = [], []
+        for at, pieces, index, ends in cut(texts):
+            place = self.places(pieces)
+            start = self.ends[place]
+            own = self.ends[place + 1] - start
+            upto = np.cumsum(own)
+            total = int(upto[-1]) if len(upto) else 0
+            ids = self.ids[np.repeat(start - (upto - own), own) + np.arange(total)].tobytes() + self.end
+            offsets = np.concatenate([[0], upto, [total + 1]]) * width
+            known = pa.Array.from_buffers(kind, len(pieces) + 1, [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+            taken = known.take(pa.array(np.insert(index.astype(np.int64), ends, len(pieces))))
+            bounds = np.frombuffer(taken.buffers()[1], dtype=np.int64)[:len(taken) + 1]
+            bounds = bounds[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])]
+            data = taken.buffers()[2] or pa.py_buffer(b"")
+            parts.append(pa.Array.from_buffers(kind, len(at), [None, pa.py_buffer(bounds.copy()), data]))
+            places.append(at)
+        if len(parts) == 1:
+            return parts[0].cast(pa.binary())
+        if not parts:
+            return pa.array([], pa.binary())
+        return pa.concat_arrays(parts).take(pa.array(np.argsort(np.concatenate(places)))).cast(pa.binary())
 
     def counts(self, texts: Sequence[str | None]) -> np.ndarray:
         """The number of ids of each text, without the end id."""
@@ -326,22 +341,24 @@ def tokenized(docs: DataFrame, vocab_path: str, end_id: int) -> DataFrame:
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(vocab_path, end_id)
         total, keys = np.zeros(vocabulary, dtype=np.int64), None
+        counted = pa.list_(pa.struct([("id", pa.int32()), ("n", pa.int64())]))
 
         def rows(doc_ids, lengths, raw, seen) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [doc_ids, pa.array(lengths, pa.int64()), pa.array(raw, pa.binary()),
-                 pa.array(seen, pa.list_(pa.struct([("id", pa.int32()), ("n", pa.int64())])))],
-                names=["doc_id", "n_tokens", "ids", "seen"])
+            return pa.RecordBatch.from_arrays([doc_ids, lengths, raw, seen], names=["doc_id", "n_tokens", "ids", "seen"])
 
         for batch in batches:
             keys = batch.column(0).type
-            raw = encode_texts(batch.column(1).to_pylist())
-            total += np.bincount(np.frombuffer(b"".join(raw), dtype=kind), minlength=vocabulary)
-            yield rows(batch.column(0), [len(r) // width for r in raw], raw, [None] * len(raw))
+            for first, texts in portions(batch.column(1).to_pylist()):
+                raw = encode_texts(texts)
+                ends = np.frombuffer(raw.buffers()[1], dtype=np.int32)[raw.offset:raw.offset + len(raw) + 1]
+                total += np.bincount(np.frombuffer(raw.buffers()[2], dtype=kind)[ends[0] // width:ends[-1] // width],
+                                     minlength=vocabulary)
+                yield rows(batch.column(0).slice(first, len(texts)), pa.array(np.diff(ends) // width, pa.int64()), raw,
+                           pa.nulls(len(texts), counted))
         if keys is not None:
             found = np.flatnonzero(total)
             seen = [{"id": i, "n": n} for i, n in zip(found.tolist(), total[found].tolist())]
-            yield rows(pa.nulls(1, keys), [None], [None], [seen])
+            yield rows(pa.nulls(1, keys), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([seen], counted))
 
     return docs.select("doc_id", "text").mapInArrow(
         ids, f"doc_id {key}, n_tokens long, ids binary, seen array<struct<id:int,n:long>>")

@@ -52,7 +52,11 @@ def test_forgetting_changes_nothing(monkeypatch, edge_texts):
     known = rans.Encoder(PATH, 2)
     for t in [*edge_texts, "one two three four five six seven eight", "\nnine\nten  eleven one\u2003two", *edge_texts]:
         want = [*library.encode(t or "", add_special_tokens=False).ids, 2]
-        assert np.frombuffer(known([t])[0], dtype=known.kind).tolist() == want
+        assert np.frombuffer(known([t])[0].as_py(), dtype=known.kind).tolist() == want
+    texts = [*edge_texts, "one two", None, "\x1c odd  spaces ", "three"]
+    together = [np.frombuffer(b, dtype=known.kind).tolist() for b in rans.Encoder(PATH, 2)(texts).to_pylist()]
+    assert together == [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert rans.Encoder(PATH, 2)([]).to_pylist() == []
 
 
 @pytest.mark.parametrize("n,distinct", [(0, 5), (1, 1), (7, 3), (64, 2), (1000, 40), (5000, 50_257)])
