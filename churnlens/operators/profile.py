@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from churnlens.functions import round_half_even
 from churnlens.operators.ranking import exact_quantiles
+from churnlens.operators.sketches import column_summaries
 
 
 def missing_counts(df: DataFrame, only_positive: bool = True) -> DataFrame:
@@ -40,22 +41,20 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
             .orderBy(F.desc("n"), "value"))
 
 
-def describe(df: DataFrame, columns: Sequence[str], digits: int | None = 2) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], digits: int | None = 2,
+             summaries: DataFrame | None = None) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation), max (A3).
 
-    One row per column.  Quartiles are exact (``exact_quantiles``: a few scans
-    that narrow a bracket).  ``DataFrame.summary`` is not used: its percentiles
-    do not interpolate.  ``digits`` rounds half to even.
+    One row per column.  One scan makes the summaries (or they are given), one
+    refines the quartiles, which are exact (``exact_quantiles``).
+    ``DataFrame.summary`` is not used: its percentiles do not interpolate.
+    ``digits`` rounds half to even.
     """
-    long = (df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-            .unpivot([], list(columns), "variable", "value"))
-    base = long.groupBy("variable").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    out = base.join(q, "variable").select(
-        "variable", F.col("count").cast("double").alias("count"), "mean", "std", "min",
+    summaries = column_summaries(df, columns) if summaries is None else summaries
+    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75], summaries)
+    std = F.sqrt(F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0)))
+    out = summaries.join(q, "variable").select(
+        "variable", F.col("n").cast("double").alias("count"), "mean", std.alias("std"), "min",
         F.col("q_25").alias("p25"), F.col("q_50").alias("p50"), F.col("q_75").alias("p75"), "max")
     if digits is not None:
         out = out.withColumns({c: round_half_even(c, digits)

@@ -2,27 +2,32 @@
 
 ``Window.orderBy(x)`` with no ``partitionBy`` moves every row into one task.
 Running totals cut the order into slices and add each slice's offset; exact
-quantiles narrow a bracket around each target rank and order only the rows
-inside it.
+quantiles order only the values in a bracket around each target rank.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.operators.sketches import SKETCH_K, column_summaries, number, sketched_quantiles
+from churnlens.session import materialize
+
 _SLICE = "_slice"
 # percentile_approx returns a value whose rank is off by at most n / ACCURACY.
 ACCURACY = 10_000
-# Rows inside a bracket that one window task may order.
-BRACKET_ROWS = 1_000_000
+# A bracket reaches so many times the sketch's usual rank error to either side.
+MARGIN = 3.0
+# Rows of a slice: so many are ordered by one task.
+SLICE_ROWS = 500_000
 
 
 def _default_slices(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, -(-df.count() // SLICE_ROWS))  # the rows of a stored table: read from its footers
 
 
 def running_sums(df: DataFrame, key: str, sum_cols: Sequence[str], groups: Sequence[str] = (),
@@ -49,7 +54,8 @@ def running_sums(df: DataFrame, key: str, sum_cols: Sequence[str], groups: Seque
         cut = df.withColumn(_SLICE, F.lit(0))
     if descending:
         cut = cut.withColumn(_SLICE, F.lit(len(splits)) - F.col(_SLICE))
-    cut = cut.repartition(n, *groups, _SLICE)
+    if n > 1:
+        cut = cut.repartition(n, *groups, _SLICE)
     order = F.desc(key) if descending else F.col(key)
     local_w = (Window.partitionBy(*groups, _SLICE).orderBy(order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -63,81 +69,83 @@ def running_sums(df: DataFrame, key: str, sum_cols: Sequence[str], groups: Seque
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    bracket_rows: int = BRACKET_ROWS, accuracy: int = ACCURACY) -> DataFrame:
+                    summaries: DataFrame | None = None, k: int = SKETCH_K) -> DataFrame:
     """Linearly interpolated quantiles (pandas/NumPy 'linear', DuckDB quantile_cont).
 
     Output: one row per column with ``variable`` and ``q_<p>`` columns; nulls
     and NaN do not count.  A quantile lies between two neighbouring ranks.
-    Around each a bracket of values is kept, at first the whole range.  While
-    it holds more than ``bracket_rows`` rows, ``percentile_approx`` a little
-    below and above the ranks narrows it to a few ten-thousandths (its rank
-    error is at most 1 / accuracy, half of the distance kept, so both ranks
-    stay inside).  Only the last bracket's values are grouped and ordered.  A
-    pass is one scan with a tiny aggregation; no pass shuffles the rows.
+    The sketches of ``summaries`` (made by one scan if not given) bracket both
+    ranks.  A second scan counts every value inside a bracket and all values
+    between two brackets as one; running sums over these counts place the
+    ranks.  A rank outside its bracket (the sketch erred by more than
+    ``MARGIN`` times its usual error) is seen as such, and the scan is repeated
+    with brackets eight times as wide.
     """
-    if bracket_rows < 4 * accuracy:
-        raise ValueError("bracket_rows must be at least four times the accuracy")
-    columns, step = list(columns), 2.0 / accuracy
-    num = {c: F.col(f"`{c}`").cast("double") for c in columns}
-    num = {c: F.when(~F.isnan(x), x) for c, x in num.items()}
-    ends = df.agg(*[f(num[c]).alias(f"{n}{i}") for i, c in enumerate(columns)
-                    for n, f in (("n", F.count), ("a", F.min), ("b", F.max))]).first()
-    size = {c: ends[f"n{i}"] for i, c in enumerate(columns)}
-    bracket = {(c, p): (ends[f"a{i}"], ends[f"b{i}"]) for i, c in enumerate(columns) for p in probs if size[c]}
-    held = {k: (0, size[k[0]]) for k in bracket}  # rows below and inside
-    wide = [k for k in bracket if held[k][1] > bracket_rows]
-
-    def inside(k):
-        low, high = bracket[k]
-        return (num[k[0]] >= F.lit(low)) & (num[k[0]] <= F.lit(high))
-
-    while wide:
-        asked = []
-        for k in wide:
-            below, n = held[k]
-            rank = int((size[k[0]] - 1) * k[1]) - below
-            asked.append([max(0.0, rank / n - step), min(1.0, (rank + 2) / n + step)])
-        found = df.agg(*[F.percentile_approx(F.when(inside(k), num[k[0]]), q, accuracy).alias(f"b{i}")
-                         for i, (k, q) in enumerate(zip(wide, asked))]).first()
-        moved = [(k, tuple(found[f"b{i}"])) for i, k in enumerate(wide) if tuple(found[f"b{i}"]) != bracket[k]]
-        bracket.update(moved)
-        keys = [k for k, _ in moved]
-        if not keys:
-            break  # what is left are ties at the ends
-        counts = df.agg(*[f.alias(f"{n}{i}") for i, k in enumerate(keys) for n, f in (
-            ("l", F.count_if(num[k[0]] < F.lit(bracket[k][0]))), ("i", F.count_if(inside(k))))]).first()
-        held.update({k: (counts[f"l{i}"], counts[f"i{i}"]) for i, k in enumerate(keys)})
-        wide = [k for k in keys if held[k][1] > bracket_rows and bracket[k][0] < bracket[k][1]]
-
-    keys = list(bracket)
+    columns = list(columns)
+    summaries = column_summaries(df, columns, k) if summaries is None else summaries
+    size = {r["variable"]: r["n"] for r in summaries.select("variable", "n").collect()}
     spark = df.sparkSession
     names = "variable string, " + ", ".join(f"q_{_ptag(p)} double" for p in probs)
-    none = spark.createDataFrame([(c, *[None] * len(probs)) for c in columns if not size[c]], names)
-    if not keys:
-        return none
-    # one struct per bracket that the row's value is in
-    marks = F.array(*[F.when(inside(k), F.struct(F.lit(i).alias("b"), num[k[0]].alias("value")))
-                      for i, k in enumerate(keys)])
-    values = (df.select(F.explode(F.filter(marks, lambda m: m.isNotNull())).alias("m"))
-              .groupBy(F.col("m.b").alias("b"), F.col("m.value").alias("value")).agg(F.count(F.lit(1)).alias("n")))
-
-    def of_bracket(listed) -> Column:
-        return F.element_at(F.array(*[F.lit(x) for x in listed]), F.col("b") + 1)
-
-    w = Window.partitionBy("b").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    values = values.withColumn("_end", F.sum("n").over(w) + of_bracket([held[k][0] for k in keys]))
-    start, end = F.col("_end") - F.col("n"), F.col("_end")
-    pos = of_bracket([(size[c] - 1) * float(p) for c, p in keys])
-    lo = F.floor(pos)
-    hi = F.least(lo + 1, of_bracket([size[c] for c, _ in keys]) - 1)
-    picked = values.groupBy("b").agg(F.max(F.when((start <= lo) & (lo < end), F.col("value"))).alias("x"),
-                                   F.max(F.when((start <= hi) & (hi < end), F.col("value"))).alias("y"))
-    value = F.col("x") + (F.col("y") - F.col("x")) * (pos - lo)
-    out = (picked.select(of_bracket([c for c, _ in keys]).alias("variable"),
-                         of_bracket([_ptag(p) for _, p in keys]).alias("p"), value.alias("q"))
-           .groupBy("variable").agg(*[F.max(F.when(F.col("p") == _ptag(p), F.col("q"))).alias(f"q_{_ptag(p)}")
-                                      for p in probs]))
-    return out.unionByName(none) if any(not n for n in size.values()) else out
+    ranks = {(c, p): int((size[c] - 1) * p) for c in columns if size[c] for p in probs}
+    found: dict[tuple[str, int], float] = {}
+    reach = MARGIN * 2.0 / k**0.9
+    while True:
+        todo = [(c, p) for (c, p), r in ranks.items() if (c, r) not in found or (c, min(r + 1, size[c] - 1)) not in found]
+        if not todo:
+            break
+        found |= _values_at(df, summaries, size, ranks, todo, reach)
+        reach *= 8.0
+    rows = []
+    for c in columns:
+        row = []
+        for p in probs if size[c] else ():
+            r, pos = ranks[c, p], (size[c] - 1) * p
+            low, high = found[c, r], found[c, min(r + 1, size[c] - 1)]
+            row.append(low + (high - low) * (pos - r))
+        rows.append((c, *(row or [None] * len(probs))))
+    return spark.createDataFrame(rows, names)
+
+
+def _values_at(df: DataFrame, summaries: DataFrame, size: dict[str, int], ranks: dict[tuple[str, float], int],
+               todo: list[tuple[str, float]], reach: float) -> dict[tuple[str, int], float]:
+    """(column, rank) -> value for the ranks at ``todo`` and the next ones, where the brackets hold them."""
+    wanted: dict[str, list[int]] = {}
+    for c, p in todo:
+        wanted.setdefault(c, []).extend({ranks[c, p], min(ranks[c, p] + 1, size[c] - 1)})
+    ends = sorted({min(1.0, max(0.0, r / size[c] + s)) for c, rs in wanted.items() for r in rs for s in (-reach, reach)})
+    at = {r["variable"]: r["q"] for r in sketched_quantiles(summaries, ends).collect()}
+    limits = {r["variable"]: (r["min"], r["max"]) for r in summaries.select("variable", "min", "max").collect()}
+    keys, between = [], {}
+    for c, rs in wanted.items():
+        spans: list[list[float]] = []
+        for r in sorted(rs):
+            low, high = (min(1.0, max(0.0, r / size[c] + s)) for s in (-reach, reach))
+            a = limits[c][0] if low == 0.0 else at[c][ends.index(low)]
+            b = limits[c][1] if high == 1.0 else at[c][ends.index(high)]
+            if spans and a <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], b)
+            else:
+                spans.append([a, b])
+        # values between two brackets count under a number that no value inside has
+        gaps = [float("-inf"), *[math.nextafter(b, math.inf) for _, b in spans]]
+        x, key = number(c), F.lit(gaps[-1])
+        for (a, b), gap in reversed(list(zip(spans, gaps))):
+            key = F.when(number(c) < a, F.lit(gap)).when(number(c) <= b, number(c)).otherwise(key)
+        keys.append(F.struct(F.lit(c).alias("variable"), F.when(x.isNotNull(), key).alias("value")))
+        between[c] = set(gaps)
+    counts = (df.select(F.explode(F.array(*keys)).alias("k")).select("k.*").where(F.col("value").isNotNull())
+              .groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")))
+    cum = running_sums(materialize(counts, "bracketed"), "value", ["n"], ["variable"])
+    hit = F.lit(False)
+    for c, rs in wanted.items():
+        for r in set(rs):
+            hit = hit | ((F.col("variable") == c) & (F.col("n_cum") - F.col("n") <= r) & (F.col("n_cum") > r))
+    out = {}
+    for row in cum.where(hit).collect():  # one row per rank asked for
+        for r in set(wanted[row["variable"]]):
+            if row["n_cum"] - row["n"] <= r < row["n_cum"] and row["value"] not in between[row["variable"]]:
+                out[row["variable"], r] = row["value"]
+    return out
 
 
 def _ptag(p: float) -> str:

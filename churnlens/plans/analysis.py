@@ -24,6 +24,7 @@ from churnlens.schema import (SUBSCRIBER, TENURE_EDGES_4, TENURE_EDGES_6, TENURE
                               SubscriberColumns)
 from churnlens.session import materialize
 from churnlens.sources.model_store import save_model
+from churnlens.sources.steps import fingerprint
 from churnlens.sources.subscribers import load_subscribers, write_report, write_segmented
 
 
@@ -71,6 +72,9 @@ def analyse_subscribers(spark: SparkSession, path: str, out_dir: str, fmt: str =
     save("segment_points", seg.points)
     save("segment_point_shares", seg.shares)
     flows.save_segments(seg, f"{out_dir.rstrip('/')}/models/segments")
+    source = fingerprint(df)
+    steps_dir = f"{out_dir.rstrip('/')}/steps"
+    flows.store_segmentation(seg, steps_dir, source)
 
     # E2 logistic models
     run = flows.prepare(df, cols)
@@ -89,6 +93,7 @@ def analyse_subscribers(spark: SparkSession, path: str, out_dir: str, fmt: str =
     # E3 boosted trees and explanations
     trees = cv.trees
     save_model(trees, f"{out_dir.rstrip('/')}/models/gbt")
+    flows.store_models(run, {"logistic": ridge, "gbt": trees}, steps_dir, source)
     save("model_comparison", flows.compare(ridge, trees, run, cols))
     scored_all = materialize(flows.scored_by(run, cols, baseline=base, ridge=ridge, gbt=trees), "scored")
     save("roc", metrics.roc_curves(scored_all, cols.label, flows.model_columns("baseline", "ridge", "gbt")))

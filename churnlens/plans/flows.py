@@ -14,11 +14,13 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.operators import boosting, encode, explain, folds, metrics, models, segment, split
+from churnlens.operators import boosting, clean, encode, explain, folds, metrics, models, segment, split
 from churnlens.operators.blocks import loaded
 from churnlens.schema import (GBTConfig, LogisticConfig, SegmentConfig, SplitConfig,
                               SubscriberColumns)
 from churnlens.session import ensure_checkpoint_dir, materialize
+from churnlens.sources import steps
+from churnlens.sources.model_store import read_model, save_model
 
 
 @dataclass
@@ -185,3 +187,55 @@ def explain_examples(model: boosting.BoostedModel, run: ModelRun, cols: Subscrib
 def coefficient_table(model: models.ChurnModel, top: int = 20) -> DataFrame:
     coefs = models.coefficients(model).where(F.col("feature") != "(intercept)")
     return explain.top_abs(coefs, "coefficient", top, tie="feature")
+
+
+# --- stored steps: a later run starts from what is there ----------------------
+
+def store_segmentation(result: SegmentationResult, root: str, source: str) -> str:
+    """Segmented table, sweep and the segmentation pipeline as one step."""
+    spark = result.segmented.sparkSession
+    return steps.write_step(spark, root, "segmentation", source, {"segmented": result.segmented, "sweep": result.sweep},
+                            {"pipeline": lambda path: save_segments(result, path)})
+
+
+def store_models(run: ModelRun, fitted: dict[str, models.ChurnModel | boosting.BoostedModel], root: str, source: str) -> str:
+    """The split table and the fitted models as one step."""
+    return steps.write_step(run.data.sparkSession, root, "models", source, {"data": run.data},
+                            {n: (lambda path, m=m: save_model(m, path)) for n, m in fitted.items()})
+
+
+def resume_models(spark, root: str, source: str | None = None):
+    """``(split table, {name: model})`` of a stored models step; None if it is not there."""
+    step = steps.read_step(spark, root, "models", source)
+    if step is None:
+        return None
+    return step.tables["data"], {n: read_model(f"{step.path}/artefacts/{n}") for n in step.artefacts}
+
+
+def resume_segmented(spark, root: str, cols: SubscriberColumns, source: str | None = None) -> DataFrame | None:
+    """The stored segmented table, its total coerced and rows without one dropped (S2); None if it is not there."""
+    step = steps.read_step(spark, root, "segmentation", source)
+    if step is None:
+        return None
+    return clean.drop_missing(clean.coerce_numeric(step.tables["segmented"], cols.total), [cols.total], "resumed")[0]
+
+
+def resumed_risk(spark, root: str, cols: SubscriberColumns, model: str = "logistic",
+                 source: str | None = None) -> DataFrame | None:
+    """Risk per segment from stored segments and a stored model; skipped (None, a warning) if either is absent."""
+    found, segmented = resume_models(spark, root, source), resume_segmented(spark, root, cols, source)
+    if found is None or segmented is None or model not in found[1]:
+        return None
+    return segment_risk(found[1][model], segmented, cols)
+
+
+def resumed_comparison(spark, root: str, cols: SubscriberColumns, source: str | None = None) -> DataFrame | None:
+    """Stored logistic model against the stored trees on the stored test rows; skipped if a model is absent."""
+    found = resume_models(spark, root, source)
+    if found is None or not {"logistic", "gbt"} <= set(found[1]):
+        return None
+    test = found[0].where("is_test = 1")
+    columns, scored = model_columns("logistic", "gbt"), test
+    for name in columns:
+        scored = found[1][name].score(scored, f"prob_{name}", f"pred_{name}")
+    return metrics.compare_models(metrics.metric_tables(scored, cols.label, columns), "logistic", "gbt")

@@ -493,6 +493,16 @@ ORACLE.update({
     "renamed": "SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS price FROM orders",
     "flag_shares": with_sub(" UNION ALL ".join(
         f"SELECT '{c}_enc' AS flag, round(avg(CAST({c} = 'Yes' AS INTEGER)), 6) AS share FROM sub" for c in C.model_flags)),
+    "csv_rejects": with_sub(f"""
+SELECT 'good' AS kind, NULL::VARCHAR AS "column", count(*) AS n, round(sum({C.monthly}), 2) AS monthly,
+       CAST(sum({C.key}) AS BIGINT) AS keys
+FROM sub WHERE {C.key} % 7 <> 0 AND {C.key} % 11 <> 0 AND {C.key} % 13 <> 0
+UNION ALL SELECT 'number of fields', NULL, count(*), NULL, NULL FROM sub WHERE {C.key} % 13 = 0
+UNION ALL SELECT 'not double', '{C.tenure}', count(*), NULL, NULL FROM sub WHERE {C.key} % 7 = 0 AND {C.key} % 13 <> 0
+UNION ALL SELECT 'not double', '{C.monthly}', count(*), NULL, NULL FROM sub WHERE {C.key} % 11 = 0 AND {C.key} % 13 <> 0"""),
+    "resumed_check": with_sub(f"SELECT CAST(sum(n) AS BIGINT) AS n_scored, CAST(0 AS BIGINT) AS n_scores_off, "
+                              "(SELECT count(*) FROM sub) AS n_segmented, CAST(0 AS BIGINT) AS n_segments_off, "
+                              f"CAST(3 AS BIGINT) AS n_skipped, CAST(2 AS BIGINT) AS n_resumed FROM ({TEST_ROWS})"),
     "kmeans_check": "SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_clusters, TRUE AS inertia_holds, "
                     "CAST(0 AS BIGINT) AS n_off_mean FROM embeddings",
     "silhouette_euclid": """

@@ -8,6 +8,8 @@ DuckDB twins (``churnlens.plans.oracle``) so both engines agree.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +19,9 @@ from churnlens.operators import (clean, encode, explain, impact, metrics, profil
 from churnlens.operators.silhouette import euclidean_silhouette
 from churnlens.schema import (FIXTURE, GBTConfig, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
                               TENURE_LABELS_6)
-from churnlens.session import materialize
+from churnlens.session import ensure_checkpoint_dir, materialize
 from churnlens.sources.fixture_view import read_table, subscriber_view
+from churnlens.sources.subscribers import read_with_rejects
 
 C = FIXTURE
 
@@ -612,7 +615,6 @@ def q_shap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tree contributions and base add up to the logit on every test row."""
     from churnlens.operators import models
     from churnlens.plans import flows
-    from churnlens.session import ensure_checkpoint_dir
 
     m, run = _gbt(spark, sf_dir), _run(spark, sf_dir)
     trees = models.gbt_trees(m, ensure_checkpoint_dir(spark))
@@ -761,7 +763,76 @@ def q_gbt_explain(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "t.shap"))
 
 
+# --- sources and stored steps -------------------------------------------------
+
+CSV_COLUMNS = (C.key, C.contract, C.senior, C.tenure, C.monthly, C.total, C.label_text)
+
+
+def q_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view written as CSV with damaged lines and read back: good rows, and faults by column and reason.
+
+    Keys divisible by 7 get a word for their tenure, those divisible by 11 a
+    unit behind their charges, those divisible by 13 a field too many.
+    """
+    from pyspark.sql import types as T
+
+    v = subscriber_view(spark, sf_dir).select(*CSV_COLUMNS)
+    key = F.col(C.key)
+    text = [F.col(c).cast("string").alias(c) for c in CSV_COLUMNS]
+    damaged = v.select(*text).withColumns({
+        C.tenure: F.when(key % 7 == 0, F.lit("long")).otherwise(F.col(C.tenure)),
+        C.monthly: F.when(key % 11 == 0, F.concat(C.monthly, F.lit(" EUR"))).otherwise(F.col(C.monthly))})
+    line = F.concat(F.to_csv(F.struct(*CSV_COLUMNS)), F.when(key % 13 == 0, F.lit(",more")).otherwise(F.lit("")))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/subscribers-csv-{uuid.uuid4().hex}"
+    damaged.select(line.alias("line")).write.text(path)
+    schema = T.StructType([T.StructField(C.key, T.LongType()), T.StructField(C.contract, T.StringType()),
+                           T.StructField(C.senior, T.IntegerType()), T.StructField(C.tenure, T.DoubleType()),
+                           T.StructField(C.monthly, T.DoubleType()), T.StructField(C.total, T.DoubleType()),
+                           T.StructField(C.label_text, T.StringType())])
+    good, rejects = read_with_rejects(spark, path, schema, header=False)
+    rows = good.agg(F.lit("good").alias("kind"), F.lit(None).cast("string").alias("column"), F.count(F.lit(1)).alias("n"),
+                    F.round(F.sum(C.monthly), 2).alias("monthly"), F.sum(C.key).alias("keys"))
+    faults = rejects.groupBy(F.col("reason").alias("kind"), "column").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("monthly"), F.lit(None).cast("long").alias("keys"))
+    return rows.unionByName(faults)
+
+
+def q_resumed_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps stored and resumed: rows scored, rows whose score or segment differs, tables skipped."""
+    import warnings
+
+    from churnlens.plans import flows
+    from churnlens.sources.steps import fingerprint
+
+    run, (_, b), seg = _run(spark, sf_dir), _logistic(spark, sf_dir), _segmentation(spark, sf_dir)
+    source = fingerprint(subscriber_view(spark, sf_dir))
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/steps-{uuid.uuid4().hex}"
+    flows.store_models(run, {"logistic": b, "gbt": _gbt(spark, sf_dir)}, root, source)
+    flows.store_segmentation(seg, root, source)
+    data, fitted = flows.resume_models(spark, root, source)
+    test = data.where("is_test = 1")
+    again = fitted["logistic"].score(fitted["gbt"].score(test, "gbt", "pred_gbt"), "logistic", "pred_logistic")
+    first = flows.scored_by(run, C, logistic=b, gbt=_gbt(spark, sf_dir))
+    differ = F.coalesce((F.abs(F.col("gbt") - F.col("prob_gbt")) > 1e-12)
+                        | (F.abs(F.col("logistic") - F.col("prob_logistic")) > 1e-12), F.lit(True))
+    both = again.select(C.key, "gbt", "logistic").join(first, C.key, "left").agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(differ).alias("n_scores_off"))
+    old = seg.segmented.select(C.key, F.col("segment_id").alias("old"))
+    named = flows.resume_segmented(spark, root, C, source).select(C.key, "segment_id").join(old, C.key, "left").agg(
+        F.count(F.lit(1)).alias("n_segmented"), F.count_if(~F.col("segment_id").eqNullSafe(F.col("old"))).alias("n_segments_off"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        skipped = [flows.resumed_risk(spark, f"{root}-none", C), flows.resumed_comparison(spark, f"{root}-none", C),
+                   flows.resumed_risk(spark, root, C, source="another input")]
+    done = [flows.resumed_risk(spark, root, C, source=source), flows.resumed_comparison(spark, root, C, source)]
+    return both.crossJoin(named).withColumns({  # one row each
+        "n_skipped": F.lit(sum(t is None for t in skipped)).cast("long"),
+        "n_resumed": F.lit(sum(t.count() > 0 for t in done)).cast("long")})
+
+
 MODEL_QUERIES = {
+    "csv_rejects": q_csv_rejects,
+    "resumed_check": q_resumed_check,
     "kmeans_sweep": q_kmeans_sweep,
     "kmeans_check": q_kmeans_check,
     "silhouette_euclid": q_silhouette_euclid,

@@ -6,8 +6,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from churnlens.operators import clean, profile, rates, stats
+from churnlens.operators import clean, profile, ranking, rates, stats
 from churnlens.operators.ranking import exact_quantiles, running_sums
+from churnlens.operators.sketches import RANK_ERROR, column_summaries, merge_summaries, sketched_quantiles
 
 
 def test_quartile_interpolates(spark):
@@ -25,18 +26,54 @@ def test_quantiles_match_numpy_under_repartition(spark):
         assert math.isclose(q[tag], float(np.quantile(vals, p)), abs_tol=1e-12)
 
 
-def test_quantiles_narrow_their_brackets(spark):
+def test_quantiles_hold_with_coarse_sketches(spark):
+    """Sketches of eight values err a lot: brackets miss and are widened, the quantiles stay exact."""
     rng = np.random.default_rng(2)
     a = rng.normal(size=9000)
     b = np.where(rng.random(9000) < 0.4, 7.0, np.round(rng.exponential(size=9000), 2))  # a third ties
     df = spark.createDataFrame([(float(x), float(y), None) for x, y in zip(a, b)]
                                + [(float("nan"), None, None)], "a double, b double, none double").repartition(5)
     probs = [0.0, 0.01, 0.25, 0.5, 0.6, 0.99, 1.0]
-    rows = {r["variable"]: r for r in exact_quantiles(df, ["a", "b", "none"], probs, bracket_rows=100, accuracy=25).collect()}
-    for name, values in (("a", a), ("b", b)):
-        for p in probs:
-            assert math.isclose(rows[name][f"q_{round(p * 100):02d}"], float(np.quantile(values, p)), abs_tol=1e-12)
-    assert all(rows["none"][f"q_{round(p * 100):02d}"] is None for p in probs)
+    for k in (8, 200):
+        rows = {r["variable"]: r for r in exact_quantiles(df, ["a", "b", "none"], probs, k=k).collect()}
+        for name, values in (("a", a), ("b", b)):
+            for p in probs:
+                assert math.isclose(rows[name][f"q_{round(p * 100):02d}"], float(np.quantile(values, p)), abs_tol=1e-12)
+        assert all(rows["none"][f"q_{round(p * 100):02d}"] is None for p in probs)
+
+
+def test_missed_brackets_are_widened(spark, monkeypatch):
+    values = np.random.default_rng(5).normal(size=3000)
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    reaches, original = [], ranking._values_at
+    monkeypatch.setattr(ranking, "MARGIN", 1e-6)
+
+    def watched(*args):
+        reaches.append(args[-1])
+        return original(*args)
+
+    monkeypatch.setattr(ranking, "_values_at", watched)
+    q = exact_quantiles(df, ["x"], [0.3, 0.7], k=8).first()
+    assert math.isclose(q["q_30"], float(np.quantile(values, 0.3)), abs_tol=1e-12) and len(reaches) > 1
+
+
+def test_summaries_merge_without_a_rescan(spark):
+    rng = np.random.default_rng(3)
+    old, new = rng.normal(5, 2, size=4000), rng.exponential(size=3000) + 1e6
+    frame = lambda v: spark.createDataFrame([(float(x), None) for x in v], "x double, none double").repartition(4)
+    merged = merge_summaries(column_summaries(frame(old), ["x", "none"]), column_summaries(frame(new), ["x", "none"]))
+    rows = {r["variable"]: r for r in merged.collect()}
+    both = np.concatenate([old, new])
+    assert rows["x"]["n"] == 7000 and math.isclose(rows["x"]["mean"], both.mean()) and rows["x"]["max"] == both.max()
+    assert math.isclose(rows["x"]["m2"], ((both - both.mean()) ** 2).sum(), rel_tol=1e-9)
+    assert rows["none"]["n"] == 0 and rows["none"]["min"] is None
+    got = sketched_quantiles(merged, [0.1, 0.5, 0.9]).collect()
+    assert [r["variable"] for r in got] == ["x"]
+    order = np.sort(both)
+    for p, v in zip((0.1, 0.5, 0.9), got[0]["q"]):
+        assert abs(np.searchsorted(order, v) / 7000 - p) < 4 * RANK_ERROR
+    d = profile.describe(frame(both), ["x", "none"], None, merged).where("variable = 'x'").first()
+    assert math.isclose(d["p50"], float(np.median(both))) and math.isclose(d["std"], both.std(ddof=1), rel_tol=1e-9)
 
 
 def test_running_sums(spark):
