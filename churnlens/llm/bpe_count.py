@@ -75,7 +75,7 @@ def cut(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, list[str], np
         mark, nothing = (pa.scalar(x, pa.large_string()) for x in (FIRST, ""))
         lists = pc.split_pattern(pc.binary_join_element_wise(mark, spaced, nothing), " ")
         words = lists.flatten().dictionary_encode()
-        pieces = [w[1:] if w[0] == FIRST else w if w[0] == "\n" else " " + w for w in words.dictionary.to_pylist()]
+        pieces = [w[1:] if w[0] == FIRST else w if w[0] == "\n" else " " + w for w in words.dictionary.to_numpy(zero_copy_only=False).tolist()]
         yield at, pieces, words.indices.to_numpy(), lists.offsets.to_numpy()[1:].astype(np.int64)
     at = np.flatnonzero(odd)
     if len(at):

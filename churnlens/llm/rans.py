@@ -46,7 +46,7 @@ VERSION = 1
 # Pieces and ids held per worker (about 170 bytes a piece), pieces joined for the library.
 PIECES_KNOWN = 800_000
 IDS_KNOWN = 16_000_000
-JOINED = 2_000
+JOINED = 200
 SEPARATORS = frozenset(["", *map(chr, range(0x2000, 0x200b)), *"\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"])
 
 
