@@ -23,10 +23,6 @@ from churnlens.session import ensure_checkpoint_dir
 # vertical tab, form feed, carriage return), as a regex class.
 SPACE = r"[\x20\x09-\x0D]"
 
-# A side is broadcast by hint only if it has at most this many rows when
-# counted; beyond it the join is left to the planner (shuffle join).
-BROADCAST_ROWS = 50_000
-
 TEXTS_PER_BATCH = 2_000
 
 _SHIPPED = "_churnlens_shipped"
@@ -72,11 +68,6 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a stored table if a count proves it small; else leave it."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def word_array(text: Column) -> Column:
     """Words of a text (runs without separators) as an array; null gives none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")

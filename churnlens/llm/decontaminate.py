@@ -2,14 +2,15 @@
 
 Texts and benchmark items become sequences of shingle hashes (five lower-cased
 words of letters and digits; an item of fewer words is one shingle).  For each
-length of an item, windows of that many words slide over every text that
-shares a shingle with some item; only windows that hold such a shingle are
-formed, as any other window has similarity zero.  A text shorter than the item
-is one window of its own.  A window's SimHash is cut
-into radius + 1 blocks; of two fingerprints within the radius at least one
-block is equal, so a join on (length, block, value) finds them all.  Candidates
-within the radius are verified by their exact weighted Jaccard similarity,
-shingles weighing as often as they occur.
+item, windows of its number of words slide over every text that shares a
+shingle with it; only windows that hold such a shingle are formed, as any other
+window has similarity zero.  A text shorter than the item is one window of its
+own.  A window's SimHash is cut into radius + 1 blocks; of two fingerprints
+within the radius at least one block is equal, so a join on (item, block,
+value) finds them all.  Windows, not texts or items, grow with the input: what
+is joined per window is its fingerprint, and hashes are fetched again only for
+the candidates within the radius.  These are verified by their exact weighted
+Jaccard similarity, shingles weighing as often as they occur.
 """
 
 from __future__ import annotations
@@ -19,11 +20,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import BROADCAST_ROWS, broadcast_if_small, read_table, stored
+from churnlens.llm.common import read_table, stored
 
 BITS = 64
 NARROW, WIDE = 16, 32  # bits of a counter: bit b is counted in sum b % bits, lane b // bits
 
+# Shingles of items that a pass over the texts looks for (expected number).
+SHINGLES_AT_ONCE = 50_000
+
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 19
@@ -99,17 +103,21 @@ def text_key(text: Column) -> list[Column]:
 
 
 def _sharing(docs: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """key_a, key_b, h (all shingle hashes) of the distinct texts that share a shingle with an item."""
+    """key_a, key_b, h (all shingle hashes) of the distinct texts that share a shingle with an item.
+
+    The items' shingles are looked for as literals, in passes of about
+    ``SHINGLES_AT_ONCE``, so that a text's hashes are tested where they are made.
+    """
     rows = docs.select(*text_key(F.col("text")),
                        once(F.transform(words(F.col("text")), lambda w: F.xxhash64(w)), "w"))
     rows = rows.select("key_a", "key_b", once(shingles(F.col("w"), k), "h"))
     known = index.select("s").distinct()
-    few = [r.s for r in known.limit(BROADCAST_ROWS + 1).collect()]
-    if len(few) <= BROADCAST_ROWS:  # a literal set: texts are tested in place
-        found = rows.where(f"exists(h, x -> x in ({', '.join(f'{s}L' for s in few)}))") if few else rows.limit(0)
-    else:  # any larger benchmark: the same test as a join, texts by their key
-        hit = rows.select("key_a", "key_b", F.explode("h").alias("s")).join(known, "s", "left_semi")
-        found = rows.join(hit.select("key_a", "key_b").distinct(), ["key_a", "key_b"], "left_semi")
+    passes = max(1, -(-known.count() // SHINGLES_AT_ONCE))
+    found = rows.limit(0)
+    for i in range(passes):
+        few = [r.s for r in known.where(F.pmod("s", F.lit(passes)) == i).collect()]
+        if few:
+            found = found.union(rows.where(f"exists(h, x -> x in ({', '.join(f'{s}L' for s in few)}))"))
     return found.groupBy("key_a", "key_b").agg(F.first("h").alias("h"))
 
 
@@ -122,29 +130,31 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
     block = F.explode(F.expr("array(" + ", ".join(f"named_struct('block', {b}, 'value', fp & {m}L)"
                                                   for b, m in enumerate(masks)) + ")")).alias("b")
     found = []
+    text = ["key_a", "key_b"]
     for k in sorted(sizes):
         own = items.where(F.col("k") == k)
-        index = own.select("n", "m", F.explode("h").alias("s")).distinct()
+        index = own.select("item", "m", F.explode("h").alias("s")).distinct()
         texts = stored(_sharing(docs, index, k), "decontaminate-texts")
-        hits = (texts.select("key_a", "key_b", F.size("h").alias("size"), F.posexplode("h").alias("at", "s"))
-                .join(broadcast_if_small(index), "s").groupBy("key_a", "key_b", "size", "n", "m")
+        hits = (texts.select(*text, F.size("h").alias("size"), F.posexplode("h").alias("at", "s"))
+                .join(index, "s").groupBy(*text, "size", "item", "m")
                 .agg(F.collect_set("at").alias("at"))  # bounded by one text's length
                 .where(F.col("size") >= similarity * F.col("m") - 1e-6))  # a similarity is at most size / m
         starts = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(
             F.greatest(p - F.col("m") + 1, F.lit(0)), F.greatest(F.least(p, F.col("size") - F.col("m")), F.lit(0))))))
-        starts = hits.select("key_a", "key_b", "n", "m", F.explode(starts).alias("start"))  # 0 if size < m
-        windows = (starts.join(texts, ["key_a", "key_b"])
-                   .select("key_a", "key_b", "n", "start", once(F.expr("slice(h, start + 1, m)"), "window")))
-        windows = windows.select("*", once(majority("window"), "fp"))
-        near = (windows.select("key_a", "key_b", "n", "start", "window", "fp", block)
-                .select("key_a", "key_b", "n", "start", "window", "fp", "b.*"))
-        probe = broadcast_if_small(own.select("n", "item_id", "m", F.col("h").alias("item_h"), F.col("fp").alias("item_fp"),
-                                              "fp", block).select("n", "item_id", "m", "item_h", "item_fp", "b.*"))
+        starts = hits.select(*text, "item", "m", F.explode(starts).alias("start"))  # 0 if size < m
+        windows = starts.join(texts, text).select(*text, "item", "start", once(F.expr("slice(h, start + 1, m)"), "window"))
+        windows = windows.select(*text, "item", "start", once(majority("window"), "fp"))
+        near = windows.select(*text, "item", "start", "fp", block).select(*text, "item", "start", "fp", "b.*")
+        probe = own.select("item", F.col("fp").alias("item_fp"), "fp", block).select("item", "item_fp", "b.*")
         diff = F.expr("fp ^ item_fp")
         first_equal = F.expr("coalesce(" + ", ".join(f"if((fp ^ item_fp) & {m}L = 0, {b}, null)"
                                                      for b, m in enumerate(masks)) + ")")
-        near = (near.join(probe, ["n", "block", "value"]).where(F.bit_count(diff) <= radius)
-                .where(first_equal == F.col("block")))
+        near = (near.join(probe, ["item", "block", "value"]).where(F.bit_count(diff) <= radius)
+                .where(first_equal == F.col("block"))  # of several equal blocks one counts
+                .select(*text, "item", "start", F.bit_count(diff).alias("hamming")))
+        near = stored(near, "decontaminate-near")
+        near = (near.join(texts, text).join(own.select("item", "item_id", "m", F.col("h").alias("item_h")), "item")
+                .select(*text, "item_id", "m", "item_h", "start", "hamming", once(F.expr("slice(h, start + 1, m)"), "window")))
         plain = (F.size(F.array_distinct("window")) == F.size("window")) & \
             (F.size(F.array_distinct("item_h")) == F.size("item_h"))
         count = lambda a, x: F.size(F.filter(a, lambda y: y == x))
@@ -152,9 +162,9 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, shingle: int = SHI
             F.array_distinct("item_h"), F.lit(0), lambda a, x: a + F.least(count(F.col("window"), x), count(F.col("item_h"), x))))
         near = near.select("*", once(shared, "shared")).withColumn(
             "similarity", F.col("shared") / (F.size("window") + F.col("m") - F.col("shared"))).where(F.col("similarity") >= similarity)
-        found.append(near.groupBy("key_a", "key_b", "item_id").agg(
+        found.append(near.groupBy(*text, "item_id").agg(
             F.max(F.struct("similarity", (-F.col("start")).alias("back"), (F.size("window") + k - 1).alias("n_words"),
-                           (-F.bit_count(diff)).alias("near"))).alias("best")))
+                           (-F.col("hamming")).alias("near"))).alias("best")))
     if not found:
         return docs.where(F.lit(False)).select(
             *text_key(F.col("text")), F.lit(None).cast("long").alias("item_id"), F.lit(0).alias("start_word"),
@@ -208,12 +218,14 @@ WITH iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(tex
      dsh AS (SELECT doc_id, k, size, p, list_slice(w, p, p + k - 1) AS s
              FROM (SELECT doc_id, w, k, len(w) - k + 1 AS size, unnest(range(1, len(w) - k + 2)) AS p
                    FROM d, ks WHERE len(w) >= k)),
-     hits AS (SELECT doc_id, item_id, p, size, dsh.s, n, m, c FROM dsh JOIN ish ON ish.k = dsh.k AND ish.s = dsh.s),
-     starts AS (SELECT DISTINCT doc_id, item_id, n, m, unnest(range(greatest(p - m + 1, 1), least(p, size - m + 1) + 1)) AS start FROM hits),
-     o AS (SELECT st.doc_id, st.item_id, st.n, st.m, st.start, h.s, least(count(*), any_value(h.c)) AS c
+     hits AS (SELECT doc_id, item_id, p, size, dsh.s, n, m, c, ish.k FROM dsh JOIN ish ON ish.k = dsh.k AND ish.s = dsh.s),
+     -- a text of fewer shingles than the item is one window: start 1, size shingles, all its words
+     starts AS (SELECT DISTINCT doc_id, item_id, m, least(size, m) AS held, CAST(if(size < m, size + k - 1, n) AS INTEGER) AS n,
+                       unnest(range(greatest(p - m + 1, 1), greatest(least(p, size - m + 1), 1) + 1)) AS start FROM hits),
+     o AS (SELECT st.doc_id, st.item_id, st.n, st.m, st.held, st.start, h.s, least(count(*), any_value(h.c)) AS c
            FROM starts st JOIN hits h ON h.doc_id = st.doc_id AND h.item_id = st.item_id
-                AND h.p >= st.start AND h.p < st.start + st.m GROUP BY st.doc_id, st.item_id, st.n, st.m, st.start, h.s),
-     j AS (SELECT doc_id, item_id, n, start, sum(c) / (2 * any_value(m) - sum(c)) AS similarity
+                AND h.p >= st.start AND h.p < st.start + st.m GROUP BY st.doc_id, st.item_id, st.n, st.m, st.held, st.start, h.s),
+     j AS (SELECT doc_id, item_id, n, start, sum(c) / (any_value(held) + any_value(m) - sum(c)) AS similarity
            FROM o GROUP BY doc_id, item_id, n, start)
 SELECT doc_id, item_id, CAST(arg_min(start, (-similarity, start)) - 1 AS INTEGER) AS start_word, n AS n_words, max(similarity) AS similarity
 FROM j WHERE similarity >= 0.8 GROUP BY doc_id, item_id, n

@@ -73,12 +73,46 @@ def test_planted_passages(spark, make_docs):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - {d for d, _ in want}
 
 
-def test_a_large_benchmark_takes_the_join(spark, make_docs, monkeypatch):
-    monkeypatch.setattr(dc, "BROADCAST_ROWS", 3)
+def test_a_large_benchmark_takes_several_passes(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(dc, "SHINGLES_AT_ONCE", 100)
     docs, items = planted()
     check(dc.find_leaks(make_docs(docs), benchmark(spark, items)).collect(), slow(docs, items))
 
 
+def test_recall_of_the_radius(spark, make_docs):
+    """Of windows at a similarity of 0.8 and little more, the fingerprints miss hardly any."""
+    rng = random.Random(11)
+    item = [f"word{i}" for i in range(60)]
+    docs = []
+    for d in range(1500):
+        w = list(item)
+        at = rng.randrange(50)
+        for i in range(rng.choice([1, 1, 1, 2])):  # one changed word costs five of 56 shingles: 51 / 61 = 0.836
+            w[min(at + i, 59)] = f"other{d}_{i}"
+        docs.append((d, " ".join(w)))
+    want = slow(docs, [(1, " ".join(item))])
+    got = {r.doc_id for r in dc.find_leaks(make_docs(docs), benchmark(spark, [(1, " ".join(item))])).collect()}
+    assert len(want) > 1000 and got <= {d for d, _ in want} and len(got) >= 0.99 * len(want)
+
+
+def test_null_ids_and_the_sql_with_short_texts(spark, make_docs, scratch):
+    rng = random.Random(4)
+    words = [f"{rng.choice('bcd')}{i}" for i in range(38)]
+    docs = [(1, " ".join(words[:36])), (2, " ".join(words[:20])), (3, " ".join(["x", *words, "y"])), (4, "a b"), (5, None),
+            (6, " ".join(words[2:]))]
+    items = [(1, " ".join(words)), (2, "tiny item")]
+    got = dc.find_leaks(make_docs([*docs, (None, " ".join(words[:37]))]), benchmark(spark, items)).drop("hamming")
+    rows = sorted(map(tuple, got.select("doc_id", "item_id", "start_word", "n_words", "similarity").collect()), key=str)
+    assert [r for r in rows if r[0] is None] == [(None, 1, 0, 37, 33 / 34)]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.sql("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    want = con.sql(dc.OP8_SQL).select("doc_id, item_id, start_word, n_words, similarity").fetchall()
+    assert sorted(want, key=str) == [r for r in rows if r[0] is not None] and len(want) == 3
+
+
 def test_whole_tables_equal_brute_force_and_sql(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
