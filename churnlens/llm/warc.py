@@ -2,15 +2,19 @@
 
 Writer: every row becomes one record in a gzip member of its own.  Equal
 payloads of at least ``min_revisit_bytes`` are stored once, as the response of
-the largest page_id; the other rows become revisit records that name it.  The
+the largest page_id; the other rows become revisit records that name it.  Only
+digests are grouped; a smaller payload meets no join.  A file holds as many
+records as make about ``FILE_BYTES`` of payload at the mean size.  The
 members leave through Spark's text sink, which commits task output as any
 Spark write does, on any file system: its line separator is one zero byte,
 which replaces the last byte of a member (the top byte of gzip's length field,
 zero below 16 MB) or pads after it, which gzip allows.
 
 Reader: takes archive bytes in chunks, inflates member after member, frames a
-record by its content length and verifies block and payload digests.  Memory
-is a chunk and a header, whatever the record's length.
+record by its content length and verifies the digests it carries.  Beside the
+compressed file that Spark hands to the task, memory is a chunk and a header,
+whatever the record's length.  Records of other kinds (warcinfo, request,
+metadata) are framed, verified and passed over.
 """
 
 from __future__ import annotations
@@ -26,11 +30,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm.common import read_table, shared_path, ship_package
+from churnlens.llm.common import read_table, shared_path, ship_package, stored
 
 CRLF = b"\r\n"
 GZIP = 31
 CHUNK = 1 << 16
+FILE_BYTES = 64 << 20
+PAGES = ("response", "revisit")
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:churnlens:warc")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -57,8 +63,8 @@ def header_value(text: str) -> str:
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None,
-           date: str) -> bytes:
-    """One WARC record, uncompressed; a revisit if ``refers_to`` is given."""
+           refers_url: str | None, date: str) -> bytes:
+    """One WARC record, uncompressed; a revisit of page ``refers_to`` at ``refers_url`` if the former is given."""
     http = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
             + str(len(payload)).encode() + CRLF + CRLF)
     block = http if refers_to is not None else http + payload
@@ -72,7 +78,10 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     if page_id is not None:
         fields.append(("X-Page-Id", str(page_id)))
     if refers_to is not None:
-        fields += [("WARC-Profile", REVISIT_PROFILE), ("X-Refers-To-Page-Id", str(refers_to))]
+        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", record_id(refers_to, digest, refers_url)),
+                   ("WARC-Refers-To-Date", date), ("X-Refers-To-Page-Id", str(refers_to))]
+        if refers_url is not None:
+            fields.append(("WARC-Refers-To-Target-URI", header_value(refers_url)))
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields)
     return head.encode("utf-8", "surrogatepass") + CRLF + block + CRLF + CRLF
 
@@ -117,7 +126,9 @@ class _Framer:
                 return
             if not head.startswith(b"WARC/1."):
                 raise ValueError("a member does not start with a WARC header")
-            self.record, self.buffer, self.state = Record(fields_of(head)), b"", "http"
+            self.record, self.buffer = Record(fields_of(head)), b""
+            http = self.record.headers.get("content-type", "").startswith("application/http")
+            self.state = "http" if http else "payload"
             self.left = int(self.record.headers["content-length"])
         if self.state in ("http", "payload"):
             block, data = data[:self.left], data[self.left:]
@@ -142,15 +153,17 @@ class _Framer:
         if self.state != "tail" or self.left or self.tail != CRLF + CRLF:
             raise ValueError("a record is shorter or longer than its content length")
         r = self.record
-        if hex_of(r.headers["warc-block-digest"]) != self.block.hexdigest():
+        stated = {k: hex_of(v) for k in ("warc-block-digest", "warc-payload-digest")
+                  if (v := r.headers.get(k, "")).startswith("sha1:")}
+        if stated.get("warc-block-digest", self.block.hexdigest()) != self.block.hexdigest():
             raise ValueError(f"block digest differs in {r.headers.get('warc-record-id')}")
-        digest = hex_of(r.headers["warc-payload-digest"])
-        if r.headers["warc-type"] == "response":
-            if digest != self.payload.hexdigest() or r.payload_bytes != int(r.http["content-length"]):
+        r.payload_digest = stated.get("warc-payload-digest", self.payload.hexdigest())
+        length = r.http.get("content-length")
+        if r.headers.get("warc-type") != "revisit":
+            if r.payload_digest != self.payload.hexdigest() or (length is not None and r.payload_bytes != int(length)):
                 raise ValueError(f"payload differs in {r.headers.get('warc-record-id')}")
-        else:
-            r.payload_bytes = int(r.http["content-length"])
-        r.payload_digest = digest
+        elif length is not None:
+            r.payload_bytes = int(length)
         r.payload = b"".join(self.kept) if self.keep else None
         return r
 
@@ -184,37 +197,46 @@ def read_archive(chunks: Iterable[bytes], keep_payload: bool = False) -> Iterato
 
 
 def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 1000,
-                   date: str = "2026-01-01T00:00:00Z", records_per_file: int = 20_000) -> None:
+                   date: str = "2026-01-01T00:00:00Z", file_bytes: int = FILE_BYTES) -> None:
     """Write one record per row of ``pages`` (page_id, url, html) below ``path``.
 
     A null html is an empty payload; a null url or page_id leaves its header
     out.  A row without page_id can refer but is never referred to.  Rows that
-    share the largest page_id of a group are all responses.
+    share the largest page_id of a group are all responses; the largest url
+    among them is named.
     """
     ship_package(pages.sparkSession)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")).select(
         "page_id", "url", "payload", F.sha1("payload").alias("digest"))
-    shared = (rows.where(F.octet_length("payload") >= min_revisit_bytes).groupBy("digest")
-              .agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null")
-              .select("digest", "last"))
-    revisit = (F.octet_length("payload") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("last"))
-    rows = rows.join(shared, "digest", "left").withColumn("refers_to", F.when(revisit, F.col("last")))
+    large = F.octet_length("payload") >= min_revisit_bytes
+    size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("payload")).alias("bytes")).first()
+    per_file = max(1, int(file_bytes * size.n // max(size.bytes or 0, 1))) if size.n else 1
+    shared = (rows.where(large).groupBy("digest")
+              .agg(F.max(F.struct("page_id", "url")).alias("last"), F.count("*").alias("n"))
+              .where("n > 1 and last.page_id is not null").select("digest", "last"))
+    shared = stored(shared, "warc-shared")  # only digests that occur again
+    revisit = ~F.col("page_id").eqNullSafe(F.col("last.page_id"))
+    again = rows.where(large).join(shared, "digest", "left").withColumns({
+        "refers_to": F.when(revisit, F.col("last.page_id")), "refers_url": F.when(revisit, F.col("last.url"))}).drop("last")
+    alone = rows.where(~large).withColumns({"refers_to": F.lit(None).cast(again.schema["refers_to"].dataType),
+                                            "refers_url": F.lit(None).cast("string")})
+    rows = alone.unionByName(again)
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"member": [
-                member(record(None if pd.isna(i) else int(i), u, p, d, None if pd.isna(r) else int(r), date))
-                for i, u, p, d, r in zip(b["page_id"], b["url"], b["payload"], b["digest"], b["refers_to"])]})
+                member(record(None if pd.isna(i) else int(i), u, p, d, None if pd.isna(r) else int(r), v, date))
+                for i, u, p, d, r, v in zip(b["page_id"], b["url"], b["payload"], b["digest"], b["refers_to"], b["refers_url"])]})
 
     ids = ["page_id", "refers_to"]  # as text: a null must not turn other ids into floats
-    packed = (rows.select(*[F.col(c).cast("string").alias(c) for c in ids], "url", "payload", "digest")
-              .mapInPandas(members, "member binary"))
+    packed = (rows.select(*[F.col(c).cast("string").alias(c) for c in ids], "url", "payload", "digest",
+                          "refers_url").mapInPandas(members, "member binary"))
     (packed.select(F.col("member").cast("string").alias("value")).write
-     .option("lineSep", "\0").option("maxRecordsPerFile", records_per_file).text(path))
+     .option("lineSep", "\0").option("maxRecordsPerFile", per_file).text(path))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, url, payload_bytes, payload_digest, record_type, refers_to of every record."""
+    """page_id, url, payload_bytes, payload_digest, record_type, refers_to of every response and revisit."""
     ship_package(spark)
 
     def number(text: str | None) -> int | None:
@@ -225,7 +247,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             for content in batch["content"]:
                 rows = [(number(r.headers.get("x-page-id")), r.headers.get("warc-target-uri"), r.payload_bytes,
                          r.payload_digest, r.headers["warc-type"], number(r.headers.get("x-refers-to-page-id")))
-                        for r in read_archive(chunks_of(content))]
+                        for r in read_archive(chunks_of(content)) if r.headers.get("warc-type") in PAGES]
                 out = pd.DataFrame(rows, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type",
                                                   "refers_to"])
                 yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
