@@ -46,14 +46,15 @@ RUNS = re.compile(r"[^\W_]+")
 class ToxicityConfig:
     """Parameters of the fit.
 
-    ``max_labelled`` bounds the labelled texts (their expected number),
-    ``max_nodes`` the nodes that stand out, and again those below them; ``prior`` is the Dirichlet mass spread over the
+    ``max_labelled`` bounds the labelled texts (their expected number), and
+    with them the lexicon; ``prior`` is the Dirichlet mass spread over the
     pooled frequencies, as a share of the toxic counts, on top of one half per
-    node.
+    node.  A passage is significant if chance gives at most ``max_expected``
+    such segments in a text of its length.
     """
 
     max_labelled: int = 20_000
-    max_nodes: int = 50_000
+    max_expected: float = 0.05
     prior: float = 0.001
     min_contexts: int = 4
     min_z: float = 6.0
@@ -98,6 +99,10 @@ class ToxicityModel:
             best = max(best, total - (r - 1) * math.log(max(total, 1.0)) + math.lgamma(r + 1) + math.lgamma(r))
         return best
 
+    def expected(self, score: float, n: int) -> float:
+        """How many segments of at least this score chance gives in a text of ``n`` tokens."""
+        return self.scale * n * math.exp(-self.decay * score)
+
     def score(self, scores: list[float], n: int) -> float:
         return float(np.interp(math.log1p(self.log_p(scores, n)), self.knots, self.values))
 
@@ -144,7 +149,7 @@ class Scanner:
 
 
 def _lexicon(texts: DataFrame, cfg: ToxicityConfig) -> dict[str, float]:
-    """Log-odds of the nodes that stand out and of those below them (collected; at most twice max_nodes)."""
+    """Log-odds of the nodes that stand out and of those below them (collected: words of the labelled sample)."""
     words = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
     pairs = F.transform(F.sequence(F.lit(2), F.size("w")), lambda i: F.struct(
         F.element_at("w", i).alias("word"), F.xxhash64(F.element_at("w", i - 1)).alias("before")))
@@ -176,14 +181,13 @@ def _lexicon(texts: DataFrame, cfg: ToxicityConfig) -> dict[str, float]:
     out = (nodes.select("node", (log_odds(F.col("t"), n_t) - log_odds(F.col("c"), n_c)).alias("d"), error.alias("e"),
                         root.alias("z"), "t")
            .where(F.col("t") >= cfg.min_contexts).where(F.col("z") >= cfg.min_z)
-           .where(F.col("d") - F.col("e") >= cfg.min_log_odds)
-           .orderBy(F.desc("z"), "node").limit(cfg.max_nodes))
+           .where(F.col("d") - F.col("e") >= cfg.min_log_odds))
     top = {r.node: r.d - r.e for r in out.collect()}
     base = math.log(n_t / n_c)
     tops = texts.sparkSession.createDataFrame([(n,) for n in top if not n.endswith(END)], "stem string")
     stems = F.array(*[F.when(F.length("node") > k, F.substring("node", 1, k)) for k in STEMS])
-    below = (nodes.select("node", "t", "c", F.explode(stems).alias("stem")).join(F.broadcast(tops), "stem")
-             .select("node", "t", "c").distinct().orderBy(F.desc(F.col("t") + F.col("c")), "node").limit(cfg.max_nodes))
+    below = (nodes.select("node", "t", "c", F.explode(stems).alias("stem")).join(tops, "stem")
+             .select("node", "t", "c").distinct())
     rates: dict[str, float] = {}
     for r in sorted(below.collect(), key=lambda r: (r.node.endswith(END), len(r.node))):
         parent = next(p for p in reversed(nodes_of(r.node.removesuffix(END))[:-1] + [r.node[:-1]])
@@ -252,24 +256,25 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2,
     return ToxicityModel(nodes, cfg.toxic_share, decay, scale, tuple(knots.tolist()), tuple(values.tolist()))
 
 
-def score_udf(spark: SparkSession, model: ToxicityModel):
-    """A vectorised text -> score function (null scores as empty)."""
+def score_udf(spark: SparkSession, model: ToxicityModel, max_expected: float = ToxicityConfig.max_expected):
+    """A vectorised text -> (score, n_passages) function (null scores as empty)."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        run = Scanner(shared.value)
+    @F.pandas_udf("score double, n_passages long")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        run, m = Scanner(shared.value), shared.value
         for batch in texts:
             out = []
             for text in batch:
                 tokens, found = run(text)
-                out.append(shared.value.score([s for *_, s in found], len(tokens)))
-            yield pd.Series(out, dtype=float)
+                sums = [s for *_, s in found]
+                out.append((m.score(sums, len(tokens)), sum(m.expected(s, len(tokens)) <= max_expected for s in sums)))
+            yield pd.DataFrame(out, columns=["score", "n_passages"]).astype({"score": float, "n_passages": "int64"})
 
     return score
 
 
-def passages(docs: DataFrame, model: ToxicityModel, max_expected: float = 0.05) -> DataFrame:
+def passages(docs: DataFrame, model: ToxicityModel, max_expected: float = ToxicityConfig.max_expected) -> DataFrame:
     """doc_id, first_word, end_word, score, expected: every significant passage.
 
     ``expected`` is the number of such segments chance gives in a text of this
@@ -285,7 +290,7 @@ def passages(docs: DataFrame, model: ToxicityModel, max_expected: float = 0.05)
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 tokens, found = run(text)
                 for first, end, s in found:
-                    expected = m.scale * len(tokens) * math.exp(-m.decay * s)
+                    expected = m.expected(s, len(tokens))
                     if expected <= max_expected:
                         rows.append((doc_id, first, end, s, expected))
             out = pd.DataFrame(rows, columns=["doc_id", "first_word", "end_word", "score", "expected"])
@@ -298,12 +303,12 @@ def passages(docs: DataFrame, model: ToxicityModel, max_expected: float = 0.05)
 def keep_clean(docs: DataFrame, labels: DataFrame, cfg: ToxicityConfig = ToxicityConfig()) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, all columns as they came."""
     model = fit(docs, labels, cfg=cfg)
-    return docs.where(score_udf(docs.sparkSession, model)(F.col("text")) < cfg.threshold)
+    return docs.where(score_udf(docs.sparkSession, model)(F.col("text"))["score"] < cfg.threshold)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2,
                     cfg: ToxicityConfig = ToxicityConfig()) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row.
+    """doc_id, held_out, score, n_passages (significant ones), predicted of every row.
 
     Null and empty texts have no segment and get the curve's lowest score.
     A null doc_id is scored and never held out; repeated rows repeat; other
@@ -312,8 +317,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_o
     model = fit(docs, labels, modulus, held_out, cfg)
     return docs.select(
         "doc_id", F.coalesce(fold_of(F.col("doc_id"), modulus) == held_out, F.lit(False)).alias("held_out"),
-        score_udf(docs.sparkSession, model)("text").alias("score"),
-    ).withColumn("predicted", (F.col("score") >= cfg.threshold).cast("int"))
+        score_udf(docs.sparkSession, model, cfg.max_expected)("text").alias("found"),
+    ).select("doc_id", "held_out", "found.score", "found.n_passages",
+             (F.col("found.score") >= cfg.threshold).cast("int").alias("predicted"))
 
 
 def op3_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """Segment search against brute force; held-out quality; edges."""
 
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
 
 from churnlens.llm import toxicity
 
@@ -73,6 +75,7 @@ def test_edges_and_passages(spark, make_docs, edge_texts):
     model = toxicity.fit(docs, labels)
     found = {r.doc_id: (r.first_word, r.end_word) for r in toxicity.passages(docs.where("doc_id < 300"), model).collect()}
     assert found == {i: (20, 24) for i in range(1, 300, 2)}
+    assert all(by[i].n_passages == i % 2 for i in range(300)) and by[1000].n_passages == 0
     kept = toxicity.keep_clean(docs, labels)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.where("doc_id < 300").collect()) == list(range(0, 300, 2))
@@ -93,3 +96,22 @@ def test_every_significant_passage_counts():
     assert all(a < b for a, b in zip(weak, weak[1:]))
     assert model.log_p([9.0, 6.0] + [4.0] * 50, 100) == model.log_p([9.0, 6.0], 100)  # chance segments add nothing
     assert model.log_p([4.0] * 50, 100) == model.log_p([], 100) == 0
+
+
+def test_chance_segments_follow_the_law():
+    """Clean token scores drawn at random: the share of texts whose best segment reaches s is what the law says."""
+    rng = np.random.default_rng(4)
+    plain, bins = math.log(1 - 0.05), {40: 300, 20: 700}
+    draw = np.concatenate([np.full(99_000, plain), np.full(300, 2.0), np.full(700, 1.0)])
+    decay = toxicity._decay(bins, 100_000, plain)
+    assert abs(np.exp(decay * draw).mean() - 1) < 1e-6
+    n, best = 400, []
+    for _ in range(1500):
+        best.append(max((s for *_, s in toxicity.segments(rng.choice(draw, n))), default=0.0))
+    best = np.array(best)
+    scale = max(1, (best > 0).sum()) / (n * np.exp(-decay * best)).sum()
+    model = toxicity.ToxicityModel(decay=decay, scale=scale)
+    for s in (3.0, 4.0, 5.0):
+        want = 1 - math.exp(-model.expected(s, n))
+        assert abs((best >= s).mean() - want) < 0.35 * want + 0.01
+    assert model.log_p([5.0], n) == pytest.approx(max(0.0, -math.log(model.expected(5.0, n))), abs=1e-9)
