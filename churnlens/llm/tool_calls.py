@@ -209,7 +209,9 @@ def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """
     spark = messages.sparkSession
     ship_package(spark)
-    messages = messages.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("-")).alias("conv_id"),
+    # as text with a mark, so that no conversation shares the null one's key
+    key = F.when(F.col("conv_id").isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col("conv_id").cast("string")))
+    messages = messages.select(key.alias("conv_id"),
                                F.col("conv_id").alias("conv"), "turn", "role", "text")
     ids = messages.groupBy("conv_id").agg(F.first("conv").alias("conv"))
     calls = numbered(calls_of(messages), ["conv_id"], ["turn", "place", "call_id", "arguments"], "position", "tools-calls")

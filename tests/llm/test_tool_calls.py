@@ -112,3 +112,9 @@ def test_whole_table(spark):
             assert r.status == ("unanswered" if k not in answers else "invalid" if errors else "linked")
     for conv in {k[0] for k in calls}:
         assert sorted(r.rank for k, r in rank.items() if k[0] == conv) == list(range(sum(k[0] == conv for k in calls)))
+
+
+def test_no_conversation_shares_the_null_ones_key(spark):
+    rows = [(c, 0, "assistant", json.dumps({"tool_calls": [call("x")]})) for c in ("-", "null", "=", "", None)]
+    got = tc.link(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string"), tc.SCHEMAS).collect()
+    assert {(r.conv_id, r.status) for r in got} == {(c, "unanswered") for c in ("-", "null", "=", "", None)} and len(got) == 5
