@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.operators.comoments import comoments, pearson
+
 
 # Beyond 40 bandwidths exp(-z^2/2) underflows to exactly 0.0 in double
 # precision (it does from about 38.6), so skipping those grid points changes
@@ -18,29 +20,10 @@ KDE_CUTOFF_Z = 40.0
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson matrix, pairwise-complete, as ``(x, y, r)`` for all ordered pairs.
 
-    One aggregation computes every pair from ``covar_samp`` and the pairwise
-    standard deviations; a constant column gives null instead of the
-    divide-by-zero error ``corr`` raises under ANSI mode.
+    From one co-moment table (``operators/comoments.py``); a pair with a
+    constant column has a null r.
     """
-    cols = list(columns)
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            xa = F.when(both, F.col(a).cast("double"))
-            xb = F.when(both, F.col(b).cast("double"))
-            tag = f"{i}_{cols.index(b)}"
-            aggs += [F.covar_samp(xa, xb).alias(f"c{tag}"), F.stddev_samp(xa).alias(f"sa{tag}"),
-                     F.stddev_samp(xb).alias(f"sb{tag}")]
-            pairs.append((a, b, tag))
-    wide = df.agg(*aggs)
-    exprs = []
-    for a, b, tag in pairs:
-        r = F.try_divide(F.col(f"c{tag}"), F.col(f"sa{tag}") * F.col(f"sb{tag}"))
-        exprs.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.alias("r")))
-        if a != b:
-            exprs.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), r.alias("r")))
-    return wide.select(F.explode(F.array(*exprs)).alias("p")).select("p.x", "p.y", "p.r")
+    return pearson(comoments(df, columns))
 
 
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
@@ -62,6 +45,54 @@ def correlation_with(df: DataFrame, target: str, columns: Sequence[str]) -> Data
     return wide.select(F.explode(F.array(*rows)).alias("p")).select("p.feature", "p.r")
 
 
+def _grid(vals: DataFrame, points: int) -> DataFrame:
+    """Per class: rows, bandwidth, and the grid's first point and step (broadcast: one row per class label)."""
+    stats = (vals.groupBy("class")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
+                  F.stddev_samp("v").alias("sd"))
+             .where((F.col("n") > 1) & (F.col("sd") > 0)))
+    span = F.col("mx") - F.col("mn")
+    grid = stats.select(
+        "class", "n",
+        (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"),
+        (F.col("mn") - F.lit(0.5) * span).alias("lo"),
+        (((F.col("mx") + F.lit(0.5) * span) - (F.col("mn") - F.lit(0.5) * span))
+         / F.lit(float(points - 1))).alias("step"))
+    return F.broadcast(grid)
+
+
+def binned_kde(df: DataFrame, column: str, by: str, points: int = 1000) -> DataFrame:
+    """The curve of ``kde`` by linear binning: ``(class, point, x, density, error)``.
+
+    A value shares its weight between its two neighbouring grid points by
+    distance, which leaves at most ``points`` weights per class; the density is
+    their convolution with the kernel.  Work is rows + points * points per
+    class, whatever the number of distinct values.  Sharing a value replaces
+    the kernel by its chord between two grid points, so the density is off by
+    at most step^2 / 8 times the kernel's largest curvature, 1 / (h^3 sqrt(2 pi)):
+    that bound is ``error``.
+    """
+    x = F.col(column).cast("double")
+    vals = (df.select(F.col(by).alias("class"), x.alias("v"))
+            .where(F.col("v").isNotNull() & ~F.isnan("v")))
+    grid = _grid(vals, points)
+    place = (F.col("v") - F.col("lo")) / F.col("step")
+    low = F.least(F.floor(place), F.lit(points - 2)).cast("int")
+    shares = vals.join(grid, "class").select("class", F.explode(F.array(
+        F.struct(low.alias("j"), (1.0 - (place - low)).alias("w")),
+        F.struct((low + 1).alias("j"), (place - low).alias("w")))).alias("s"))
+    weights = shares.groupBy("class", "s.j").agg(F.sum("s.w").alias("w"))
+    # at most `points` rows of a class: one array
+    rows = weights.groupBy("class").agg(F.collect_list(F.struct("j", "w")).alias("weights")).join(grid, "class")
+    rows = rows.select("class", "n", "h", "lo", "step", "weights", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    z = lambda e: (F.col("point") - e["j"]) * F.col("step") / F.col("h")
+    total = F.aggregate("weights", F.lit(0.0), lambda a, e: a + e["w"] * F.exp(F.lit(-0.5) * z(e) * z(e)))
+    root = math.sqrt(2 * math.pi)
+    return rows.select("class", "point", (F.col("lo") + F.col("point") * F.col("step")).alias("x"),
+                       (total / (F.col("n") * F.col("h") * F.lit(root))).alias("density"),
+                       (F.col("step") * F.col("step") / (8.0 * root * F.pow("h", F.lit(3.0)))).alias("error"))
+
+
 def kde(df: DataFrame, column: str, by: str, points: int = 1000,
         prebin: float | None = None) -> DataFrame:
     """Gaussian kernel density of ``column`` per class of ``by``.
@@ -86,19 +117,7 @@ def kde(df: DataFrame, column: str, by: str, points: int = 1000,
     vals = (df.select(F.col(by).alias("class"), x.alias("v"))
             .where(F.col("v").isNotNull() & ~F.isnan("v")))
     weights = vals.groupBy("class", "v").agg(F.count(F.lit(1)).alias("w"))
-    stats = (vals.groupBy("class")
-             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
-                  F.stddev_samp("v").alias("sd"))
-             .where((F.col("n") > 1) & (F.col("sd") > 0)))
-    span = F.col("mx") - F.col("mn")
-    grid = stats.select(
-        "class", "n",
-        (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"),
-        (F.col("mn") - F.lit(0.5) * span).alias("lo"),
-        (((F.col("mx") + F.lit(0.5) * span) - (F.col("mn") - F.lit(0.5) * span))
-         / F.lit(float(points - 1))).alias("step"))
-    # one row per class of ``by`` (a class label, few values by construction)
-    grid = F.broadcast(grid)
+    grid = _grid(vals, points)
 
     reach = F.lit(KDE_CUTOFF_Z) * F.col("h")
     j_lo = F.greatest(F.lit(0), F.ceil((F.col("v") - reach - F.col("lo")) / F.col("step")).cast("int"))

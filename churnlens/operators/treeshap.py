@@ -14,13 +14,19 @@ contributions in log-odds are ``2 * weight_t * phi_t`` summed over trees.  A
 row goes left when ``x[feature] <= threshold``.  Node covers are the training
 instance weights stored with each node.
 
+A leaf's contributions depend only on which of the features on its path a row
+agrees with.  For trees whose paths test few features (``TABLE_FEATURES``) they
+are tabulated once per leaf and pattern of agreement; a row then costs one
+lookup per leaf (``LeafTables``).  Deeper trees take the recursion.
+
 Execution: the node arrays (trees x nodes, bounded by the model) are
 broadcast; ``mapInPandas`` explains each Arrow batch; no shuffle.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, field
 
 import numpy as np
 
@@ -34,6 +40,7 @@ class Tree:
     value: np.ndarray      # leaf prediction
     cover: np.ndarray      # training weight reaching the node
     weight: float = 1.0    # tree weight in the ensemble
+    made: LeafTables | None = field(default=None, repr=False, compare=False)
 
     def expected_value(self) -> float:
         leaves = self.left < 0
@@ -137,11 +144,97 @@ def tree_shap(tree: Tree, x: np.ndarray) -> np.ndarray:
     return phi
 
 
+# A table has 2**features rows; paths that test more features take the recursion.
+TABLE_FEATURES = 8
+
+
+class LeafTables:
+    """Contributions of every leaf of a tree for every pattern of features that a row agrees with."""
+
+    def __init__(self, tree: Tree):
+        self.tree = tree
+        self.nodes: list[int] = []      # inner nodes
+        self.leaves: list[tuple[np.ndarray, list[list[tuple[int, bool]]], np.ndarray]] = []
+        self._walk(0, {}, {})
+
+    @staticmethod
+    def fits(tree: Tree) -> bool:
+        """Whether no path tests more than ``TABLE_FEATURES`` different features."""
+        def deepest(j: int, seen: frozenset) -> int:
+            if tree.left[j] < 0:
+                return len(seen)
+            now = seen | {int(tree.feature[j])}
+            return max(deepest(int(tree.left[j]), now), deepest(int(tree.right[j]), now))
+
+        return deepest(0, frozenset()) <= TABLE_FEATURES
+
+    def _walk(self, j: int, share: dict[int, float], tests: dict[int, list[tuple[int, bool]]]) -> None:
+        t = self.tree
+        if t.left[j] < 0:
+            if share:
+                names = sorted(share)
+                cold = np.array([share[f] for f in names])
+                self.leaves.append((np.array(names), [tests[f] for f in names], t.value[j] * pattern_weights(cold)))
+            return
+        f, at = int(t.feature[j]), len(self.nodes)
+        self.nodes.append(j)
+        for child, left in ((int(t.left[j]), True), (int(t.right[j]), False)):
+            part = t.cover[child] / t.cover[j] if t.cover[j] else 0.0
+            self._walk(child, share | {f: share.get(f, 1.0) * part}, tests | {f: [*tests.get(f, []), (at, left)]})
+
+    def add(self, x: np.ndarray, phi: np.ndarray, weight: float) -> None:
+        """Add ``weight`` times the contributions of every row of ``x`` to ``phi``."""
+        if not self.nodes:
+            return
+        left = x[:, self.tree.feature[self.nodes]] <= self.tree.threshold[self.nodes]
+        for names, tests, table in self.leaves:
+            pattern = np.zeros(len(x), dtype=np.int64)
+            for i, test in enumerate(tests):
+                agrees = left[:, test[0][0]] == test[0][1]
+                for at, side in test[1:]:
+                    agrees = agrees & (left[:, at] == side)
+                pattern |= agrees.astype(np.int64) << i
+            phi[:, names] += weight * table[pattern]
+
+
+def pattern_weights(cold: np.ndarray) -> np.ndarray:
+    """(2**n x n): Shapley values of the game prod_i (agrees_i if known else cold_i) for every pattern of agreement.
+
+    Joining the known features, i changes the product by (agrees_i - cold_i);
+    orders are counted by a polynomial in the number of other known features:
+    sum over subsets S of |S|! (n - 1 - |S|)! / n! times the product.
+    """
+    n = len(cold)
+    agrees = (np.arange(1 << n)[:, None] >> np.arange(n) & 1).astype(float)
+    out = np.zeros((1 << n, n))
+    order = np.array([math.factorial(k) * math.factorial(n - 1 - k) / math.factorial(n) for k in range(n)])
+    for i in range(n):
+        by_size = np.zeros((1 << n, n))  # coefficient k: products over the other features with k of them known
+        by_size[:, 0] = 1.0
+        for j in range(n):
+            if j != i:
+                known = np.zeros_like(by_size)
+                known[:, 1:] = by_size[:, :-1] * agrees[:, j:j + 1]
+                by_size = by_size * cold[j] + known
+        out[:, i] = (by_size @ order) * (agrees[:, i] - cold[i])
+    return out
+
+
 def ensemble_shap(trees: list[Tree], x: np.ndarray, scale: float = 2.0) -> tuple[np.ndarray, float]:
     """Log-odds contributions of a GBT ensemble and its base value."""
     phi = np.zeros(x.shape)
     base = 0.0
     for t in trees:
-        phi += t.weight * tree_shap(t, x)
+        if LeafTables.fits(t):
+            tables(t).add(x, phi, t.weight)
+        else:
+            phi += t.weight * tree_shap(t, x)
         base += t.weight * t.expected_value()
     return scale * phi, scale * base
+
+
+def tables(tree: Tree) -> LeafTables:
+    """The tree's tables, made once and kept with it."""
+    if tree.made is None:
+        tree.made = LeafTables(tree)
+    return tree.made

@@ -478,6 +478,12 @@ UNION ALL SELECT * FROM (SELECT feature, r, 'negative' FROM flc WHERE r < 0 ORDE
 })
 
 
+ORACLE["describe_merged"] = ORACLE["describe_lineitem"]
+ORACLE["report_round_trip"] = ORACLE["contract_rates"]
+ORACLE["kde_binned_check"] = with_sub(
+    f"SELECT {C.label} AS class, CAST(1000 AS BIGINT) AS n_points, CAST(0 AS BIGINT) AS n_off, TRUE AS error_small "
+    f"FROM sub GROUP BY {C.label}")
+
 # --- invariants of fitted models, computed from the tables -------------------
 TEST_ROWS = ("SELECT churn_binary, CAST(ceil(count(*) * 0.2) AS BIGINT) AS n FROM sub GROUP BY churn_binary")
 LEVEL_NAMES = (

@@ -17,11 +17,12 @@ from churnlens.functions import binarize
 from churnlens.operators import (clean, encode, explain, impact, metrics, profile, rates,
                                  segment, split, stats)
 from churnlens.operators.silhouette import euclidean_silhouette
+from churnlens.operators.sketches import column_summaries, merge_summaries
 from churnlens.schema import (FIXTURE, GBTConfig, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
                               TENURE_LABELS_6)
 from churnlens.session import ensure_checkpoint_dir, materialize
 from churnlens.sources.fixture_view import read_table, subscriber_view
-from churnlens.sources.subscribers import read_with_rejects
+from churnlens.sources.subscribers import read_with_rejects, write_report
 
 C = FIXTURE
 
@@ -149,6 +150,32 @@ def q_kde_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumns({"x": F.round("x", 9), "density": F.round("density", 9)})
 
 
+def q_kde_binned_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The binned density of the charges against the exact one: points beyond the stated error."""
+    v = materialize(subscriber_view(spark, sf_dir).select(C.monthly, C.label), "charges")
+    exact = stats.kde(v, C.monthly, C.label)
+    both = exact.join(stats.binned_kde(v, C.monthly, C.label).withColumnRenamed("density", "binned").drop("x"),
+                      ["class", "point"])
+    off = F.abs(F.col("binned") - F.col("density")) > F.col("error") + 1e-12 * F.col("density")
+    return both.groupBy("class").agg(F.count(F.lit(1)).alias("n_points"), F.count_if(off).alias("n_off"),
+                                     (F.max("error") < 0.01 * F.max("density")).alias("error_small"))
+
+
+def q_describe_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of lineitem merged from those of its return flags; no row is sketched twice."""
+    li = read_table(spark, sf_dir, "lineitem")
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    parts = [column_summaries(li.where(F.col("l_returnflag").eqNullSafe(flag)), columns)
+             for flag in [r[0] for r in li.select("l_returnflag").distinct().collect()]]  # three flags
+    return profile.describe(li, columns, summaries=merge_summaries(*parts))
+
+
+def q_report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rates by contract, written as a report table and read back."""
+    return spark.read.parquet(write_report(q_contract_rates(spark, sf_dir), ensure_checkpoint_dir(spark),
+                                           f"report-{uuid.uuid4().hex}"))
+
+
 # --- encoding, scaling, split ----------------------------------------------
 
 def q_one_hot_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +440,9 @@ QUERIES = {
     "summary": q_summary,
     "corr_matrix": q_corr_matrix,
     "kde_by_class": q_kde_by_class,
+    "kde_binned_check": q_kde_binned_check,
+    "describe_merged": q_describe_merged,
+    "report_round_trip": q_report_round_trip,
     "one_hot_all": q_one_hot_all,
     "one_hot_drop_first": q_one_hot_drop_first,
     "standardized": q_standardized,

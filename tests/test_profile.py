@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from churnlens.operators import clean, profile, ranking, rates, stats
+from churnlens.operators import clean, comoments, profile, ranking, rates, stats
 from churnlens.operators.ranking import exact_quantiles, running_sums
 from churnlens.operators.sketches import RANK_ERROR, column_summaries, merge_summaries, sketched_quantiles
 
@@ -146,3 +146,50 @@ def test_kde_matches_formula(spark):
     dens = np.exp(-0.5 * ((grid[:, None] - np.array(xs)[None, :]) / h) ** 2).sum(1) / (n * h * np.sqrt(2 * np.pi))
     assert np.allclose(out["density"].to_numpy(), dens, rtol=1e-9)
     assert len(out) == 50
+
+
+def test_comoments_match_pandas_pairwise_and_add_up(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(700, 5)) @ rng.normal(size=(5, 5)) + 1e6 * np.arange(5)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    pdf = pd.DataFrame(x, columns=list("abcde"))
+    pdf["constant"] = 3.3
+    rows = [tuple(None if i % 2 and math.isnan(v) else float(v) for v in r) for i, r in enumerate(pdf.to_numpy())]
+    frame = lambda rs: spark.createDataFrame(rs, ", ".join(f"{c} double" for c in pdf.columns)).repartition(3)
+    table = comoments.comoments(frame(rows), list(pdf.columns))
+    want, cov = pdf.corr(), pdf.cov()
+    got = {(r["x"], r["y"]): r["r"] for r in comoments.pearson(table).collect()}
+    assert len(got) == 36
+    for (a, b), r in got.items():
+        if "constant" in (a, b):
+            assert r is None
+        else:
+            assert math.isclose(r, want.loc[a, b], abs_tol=1e-9)
+    for r in comoments.covariances(table).collect():
+        assert math.isclose(r["covariance"], cov.loc[r["x"], r["y"]], rel_tol=1e-7, abs_tol=1e-9)
+    centers = [table.where(f"x = '{c}' and y = '{c}'").first()["cx"] for c in pdf.columns]
+    parts = [comoments.comoments(frame(part), list(pdf.columns), centers) for part in (rows[:250], rows[250:])]
+    again = {(r["x"], r["y"]): r["r"] for r in comoments.pearson(comoments.added(*parts)).collect()}
+    assert all(again[k] == got[k] or math.isclose(again[k], got[k], abs_tol=1e-9) for k in got)
+    whole = pdf.dropna().drop(columns="constant")
+    mean, loadings, shares = comoments.components(comoments.comoments(frame([tuple(map(float, r)) + (0.0,) for r in whole.to_numpy()]),
+                                                                      list("abcde")))
+    values = np.sort(np.linalg.eigvalsh(whole.cov()))[::-1]
+    assert np.allclose(mean, whole.mean()) and np.allclose(shares, values[:2] / values.sum(), atol=1e-9)
+    scores = (whole.to_numpy() - mean) @ loadings
+    assert np.allclose(np.cov(scores.T), np.diag(values[:2]), atol=1e-6)
+    empty = comoments.pearson(comoments.comoments(frame(rows).limit(0), ["a", "b"])).collect()
+    assert all(r["r"] is None for r in empty)
+
+
+def test_binned_density_keeps_its_bound(spark):
+    rng = np.random.default_rng(9)
+    rows = [(float(v), "ab"[i % 2]) for i, v in enumerate(np.concatenate([rng.normal(size=900), rng.exponential(5, 300)]))]
+    df = spark.createDataFrame(rows + [(None, "a"), (float("nan"), "b")], "v double, c string")
+    for points in (1000, 80):
+        exact = {(r["class"], r["point"]): r["density"] for r in stats.kde(df, "v", "c", points).collect()}
+        got = stats.binned_kde(df, "v", "c", points).collect()
+        assert len(got) == len(exact) == 2 * points
+        assert max(r["error"] for r in got) < (0.02 if points == 1000 else 1.0)
+        for r in got:
+            assert abs(r["density"] - exact[r["class"], r["point"]]) <= r["error"] + 1e-12

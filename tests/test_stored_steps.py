@@ -48,7 +48,7 @@ def test_steps_count_only_when_finished(spark, scratch):
     with warnings.catch_warnings():
         warnings.simplefilter("error")
         step = steps.read_step(spark, scratch, "one", source)
-    assert step.artefacts == ["model"] and step.tables["t"].schema == df.schema
+    assert step.artefacts == ["model"] and step.tables["t"].dtypes == df.dtypes
     assert sorted(map(tuple, step.tables["t"].collect())) == sorted(map(tuple, df.collect()))
     with pytest.warns(UserWarning, match="another input"):
         assert steps.read_step(spark, scratch, "one", "other") is None

@@ -5,7 +5,8 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from churnlens.operators.treeshap import Tree, ensemble_shap
+from churnlens.operators import treeshap
+from churnlens.operators.treeshap import LeafTables, Tree, ensemble_shap, tree_shap
 
 
 def ensemble_margin(trees: list[Tree], x: np.ndarray, scale: float = 2.0) -> np.ndarray:
@@ -80,6 +81,25 @@ def test_matches_brute_force_and_adds_up():
             assert np.allclose(brute_force_shap(trees, x[r]), phi[r])
 
 
+def test_leaf_tables_equal_the_recursion(monkeypatch):
+    rng = np.random.default_rng(7)
+    for depth, features in ((1, 3), (4, 2), (5, 9), (6, 4)):
+        for _ in range(3):
+            tree = random_tree(rng, depth, features)
+            x = rng.normal(size=(40, features))
+            phi = np.zeros(x.shape)
+            assert LeafTables.fits(tree)
+            LeafTables(tree).add(x, phi, 1.0)
+            assert np.allclose(phi, tree_shap(tree, x))
+    stump = Tree(np.array([-1]), np.array([-1]), np.array([-1]), np.zeros(1), np.array([2.0]), np.array([9.0]))
+    assert ensemble_shap([stump], np.zeros((3, 2)), 1.0)[0].tolist() == [[0.0, 0.0]] * 3
+    monkeypatch.setattr(treeshap, "TABLE_FEATURES", 2)
+    tree = random_tree(rng, 5, 6)
+    x = rng.normal(size=(10, 6))
+    assert not LeafTables.fits(tree)
+    assert np.allclose(ensemble_shap([tree], x, 1.0)[0], tree.weight * tree_shap(tree, x))
+
+
 def test_spark_gbt_additivity(spark):
     from churnlens.operators import models
     from churnlens.operators.encode import fit_model_features
