@@ -113,18 +113,23 @@ GROUP BY p.cls, p.j, p.x, p.n, p.h""",
         f"WHERE {column} IS NOT NULL GROUP BY {by}, {column})")
 
 
+# The view's columns as the engine types them.
+TYPES_CTE = f"kinds AS (SELECT column_type AS t FROM (DESCRIBE SELECT * FROM ({FIXTURE_VIEW_SQL})))"
+N_NUMERIC = "count_if(t IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', 'FLOAT', 'DOUBLE') OR t LIKE 'DECIMAL%')"
+
+
 def summary_sql() -> str:
     census = ("SELECT 'census' AS section, 'n_rows' AS item, CAST(count(*) AS DOUBLE) AS value FROM sub"
-              "\nUNION ALL SELECT 'census', 'n_columns', 14.0"
-              "\nUNION ALL SELECT 'census', 'n_numeric', 7.0"
-              "\nUNION ALL SELECT 'census', 'n_string', 7.0")
+              "\nUNION ALL SELECT 'census', 'n_columns', CAST(count(*) AS DOUBLE) FROM kinds"
+              f"\nUNION ALL SELECT 'census', 'n_numeric', CAST({N_NUMERIC} AS DOUBLE) FROM kinds"
+              "\nUNION ALL SELECT 'census', 'n_string', CAST(count_if(t = 'VARCHAR') AS DOUBLE) FROM kinds")
     label = (f"SELECT 'label', {C.label_text} || ':n', CAST(count(*) AS DOUBLE) FROM sub "
              f"GROUP BY {C.label_text}\nUNION ALL SELECT 'label', {C.label_text} || ':pct', "
              f"round({rint_sql('count(*) * 100.0 / sum(count(*)) OVER ()', 1)}, 6) FROM sub "
              f"GROUP BY {C.label_text}")
     desc = "\nUNION ALL ".join(
         f"SELECT 'describe', variable || ':{st}', round({st}, 6) FROM dsc" for st in DESCRIBE_STATS)
-    return with_sub(f"{census}\nUNION ALL {label}\nUNION ALL {desc}",
+    return with_sub(f"{census}\nUNION ALL {label}\nUNION ALL {desc}", TYPES_CTE,
                     "dsc AS (" + describe_sql("sub", [C.tenure, C.monthly, C.total]) + ")")
 
 
@@ -197,8 +202,9 @@ FROM sub GROUP BY {C.label_text} ORDER BY n DESC, value"""),
                                                    "l_tax"]),
     "class_means": with_sub(f"SELECT {C.label}, " + ", ".join(
         f"round(avg({c}), 6) AS mean_{c}" for c in C.numeric) + f" FROM sub GROUP BY {C.label}"),
-    "census": with_sub("SELECT count(*) AS n_rows, 14 AS n_columns, 7 AS n_numeric, 7 AS n_string "
-                       "FROM sub"),
+    "census": with_sub("SELECT (SELECT count(*) FROM sub) AS n_rows, CAST(count(*) AS INTEGER) AS n_columns, "
+                       f"CAST({N_NUMERIC} AS INTEGER) AS n_numeric, CAST(count_if(t = 'VARCHAR') AS INTEGER) AS n_string "
+                       "FROM kinds", TYPES_CTE),
     "summary": summary_sql(),
     "corr_matrix": with_sub("\nUNION ALL ".join(
         f"SELECT {_q(a)} AS x, {_q(b)} AS y, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS r "
@@ -527,6 +533,7 @@ SELECT (SELECT count(*) FROM e) AS n, (SELECT count(*) FROM r) AS n_references,
     "segments_check": with_sub("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_without, CAST(0 AS BIGINT) AS "
                                "n_out_of_order, CAST(1 AS BIGINT) AS n_best, CAST(7 AS BIGINT) AS n_k, "
                                "CAST(0 AS BIGINT) AS k_off FROM sub"),
+    "attached_check": with_sub("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_off, TRUE AS duplicate_refused FROM sub"),
     "segment_risk_check": with_sub("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_range FROM sub"),
     "logistic_gradient": with_sub("SELECT model, f AS feature, 0.0::DOUBLE AS gradient FROM "
                                   "(SELECT 'baseline' AS model UNION ALL SELECT 'ridge'), "

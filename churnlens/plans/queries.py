@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions import binarize
-from churnlens.operators import (clean, encode, explain, impact, metrics, profile, rates,
+from churnlens.operators import (clean, encode, explain, impact, joins, metrics, profile, rates,
                                  segment, split, stats)
 from churnlens.operators.silhouette import euclidean_silhouette
 from churnlens.operators.sketches import column_summaries, merge_summaries
@@ -601,6 +601,24 @@ def q_segment_risk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.agg(F.sum("n").alias("n_rows"), F.count_if(~ok).alias("n_out_of_range"))
 
 
+def q_attached_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment and score attached by key: rows, those unlike the segment's own scoring, a key given twice refused."""
+    _, b = _logistic(spark, sf_dir)
+    view, segmented = subscriber_view(spark, sf_dir), _segmentation(spark, sf_dir).segmented
+    segments = segmented.select(C.key, "segment_id")
+    scores = materialize(b.score(view).select(C.key, "prob"), "scores-by-key")
+    both = joins.attach_by_key(joins.attach_by_key(view.select(C.key), segments, C.key), scores, C.key)
+    own = b.score(segmented).select(C.key, F.col("segment_id").alias("own_segment"), F.col("prob").alias("own_prob"))
+    off = ~(F.col("segment_id").eqNullSafe(F.col("own_segment")) & (F.abs(F.col("prob") - F.col("own_prob")) < 1e-12))
+    try:
+        joins.attach_by_key(view, segments.union(segments.limit(1)), C.key)
+        refused = False
+    except ValueError:
+        refused = True
+    return both.join(own, C.key, "left").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(off, F.lit(True))).alias(
+        "n_off")).withColumn("duplicate_refused", F.lit(refused))
+
+
 def q_logistic_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The objective's gradient at both fitted models, which must vanish."""
     from churnlens.operators import models
@@ -869,6 +887,7 @@ MODEL_QUERIES = {
     "pca_check": q_pca_check,
     "segments_check": q_segments_check,
     "segment_risk_check": q_segment_risk_check,
+    "attached_check": q_attached_check,
     "logistic_gradient": q_logistic_gradient,
     "test_scores_check": q_test_scores_check,
     "shap_check": q_shap_check,
