@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from churnlens.session import materialize, ship_package
 
-BLOCK_ROWS = 16_384
+BLOCK_ROWS = 8_192
 # Arrays that meet in one place, the driver included.
 FAN_IN = 16
 
@@ -88,7 +88,9 @@ def loaded(blocks: DataFrame) -> RDD:
     def read(row) -> Block:
         return Block(np.frombuffer(row.x).reshape(row.n, -1), np.arange(row.first, row.first + row.n))
 
-    return blocks.rdd.map(read).persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = min(blocks.sparkSession.sparkContext.defaultParallelism, max(1, blocks.count()))
+    spread = blocks if blocks.rdd.getNumPartitions() >= tasks else blocks.repartition(tasks)  # few files: deal blocks out
+    return spread.rdd.map(read).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def reduced(blocks: RDD, work: Callable, add: Callable) -> object:

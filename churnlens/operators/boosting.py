@@ -91,7 +91,7 @@ def fit_bins(df: DataFrame, names: Sequence[str], bins: int) -> Binning:
 
     A feature of few values keeps each of them; no cut stands at the maximum.
     """
-    shares = [i / bins for i in range(1, bins)]
+    shares = F.expr("array(" + ", ".join(f"{i / bins!r}D" for i in range(1, bins)) + ")")
     row = df.agg(*[F.percentile_approx(F.col(f"`{n}`").cast("double"), shares, 20 * bins).alias(f"q{i}")
                    for i, n in enumerate(names)],
                  *[F.max(F.col(f"`{n}`").cast("double")).alias(f"m{i}") for i, n in enumerate(names)]).first()
