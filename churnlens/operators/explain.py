@@ -8,11 +8,12 @@ shuffle).  The tree-model contributions are in ``churnlens.operators.treeshap``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.functions import decode
 from churnlens.schema import HIGH_RISK_P, LOW_RISK_P
 from churnlens.session import materialize
 
@@ -47,6 +48,13 @@ def top_features(importance: DataFrame, n: int = 15) -> DataFrame:
     return importance.orderBy(F.desc("mean_abs_shap"), "feature").limit(n)
 
 
+def named_features(importance: DataFrame, meanings: Mapping[str, str], n: int = 10) -> DataFrame:
+    """``(rank, feature, mean_abs_shap, meaning)`` of the first ``n`` features; an unknown one has an empty meaning."""
+    order = Window.orderBy(F.desc("mean_abs_shap"), "feature")  # over n rows
+    return top_features(importance, n).select(
+        F.row_number().over(order).alias("rank"), "feature", "mean_abs_shap", decode("feature", dict(meanings)).alias("meaning"))
+
+
 def contribution_cloud(long: DataFrame, n: int = 15) -> DataFrame:
     """Every row's contribution for the top-``n`` features.
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from churnlens.operators import explain, impact, metrics, models, profile, rates, report, segment, stats
 from churnlens.plans import flows
-from churnlens.schema import (SUBSCRIBER, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
+from churnlens.schema import (FEATURE_MEANINGS, SUBSCRIBER, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
                               TENURE_LABELS_6, GBTConfig, ImpactConfig, SegmentConfig,
                               SubscriberColumns)
 from churnlens.session import materialize
@@ -99,6 +99,7 @@ def analyse_subscribers(spark: SparkSession, path: str, out_dir: str, fmt: str =
     save("roc", metrics.roc_curves(scored_all, cols.label, flows.model_columns("baseline", "ridge", "gbt")))
     shap_long = flows.gbt_explanations(trees, run, cols)
     save("shap_importance", explain.mean_abs_shap(shap_long))
+    save("shap_top_features", explain.named_features(explain.mean_abs_shap(shap_long), FEATURE_MEANINGS))
     save("shap_cloud", explain.contribution_cloud(shap_long, 15))
     ex = flows.explain_examples(trees, run, cols, 12)
     save("shap_examples", ex.select(cols.key, "kind", "prob", F.posexplode("top").alias("pos", "t"))

@@ -7,7 +7,7 @@ tables; ``sub`` is the subscriber view of ``churnlens.sources.fixture_view``.
 from __future__ import annotations
 
 from churnlens.schema import (FIXTURE, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
-                              TENURE_LABELS_6)
+                              TENURE_LABELS_6, VIEW_MEANINGS)
 from churnlens.sources.fixture_view import FIXTURE_VIEW_SQL
 
 C = FIXTURE
@@ -459,6 +459,11 @@ FROM sub s JOIN (SELECT {C.contract}, row_number() OVER (ORDER BY avg({C.label})
                           "FROM ls", LINEAR_SHAP_CTE),
     "shap_importance": scored("SELECT feature, round(avg(abs(shap)), 6) AS mean_abs_shap FROM ls "
                               "GROUP BY feature", LINEAR_SHAP_CTE),
+    "top_features_named": scored(
+        "SELECT CAST(row_number() OVER (ORDER BY mean_abs_shap DESC, feature) AS INTEGER) AS rank, feature, mean_abs_shap, "
+        "CASE feature " + " ".join(f"WHEN {_q(f)} THEN {_q(m)}" for f, m in VIEW_MEANINGS.items()) + " ELSE '' END AS meaning "
+        "FROM (SELECT feature, round(avg(abs(shap)), 6) AS mean_abs_shap FROM ls GROUP BY feature) "
+        "QUALIFY rank <= 3", LINEAR_SHAP_CTE),
     "shap_cloud": scored(f"SELECT {C.key}, feature, round(value, 6) AS value, round(shap, 6) AS shap "
                          "FROM ls WHERE feature IN (SELECT feature FROM ls GROUP BY feature "
                          "ORDER BY avg(abs(shap)) DESC, feature LIMIT 2)", LINEAR_SHAP_CTE),

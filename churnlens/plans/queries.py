@@ -19,7 +19,7 @@ from churnlens.operators import (clean, encode, explain, impact, joins, metrics,
 from churnlens.operators.silhouette import euclidean_silhouette
 from churnlens.operators.sketches import column_summaries, merge_summaries
 from churnlens.schema import (FIXTURE, GBTConfig, TENURE_EDGES_4, TENURE_EDGES_6, TENURE_LABELS_4,
-                              TENURE_LABELS_6)
+                              TENURE_LABELS_6, VIEW_MEANINGS)
 from churnlens.session import ensure_checkpoint_dir, materialize
 from churnlens.sources.fixture_view import read_table, subscriber_view
 from churnlens.sources.subscribers import read_with_rejects, write_report
@@ -343,6 +343,11 @@ def q_shap_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_cols(explain.mean_abs_shap(shap_long_fixed(spark, sf_dir)), ["mean_abs_shap"])
 
 
+def q_top_features_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three most important features with what they stand for."""
+    return explain.named_features(q_shap_importance(spark, sf_dir), VIEW_MEANINGS, 3)
+
+
 def q_shap_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_cols(explain.contribution_cloud(shap_long_fixed(spark, sf_dir), 2),
                        ["value", "shap"])
@@ -464,6 +469,7 @@ QUERIES = {
     "silhouette_fixed": q_silhouette_fixed,
     "linear_shap": q_linear_shap,
     "shap_importance": q_shap_importance,
+    "top_features_named": q_top_features_named,
     "shap_cloud": q_shap_cloud,
     "top_features": q_top_features,
     "examples": q_examples,

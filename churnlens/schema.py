@@ -47,6 +47,26 @@ PERSONA_ACTIONS = {
     "Medium Risk": "Offer annual-payment discount and retention offer",
     "Low Risk": "Loyalty programme and add-on upselling",
 }
+# What the model features of the subscriber file stand for, shown beside the top ones.
+FEATURE_MEANINGS = {
+    "tenure": "length of the contract so far; longer customers stay",
+    "Contract_Two year": "bound for two years; the strongest tie",
+    "Contract_One year": "bound for one year; a medium tie",
+    "MonthlyCharges": "monthly price; a higher one raises the risk",
+    "TotalCharges": "paid so far; goes along with tenure",
+    "Internet_Fiber optic": "premium line; such customers switch easily",
+    "Internet_No": "no online service; steady customers",
+    "OnlineSecurity_enc": "security add-on; lowers the risk",
+    "TechSupport_enc": "uses support; complaints get settled",
+    "PaperlessBilling_enc": "bills online; compares offers more",
+}
+# The same for the view over the driver's tables.
+VIEW_MEANINGS = {
+    "tenure": "months between first and last order",
+    "monthly_charges": "mean price of an order",
+    "total_charges": "sum of all orders",
+    "senior": "negative account balance",
+}
 # Keep the linear model when the boosted model gains less AUC than this.
 AUC_MARGIN = 0.02
 # Exemplar thresholds on predicted churn probability.
