@@ -44,9 +44,10 @@ MAGIC = b"RNSF"
 HEAD = struct.Struct("<4sBBHIIIQQII")
 VERSION = 1
 # Pieces and ids held per worker (about 170 bytes a piece), pieces joined for the library.
-PIECES_KNOWN = 800_000
-IDS_KNOWN = 16_000_000
+PIECES_KNOWN = 600_000
+IDS_KNOWN = 8_000_000
 JOINED = 200
+BATCH = 50
 SEPARATORS = frozenset(["", *map(chr, range(0x2000, 0x200b)), *"\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"])
 
 
@@ -217,8 +218,11 @@ class Encoder:
         self.ends = np.zeros(1 << 16, dtype=np.int64)  # ends[k], ends[k + 1] bound piece k; ends[0] stays 0
 
     def raw(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=self.kind)
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out = []
+        for i in range(0, len(texts), BATCH):  # the library's results take a hundred bytes an id: few at a time
+            out += [np.array(e.ids, dtype=self.kind)
+                    for e in self.tokenizer.encode_batch_fast(texts[i:i + BATCH], add_special_tokens=False)]
+        return out
 
     def coded(self, pieces: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """The pieces in another order, all their ids, the number of ids of each."""
