@@ -327,6 +327,7 @@ def length_udf(vocab_path: str):
         known = encoder(vocab_path, 0)
         for batch in texts:
             yield pd.Series(known.counts(batch.tolist()), dtype="int64")
+        known.forget()  # a worker that goes on to other work holds no pieces
 
     return n_tokens
 
