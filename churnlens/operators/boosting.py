@@ -8,9 +8,9 @@ bin), the sums meet by tree, and the driver picks each node's best split
     GL^2 / (HL + l2) + GR^2 / (HR + l2) - G^2 / (H + l2)
 
 from them.  A leaf is worth -step * G / (H + l2).  Rows are sampled per tree by
-a fixed function of their id, columns by the round, so a fit does not depend on
-partitioning.  Gradients are summed as integers (fixed point), so neither do
-the sums.
+a fixed function of their id in the stored blocks, columns by the round, and
+gradients are summed as integers (fixed point): which task reads a block, and
+in which order sums meet, changes nothing.
 
 Several fits, as the folds of a cross-validation, share every scan: a fit is
 all rows but those of one fold.  Margins live with the blocks in the executors
