@@ -209,16 +209,15 @@ def train(blocks: RDD, binning: Binning, fits: Sequence[Fit], rows: int, cfg: GB
         columns = columns_of(turn, d, cfg)
         feat, cuts, val, cov = feature[turn], cut[turn], value[turn], cover[turn]
         for level in range(cfg.max_depth):
-            sums = summed(state, lambda s: level_sums(s, fits, binning, columns, feat, cuts, level, turn,
-                                                      cfg.subsampling_rate, cfg.seed, scale))
+            gain, which, at, left, total = summed(
+                state, lambda s: level_sums(s, fits, binning, columns, feat, cuts, level, turn, cfg.subsampling_rate, cfg.seed, scale),
+                lambda sums: best_splits(sums.reshape(-1, *sums.shape[2:]) / scale, binning, columns, cfg))
             for old in held[:-1]:  # the scan has stored the newest state
                 old.unpersist()
             held = held[-1:]
             here = (1 << level) - 1
-            flat = sums.reshape(-1, *sums.shape[2:]) / scale
-            gain, which, at, left, total = best_splits(flat, binning, columns, cfg)
             grown = False
-            for i in range(len(flat)):
+            for i in range(len(gain)):
                 f, node = divmod(i, 1 << level)
                 node += here
                 if level and feat[f, (node - 1) // 2] < 0:

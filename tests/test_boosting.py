@@ -1,9 +1,11 @@
 """Trees against a direct computation on a small table; folds, sampling, storage, contributions."""
 
 import math
+import pickle
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
@@ -98,6 +100,16 @@ def test_fold_fits_equal_fits_alone_whatever_the_partitions(spark):
         assert (a == b).all()
 
 
+def test_the_driver_gets_splits_and_no_histograms(spark, monkeypatch):
+    """However many tasks and bins: a few numbers per (fit, node) of each scan."""
+    df, cfg, sent, collect = table(spark), GBTConfig(max_iter=3, max_depth=3, bins=64), [], RDD.collect
+    blocks = loaded(boosting.training_blocks(df.repartition(12), NAMES, "y", "fold").repartition(12))
+    binning = boosting.fit_bins(df, NAMES, cfg.bins)
+    monkeypatch.setattr(RDD, "collect", lambda rdd: sent.append(collect(rdd)) or sent[-1])
+    boosting.fit_trees(blocks, binning, 3, cfg)
+    assert len(sent) > 3 and max(len(pickle.dumps(s)) for s in sent) < 4 * (1 << 2) * 8 * 8 + 1000
+
+
 def test_constant_features_and_labels(spark):
     df = spark.createDataFrame([(1.0, float(i % 2), 1) for i in range(30)], "a double, b double, y int")
     m = boosting.fit_boosted(df, plain(), ("a", "b"), "y", GBTConfig(max_iter=3))[0]

@@ -4,11 +4,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from churnlens.operators import segment
-from churnlens.operators.blocks import BLOCK_ROWS, loaded, stored_blocks, summed, uniform
+from churnlens.operators.blocks import BLOCK_ROWS, loaded, reduced, stored_blocks, summed, uniform
 from churnlens.operators.kmeans import fit_many, moments, squared_distances, start_centers
 from churnlens.operators.silhouette import euclidean_silhouette, silhouette_of_fits
 
@@ -59,6 +60,20 @@ def test_blocks_keep_every_row_and_id(spark):
         stored_blocks(spark.sql("select array(1d, null) as x"), F.col("x"), "test")
 
 
+def test_one_total_of_many_tasks_reaches_the_driver(spark, monkeypatch):
+    """Totals meet in tasks by tree, in the blocks' order, and ``finish`` runs there."""
+    got, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda rdd: got.append(collect(rdd)) or got[-1])
+    for parts in (1, 3, 40, 300):
+        numbers = spark.sparkContext.parallelize(range(1000), parts)
+        assert summed(numbers, lambda i: np.array([i, 1])).tolist() == [499500, 1000]
+        assert summed(numbers, lambda i: np.array([i, 1]), lambda s: s[0] / s[1]) == 499.5
+        assert reduced(numbers, lambda i: [i], lambda a, b: a + b, lambda a: a == sorted(a)) is True
+    assert summed(spark.sparkContext.parallelize([5], 4), lambda i: i) == 5
+    assert summed(spark.sparkContext.parallelize([], 20), lambda i: i) is None
+    assert len(got) == 14 and max(map(len, got)) == 1
+
+
 def test_together_equals_alone_and_numpy(spark):
     b = blocks_of(spark, points())
     wanted = [(k, 42 + s) for k in (2, 3, 4, 6) for s in range(3)]
