@@ -56,9 +56,12 @@ class SegmentFit:
 
 
 def squared_distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """(rows x centres), never below zero."""
-    d = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ centers.T) + (centers * centers).sum(axis=1)
-    return np.maximum(d, 0.0)
+    """(rows x centres), never below zero; worked out in the place of the result."""
+    d = x @ centers.T
+    d *= 2.0
+    np.subtract((x * x).sum(axis=1)[:, None], d, out=d)
+    d += (centers * centers).sum(axis=1)
+    return np.maximum(d, 0.0, out=d)
 
 
 def moments(blocks: RDD) -> tuple[int, np.ndarray, np.ndarray] | None:

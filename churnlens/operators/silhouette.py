@@ -29,6 +29,7 @@ from churnlens.session import ship_package
 
 GROUPS = 10
 PER_CLUSTER = 200
+ROWS_AT_ONCE = 512  # whose distances to all references are held at once
 
 
 @dataclass
@@ -47,8 +48,14 @@ class References:
 
 def silhouettes(x: np.ndarray, ids: np.ndarray, own: np.ndarray, refs: References) -> np.ndarray:
     """(rows x (1 + GROUPS)): each row's silhouette, with all references and without those of one group."""
+    parts = [slice(i, i + ROWS_AT_ONCE) for i in range(0, max(len(x), 1), ROWS_AT_ONCE)]
+    return np.concatenate([_silhouettes(x[p], ids[p], own[p], refs) for p in parts])
+
+
+def _silhouettes(x: np.ndarray, ids: np.ndarray, own: np.ndarray, refs: References) -> np.ndarray:
     k, n = len(refs.size), len(x)
-    far = np.sqrt(squared_distances(x, refs.x))
+    far = squared_distances(x, refs.x)
+    np.sqrt(far, out=far)
     itself = ids[:, None] == refs.ids
     far[itself] = 0.0
     slot = refs.cluster * GROUPS + refs.group

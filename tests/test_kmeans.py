@@ -1,6 +1,7 @@
 """Batched k-means against separate fits and numpy; Euclidean silhouette against all pairs."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -8,10 +9,10 @@ from pyspark import RDD
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from churnlens.operators import segment
+from churnlens.operators import segment, silhouette
 from churnlens.operators.blocks import BLOCK_ROWS, loaded, reduced, stored_blocks, summed, uniform
 from churnlens.operators.kmeans import fit_many, moments, squared_distances, start_centers
-from churnlens.operators.silhouette import euclidean_silhouette, silhouette_of_fits
+from churnlens.operators.silhouette import References, euclidean_silhouette, silhouette_of_fits, silhouettes
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,6 +75,28 @@ def test_one_total_of_many_tasks_reaches_the_driver(spark, monkeypatch):
     assert len(got) == 14 and max(map(len, got)) == 1
 
 
+def test_memory_of_a_block(monkeypatch):
+    """Scoring a block holds few of its distances at once; steps hold one matrix of them."""
+    rng, k = np.random.default_rng(1), 8
+    x, r = rng.normal(size=(BLOCK_ROWS, 16)), rng.normal(size=(k * 200, 16))
+    own, refs = rng.integers(k, size=BLOCK_ROWS), References(r, np.arange(-len(r), 0) + 40, np.repeat(np.arange(k), 200), np.full(k, 5000))
+
+    def peak(work):
+        tracemalloc.start()
+        out = work()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most / 2**20
+
+    found, most = peak(lambda: silhouettes(x, np.arange(BLOCK_ROWS), own, refs))
+    assert most < 40
+    monkeypatch.setattr(silhouette, "ROWS_AT_ONCE", BLOCK_ROWS)
+    assert np.allclose(found, silhouettes(x, np.arange(BLOCK_ROWS), own, refs), atol=1e-12)
+    assert silhouettes(x[:0], np.arange(0), own[:0], refs).shape == found[:0].shape
+    far, most = peak(lambda: squared_distances(x, r))
+    assert most < 1.2 * far.nbytes / 2**20
+
+
 def test_together_equals_alone_and_numpy(spark):
     b = blocks_of(spark, points())
     wanted = [(k, 42 + s) for k in (2, 3, 4, 6) for s in range(3)]
