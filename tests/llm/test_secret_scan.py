@@ -123,3 +123,44 @@ def test_network_on_texts_without_labels(spark, make_docs):
     got = model.accepted(model.probabilities([f[0] for f in few], np.array([f[1] for f in few]), np.array([f[2] for f in few])))
     found = [bool(g) for g, f in zip(got, few) if f[3]]
     assert np.mean(found) >= 0.95
+
+
+def test_no_candidate_is_left_out_however_many(spark, make_docs):
+    """Classes beyond ``full_weight``: all left-out windows calibrate and set thresholds, all others train, over several shards."""
+    rng = random.Random(8)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    texts = [(i, f"{some('aeioulnr', 14)} token = {some(string.hexdigits, 24)} {some('aeioulnr', 16)}/{some('aeioulnr', 12)}") for i in range(900)]
+    seen = secret_scan.candidates(make_docs(texts)).checkpoint()
+    few = {(c.window, c.at, c.end - c.start, c.label) for r in seen.collect() for c in r.seen}
+    cfg = secret_scan.SecretConfig(full_weight=50, turn_rows=100, turns=4, visits=1)
+    model = secret_scan.fit(seen, cfg)
+    rows = spark.createDataFrame(sorted(few), "window string, at int, length int, label int").selectExpr("*", "xxhash64(window, at) as hash")
+    fold = {(r.window, r.at): r.f == 0 for r in rows.selectExpr("window", "at", "pmod(xxhash64('fold', hash), 5) as f").collect()}
+    held = [f for f in sorted(few) if fold[f[0], f[1]]]
+    assert 200 < len(held) < len(few) / 3
+    codes, sizes = secret_scan.codes_of([f[0] for f in held])
+    logits = model.net.forward(secret_scan.pieces(codes, sizes, np.array([f[1] for f in held]), np.array([f[2] for f in held])))[0]
+    y = np.array([f[3] & 1 for f in held], dtype=float)
+    knots, values = secret_scan.curve(secret_scan.score_blocks(logits[:, 0].astype(float), y), logits[:, 0].min(), logits[:, 0].max())
+    at = np.linspace(knots[0], knots[-1], 50)
+    assert np.allclose(np.interp(at, knots, values), np.interp(at, *model.curves[0]), atol=0.02)
+    wanted = np.sort(np.interp(logits[y > 0, 0], knots, values))[int((1 - cfg.recall) * y.sum())]
+    assert model.thresholds[0] == pytest.approx(wanted, abs=0.02)
+    training = [f for f in sorted(few) if not fold[f[0], f[1]]]
+    dealt = secret_scan.shares(rows.where("pmod(xxhash64('fold', hash), 5) <> 0"), 4, 4).collect()
+    assert sum(len(s.sizes) for s in dealt) == len(training) and {s.shard for s in dealt} == {0, 1, 2, 3}
+    assert sum(int(s.sizes.sum()) for s in dealt) == sum(len(f[0]) for f in training)
+    assert sum(int((s.label == 0).sum()) for s in dealt) == sum(f[3] == 0 for f in training)
+
+
+def test_states_and_pooled_parts():
+    state = secret_scan.State.fresh(secret_scan.SecretConfig())
+    again = state.like(state.numbers() * 3 / 3)
+    assert all((again.net.weights[k] == v).all() and again.net.weights[k].dtype == v.dtype for k, v in state.net.weights.items())
+    rng = np.random.default_rng(4)
+    score = np.sort(rng.normal(size=2000).round(2))
+    y = (rng.random(2000) < 1 / (1 + np.exp(-score))).astype(float)
+    whole = secret_scan.score_blocks(score, y)
+    edges = [0, *(int(np.searchsorted(score, c)) for c in (-1.0, 0.1, 0.5)), 2000]
+    parts = [b for lo, hi in zip(edges, edges[1:]) for b in secret_scan.score_blocks(score[lo:hi], y[lo:hi])]
+    assert np.allclose(secret_scan.pooled(parts), whole)
