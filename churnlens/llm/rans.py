@@ -26,10 +26,12 @@ import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,14 +228,16 @@ class Encoder:
 
     def coded(self, pieces: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """The pieces in another order, all their ids, the number of ids of each."""
-        joined = [p for p in pieces if p[0] in " \n" and p[1:2] not in SEPARATORS]
-        alone = [p for p in pieces if not (p[0] in " \n" and p[1:2] not in SEPARATORS)]
+        joined, alone = [], []
+        for p in pieces:
+            (joined if p[0] in " \n" and p[1:2] not in SEPARATORS else alone).append(p)
+        length = pc.binary_length(pa.array(joined, pa.large_string())).to_numpy()
         groups = [joined[i:i + JOINED] for i in range(0, len(joined), JOINED)]
         found = self.raw(["".join(g) for g in groups])
         order, ids, sizes = [], [], []
-        for group, got in zip(groups, found):
+        for g, (group, got) in enumerate(zip(groups, found)):
             upto = np.cumsum(self.bytes[got])
-            ends = np.cumsum([len(p.encode()) for p in group])
+            ends = np.cumsum(length[g * JOINED:(g + 1) * JOINED])
             at = np.searchsorted(upto, ends) + 1
             if upto[-1:] != ends[-1] or (upto[at - 1] != ends).any():
                 raise ValueError("the vocabulary is not byte-level")
@@ -247,12 +251,13 @@ class Encoder:
 
     def places(self, pieces: list[str]) -> np.ndarray:
         """The number under which each piece is known; unknown ones are learnt first."""
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            new = [p for p, k in zip(pieces, found) if k is None]
-            if len(self.known) + len(new) > PIECES_KNOWN or self.ends[len(self.known)] > IDS_KNOWN:
+        found = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            if len(self.known) + len(missing) > PIECES_KNOWN or self.ends[len(self.known)] > IDS_KNOWN:
                 self.forget()
-                new = pieces
+                missing = np.arange(len(pieces))
+            new = [pieces[i] for i in missing.tolist()]
             order, ids, sizes = self.coded(new)
             n, used = len(self.known), int(self.ends[len(self.known)])
             self.ids = room(self.ids, used + len(ids))
@@ -260,8 +265,8 @@ class Encoder:
             self.ends = room(self.ends, n + len(order) + 1)
             self.ends[n + 1:n + len(order) + 1] = used + np.cumsum(sizes)
             self.known.update(zip(order, range(n, n + len(order))))
-            found = list(map(self.known.__getitem__, pieces))
-        return np.array(found, dtype=np.int64)
+            found[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        return found
 
     def __call__(self, texts: Sequence[str | None]) -> pa.Array:
         """The ids of each text with the end id, as little-endian bytes.

@@ -94,3 +94,20 @@ def test_damage_is_found():
     data[-20] ^= 1
     with pytest.raises(ValueError, match="another table"):
         rans.Frame(memoryview(bytes(data))).ids(rans.Table.from_counts(np.ones(9)))
+
+
+def test_a_known_piece_is_looked_up_once():
+    class Counting(dict):
+        again = 0
+
+        def __getitem__(self, key):
+            self.again += 1
+            return super().__getitem__(key)
+
+    known = rans.Encoder(PATH, 2)
+    known.known = Counting()
+    first = known.places([" one", " two", "three"]).tolist()
+    assert sorted(first) == [0, 1, 2] and known.known.again == 3
+    assert known.places([" two", " four", "three", " one"]).tolist() == [first[1], 3, first[2], first[0]]
+    assert known.known.again == 4  # the new one only
+    assert known.places([" four"]).tolist() == [3] and known.places([]).tolist() == [] and known.known.again == 4
