@@ -1,4 +1,4 @@
-"""Key-checked attach of per-customer facts."""
+"""Key-checked attach of per-customer facts (J1, J2), and joins of two sides that both grow."""
 
 from __future__ import annotations
 
@@ -31,3 +31,13 @@ def attach_by_key(left: DataFrame, right: DataFrame, key: str | Sequence[str],
     if check_unique:
         assert_unique(right, key)
     return left.join(right, on=key, how="inner")
+
+
+def merged(left: DataFrame, right: DataFrame, key: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join of two sides that both grow with the customers, always by shuffle, sort and merge.
+
+    Left to itself the planner broadcasts a side whose shuffled (compressed)
+    bytes are below its threshold, and a broadcast is collected on the driver:
+    what passes through the driver would grow with the input up to there.
+    """
+    return left.join(right.hint("merge"), on=key, how=how)

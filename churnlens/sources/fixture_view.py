@@ -23,8 +23,9 @@ churn_binary       churn as 0/1
 
 Plan: the orders aggregate is one hash aggregation keyed by customer (partial
 aggregation map-side, so a customer holding a third of all orders costs one
-row per map task); the customer join reuses that key; nation and region (fixed
-dimension tables) are broadcast by hint; the newest order date is a scalar
+row per map task); the customer join reuses that key and merges, as neither
+side is bounded and a broadcast would pass through the driver; nation and region
+(fixed dimension tables) are broadcast by hint; the newest order date is a scalar
 subquery.  Building the view runs no job, and ``orders`` is read twice: for the
 facts and for the newest date.
 """
@@ -34,6 +35,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.operators.joins import merged
+
 # Fixed values of the view definition.
 CHURN_GAP_DAYS = 180
 TENURE_DAY_UNIT = 30.0
@@ -73,7 +76,7 @@ def subscriber_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left"))
 
     churned = F.datediff(newest, F.col("last_date")) > F.lit(CHURN_GAP_DAYS)
-    return (per_customer.join(cust, "customer_id", "inner")
+    return (merged(per_customer, cust, "customer_id")
             .select(
                 "customer_id", "contract", "region",
                 F.col("first_order.o_orderpriority").alias("priority"),
