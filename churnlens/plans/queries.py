@@ -875,10 +875,10 @@ def q_resumed_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = flows.scored_by(run, C, logistic=b, gbt=_gbt(spark, sf_dir))
     differ = F.coalesce((F.abs(F.col("gbt") - F.col("prob_gbt")) > 1e-12)
                         | (F.abs(F.col("logistic") - F.col("prob_logistic")) > 1e-12), F.lit(True))
-    both = again.select(C.key, "gbt", "logistic").join(first, C.key, "left").agg(
+    both = joins.merged(again.select(C.key, "gbt", "logistic"), first, C.key, "left").agg(
         F.count(F.lit(1)).alias("n_scored"), F.count_if(differ).alias("n_scores_off"))
     old = seg.segmented.select(C.key, F.col("segment_id").alias("old"))
-    named = flows.resume_segmented(spark, root, C, source).select(C.key, "segment_id").join(old, C.key, "left").agg(
+    named = joins.merged(flows.resume_segmented(spark, root, C, source).select(C.key, "segment_id"), old, C.key, "left").agg(
         F.count(F.lit(1)).alias("n_segmented"), F.count_if(~F.col("segment_id").eqNullSafe(F.col("old"))).alias("n_segments_off"))
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")

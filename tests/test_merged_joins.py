@@ -2,9 +2,12 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from churnlens.operators import joins
+from churnlens.plans import flows, queries
+from churnlens.sources import steps
 from churnlens.sources.fixture_view import FIXTURE_VIEW_SQL, subscriber_view
 
 
@@ -49,3 +52,46 @@ def test_merged_keeps_what_a_join_gives(spark):
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
         key = lambda r: tuple(map(str, r))
         assert sorted(rows, key=key) == sorted(left.join(right, "k", how).collect(), key=key)
+
+
+class Scores:
+    """A model whose probability is the column p."""
+
+    margin_scale = 1.0
+
+    def score(self, df, prob="prob", prediction="prediction"):
+        return df.withColumns({prob: F.col("p"), prediction: (F.col("p") > 0.5).cast("int")})
+
+
+@pytest.fixture
+def run(spark, monkeypatch):
+    """A split table without fits: every query on it gets ``Scores``."""
+    data = spark.createDataFrame([(i, i % 2, (i + 1) / 50.0, int(i < 30)) for i in range(40)],
+                                 f"{queries.C.key} long, {queries.C.label} int, p double, is_test int")
+    made = flows.ModelRun(None, data, data.where("is_test = 0"), data.where("is_test = 1"))
+    monkeypatch.setattr(queries, "_run", lambda spark, sf_dir: made)
+    monkeypatch.setattr(queries, "_gbt", lambda spark, sf_dir: Scores())
+    monkeypatch.setattr(queries, "_logistic", lambda spark, sf_dir: (Scores(), Scores()))
+    return made
+
+
+def test_resumed_check_joins_customers_by_merge(spark, monkeypatch, run):
+    segmented = run.data.select(queries.C.key, (F.col(queries.C.key) % 3).alias("segment_id"))
+    other = segmented.withColumn("segment_id", F.when(F.col(queries.C.key) == 5, 9).otherwise(F.col("segment_id")))
+
+    class Segments:
+        pass
+
+    Segments.segmented = segmented
+    monkeypatch.setattr(queries, "_segmentation", lambda spark, sf_dir: Segments)
+    monkeypatch.setattr(queries, "subscriber_view", lambda spark, sf_dir: run.data)
+    monkeypatch.setattr(steps, "fingerprint", lambda df: "rows")
+    again = run.data.withColumn("p", F.when(F.col(queries.C.key) == 4, 0.99).otherwise(F.col("p")))
+    for name, made in (("store_models", None), ("store_segmentation", None), ("resume_segmented", other),
+                       ("resume_models", (again, {"gbt": Scores(), "logistic": Scores()}))):
+        monkeypatch.setattr(flows, name, lambda *args, made=made, **kw: made)
+    for name in ("resumed_risk", "resumed_comparison"):
+        monkeypatch.setattr(flows, name, lambda spark, root, *args, **kw: None if root.endswith("-none") else segmented)
+    rows, plan = final_plan(queries.q_resumed_check(spark, "nowhere"))
+    assert [tuple(r) for r in rows] == [(30, 1, 40, 1, 2, 2)]
+    assert plan.split("Initial Plan")[0].count("SortMergeJoin [") == 2 and "BroadcastHashJoin" not in plan
