@@ -676,7 +676,7 @@ def q_shap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = q_gbt_shap(spark, sf_dir).groupBy(C.key).agg(F.sum("shap").alias("s"), F.count(F.lit(1)).alias("f"))
     scored = flows.scored_test(m, run, C)
     logit = F.log(F.col("prob") / (1 - F.col("prob")))
-    return scored.join(total, C.key, "left").agg(
+    return joins.merged(scored, total, C.key, "left").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(F.abs(F.col("s") + base - logit) > 1e-6, F.lit(True))).alias("n_off"),
         F.min("f").alias("f_min"), F.max("f").alias("f_max"))
 

@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from churnlens.operators import joins
+from churnlens.operators import joins, models
 from churnlens.plans import flows, queries
 from churnlens.sources import steps
 from churnlens.sources.fixture_view import FIXTURE_VIEW_SQL, subscriber_view
@@ -75,6 +75,17 @@ def run(spark, monkeypatch):
     return made
 
 
+def test_shap_check_joins_scores_by_merge(spark, monkeypatch, run):
+    logit = F.log(F.col("p") / (1 - F.col("p")))
+    off = F.when(F.col(queries.C.key) == 3, 0.5).otherwise(0.0)  # one row's contributions are wrong, one row has none
+    parts = run.test.where(f"{queries.C.key} <> 7").select(queries.C.key, F.explode(F.array(logit * 0.25, logit * 0.75 + off)).alias("shap"))
+    monkeypatch.setattr(models, "gbt_trees", lambda model, scratch_dir: [])
+    monkeypatch.setattr(queries, "q_gbt_shap", lambda spark, sf_dir: parts)
+    rows, plan = final_plan(queries.q_shap_check(spark, "nowhere"))
+    assert [tuple(r) for r in rows] == [(30, 2, 2, 2)]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_resumed_check_joins_customers_by_merge(spark, monkeypatch, run):
     segmented = run.data.select(queries.C.key, (F.col(queries.C.key) % 3).alias("segment_id"))
     other = segmented.withColumn("segment_id", F.when(F.col(queries.C.key) == 5, 9).otherwise(F.col("segment_id")))
