@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from churnlens.functions import band, decode, round_half_even
 from churnlens.operators.blocks import loaded, stored_blocks
 from churnlens.operators.kmeans import SegmentFit, best_of, fit_many
-from churnlens.operators.silhouette import PER_CLUSTER, silhouette_of_fits
+from churnlens.operators.silhouette import silhouette_of_fits
 from churnlens.schema import PERSONA_ACTIONS, PERSONA_BANDS, PERSONA_DEFAULT
 
 
@@ -138,11 +138,12 @@ def squared_silhouette(df: DataFrame, features_col: str = "features", prediction
 
 def sweep_k(features: DataFrame, k_values: Sequence[int] = tuple(range(2, 9)), n_init: int = 10,
             seed: int = 42, max_iter: int = 300, tol: float = 1e-4,
-            features_col: str = "features", per_cluster: int = PER_CLUSTER) -> tuple[DataFrame, SegmentFit]:
+            features_col: str = "features", per_cluster: int | None = None) -> tuple[DataFrame, SegmentFit]:
     """Inertia and Euclidean silhouette per k; the winner has the largest silhouette, the smaller k on ties.
 
-    All (k, start) fits share one scan per step; two more scans give the
-    silhouettes of the best fit of every k.  Returns the ``(k, inertia,
+    All (k, start) fits share one scan per step; one pass over all pairs of rows
+    gives the silhouettes of the best fit of every k (``per_cluster`` rows of a
+    cluster stand for it where that is given).  Returns the ``(k, inertia,
     silhouette, standard_error, best)`` table and the winning fit.
     """
     k_values = list(k_values)

@@ -1,11 +1,17 @@
-"""Mean silhouette with Euclidean distance against a reference set (M4).
+"""Mean silhouette with Euclidean distance, over all pairs or against a reference set (M4).
 
-The exact number needs the distance of every pair of rows.  Here each cluster
-is represented by its ``per_cluster`` rows of least random order (all of a
-smaller cluster), and every row of the table is scored against these: the work
-is rows x clusters x ``per_cluster``, and only the references travel.  A mean
-distance to a cluster becomes the mean over its references, leaving out the
-row itself, so the result is exact when the references are everything.
+The exact number needs the distance of every pair of rows.  For fits it is
+taken so (``silhouette_of_fits``): every block of rows meets every other block
+once, the two pass as a stream through a task, and a distance serves all fits.
+The work is rows x rows; a task holds two blocks and one sum per row and
+cluster, nothing is shuffled, and no row reaches the driver.
+
+Given ``per_cluster``, each cluster is instead represented by its
+``per_cluster`` rows of least random order (all of a smaller cluster), and
+every row of the table is scored against these: the work is rows x clusters x
+``per_cluster``, and only the references travel.  A mean distance to a cluster
+becomes the mean over its references, leaving out the row itself, so the result
+is exact when the references are everything.
 
 The standard error is a jackknife over ``GROUPS`` groups of references, times
 sqrt(1 - share of rows that are references), which is zero for everything.
@@ -30,6 +36,7 @@ from churnlens.session import ship_package
 GROUPS = 10
 PER_CLUSTER = 200
 ROWS_AT_ONCE = 512  # whose distances to all references are held at once
+TILE = 512, 256  # rows of the one and of the other block whose distances are held at once
 
 
 @dataclass
@@ -64,23 +71,28 @@ def _silhouettes(x: np.ndarray, ids: np.ndarray, own: np.ndarray, refs: Referenc
     sums = (far @ to_slot).reshape(n, k, GROUPS)
     counts = to_slot.sum(axis=0).reshape(1, k, GROUPS) - (itself @ to_slot).reshape(n, k, GROUPS)
     out = np.empty((n, 1 + GROUPS))
-    rows = np.arange(n)
     for g in range(-1, GROUPS):
         s, c = sums.sum(axis=2), counts.sum(axis=2)
         if g >= 0:
             s, c = s - sums[:, :, g], c - counts[:, :, g]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            mean = np.where(c > 0, s / c, np.inf)
-        a = mean[rows, own].copy()
-        mean[rows, own] = np.inf
-        b = mean.min(axis=1)
-        known = (refs.size[own] > 1) & np.isfinite(a) & np.isfinite(b)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            value = (b - a) / np.maximum(a, b)
-        out[:, 1 + g] = np.where(known & (np.maximum(a, b) > 0), value, 0.0)
+        out[:, 1 + g] = _values(s, c, own, refs.size)
     return out
 
 
+def _values(sums: np.ndarray, counts: np.ndarray, own: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Silhouettes from each row's summed distances to the clusters, and to how many rows these are."""
+    rows = np.arange(len(own))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = np.where(counts > 0, sums / counts, np.inf)
+    a = mean[rows, own].copy()
+    mean[rows, own] = np.inf
+    b = mean.min(axis=1)
+    known = (size[own] > 1) & np.isfinite(a) & np.isfinite(b)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        value = (b - a) / np.maximum(a, b)
+    return np.where(known & (np.maximum(a, b) > 0), value, 0.0)
+
+
 def summary(total: np.ndarray, rows: int, share: float) -> tuple[float, float]:
     """(mean silhouette, standard error) from the sums over all rows."""
     means = total / rows
@@ -89,9 +101,89 @@ def summary(total: np.ndarray, rows: int, share: float) -> tuple[float, float]:
     return float(means[0]), float(error)
 
 
-def silhouette_of_fits(blocks: RDD, fits: Sequence[SegmentFit], per_cluster: int = PER_CLUSTER,
+def nearest_of_fits(x: np.ndarray, fits: Sequence[SegmentFit]) -> np.ndarray:
+    """(fits x rows): each row's cluster in every fit."""
+    return np.stack([squared_distances(x, f.centers).argmin(axis=1) for f in fits])
+
+
+def add_distances(out: np.ndarray, x: np.ndarray, y: np.ndarray, own: np.ndarray, starts: Sequence[int],
+                  same: bool) -> None:
+    """Adds each ``x`` row's distances to the rows of ``y``, summed by cluster, to ``out`` (clusters x rows of x).
+
+    ``own`` (fits x rows of y) are the clusters of ``y``; those of a fit begin
+    at its place in ``starts``.  Rows of ``y`` alike in all fits are summed
+    first.  With ``same`` the two are one block, and a row is 0 from itself.
+    """
+    high, wide = TILE
+    order = np.lexsort(own)
+    left = np.column_stack([-2.0 * y, np.ones(len(y)), (y * y).sum(axis=1)])[order]
+    right = np.ascontiguousarray(np.column_stack([x, (x * x).sum(axis=1), np.ones(len(x))]).T)
+    for i in range(0, len(y), high):
+        part = order[i:i + high]
+        kinds = own[:, part]
+        cuts = [0, *(np.flatnonzero((kinds[:, 1:] != kinds[:, :-1]).any(axis=0)) + 1).tolist(), len(part)]
+        runs = list(zip(cuts[:-1], cuts[1:]))
+        to = np.zeros((len(out), len(runs)))
+        for start, clusters in zip(starts, kinds[:, cuts[:-1]]):
+            to[start + clusters, np.arange(len(runs))] = 1.0
+        for j in range(0, len(x), wide):
+            far = left[i:i + high] @ right[:, j:j + wide]
+            np.abs(far, out=far)  # below zero by rounding only
+            np.sqrt(far, out=far)
+            if same:
+                here = np.flatnonzero((part >= j) & (part < j + wide))
+                far[here, part[here] - j] = 0.0
+            by_run = np.empty((len(runs), far.shape[1]))
+            for r, (lo, hi) in enumerate(runs):
+                np.add.reduce(far[lo:hi], axis=0, out=by_run[r])
+            out[:, j:j + wide] += to @ by_run
+
+
+def exact_silhouettes(blocks: RDD, fits: Sequence[SegmentFit]) -> list[float]:
+    """Mean silhouette of each fit over all pairs of rows: one scan for the sizes, one over all pairs of blocks."""
+    starts = np.cumsum([0, *(f.k for f in fits)]).tolist()
+
+    def count(b: Block) -> np.ndarray:
+        return np.concatenate([np.bincount(own, minlength=f.k) for own, f in zip(nearest_of_fits(b.x, fits), fits)])
+
+    size = summed(blocks, count)
+    rows, origin = int(size[:fits[0].k].sum()), fits[0].centers.mean(axis=0)  # near the rows, to keep digits
+
+    def score(pairs: Iterator[tuple[Block, Block]]) -> Iterator[np.ndarray]:
+        met: dict[int, list] = {}  # blocks that have not met all rows yet: one, or the few of a batch
+        for a, b in pairs:
+            first = int(a.ids[0])
+            if first not in met:
+                met[first] = [np.zeros((starts[-1], len(a.x))), 0]
+            state = met[first]
+            add_distances(state[0], a.x - origin, b.x - origin, nearest_of_fits(b.x, fits), starts, first == b.ids[0])
+            state[1] += len(b.x)
+            if state[1] == rows:
+                yield scores(a, met.pop(first)[0])
+
+    def scores(a: Block, sums: np.ndarray) -> np.ndarray:
+        out, at = [], np.arange(len(a.x))
+        for own, lo, hi in zip(nearest_of_fits(a.x, fits), starts[:-1], starts[1:]):
+            counts = np.tile(size[lo:hi], (len(a.x), 1))
+            counts[at, own] -= 1
+            out.append(_values(sums[lo:hi].T, counts, own, size[lo:hi]).sum())
+        return np.array(out)
+
+    # the second side is one partition, read from the blocks where they are kept: a task sees all of it, block by block
+    found = blocks.cartesian(blocks.coalesce(1)).mapPartitions(score)
+    return [float(t) / rows for t in summed(found, lambda t: t)]
+
+
+def silhouette_of_fits(blocks: RDD, fits: Sequence[SegmentFit], per_cluster: int | None = None,
                        seed: int = 42) -> list[tuple[float, float]]:
-    """(mean silhouette, standard error) of each fit: one scan chooses the references, one scores all rows."""
+    """(mean silhouette, standard error) of each fit, from all pairs of rows: the error is 0.
+
+    With ``per_cluster`` every row is scored against that many references of a
+    cluster instead: one scan chooses them, one scores all rows.
+    """
+    if per_cluster is None:
+        return [(mean, 0.0) for mean in exact_silhouettes(blocks, fits)]
+
     def draw(b: Block):
         order, out = uniform(b.ids, seed), []
         for f in fits:

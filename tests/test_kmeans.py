@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from churnlens.operators import segment, silhouette
 from churnlens.operators.blocks import BLOCK_ROWS, loaded, reduced, stored_blocks, summed, uniform
-from churnlens.operators.kmeans import fit_many, moments, squared_distances, start_centers
-from churnlens.operators.silhouette import References, euclidean_silhouette, silhouette_of_fits, silhouettes
+from churnlens.operators.kmeans import SegmentFit, fit_many, moments, squared_distances, start_centers
+from churnlens.operators.silhouette import References, add_distances, euclidean_silhouette, silhouette_of_fits, silhouettes
 
 SF = "/root/testdata/sf0.001"
 
@@ -157,3 +157,39 @@ def test_silhouette_of_given_clusters(spark):
     few = euclidean_silhouette(df, "id", "c", "x", 20).first()
     assert few.n_references == 61 and abs(few.silhouette - row.silhouette) <= 5 * few.standard_error
     assert euclidean_silhouette(df.where("id < 0"), "id", "c", "x").first().n == 0
+
+
+def test_sweep_scores_every_row_against_every_row(spark):
+    """Clusters of far more rows than any reference set: silhouettes are those of all pairs, whichever blocks rows are in."""
+    pts = points(n=1900, d=3, k=3, seed=8) * 0.5
+    df = frame(spark, pts).select(array_to_vector("x").alias("features"))
+    table, _ = segment.sweep_k(df, (2, 3, 5), n_init=2)
+    rows = {r["k"]: r for r in table.collect()}
+    b = blocks_of(spark, pts)
+    for k, row in rows.items():
+        fit = segment.fit_segments(df, k, n_init=2)
+        assert row["silhouette"] == pytest.approx(all_pairs(pts, squared_distances(pts, fit.centers).argmin(1)), abs=1e-9)
+        assert row["standard_error"] == 0.0
+        for parts in (1, 2):  # several blocks a task
+            assert silhouette_of_fits(b.coalesce(parts), [fit])[0][0] == pytest.approx(row["silhouette"], abs=1e-12)
+
+
+def test_silhouette_of_lone_repeated_and_no_rows(spark):
+    pts = np.concatenate([points(n=700, d=2, k=2), np.repeat([[40.0, 40.0]], 5, axis=0), [[90.0, -90.0]]])
+    fits = [SegmentFit(k, 0, np.array([[0.0, 0.0], [40.0, 40.0], [90.0, -90.0], [1e3, 1e3]])[:k], 0.0, 1) for k in (1, 3, 4)]
+    one, three, four = [s for s, _ in silhouette_of_fits(blocks_of(spark, pts), fits)]
+    want = all_pairs(pts, squared_distances(pts, fits[1].centers).argmin(1))
+    assert one == 0.0 and three == pytest.approx(want, abs=1e-9) and four == three
+
+
+def test_memory_of_a_pair_of_blocks():
+    """Two blocks that meet hold few of their distances at once."""
+    rng = np.random.default_rng(1)
+    x, y, own = rng.normal(size=(BLOCK_ROWS, 16)), rng.normal(size=(700, 16)), rng.integers(4, size=(1, BLOCK_ROWS))
+    out = np.zeros((4, len(y)))
+    tracemalloc.start()
+    add_distances(out, y, x, own, [0], False)
+    most = tracemalloc.get_traced_memory()[1] / 2**20
+    tracemalloc.stop()
+    far = np.sqrt(squared_distances(y, x))
+    assert most < 12 and np.allclose(out.T, np.stack([far[:, own[0] == c].sum(axis=1) for c in range(4)], axis=1))
