@@ -19,16 +19,17 @@ sqrt(1 - share of rows that are references), which is zero for everything.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.operators.blocks import Block, reduced, summed, uniform
+from churnlens.operators.blocks import BLOCK_ROWS, Block, reduced, summed, uniform
 from churnlens.operators.kmeans import SegmentFit, squared_distances
 from churnlens.operators.split import shuffle_key
 from churnlens.session import ship_package
@@ -139,14 +140,31 @@ def add_distances(out: np.ndarray, x: np.ndarray, y: np.ndarray, own: np.ndarray
             out[:, j:j + wide] += to @ by_run
 
 
+def joined(found: Iterator[Block]) -> Iterator[Block]:
+    """Small blocks put together, up to ``BLOCK_ROWS`` rows."""
+    held: list[Block] = []
+
+    def block() -> Block:
+        return Block(np.concatenate([b.x for b in held]), np.concatenate([b.ids for b in held]))
+
+    for b in found:
+        if held and sum(len(h.x) for h in held) + len(b.x) > BLOCK_ROWS:
+            yield block()
+            held = []
+        held.append(b)
+    if held:
+        yield block()
+
+
 def exact_silhouettes(blocks: RDD, fits: Sequence[SegmentFit]) -> list[float]:
     """Mean silhouette of each fit over all pairs of rows: one scan for the sizes, one over all pairs of blocks."""
     starts = np.cumsum([0, *(f.k for f in fits)]).tolist()
 
     def count(b: Block) -> np.ndarray:
-        return np.concatenate([np.bincount(own, minlength=f.k) for own, f in zip(nearest_of_fits(b.x, fits), fits)])
+        return np.concatenate([*(np.bincount(own, minlength=f.k) for own, f in zip(nearest_of_fits(b.x, fits), fits)), [1]])
 
-    size = summed(blocks, count)
+    *size, number = summed(blocks, count)
+    size = np.array(size)
     rows, origin = int(size[:fits[0].k].sum()), fits[0].centers.mean(axis=0)  # near the rows, to keep digits
 
     def score(pairs: Iterator[tuple[Block, Block]]) -> Iterator[np.ndarray]:
@@ -169,9 +187,16 @@ def exact_silhouettes(blocks: RDD, fits: Sequence[SegmentFit]) -> list[float]:
             out.append(_values(sums[lo:hi].T, counts, own, size[lo:hi]).sum())
         return np.array(out)
 
-    # the second side is one partition, read from the blocks where they are kept: a task sees all of it, block by block
-    found = blocks.cartesian(blocks.coalesce(1)).mapPartitions(score)
-    return [float(t) / rows for t in summed(found, lambda t: t)]
+    tasks = max(blocks.context.defaultParallelism, math.ceil(rows / BLOCK_ROWS))
+    small = number > 2 * tasks  # every pair of blocks is a step, however few rows they have
+    met_by = blocks.coalesce(tasks).mapPartitions(joined).persist(StorageLevel.MEMORY_AND_DISK) if small else blocks
+    try:
+        # the second side is one partition, read from the blocks where they are kept: a task sees all of it, block by block
+        found = met_by.cartesian(met_by.coalesce(1)).mapPartitions(score)
+        return [float(t) / rows for t in summed(found, lambda t: t)]
+    finally:
+        if small:
+            met_by.unpersist()
 
 
 def silhouette_of_fits(blocks: RDD, fits: Sequence[SegmentFit], per_cluster: int | None = None,

@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from churnlens.operators import segment, silhouette
-from churnlens.operators.blocks import BLOCK_ROWS, loaded, reduced, stored_blocks, summed, uniform
+from churnlens.operators.blocks import BLOCK_ROWS, Block, loaded, reduced, stored_blocks, summed, uniform
 from churnlens.operators.kmeans import SegmentFit, fit_many, moments, squared_distances, start_centers
 from churnlens.operators.silhouette import References, add_distances, euclidean_silhouette, silhouette_of_fits, silhouettes
 
@@ -159,7 +159,7 @@ def test_silhouette_of_given_clusters(spark):
     assert euclidean_silhouette(df.where("id < 0"), "id", "c", "x").first().n == 0
 
 
-def test_sweep_scores_every_row_against_every_row(spark):
+def test_sweep_scores_every_row_against_every_row(spark, monkeypatch):
     """Clusters of far more rows than any reference set: silhouettes are those of all pairs, whichever blocks rows are in."""
     pts = points(n=1900, d=3, k=3, seed=8) * 0.5
     df = frame(spark, pts).select(array_to_vector("x").alias("features"))
@@ -172,6 +172,11 @@ def test_sweep_scores_every_row_against_every_row(spark):
         assert row["standard_error"] == 0.0
         for parts in (1, 2):  # several blocks a task
             assert silhouette_of_fits(b.coalesce(parts), [fit])[0][0] == pytest.approx(row["silhouette"], abs=1e-12)
+    many = b.flatMap(lambda b: [Block(b.x[i:i + 9], b.ids[i:i + 9]) for i in range(0, len(b.x), 9)]).repartition(40)
+    blocks_met = []
+    monkeypatch.setattr(RDD, "cartesian", lambda a, b, whole=RDD.cartesian: blocks_met.append(a.count()) or whole(a, b))
+    assert silhouette_of_fits(many, [fit])[0][0] == pytest.approx(row["silhouette"], abs=1e-12)
+    assert blocks_met[0] <= max(1, many.context.defaultParallelism) < many.count()  # small blocks are put together first
 
 
 def test_silhouette_of_lone_repeated_and_no_rows(spark):
